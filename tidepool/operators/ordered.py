@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _CHUNK = "_tp_chunk"
+_KEY = "_tp_key"
 
 
 def id_chunk(col: str | Column, width: int) -> Column:
@@ -49,24 +50,24 @@ def time_chunk(ts: str | Column, seconds: int) -> Column:
     return F.floor(micros / F.lit(seconds * 1_000_000)).cast("long")
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & left[c].eqNullSafe(right[c])
-    return cond
+def _with_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Pack the key columns into one never-null struct column.
+
+    Struct equality treats null fields as equal, so null keys keep their own
+    group (as in ``PARTITION BY``), and the join below stays a plain
+    equi-join on the very columns the window is partitioned by -- the per-row
+    side is not shuffled a second time.
+    """
+    if not keys:
+        return df, []
+    return df.withColumn(_KEY, F.struct(*[F.col(k) for k in keys])), [_KEY]
 
 
-def _attach(per_row: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _attach(per_row: DataFrame, carry: DataFrame, part: Sequence[str]) -> DataFrame:
     """Join the per-(key, chunk) carry table onto the rows (inner: every
     (key, chunk) of the rows has a summary row)."""
-    cols = [*keys, _CHUNK]
-    carry = carry.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(cols)],
-                         *[c for c in carry.columns if c not in cols])
-    cond = F.lit(True)
-    for i, c in enumerate(cols):
-        cond = cond & per_row[c].eqNullSafe(carry[f"_r{i}"])
-    joined = per_row.join(carry, cond, "inner")
-    return joined.drop(*[f"_r{i}" for i in range(len(cols))])
+    cols = [*part, _CHUNK]
+    return per_row.join(carry, cols, "inner")
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
@@ -77,20 +78,19 @@ def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
     ``order`` must be a total order within a key (add a unique id as the last
     column) so the result is deterministic.
     """
-    keys = list(keys)
     v = F.lit(1).cast("long") if value is None else (F.col(value) if isinstance(value, str) else value)
-    d = df.withColumn(_CHUNK, chunk).withColumn("_tp_v", v)
-    w_in = (Window.partitionBy(*keys, _CHUNK).orderBy(*order)
+    d, part = _with_key(df.withColumn(_CHUNK, chunk).withColumn("_tp_v", v), list(keys))
+    w_in = (Window.partitionBy(*part, _CHUNK).orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     per_row = d.withColumn("_tp_local", F.sum("_tp_v").over(w_in))
-    summary = d.groupBy(*keys, _CHUNK).agg(F.sum("_tp_v").alias("_tp_tot"))
-    w_chunks = (Window.partitionBy(*keys).orderBy(_CHUNK)
+    summary = d.groupBy(*part, _CHUNK).agg(F.sum("_tp_v").alias("_tp_tot"))
+    w_chunks = (Window.partitionBy(*part).orderBy(_CHUNK)
                 .rowsBetween(Window.unboundedPreceding, -1))
-    carry = summary.select(*keys, _CHUNK,
+    carry = summary.select(*part, _CHUNK,
                            F.coalesce(F.sum("_tp_tot").over(w_chunks), F.lit(0)).alias("_tp_off"))
-    res = _attach(per_row, carry, keys)
+    res = _attach(per_row, carry, part)
     return (res.withColumn(out, (F.col("_tp_local") + F.col("_tp_off")).cast("long"))
-            .drop("_tp_v", "_tp_local", "_tp_off", _CHUNK))
+            .drop("_tp_v", "_tp_local", "_tp_off", _CHUNK, *part))
 
 
 def running_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
@@ -105,30 +105,29 @@ def running_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     """
     if k < 0:
         raise ValueError("lag offset must be >= 0")
-    keys = list(keys)
     if k == 0:
         return df.withColumn(out, F.col(col))
     order = list(order)
-    d = df.withColumn(_CHUNK, chunk)
-    w_in = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
+    d, part = _with_key(df.withColumn(_CHUNK, chunk), list(keys))
+    w_in = Window.partitionBy(*part, _CHUNK).orderBy(*order)
     per_row = (d.withColumn("_tp_pos", F.row_number().over(w_in))
                .withColumn("_tp_lag", F.lag(col, k).over(w_in)))
     desc_order = [(F.col(o) if isinstance(o, str) else o).desc() for o in order]
-    w_desc = Window.partitionBy(*keys, _CHUNK).orderBy(*desc_order)
+    w_desc = Window.partitionBy(*part, _CHUNK).orderBy(*desc_order)
     # row_number() <= k over a partitioned window is planned as WindowGroupLimit,
     # so each map task forwards at most k rows per (key, chunk).
-    tails = (d.select(*keys, _CHUNK, *[o for o in order if isinstance(o, str)], col)
+    tails = (d.select(*part, _CHUNK, *[o for o in order if isinstance(o, str)], col)
              .withColumn("_tp_rd", F.row_number().over(w_desc))
              .filter(F.col("_tp_rd") <= k)
-             .groupBy(*keys, _CHUNK)
+             .groupBy(*part, _CHUNK)
              .agg(F.sort_array(F.collect_list(F.struct(F.col("_tp_rd").alias("rd"),
                                                        F.col(col).alias("v"))), asc=False)
                   .alias("_tp_tail")))
     tails = tails.withColumn("_tp_tail", F.transform("_tp_tail", lambda s: s["v"]))
-    w_prev = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(-k, -1)
-    carry = tails.select(*keys, _CHUNK,
+    w_prev = Window.partitionBy(*part).orderBy(_CHUNK).rowsBetween(-k, -1)
+    carry = tails.select(*part, _CHUNK,
                          F.flatten(F.collect_list("_tp_tail").over(w_prev)).alias("_tp_prev"))
-    res = _attach(per_row, carry, keys)
+    res = _attach(per_row, carry, part)
     from_prev = F.try_element_at(F.col("_tp_prev"), (F.col("_tp_pos") - F.lit(k + 1)).cast("int"))
     value = F.when(F.col("_tp_pos") > k, F.col("_tp_lag")).otherwise(from_prev)
-    return res.withColumn(out, value).drop("_tp_pos", "_tp_lag", "_tp_prev", _CHUNK)
+    return res.withColumn(out, value).drop("_tp_pos", "_tp_lag", "_tp_prev", _CHUNK, *part)
