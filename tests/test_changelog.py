@@ -1,0 +1,97 @@
+"""Batch ids, per-batch and cumulative counts, keyed and bucket changelogs."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidepool.operators import changelog as CL
+from tidepool.operators import counts as C
+from tidepool.operators.ordered import id_chunk
+from tidepool.sources.batches import cycled, with_batch_id, with_partitioned_batch_id
+
+# The reference's per-partition example data.
+PARTITIONS = {
+    0: ["cat", "dog", "chicken", "cat", "dog", "apple"],
+    1: ["cat", "dog", "apple", "banana"],
+    2: ["cat"] * 5 + ["dog"] * 4,
+}
+
+
+@pytest.fixture
+def batched(spark):
+    rows = [(p, i, w) for p, ws in PARTITIONS.items() for i, w in enumerate(ws)]
+    df = spark.createDataFrame(rows, "part int, offset int, word string")
+    return with_partitioned_batch_id(df, "part", ["offset"], 3, id_chunk("offset", 2))
+
+
+def test_partitioned_batches(spark, batched):
+    got = {r["batch_id"]: r["count"] for r in C.batch_count(batched).collect()}
+    assert got == {0: 9, 1: 7, 2: 3}
+    cum = {r["batch_id"]: r["global_count"] for r in C.global_count(C.batch_count(batched), chunk_width=1).collect()}
+    assert cum == {0: 9, 1: 16, 2: 19}
+
+
+def test_count_changelog(spark, batched):
+    cl = CL.count_changelog(batched, "word", chunk_width=1)
+    got = {(r["batch_id"], r["word"]): (r["prev_count"], r["count"]) for r in cl.collect()}
+    assert got == {
+        (0, "apple"): (None, 1), (0, "cat"): (None, 5), (0, "chicken"): (None, 1), (0, "dog"): (None, 2),
+        (1, "apple"): (1, 2), (1, "banana"): (None, 1), (1, "cat"): (5, 8), (1, "dog"): (2, 4),
+        (2, "dog"): (4, 7),
+    }
+
+
+def test_bucket_changelog(spark, batched):
+    bc = CL.bucket_changelog(CL.bucket_deltas(CL.count_changelog(batched, "word")))
+    assert sorted(tuple(r) for r in bc.collect()) == [(0, 0, 4), (1, 0, 5)]
+
+
+def test_bucket_move(spark):
+    rows = [(0, "cat")] * 9 + [(1, "cat")] * 3
+    df = spark.createDataFrame(rows, "batch_id long, word string")
+    d = CL.bucket_deltas(CL.count_changelog(df, "word"))
+    assert sorted(tuple(r) for r in d.collect()) == [(0, 0, 1), (1, 0, -1), (1, 1, 1)]
+    bc = CL.bucket_changelog(d)
+    assert sorted(tuple(r) for r in bc.collect()) == [(0, 0, 1), (1, 0, 0), (1, 1, 1)]
+
+
+def test_deltas_sum_to_histogram(spark):
+    rows = [(i // 37, f"w{(i * 7) % 23 if i % 3 else 0}") for i in range(2000)]
+    df = spark.createDataFrame(rows, "batch_id long, word string")
+    d = CL.bucket_deltas(CL.count_changelog(df, "word"))
+    sums = {r["bucket"]: r["s"] for r in d.groupBy("bucket").agg(F.sum("delta").alias("s")).collect()}
+    hist = {r["bucket"]: r["count"] for r in C.count_histogram(df, "word").collect()}
+    assert {b: s for b, s in sums.items() if s} == hist
+
+
+def test_changelog_independent_of_batch_split(spark):
+    rows = [(i, f"w{i % 5}") for i in range(600)]
+    df = spark.createDataFrame(rows, "offset long, word string")
+    totals = []
+    for size in (7, 50, 600):
+        b = with_batch_id(df, ["offset"], size, id_chunk("offset", 64))
+        cl = CL.count_changelog(b, "word")
+        last = cl.groupBy("word").agg(F.max("count").alias("c"))
+        totals.append(sorted(tuple(r) for r in last.collect()))
+    assert totals[0] == totals[1] == totals[2]
+
+
+def test_fixed_batches_of_three(spark):
+    from tidepool.sources.choice import FIXED_BATCH_SENTENCES
+    s = spark.createDataFrame(list(enumerate(FIXED_BATCH_SENTENCES)), "i long, sentence string")
+    b = with_batch_id(s, ["i"], 3, id_chunk("i", 2))
+    assert {r["batch_id"]: r["count"] for r in C.batch_count(b).collect()} == {0: 3, 1: 2}
+    two = cycled(s, 2)
+    assert two.count() == 10 and sorted({r["cycle"] for r in two.collect()}) == [0, 1]
+
+
+def test_replay_same_batches_same_result(spark, batched):
+    once = CL.count_changelog(batched, "word")
+    twice = CL.count_changelog(batched, "word")
+    assert sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, twice.collect()), key=str)
+
+
+def test_group_one_and_histogram(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "k string, v long")
+    assert sorted(tuple(r) for r in C.group_one(df, ["k", "v"]).collect()) == [("a", 1, 1), ("b", 2, 1)]
+    words = spark.createDataFrame([("x",)] * 12 + [("y",)] * 3, "word string")
+    assert sorted(tuple(r) for r in C.count_histogram(words, "word").collect()) == [(0, 1), (1, 1)]

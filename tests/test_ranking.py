@@ -1,0 +1,118 @@
+"""Rankings and ranked items against the goldens."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidepool.operators import ranking as R
+
+VAL = {c: i + 1 for i, c in enumerate("ABCDEFGH")}  # A=1 ... H=8
+
+
+def _items(spark, names, seq=0):
+    return spark.createDataFrame([(n, VAL[n], seq) for n in names], "obj string, count long, seq long")
+
+
+def _order(df):
+    return [r["obj"] for r in df.orderBy("rank").collect()]
+
+
+@pytest.mark.parametrize("names,exp", [
+    ("A", "A"), ("BDAC", "DCBA"), ("BFACDE", "FEDCBA"), ("GBFACDEH", "HGFEDCBA")])
+def test_order(spark, names, exp):
+    assert _order(R.rank_top(_items(spark, names), "obj", "count", 1000)) == list(exp)
+
+
+@pytest.mark.parametrize("a,b,exp", [
+    ("A", "A", "A"), ("AC", "BD", "DCBA"), ("BFA", "CDE", "FEDCBA"), ("GBFAC", "DEH", "HGFEDCBA")])
+def test_merge(spark, a, b, exp):
+    out = R.merge_rankings([_items(spark, a, 0), _items(spark, b, 1)], "obj", "count", "seq", 1000)
+    assert _order(out) == list(exp)
+
+
+def test_merge_with_empty(spark):
+    empty = spark.createDataFrame([], "obj string, count long, seq long")
+    out = R.merge_rankings([empty, _items(spark, "BDAC", 1)], "obj", "count", "seq", 10)
+    assert _order(out) == list("DCBA")
+
+
+@pytest.mark.parametrize("names", ["ABC", "ABCD"])
+def test_bounded(spark, names):
+    assert R.rank_top(_items(spark, names), "obj", "count", 2).count() == 2
+
+
+def test_upsert_keeps_latest(spark):
+    df = spark.createDataFrame([("A", 1, 0), ("A", 2, 1), ("A", 3, 2)], "obj string, count long, seq long")
+    out = R.rank_top(R.latest_counts(df, "obj", "count", "seq"), "obj", "count", 10).collect()
+    assert [(r["obj"], r["count"]) for r in out] == [("A", 3)]
+
+
+def test_upsert_replaces_with_lower(spark):
+    df = spark.createDataFrame([("A", 9, 0), ("B", 5, 0), ("A", 1, 1)], "obj string, count long, seq long")
+    assert _order(R.rank_top(R.latest_counts(df, "obj", "count", "seq"), "obj", "count", 10)) == ["B", "A"]
+
+
+@pytest.mark.parametrize("n", [0, -1, -2, -10])
+def test_illegal_top_n(spark, n):
+    with pytest.raises(ValueError):
+        R.rank_top(_items(spark, "A"), "obj", "count", n)
+
+
+@pytest.mark.parametrize("n", [1, 2, 1000, 1000000])
+def test_legal_top_n(spark, n):
+    R.rank_top(_items(spark, "A"), "obj", "count", n)
+
+
+def test_ties_break_by_object(spark):
+    df = spark.createDataFrame([("b", 2), ("a", 2), ("c", 3)], "obj string, count long")
+    assert _order(R.rank_top(df, "obj", "count", 10)) == ["c", "a", "b"]
+
+
+def test_two_phase_equals_single(spark):
+    rows = [(f"w{i}", (i * 7919) % 53) for i in range(400)]
+    df = spark.createDataFrame(rows, "obj string, count long")
+    a = [tuple(r) for r in R.rank_top(df, "obj", "count", 10).select("rank", "obj", "count").collect()]
+    b = [tuple(r) for r in R.rank_two_phase(df, "obj", "count", 10, buckets=5).select("rank", "obj", "count").collect()]
+    assert sorted(a) == sorted(b)
+
+
+def test_per_group(spark):
+    df = spark.createDataFrame([("g1", "a", 1), ("g1", "b", 5), ("g1", "c", 3), ("g2", "d", 2)],
+                               "g string, obj string, count long")
+    got = sorted((r["g"], r["rank"], r["obj"]) for r in R.rank_per_group(df, ["g"], "obj", "count", 2).collect())
+    assert got == [("g1", 1, "b"), ("g1", 2, "c"), ("g2", 1, "d")]
+
+
+# --------------------------------------------------------- ranked items
+def test_identity_ignores_fields_and_is_case_sensitive(spark):
+    df = spark.createDataFrame([("foo", 1, "x"), ("foo", 1, "y"), ("Foo", 1, "x"), ("", 0, "a"), ("", 1, "b")],
+                               "obj string, count long, f string")
+    got = sorted((r["obj"], r["count"]) for r in R.rank_distinct(df, "obj", "count").collect())
+    assert got == [("", 0), ("", 1), ("Foo", 1), ("foo", 1)]
+    firsts = {(r["obj"], r["count"]): r["f"] for r in R.rank_distinct(df, "obj", "count", first_by="f").collect()}
+    assert firsts[("foo", 1)] == "x"
+
+
+def test_invalid_rows(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), ("b", -1), ("c", 0)], "obj string, count long")
+    assert sorted(r["obj"] for r in R.validate_items(df, "obj", "count", "drop").collect()) == ["a", "c"]
+    with pytest.raises(Exception):
+        R.validate_items(df, "obj", "count", "error").collect()
+    ok = spark.createDataFrame([("a", 1)], "obj string, count long")
+    assert R.validate_items(ok, "obj", "count", "error").count() == 1
+
+
+def test_fields_and_render(spark):
+    df = spark.createDataFrame([("quux", 42, "one", "two", "three"), ("obj", 271, "someAdditionalField", None, None)],
+                               "obj string, count long, f1 string, f2 string, f3 string")
+    ranked = R.rank_top(R.with_fields(df, ["f1", "f2", "f3"]), "obj", "count", 10)
+    items = {r["obj"]: r["item"] for r in R.ranking_rendered(ranked, "obj", "count", "fields").collect()}
+    assert items["quux"] == "[quux|42|one|two|three]"
+    assert items["obj"] == "[obj|271|someAdditionalField|null|null]"
+    lst = R.ranking_list_rendered(R.ranking_rendered(ranked, "obj", "count", "fields")).collect()[0][0]
+    assert lst == "[[obj|271|someAdditionalField|null|null], [quux|42|one|two|three]]"
+
+
+def test_rank_of_window(spark):
+    df = spark.createDataFrame([(1, "a", 3), (1, "b", 4), (2, "a", 1)], "w long, obj string, count long")
+    got = sorted((r["w"], r["obj"]) for r in R.rank_per_group(df, [F.col("w")], "obj", "count", 1).collect())
+    assert got == [(1, "b"), (2, "a")]

@@ -1,0 +1,79 @@
+"""Split rules, suffix projections, choice sources, requests."""
+
+import pytest
+
+from tidepool.functions.text import EXCLAIM, QUESTION, REQUEST_EXCLAIM, split_rule, suffix
+from tidepool.operators import generators as G
+from tidepool.sources.choice import RANDOM_SENTENCES, choice_source, pick_index
+
+CASES = [" a  b  ", "", "  "]
+EXPECTED = {
+    "java": [["", "a", "", "b"], [""], []],
+    "python": [["", "a", "", "b", "", ""], [""], ["", "", ""]],
+    "whitespace": [["a", "b"], [], []],
+}
+
+
+@pytest.mark.parametrize("rule", ["java", "python", "whitespace"])
+def test_split_rules(spark, rule):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(CASES)], "id long, t string")
+    got = [r["w"] for r in df.select("id", split_rule("t", rule).alias("w")).orderBy("id").collect()]
+    assert got == EXPECTED[rule]
+
+
+def test_split_java_keeps_trailing_newline_token(spark):
+    df = spark.createDataFrame([("a \n",), ("a\t b ",)], "t string")
+    got = [r["w"] for r in df.select(split_rule("t", "java").alias("w")).collect()]
+    assert got == [["a", "\n"], ["a\t", "b"]]
+
+
+def test_whitespace_rule_covers_all_ascii_space(spark):
+    df = spark.createDataFrame([("a\tb\nc\x0bd\fe\rf g",)], "t string")
+    assert df.select(split_rule("t", "whitespace").alias("w")).collect()[0]["w"] == list("abcdefg")
+
+
+def test_unknown_rule():
+    with pytest.raises(ValueError):
+        split_rule("t", "perl")
+
+
+def test_null_text_gives_no_tokens(spark):
+    df = spark.createDataFrame([(1, None), (2, "x y")], "id long, t string")
+    assert G.tokens(df, "t", "python", keep=("id",)).count() == 2
+
+
+def test_suffixes(spark):
+    df = spark.createDataFrame([("nathan",)], "w string")
+    twice = df.withColumn("w", suffix("w", EXCLAIM)).withColumn("w", suffix("w", EXCLAIM))
+    assert twice.collect()[0]["w"] == "nathan!!!!!!"
+    q = df.withColumn("w", suffix("w", QUESTION)).withColumn("w", suffix("w", QUESTION))
+    assert q.collect()[0]["w"] == "nathan??????"
+    req = spark.createDataFrame([(1, "hello"), (2, "goodbye")], "request_id long, args string")
+    got = {r[0]: r[1] for r in req.select("request_id", suffix("args", REQUEST_EXCLAIM)).collect()}
+    assert got == {1: "hello!", 2: "goodbye!"}
+    manual = spark.createDataFrame([(1, "aaa"), (2, "bbb")], "request_id long, args string")
+    got = {r[1]: r[0] for r in manual.select(suffix("args", EXCLAIM), "request_id").collect()}
+    assert got == {1: "aaa!!!", 2: "bbb!!!"}
+
+
+def test_choice_is_replayable_and_covers_vocab(spark):
+    ids = spark.range(2000).withColumnRenamed("id", "event_id")
+    a = choice_source(ids, "event_id", RANDOM_SENTENCES).collect()
+    b = choice_source(ids, "event_id", RANDOM_SENTENCES).collect()
+    assert a == b
+    counts = {}
+    for r in a:
+        counts[r["sentence"]] = counts.get(r["sentence"], 0) + 1
+    assert set(counts) == set(RANDOM_SENTENCES)
+    assert min(counts.values()) > 300
+
+
+def test_pick_index_never_overflows(spark):
+    df = spark.createDataFrame([(9223372036854775000,), (0,)], "id long")
+    got = [r[0] for r in df.select(pick_index("id", 5)).collect()]
+    assert all(0 <= g < 5 for g in got)
+
+
+def test_choice_empty_vocab():
+    with pytest.raises(ValueError):
+        pick_index("id", 0)

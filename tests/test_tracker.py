@@ -1,0 +1,45 @@
+"""Time since the N-th last modification, against the 22 goldens."""
+
+import datetime as dt
+import itertools
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidepool.operators import windows as W
+
+T0 = dt.datetime(2024, 1, 1)
+
+# N, seconds advanced before each mark, expected age right after each mark
+GOLDENS = [
+    (1, [0, 1], [0, 0]), (1, [0, 2], [0, 0]), (2, [2, 2], [2, 2]), (2, [0, 4], [0, 4]),
+    (1, [1] * 7, [0] * 7), (1, list(range(1, 8)), [0] * 7),
+    (2, [1] * 7, [1] * 7), (2, [2] * 7, [2] * 7), (2, list(range(1, 8)), [1, 2, 3, 4, 5, 6, 7]),
+    (3, [1] * 7, [1, 2, 2, 2, 2, 2, 2]), (3, list(range(1, 8)), [1, 3, 5, 7, 9, 11, 13]),
+    (3, [2] * 7, [2, 4, 4, 4, 4, 4, 4]),
+    (4, [1] * 7, [1, 2, 3, 3, 3, 3, 3]), (4, list(range(1, 8)), [1, 3, 6, 9, 12, 15, 18]),
+    (4, [2] * 7, [2, 4, 6, 6, 6, 6, 6]),
+    (5, [1] * 7, [1, 2, 3, 4, 4, 4, 4]), (5, list(range(1, 8)), [1, 3, 6, 10, 14, 18, 22]),
+    (5, [2] * 7, [2, 4, 6, 8, 8, 8, 8]),
+    (6, [1] * 7, [1, 2, 3, 4, 5, 5, 5]), (6, list(range(1, 8)), [1, 3, 6, 10, 15, 20, 25]),
+    (6, [2] * 7, [2, 4, 6, 8, 10, 10, 10]),
+    (3, [1, 2, 3], [1, 3, 5]),
+]
+
+
+@pytest.mark.parametrize("chunk_seconds", [1, 3, 86400])
+@pytest.mark.parametrize("n,adv,exp", GOLDENS)
+def test_tracker_goldens(spark, n, adv, exp, chunk_seconds):
+    times = list(itertools.accumulate(adv))
+    rows = [("k", i, T0 + dt.timedelta(seconds=t)) for i, t in enumerate(times)]
+    df = spark.createDataFrame(rows, "key string, seq long, ts timestamp_ntz")
+    out = W.nth_last_modified(df, "key", "ts", "seq", n, start_ts=F.lit(T0), chunk_seconds=chunk_seconds)
+    got = [r["seconds_since_oldest"] for r in out.orderBy("seq").collect()]
+    assert got == exp
+
+
+@pytest.mark.parametrize("n", [0, -1])
+def test_tracker_bounds(spark, n):
+    df = spark.createDataFrame([("k", 0, T0)], "key string, seq long, ts timestamp_ntz")
+    with pytest.raises(ValueError):
+        W.nth_last_modified(df, "key", "ts", "seq", n)

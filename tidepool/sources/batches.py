@@ -42,4 +42,5 @@ def cycled(df: DataFrame, cycles: int, out: str = "cycle") -> DataFrame:
     generator on each row -- no join."""
     if cycles < 1:
         raise ValueError("cycles must be >= 1")
-    return df.select("*", F.explode(F.sequence(F.lit(0), F.lit(cycles - 1))).cast("long").alias(out))
+    reps = F.sequence(F.lit(0).cast("long"), F.lit(cycles - 1).cast("long"))
+    return df.select("*", F.explode(reps).alias(out))
