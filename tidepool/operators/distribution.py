@@ -19,6 +19,16 @@ def spread(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(n)
 
 
+def spread_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over the cluster before CPU-heavy per-row work (tokenising
+    whole texts) when the input arrives in fewer partitions than there are
+    cores.  Each input partition holds at most ``maxPartitionBytes``, so this
+    extra round-robin shuffle moves at most ``cores x maxPartitionBytes``; a
+    large input already has enough partitions and is left untouched."""
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def by_fields(df: DataFrame, cols: Sequence[str], n: int | None = None) -> DataFrame:
     """H2 fields grouping: equal keys land in the same partition."""
     return df.repartition(n, *cols) if n else df.repartition(*cols)

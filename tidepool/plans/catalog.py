@@ -62,6 +62,12 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return table(spark, sf, name)
 
 
+def _texts(spark: SparkSession, sf: str, name: str = "documents") -> DataFrame:
+    """A text table, spread over the cores before whole-text tokenising when
+    the scan is narrower than the cluster (bounded extra shuffle)."""
+    return D.spread_narrow(table(spark, sf, name))
+
+
 # ------------------------------------------------------------ windows (W*)
 def rolling_top_words(spark, sf):
     ev = _t(spark, sf, "events")
@@ -121,7 +127,7 @@ def running_count(spark, sf):
 
 
 def _java_words(spark, sf, name="documents"):
-    return G.tokens(_t(spark, sf, name), "text", "java")
+    return G.tokens(_texts(spark, sf, name), "text", "java")
 
 
 def word_count(spark, sf):
@@ -131,24 +137,24 @@ def word_count(spark, sf):
 def merge_streams(spark, sf):
     docs = _t(spark, sf, "documents").select("text")
     conv = _t(spark, sf, "conversations").select("text")
-    merged = D.merge_streams([docs, conv], ["sentence"])
+    merged = D.spread_narrow(D.merge_streams([docs, conv], ["sentence"]))
     return C.word_count(G.tokens(merged, "sentence", "java"))
 
 
 def split_java(spark, sf):
-    return G.token_counts(_t(spark, sf, "documents"), "doc_id", "text", "java")
+    return G.token_counts(_texts(spark, sf), "doc_id", "text", "java")
 
 
 def split_python(spark, sf):
-    return G.token_counts(_t(spark, sf, "documents"), "doc_id", "text", "python")
+    return G.token_counts(_texts(spark, sf), "doc_id", "text", "python")
 
 
 def split_whitespace(spark, sf):
-    return G.token_counts(_t(spark, sf, "documents"), "doc_id", "text", "whitespace")
+    return G.token_counts(_texts(spark, sf), "doc_id", "text", "whitespace")
 
 
 def expand_list(spark, sf):
-    docs = _t(spark, sf, "documents").select("doc_id", F.split("text", "\n", -1).alias("lines"))
+    docs = _texts(spark, sf).select("doc_id", F.split("text", "\n", -1).alias("lines"))
     lines = G.expand_list(docs, "lines", "line")
     return lines.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"),
                                        F.sum(F.length("line")).cast("long").alias("line_chars"))
@@ -445,12 +451,12 @@ def route_streams(spark, sf):
 
 # ------------------------------------------------------------ UDF surface
 def udtf_split(spark, sf):
-    toks = U.udtf_tokens(_t(spark, sf, "documents"), "text", keep=("doc_id",))
+    toks = U.udtf_tokens(_texts(spark, sf), "text", keep=("doc_id",))
     return toks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"))
 
 
 def map_in_arrow_split(spark, sf):
-    return U.arrow_token_counts(_t(spark, sf, "documents"), "doc_id", "text")
+    return U.arrow_token_counts(_texts(spark, sf), "doc_id", "text")
 
 
 def udaf_combiner(spark, sf):
