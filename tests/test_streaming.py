@@ -171,3 +171,93 @@ def test_table_stream_reads_one_table(spark):
     s = table_stream(spark, SF, "events", max_files_per_trigger=1)
     run_available(s.select("event_id"), "tbl_stream", checkpoint=_ckpt())
     assert spark.sql("SELECT count(*) FROM tbl_stream").collect()[0][0] == spark.read.parquet(f"{SF}/events.parquet").count()
+
+
+def _signup_click_stream(spark):
+    """sf0.001 events plus a far-future signup and click of a sentinel user:
+    both filtered sides see it, so both watermarks pass every real row."""
+    d = tempfile.mkdtemp(prefix="tidepool-ev-")
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    ev.write.mode("overwrite").parquet(d)
+    far = dt.datetime(2100, 1, 1)
+    spark.createDataFrame([(-1, far, -1, "signup", 0.0, ""), (-2, far, -1, "click", 0.0, "")], ev.schema) \
+        .write.mode("append").parquet(d)
+    return spark.readStream.schema(ev.schema).parquet(d), ev
+
+
+def test_stream_join_and_expired_equal_batch(spark):
+    from tidepool.streaming.joins import stream_join_expired, stream_single_join
+    stream, ev = _signup_click_stream(spark)
+    st = event_time(stream)
+    a = st.filter("event_type = 'signup'").select("user_id", F.col("ts").alias("a_ts"))
+    b = st.filter("event_type = 'click'").select("user_id", F.col("ts").alias("b_ts"))
+    run_available(stream_single_join(a, b, ["user_id"], "a_ts", "b_ts", 1800, "1 hour"), "sj_stream",
+                  checkpoint=_ckpt())
+    run_available(stream_join_expired(a, b, ["user_id"], "a_ts", "b_ts", 1800, "1 hour"), "exp_stream",
+                  checkpoint=_ckpt())
+    ab = ev.filter("event_type = 'signup'").select("user_id", F.col("ts").alias("a_ts"))
+    bb = ev.filter("event_type = 'click'").select("user_id", F.col("ts").alias("b_ts"))
+    got_j = spark.sql("SELECT user_id, CAST(a_ts AS timestamp_ntz) a_ts, CAST(b_ts AS timestamp_ntz) b_ts "
+                      "FROM sj_stream WHERE user_id >= 0")
+    exp_j = J.interval_join(ab, bb, ["user_id"], "a_ts", "b_ts", 1800).select("user_id", "a_ts", "b_ts")
+    assert _as_rows(got_j) == _as_rows(exp_j)
+    got_e = spark.sql("SELECT user_id, CAST(a_ts AS timestamp_ntz) AS ts FROM exp_stream WHERE user_id >= 0")
+    exp_e = J.join_expired(ab, bb, ["user_id"], "a_ts", "b_ts", 1800, names=("a", "b")) \
+        .filter("side = 'a'").select("user_id", "ts")
+    assert _as_rows(got_e) == _as_rows(exp_e) and got_e.count() > 0
+
+
+def test_stream_uniqueness_guard(spark):
+    from tidepool.streaming.joins import guard_unique, unique_within_watermark
+    seen = []
+    body = guard_unique(["id"], lambda df, i: seen.append(df.count()))
+    body(spark.createDataFrame([(1, "a"), (2, "b")], "id long, word string"), 0)
+    assert seen == [2]
+    with pytest.raises(ValueError, match="same side"):
+        body(spark.createDataFrame([(1, "a"), (1, "b")], "id long, word string"), 1)
+    rows = [(1, dt.datetime(2024, 1, 1)), (1, dt.datetime(2024, 1, 1, 0, 1)), (2, dt.datetime(2024, 1, 1))]
+    d = _feeds([rows], pa.schema([("id", pa.int64()), ("ts", pa.timestamp("us"))]))
+    s = event_time(feed_stream(spark, d, "id long, ts timestamp_ntz"))
+    run_available(unique_within_watermark(s, ["id"], "ts", "1 hour"), "uniq_stream", checkpoint=_ckpt())
+    assert sorted(r[0] for r in spark.sql("SELECT id FROM uniq_stream").collect()) == [1, 2]
+
+
+def test_running_count_stream_with_ttl(spark):
+    batches = [[(i, f"w{i % 2}") for i in range(b * 4, b * 4 + 4)] for b in range(2)]
+    d = _feeds(batches, WORDS)
+    s = feed_stream(spark, d, "id long, word string")
+    q = (running_count_stream(s, "word", ["id"], ttl_ms=3_600_000).writeStream.format("memory")
+         .queryName("rc_ttl").option("checkpointLocation", _ckpt()).trigger(processingTime="1 second").start())
+    try:
+        deadline = time.time() + 90
+        while time.time() < deadline and spark.sql("SELECT count(*) FROM rc_ttl").collect()[0][0] < 8:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    got = {r["id"]: r["count"] for r in spark.sql("SELECT * FROM rc_ttl").collect()}
+    assert got == {0: 1, 1: 1, 2: 2, 3: 2, 4: 3, 5: 3, 6: 4, 7: 4}
+
+
+def test_merge_two_streams(spark):
+    from tidepool.operators.distribution import merge_streams
+    d1 = _feeds([[(1, "a b")]], pa.schema([("id", pa.int64()), ("sentence", pa.string())]))
+    d2 = _feeds([[(2, "c")]], pa.schema([("id", pa.int64()), ("word", pa.string())]))
+    s1 = feed_stream(spark, d1, "id long, sentence string").select("sentence")
+    s2 = feed_stream(spark, d2, "id long, word string").select("word")
+    run_available(merge_streams([s1, s2], ["sentence"]), "merged_stream", checkpoint=_ckpt())
+    assert sorted(r[0] for r in spark.sql("SELECT sentence FROM merged_stream").collect()) == ["a b", "c"]
+
+
+def test_choice_stream_from_rate_source(spark):
+    from tidepool.sources.choice import RANDOM_SENTENCES, choice_stream
+    s = choice_stream(spark, RANDOM_SENTENCES, rows_per_second=50)
+    q = (s.writeStream.format("memory").queryName("rate_choice").option("checkpointLocation", _ckpt())
+         .trigger(processingTime="1 second").start())
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and spark.sql("SELECT count(*) FROM rate_choice").collect()[0][0] < 20:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    rows = spark.sql("SELECT value, sentence FROM rate_choice").collect()
+    assert len(rows) >= 20 and all(r["sentence"] in RANDOM_SENTENCES for r in rows)

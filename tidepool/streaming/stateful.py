@@ -23,13 +23,18 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 class RunningCount(StatefulProcessor):
-    def __init__(self, order: Sequence[str], out: str, columns: Sequence[str]):
+    """One ``ValueState`` (the word's count so far) per key.  ``ttl_ms``
+    expires a word's count after that much processing time without updates
+    (T5: state expiry), so idle keys do not hold state forever."""
+
+    def __init__(self, order: Sequence[str], out: str, columns: Sequence[str], ttl_ms: int | None = None):
         self.order = list(order)
         self.out = out
         self.columns = list(columns)
+        self.ttl_ms = ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", StructType([StructField("c", LongType())]))
+        self.count = handle.getValueState("count", StructType([StructField("c", LongType())]), self.ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues):
         prev = self.count.get()[0] if self.count.exists() else 0
@@ -45,14 +50,19 @@ class RunningCount(StatefulProcessor):
         pass
 
 
-def running_count_stream(df: DataFrame, word: str, order: Sequence[str], out: str = "count") -> DataFrame:
+def running_count_stream(df: DataFrame, word: str, order: Sequence[str], out: str = "count",
+                         ttl_ms: int | None = None) -> DataFrame:
     """Streaming form of ``counts.running_count``: one output row per input row."""
     spark = df.sparkSession
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     cols = df.columns
     schema = StructType([*df.schema.fields, StructField(out, LongType())])
-    return df.groupBy(word).transformWithStateInPandas(RunningCount(order, out, cols), schema, "Append", "None")
+    # State TTL is measured in processing time and needs that time mode; such a
+    # query is meant to run on a processing-time trigger, not availableNow.
+    time_mode = "ProcessingTime" if ttl_ms else "None"
+    return df.groupBy(word).transformWithStateInPandas(RunningCount(order, out, cols, ttl_ms), schema,
+                                                       "Append", time_mode)
 
 
 def ranking_each_batch(output: BatchOutput, groups: Sequence[str], obj: str, count: str, n: int):
