@@ -91,3 +91,17 @@ def test_scan_prunes_columns(spark):
 def test_filters_pushed_to_scan(spark):
     plan = _plan(QUERIES["single_join_timeout"](spark, SF))
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,signup)" in plan
+
+
+@pytest.mark.parametrize("key", ["rolling_top_words", "rolling_count", "slot_counts", "slot_totals_excluding",
+                                 "nth_last_modified", "running_count", "topn_per_window", "single_join_timeout"])
+def test_time_keys_do_not_depend_on_session_zone(spark, duck, key):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = QUERIES[key](spark, SF)
+        srows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    rel = duck.sql(ORACLE[key])
+    assert _digest(df.columns, srows) == _digest(rel.columns, rel.fetchall())

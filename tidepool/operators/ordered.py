@@ -42,12 +42,14 @@ def id_chunk(col: str | Column, width: int) -> Column:
 
 
 def time_chunk(ts: str | Column, seconds: int) -> Column:
-    """Chunk of a timestamp (or timestamp_ntz) column: whole ``seconds`` buckets."""
+    """Chunk of a timestamp (or timestamp_ntz) column: whole ``seconds``
+    buckets.  Only monotonicity matters for a chunk, so the bucket may be
+    taken on either clock."""
     if seconds < 1:
         raise ValueError("chunk width must be >= 1 second")
     c = F.col(ts) if isinstance(ts, str) else ts
-    micros = F.unix_micros(c.cast("timestamp"))
-    return F.floor(micros / F.lit(seconds * 1_000_000)).cast("long")
+    us = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), c)
+    return F.floor(us / F.lit(seconds * 1_000_000)).cast("long")
 
 
 def _with_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:

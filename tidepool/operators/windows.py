@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.functions.timeops import elapsed_seconds, slot_start
+from tidepool.functions.timeops import elapsed_seconds, is_ntz, slot_start
 from tidepool.operators.guards import require_emit_seconds, require_slots, require_tracked, require_window_slots
 from tidepool.operators.ordered import running_lag, time_chunk
 
@@ -34,7 +34,7 @@ def slot_counts(df: DataFrame, obj: str, ts: str, slot_seconds: int,
     if watermark:
         g = d.groupBy(F.window(ts, _dur(slot_seconds)).alias("slot"), F.col(obj).alias("obj"))
         return g.agg(F.count(F.lit(1)).alias("count")).select("obj", F.col("slot.start").alias("slot_start"), "count")
-    return (d.groupBy(F.col(obj).alias("obj"), slot_start(ts, slot_seconds).alias("slot_start"))
+    return (d.groupBy(F.col(obj).alias("obj"), slot_start(ts, slot_seconds, is_ntz(df, ts)).alias("slot_start"))
             .agg(F.count(F.lit(1)).alias("count")))
 
 
@@ -127,8 +127,8 @@ def rolling_count(df: DataFrame, obj: str, ts: str, window_seconds: int, emit_se
     if stream_start is None:
         if df.isStreaming:
             raise ValueError("streaming input needs an explicit stream_start")
-        stream_start = df.agg(F.min(slot_start(ts, emit_seconds))).scalar()
-    covered = elapsed_seconds(F.col("window_end"), stream_start.cast("timestamp_ntz"))
+        stream_start = df.agg(F.min(slot_start(ts, emit_seconds, is_ntz(df, ts)))).scalar()
+    covered = elapsed_seconds(F.col("window_end"), stream_start.cast(df.schema[ts].dataType))
     actual = F.least(covered, F.lit(n * emit_seconds)).cast("int")
     return (counts.withColumn("actual_window_length_seconds", actual)
             .withColumn("is_partial_window", F.col("actual_window_length_seconds") != F.lit(window_seconds)))
