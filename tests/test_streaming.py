@@ -261,3 +261,21 @@ def test_choice_stream_from_rate_source(spark):
         q.stop()
     rows = spark.sql("SELECT value, sentence FROM rate_choice").collect()
     assert len(rows) >= 20 and all(r["sentence"] in RANDOM_SENTENCES for r in rows)
+
+
+def test_request_stream_against_latest_state(spark):
+    """J4 with streaming requests: a stream-static join on the newest version
+    of the word-count state table."""
+    from tidepool.operators import generators as G
+    from tidepool.operators.reach import lookup_sum
+    root = tempfile.mkdtemp(prefix="tidepool-state-")
+    store = VersionedStore(spark, f"{root}/wc", "key string, count long")
+    store.write(spark.createDataFrame([("the", 5), ("jumped", 1)], "key string, count long"), 0)
+    counts = store.latest().withColumnRenamed("key", "word")
+    d = _feeds([[(0, "cat the dog jumped"), (1, "zzz")]], pa.schema([("request_id", pa.int64()), ("args", pa.string())]))
+    req = feed_stream(spark, d, "request_id long, args string")
+    words = G.tokens(req, "args", "java", keep=("request_id",))
+    found, _ = lookup_sum(words, counts)
+    run_available(found, "found_stream", checkpoint=_ckpt())
+    got = sorted((r["request_id"], r["word"], r["count"]) for r in spark.sql("SELECT * FROM found_stream").collect())
+    assert got == [(0, "jumped", 1), (0, "the", 5)]

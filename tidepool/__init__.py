@@ -11,6 +11,14 @@ streaming  Structured Streaming bodies (file sources, versioned foreachBatch
 plans      the named queries on the driver tables and their SQL oracles
 """
 
-from tidepool.session import get_session, checkpoint_dir
+import sys
+
+from pyspark import cloudpickle
+
+# Python functions of this package (combiners, UDTFs, Arrow batch functions)
+# travel to the executors by value, so the workers need no install or path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+from tidepool.session import get_session, checkpoint_dir  # noqa: E402
 
 __all__ = ["get_session", "checkpoint_dir"]
