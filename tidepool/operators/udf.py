@@ -79,7 +79,6 @@ def combine_by_key(df: DataFrame, keys: Sequence[str], value: str, comb: Combine
     keys = list(keys)
     key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{key_schema}, {out} {out_type}"
-    arrow_schema = None
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc: dict[tuple, Any] = {}
@@ -103,7 +102,6 @@ def combine_by_key(df: DataFrame, keys: Sequence[str], value: str, comb: Combine
         cols[out] = pa.array([total])
         return pa.table(cols)
 
-    del arrow_schema
     partials = df.select(*keys, value).mapInArrow(fold, schema)
     return partials.groupBy(*keys).applyInArrow(final, schema)
 

@@ -11,6 +11,20 @@ import os
 from pyspark.sql import SparkSession
 
 
+def _driver_memory() -> str:
+    """Local mode runs everything in the driver JVM: give it about 60% of the
+    machine, at most 16 GB (``TIDEPOOL_DRIVER_MEMORY`` overrides)."""
+    if os.environ.get("TIDEPOOL_DRIVER_MEMORY"):
+        return os.environ["TIDEPOOL_DRIVER_MEMORY"]
+    try:
+        with open("/proc/meminfo") as fh:
+            kb = next(int(line.split()[1]) for line in fh if line.startswith("MemTotal:"))
+        mb = max(1024, min(16 * 1024, int(kb / 1024 * 0.6)))
+        return f"{mb}m"
+    except (OSError, StopIteration, ValueError):
+        return "4g"
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tidepool") -> SparkSession:
     master = master or os.environ.get("TIDEPOOL_MASTER", "local[8]")
@@ -26,7 +40,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("TIDEPOOL_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", _driver_memory())
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
