@@ -56,3 +56,17 @@ def test_global_running_total(spark):
 def test_bad_widths():
     with pytest.raises(ValueError):
         id_chunk("x", 0)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(seed=st.integers(0, 10_000), width=st.integers(1, 5), fanout=st.integers(2, 4), levels=st.integers(0, 3),
+       n=st.integers(0, 120))
+def test_multilevel_chunk_offsets(spark, seed, width, fanout, levels, n):
+    df = _data(spark, seed, n, ["a", None])
+    w = Window.partitionBy("k").orderBy("id")
+    exp = {r["id"]: r["s"] for r in df.select("id", F.sum("v").over(w).alias("s")).collect()}
+    got = running_total(df, ["k"], ["id"], id_chunk("id", width), "s", value="v",
+                        carry_levels=levels, fanout=fanout)
+    assert {r["id"]: r["s"] for r in got.collect()} == exp
+    glob = running_total(df, [], ["id"], id_chunk("id", width), "pos", carry_levels=levels, fanout=fanout)
+    assert sorted(r["pos"] for r in glob.collect()) == list(range(1, n + 1))

@@ -13,11 +13,11 @@ from tidepool.operators.ordered import id_chunk, running_total
 
 
 def running_count(df: DataFrame, word: str, order: Sequence[str], chunk: Column,
-                  out: str = "count") -> DataFrame:
+                  out: str = "count", carry_levels: int | None = None) -> DataFrame:
     """A1: for every row, how many rows of its word came up to and including
     it in ``order``.  ``chunk`` (a column that never decreases along
     ``order``) spreads a hot word over many tasks; see ``ordered``."""
-    return running_total(df, [word], order, chunk, out)
+    return running_total(df, [word], order, chunk, out, carry_levels=carry_levels)
 
 
 def word_count(df: DataFrame, word: str = "word", out: str = "count") -> DataFrame:

@@ -72,24 +72,75 @@ def _attach(per_row: DataFrame, carry: DataFrame, part: Sequence[str]) -> DataFr
     return per_row.join(carry, cols, "inner")
 
 
+# Chunks per group when the chunk offsets are themselves computed chunk-wise.
+CARRY_FANOUT = 4096
+# Most summary rows one task is asked to order.
+MAX_ORDERED_ROWS = 10_000_000
+
+
+def carry_levels_for(max_chunks: int, fanout: int = CARRY_FANOUT, max_rows: int = MAX_ORDERED_ROWS) -> int:
+    """Extra levels needed so that no task orders more than ``max_rows``
+    chunk rows of one key."""
+    levels, n = 0, max(int(max_chunks), 0)
+    while n > max_rows:
+        n = -(-n // fanout)
+        levels += 1
+    return levels
+
+
+def _row_bound(df: DataFrame) -> int:
+    """A plan-time estimate of the rows of ``df`` (Catalyst's size estimate
+    over an 8-byte minimum row); no job runs."""
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        return size // 8
+    except Exception:  # noqa: BLE001 -- no estimate: assume large
+        return 1 << 62
+
+
+def _chunk_offsets(summary: DataFrame, part: Sequence[str], levels: int, fanout: int) -> DataFrame:
+    """``(part, chunk, _tp_off)``: the total of all earlier chunks of the key.
+
+    With ``levels == 0`` one window orders all chunks of a key in one task.
+    Each extra level runs the same chunked running sum over the summary
+    itself (groups of ``fanout`` consecutive chunk ids), so the rows ordered
+    in one task shrink by ``fanout`` per level: id-chunked inputs (whose
+    number of chunks grows with the data) stay bounded at any size.
+    """
+    if levels <= 0:
+        w = Window.partitionBy(*part).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+        return summary.select(*part, _CHUNK, F.coalesce(F.sum("_tp_tot").over(w), F.lit(0)).alias("_tp_off"))
+    inner_keys = [f"_tp_p{i}" for i in range(len(part))]
+    s = summary.select(*[F.col(p).alias(q) for p, q in zip(part, inner_keys)],
+                       F.col(_CHUNK).alias("_tp_c"), F.col("_tp_tot").alias("_tp_t"))
+    inc = running_total(s, inner_keys, ["_tp_c"], id_chunk("_tp_c", fanout), "_tp_inc", value="_tp_t",
+                        carry_levels=levels - 1, fanout=fanout)
+    return inc.select(*[F.col(q).alias(p) for p, q in zip(part, inner_keys)], F.col("_tp_c").alias(_CHUNK),
+                      (F.col("_tp_inc") - F.col("_tp_t")).alias("_tp_off"))
+
+
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                  chunk: Column, out: str, value: str | Column | None = None) -> DataFrame:
+                  chunk: Column, out: str, value: str | Column | None = None,
+                  carry_levels: int | None = None, fanout: int = CARRY_FANOUT) -> DataFrame:
     """Add ``out`` = inclusive running count (``value`` None) or running sum of
     ``value`` per ``keys`` along ``order``.
 
     ``order`` must be a total order within a key (add a unique id as the last
-    column) so the result is deterministic.
+    column) so the result is deterministic.  ``carry_levels`` (see
+    ``_chunk_offsets``) defaults to what the input's estimated size needs
+    (0 for anything up to ``MAX_ORDERED_ROWS`` rows); pass 0 when the number
+    of chunks per key is bounded regardless of data size, e.g. time buckets
+    over a known span.
     """
+    if carry_levels is None:
+        carry_levels = carry_levels_for(_row_bound(df), fanout)
     v = F.lit(1).cast("long") if value is None else (F.col(value) if isinstance(value, str) else value)
     d, part = _with_key(df.withColumn(_CHUNK, chunk).withColumn("_tp_v", v), list(keys))
     w_in = (Window.partitionBy(*part, _CHUNK).orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     per_row = d.withColumn("_tp_local", F.sum("_tp_v").over(w_in))
     summary = d.groupBy(*part, _CHUNK).agg(F.sum("_tp_v").alias("_tp_tot"))
-    w_chunks = (Window.partitionBy(*part).orderBy(_CHUNK)
-                .rowsBetween(Window.unboundedPreceding, -1))
-    carry = summary.select(*part, _CHUNK,
-                           F.coalesce(F.sum("_tp_tot").over(w_chunks), F.lit(0)).alias("_tp_off"))
+    carry = _chunk_offsets(summary, part, carry_levels, fanout)
     res = _attach(per_row, carry, part)
     return (res.withColumn(out, (F.col("_tp_local") + F.col("_tp_off")).cast("long"))
             .drop("_tp_v", "_tp_local", "_tp_off", _CHUNK, *part))
