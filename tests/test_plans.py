@@ -71,15 +71,23 @@ def test_sliding_slots_expands_only_slot_rows(spark):
     assert plan.index("Expand") < plan.rindex("Aggregate")
 
 
-@pytest.mark.parametrize("key", ["running_count", "nth_last_modified", "src_fixed_batches", "global_count",
-                                 "count_changelog", "bucket_changelog"])
-def test_no_single_partition_exchange_over_rows(spark, key):
-    plan = QUERIES[key](spark, SF)._jdf.queryExecution().sparkPlan().toString()
-    assert "SinglePartition" not in plan or key in ("src_fixed_batches", "global_count")
-    # the global (key-less) forms may order the per-chunk summary in one task, never the rows:
-    for line in plan.splitlines():
-        if "SinglePartition" in line:
-            assert "_tp_tot" in plan
+@pytest.mark.parametrize("key", ["running_count", "src_partitioned_batches", "count_changelog",
+                                 "bucket_changelog", "batch_count"])
+def test_keyed_ordered_work_has_no_single_partition_exchange(spark, key):
+    plan = QUERIES[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+@pytest.mark.parametrize("key", ["src_fixed_batches", "global_count"])
+def test_global_order_only_gathers_the_chunk_summary(spark, key):
+    """A key-less running total orders the per-chunk summary (one row per
+    chunk) in one task, never the rows themselves."""
+    plan = QUERIES[key](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            below = "\n".join(lines[i + 1:i + 4])
+            assert "HashAggregate" in below and "_tp_tot" in below
 
 
 def test_scan_prunes_columns(spark):
