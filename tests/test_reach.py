@@ -7,11 +7,12 @@ from tidepool.operators import generators as G
 from tidepool.operators import reach as RE
 from tidepool.sources.choice import FIXED_BATCH_SENTENCES
 
-# The reference's example lookup tables.
+# The reference's example lookup tables (the three requested
+# pages are keyed by their path only; reach depends on the graph alone).
 TWEETERS = {
-    "foo.com/blog/1": ["sally", "bob", "tim", "george", "nathan"],
-    "engineering.twitter.com/blog/5": ["adam", "david", "sally", "nathan"],
-    "tech.backtype.com/blog/123": ["tim", "mike", "john"],
+    "blog/1": ["sally", "bob", "tim", "george", "nathan"],
+    "blog/5": ["adam", "david", "sally", "nathan"],
+    "blog/123": ["tim", "mike", "john"],
 }
 FOLLOWERS = {
     "sally": ["bob", "tim", "alice", "adam", "jim", "chris", "jai"],
