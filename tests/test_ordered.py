@@ -70,3 +70,15 @@ def test_multilevel_chunk_offsets(spark, seed, width, fanout, levels, n):
     assert {r["id"]: r["s"] for r in got.collect()} == exp
     glob = running_total(df, [], ["id"], id_chunk("id", width), "pos", carry_levels=levels, fanout=fanout)
     assert sorted(r["pos"] for r in glob.collect()) == list(range(1, n + 1))
+
+
+def test_hot_key_at_scale_matches_closed_form(spark):
+    """300k rows, a third of them on one key: the hot key's running count at
+    id is id // 3 + 1; every other key holds a few hundred rows."""
+    df = spark.range(300_000).select(
+        "id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), (F.col("id") % 997).cast("string"))).alias("k"))
+    out = running_total(df, ["k"], ["id"], id_chunk("id", 10_000), "c")
+    bad = out.filter((F.col("k") == "hot") & (F.col("c") != F.floor(F.col("id") / 3) + 1)).count()
+    assert bad == 0
+    assert out.filter(F.col("k") == "hot").agg(F.max("c")).collect()[0][0] == 100_000
+    assert out.count() == 300_000

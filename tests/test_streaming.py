@@ -279,3 +279,25 @@ def test_request_stream_against_latest_state(spark):
     run_available(found, "found_stream", checkpoint=_ckpt())
     got = sorted((r["request_id"], r["word"], r["count"]) for r in spark.sql("SELECT * FROM found_stream").collect())
     assert got == [(0, "jumped", 1), (0, "the", 5)]
+
+
+def test_slot_counts_stream_equals_batch(spark):
+    stream, ev = _events_with_sentinel(spark)
+    s = W.slot_counts(event_time(stream), "user_id", "ts", 86400, watermark="1 hour")
+    run_available(s, "slots_stream", checkpoint=_ckpt())
+    got = spark.sql("SELECT obj, CAST(slot_start AS timestamp_ntz) AS slot_start, count FROM slots_stream "
+                    "WHERE obj >= 0")
+    assert _as_rows(got) == _as_rows(W.slot_counts(ev, "user_id", "ts", 86400))
+
+
+def test_request_tables_and_results(spark):
+    from tidepool.sources.requests import requests_from, requests_stream, write_results
+    root = tempfile.mkdtemp(prefix="tidepool-req-")
+    cu = spark.createDataFrame([(7, "aaa"), (8, "bbb")], "c_custkey long, c_name string")
+    req = requests_from(cu, "c_custkey", "c_name")
+    res = req.select("request_id", F.concat("args", F.lit("!!!")).alias("result"))
+    write_results(res, f"{root}/out")
+    assert sorted(tuple(r) for r in spark.read.parquet(f"{root}/out").collect()) == [(7, "aaa!!!"), (8, "bbb!!!")]
+    req.write.parquet(f"{root}/in")
+    run_available(requests_stream(spark, f"{root}/in").select("request_id"), "req_stream", checkpoint=_ckpt())
+    assert sorted(r[0] for r in spark.sql("SELECT request_id FROM req_stream").collect()) == [7, 8]
