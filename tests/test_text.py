@@ -77,3 +77,12 @@ def test_pick_index_never_overflows(spark):
 def test_choice_empty_vocab():
     with pytest.raises(ValueError):
         pick_index("id", 0)
+
+
+def test_expand_list_drops_or_keeps_missing(spark):
+    df = spark.createDataFrame([(1, ["a", "b"]), (2, None), (3, [])], "id long, l array<string>")
+    assert sorted((r["id"], r["x"]) for r in G.expand_list(df, "l", "x").collect()) == [(1, "a"), (1, "b")]
+    kept = sorted(((r["id"], r["x"]) for r in G.expand_list(df, "l", "x", keep_empty=True).collect()), key=str)
+    assert kept == [(1, "a"), (1, "b"), (2, None), (3, None)]
+    pos = sorted(tuple(r) for r in G.expand_list(df, "l", "x", position="p").collect())
+    assert pos == [(1, 0, "a"), (1, 1, "b")]

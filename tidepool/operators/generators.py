@@ -17,14 +17,20 @@ def tokens(df: DataFrame, text: str, rule: str = "python", out: str = "word",
 
 def token_counts(df: DataFrame, id_col: str, text: str, rule: str = "python",
                  out: str = "n_tokens") -> DataFrame:
-    """Tokens per row without materialising them: ``size`` of the split."""
-    return df.select(id_col, F.size(split_rule(text, rule)).cast("long").alias(out))
+    """Tokens per row without materialising them: ``size`` of the split
+    (null for a null text, whatever ``sizeOfNull`` says)."""
+    n = F.when(F.col(text).isNull(), F.lit(None)).otherwise(F.size(split_rule(text, rule)))
+    return df.select(id_col, n.cast("long").alias(out))
 
 
-def expand_list(df: DataFrame, list_col: str, out: str, position: str | None = None) -> DataFrame:
+def expand_list(df: DataFrame, list_col: str, out: str, position: str | None = None,
+                keep_empty: bool = False) -> DataFrame:
     """One row per element of an array column; a null or empty list gives
-    no rows (use ``explode_outer`` semantics via ``keep_empty`` elsewhere)."""
+    no rows.  ``keep_empty`` keeps such a row once, with a null element
+    (P14: when the request row must survive a lookup miss)."""
     others = [c for c in df.columns if c != list_col]
     if position:
-        return df.select(*others, F.posexplode(list_col).alias(position, out))
-    return df.select(*others, F.explode(list_col).alias(out))
+        gen = F.posexplode_outer(list_col) if keep_empty else F.posexplode(list_col)
+        return df.select(*others, gen.alias(position, out))
+    gen = F.explode_outer(list_col) if keep_empty else F.explode(list_col)
+    return df.select(*others, gen.alias(out))

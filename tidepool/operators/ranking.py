@@ -68,8 +68,9 @@ def rank_two_phase(df: DataFrame, obj: str, count: str, n: int = 10, buckets: in
 def latest_counts(df: DataFrame, obj: str, count: str, seq: str,
                   carry: Sequence[str] = ()) -> DataFrame:
     """R2: upsert by object -- the count with the highest ``seq`` replaces all
-    earlier ones, even when it is lower.  Partial ``max_by`` aggregation, so
-    a hot object costs one row per map task."""
+    earlier ones, even when it is lower.  ``seq`` must be unique per object
+    (arrival order), otherwise the survivor among ties is arbitrary.
+    Partial ``max_by`` aggregation, so a hot object costs one row per map task."""
     cols = [count, *carry]
     latest = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(seq)).alias("_tp_latest")
     agg = df.groupBy(obj).agg(latest)
