@@ -34,12 +34,23 @@ def graph(spark):
     return req, hop1, hop2
 
 
+@pytest.mark.parametrize("bound", [None, 100])
 @pytest.mark.parametrize("method", ["distinct", "uniquer", "group_one"])
-def test_reach_example(spark, graph, method):
-    out = {r["request_id"]: r["reach"] for r in RE.reach(*graph, method=method).collect()}
+def test_reach_example(spark, graph, method, bound):
+    out = {r["request_id"]: r["reach"] for r in RE.reach(*graph, method=method, rows_bound=bound).collect()}
     assert out == {0: 16, 1: 14, 2: 7, 3: 0, 4: 0}
 
 
+def test_reach_plans_agree_on_driver_tables(spark):
+    from tidepool.plans import catalog as Q
+    req, h1, h2, bound = Q._reach_inputs(spark, "/root/testdata/sf0.001")
+    a = RE.reach(req, h1, h2)
+    b = RE.reach(req, h1, h2, rows_bound=bound)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    plan = b._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" in plan
+
+
 def test_reach_approx_close(spark, graph):
     out = {r["request_id"]: r["reach"] for r in RE.reach(*graph, method="approx").collect()}
     assert abs(out[0] - 16) <= 1 and out[3] == 0
