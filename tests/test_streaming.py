@@ -301,3 +301,18 @@ def test_request_tables_and_results(spark):
     req.write.parquet(f"{root}/in")
     run_available(requests_stream(spark, f"{root}/in").select("request_id"), "req_stream", checkpoint=_ckpt())
     assert sorted(r[0] for r in spark.sql("SELECT request_id FROM req_stream").collect()) == [7, 8]
+
+
+def test_keyed_changelog_in_state_store(spark):
+    from tidepool.streaming.stateful import keyed_changelog_stream
+    root = tempfile.mkdtemp(prefix="tidepool-kc-")
+    out = BatchOutput(spark, root)
+    d = _feeds(_transactional_batches(), WORDS)
+    s = keyed_changelog_stream(feed_stream(spark, d, "id long, word string"), "word")
+    run_foreach_batch(s, "kc_stream", lambda df, i: out.write(df, i), checkpoint=_ckpt())
+    got = {(r["batch_id"], r["word"]): (r["prev_count"], r["count"]) for r in out.read().collect()}
+    assert got == {
+        (0, "apple"): (None, 1), (0, "cat"): (None, 5), (0, "chicken"): (None, 1), (0, "dog"): (None, 2),
+        (1, "apple"): (1, 2), (1, "banana"): (None, 1), (1, "cat"): (5, 8), (1, "dog"): (2, 4),
+        (2, "dog"): (4, 7),
+    }
