@@ -6,7 +6,6 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidepool.operators import counts as C
-from tidepool.operators import generators as G
 from tidepool.operators.ordered import id_chunk
 from tidepool.plans import streams as P
 from tidepool.sources.choice import FIXED_BATCH_SENTENCES
