@@ -25,8 +25,12 @@ def spread_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame
     cores.  Each input partition holds at most ``maxPartitionBytes``, so this
     extra round-robin shuffle moves at most ``cores x maxPartitionBytes``; a
     large input already has enough partitions and is left untouched."""
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- e.g. a Connect session: no partition count, leave as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def by_fields(df: DataFrame, cols: Sequence[str], n: int | None = None) -> DataFrame:
