@@ -95,3 +95,11 @@ def test_group_one_and_histogram(spark):
     assert sorted(tuple(r) for r in C.group_one(df, ["k", "v"]).collect()) == [("a", 1, 1), ("b", 2, 1)]
     words = spark.createDataFrame([("x",)] * 12 + [("y",)] * 3, "word string")
     assert sorted(tuple(r) for r in C.count_histogram(words, "word").collect()) == [(0, 1), (1, 1)]
+
+
+def test_materialize_round_trip(spark):
+    from tidepool.operators.stage import materialize
+    df = spark.range(50).withColumnRenamed("id", "x")
+    m = materialize(df, "roundtrip")
+    assert sorted(r[0] for r in m.collect()) == list(range(50))
+    assert "InMemoryFileIndex" in m._jdf.queryExecution().executedPlan().toString() or m.inputFiles()
