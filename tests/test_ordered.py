@@ -82,3 +82,20 @@ def test_hot_key_at_scale_matches_closed_form(spark):
     assert bad == 0
     assert out.filter(F.col("k") == "hot").agg(F.max("c")).collect()[0][0] == 100_000
     assert out.count() == 300_000
+
+
+def test_time_chunk_for_adapts_and_stays_exact(spark):
+    import datetime as dt
+
+    from tidepool.operators.ordered import time_chunk_for
+    base = dt.datetime(2024, 1, 1)
+    rows = [(i, "hot" if i % 2 else f"k{i % 5}", base + dt.timedelta(seconds=i * 37 % 86400)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, k string, ts timestamp_ntz")
+    w = Window.partitionBy("k").orderBy("ts", "id")
+    exp = {r["id"]: r["c"] for r in df.select("id", F.row_number().over(w).alias("c")).collect()}
+    for target in (50, 3000):
+        chunk = time_chunk_for(df, "ts", target)
+        n_chunks = df.select(chunk.alias("c")).distinct().count()
+        assert (n_chunks > 20) if target == 50 else (n_chunks <= 2)
+        got = {r["id"]: r["c"] for r in running_total(df, ["k"], ["ts", "id"], chunk, "c").collect()}
+        assert got == exp

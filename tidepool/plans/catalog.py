@@ -26,7 +26,7 @@ from tidepool.operators import ranking as R
 from tidepool.operators import reach as RE
 from tidepool.operators import udf as U
 from tidepool.operators import windows as W
-from tidepool.operators.ordered import id_chunk, time_chunk
+from tidepool.operators.ordered import id_chunk, time_chunk_for
 from tidepool.operators.stage import materialize
 from tidepool.sources.batches import with_batch_id, with_partitioned_batch_id
 from tidepool.sources.choice import PARAMETERIZED_EXAMPLE, RANDOM_SENTENCES, choice_source
@@ -56,7 +56,7 @@ PARTITIONS = 3
 PARTITION_TAKE = 100
 JOIN_TIMEOUT = DAY
 ID_CHUNK = 4096                    # rows of the id order per chunk
-TIME_CHUNK = DAY                   # seconds of the time order per chunk
+TIME_CHUNK_ROWS = 4096             # average rows (all keys) per time chunk
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -117,15 +117,16 @@ def slot_totals_nonzero(spark, sf):
 
 def nth_last_modified(spark, sf):
     ev = _t(spark, sf, "events").select("event_id", "user_id", "ts")
-    return W.nth_last_modified(ev, "user_id", "ts", "event_id", TRACKED_MARKS, chunk_seconds=TIME_CHUNK)
+    return W.nth_last_modified(ev, "user_id", "ts", "event_id", TRACKED_MARKS,
+                               chunk=time_chunk_for(ev, "ts", TIME_CHUNK_ROWS))
 
 
 # ------------------------------------------------------- counts and text
 def running_count(spark, sf):
     ev = _t(spark, sf, "events").select("event_id", "ts", F.col("event_type").alias("word"))
-    # Day chunks: their number per word is bounded by the time span, not the
-    # data volume, so the chunk offsets need no further level.
-    out = C.running_count(ev, "word", ["ts", "event_id"], time_chunk("ts", TIME_CHUNK), carry_levels=0)
+    # Chunk width from the data: a hot word is split more finely as it grows;
+    # the carry levels follow the input size.
+    out = C.running_count(ev, "word", ["ts", "event_id"], time_chunk_for(ev, "ts", TIME_CHUNK_ROWS))
     return out.select("event_id", "word", "count")
 
 
