@@ -113,3 +113,28 @@ def test_time_keys_do_not_depend_on_session_zone(spark, duck, key):
         spark.conf.set("spark.sql.session.timeZone", old)
     rel = duck.sql(ORACLE[key])
     assert _digest(df.columns, srows) == _digest(rel.columns, rel.fetchall())
+
+
+def test_building_queries_pulls_at_most_scalars_to_the_driver(spark, monkeypatch):
+    """No query collects data while it is built: the only driver-side reads
+    are one-row statistics (a time span, a row count)."""
+    from pyspark.sql import DataFrame
+
+    pulled = []
+    real_collect = DataFrame.collect
+
+    def watched_collect(self):
+        rows = real_collect(self)
+        pulled.append(len(rows))
+        return rows
+
+    def forbidden(self, *a, **k):
+        raise AssertionError("query construction must not pull a table to the driver")
+
+    monkeypatch.setattr(DataFrame, "collect", watched_collect)
+    monkeypatch.setattr(DataFrame, "toPandas", forbidden)
+    monkeypatch.setattr(DataFrame, "toLocalIterator", forbidden)
+    for key, fn in QUERIES.items():
+        pulled.clear()
+        fn(spark, SF)
+        assert all(n <= 1 for n in pulled), (key, pulled)
