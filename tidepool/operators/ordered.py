@@ -12,7 +12,9 @@ that never decreases along the order (a time bucket, ``id div width``,
 2. compute one summary row per ``(key, chunk)`` with a partial (map-side)
    aggregate, so only the small summary is shuffled;
 3. carry what earlier chunks contribute (a running offset for counts and
-   sums, the last ``k`` values for a lag) with a window over the summary;
+   sums, the last ``k`` values for a lag) with a window over the summary --
+   for a summary too large for one task, the offsets are themselves
+   computed chunk-wise (``_chunk_offsets``);
 4. join the small carry table back on ``(key, chunk)``; the per-row side is
    already hash-partitioned on those columns by step 1, so it is not
    shuffled again (AQE turns the join into a broadcast when the summary is
