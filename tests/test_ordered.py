@@ -99,3 +99,12 @@ def test_time_chunk_for_adapts_and_stays_exact(spark):
         assert (n_chunks > 20) if target == 50 else (n_chunks <= 2)
         got = {r["id"]: r["c"] for r in running_total(df, ["k"], ["ts", "id"], chunk, "c").collect()}
         assert got == exp
+
+
+def test_time_chunk_for_caps_the_chunk_count(spark):
+    import datetime as dt
+
+    from tidepool.operators.ordered import time_chunk_for
+    base = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(i, base + dt.timedelta(seconds=i)) for i in range(5000)], "id long, ts timestamp_ntz")
+    assert df.select(time_chunk_for(df, "ts", 1, max_chunks=10).alias("c")).distinct().count() <= 11

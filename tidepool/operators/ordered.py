@@ -54,18 +54,25 @@ def time_chunk(ts: str | Column, seconds: int) -> Column:
     return F.floor(us / F.lit(seconds * 1_000_000)).cast("long")
 
 
-def time_chunk_for(df: DataFrame, ts: str, rows_per_chunk: int) -> Column:
-    """``time_chunk`` whose width gives a chunk about ``rows_per_chunk`` rows
-    (over all keys) on average, so a hot key is split more finely as the data
-    grows.  Costs one small aggregate over the time column (min, max, count);
-    only three values reach the driver."""
-    if rows_per_chunk < 1:
-        raise ValueError("rows_per_chunk must be >= 1")
+# Most chunks one key's order is cut into by ``time_chunk_for``.
+MAX_TIME_CHUNKS = 100_000
+
+
+def time_chunk_for(df: DataFrame, ts: str, rows_per_chunk: int, max_chunks: int = MAX_TIME_CHUNKS) -> Column:
+    """``time_chunk`` sized from the data: about ``rows_per_chunk`` rows (over
+    all keys) per chunk on average, but never more than ``max_chunks`` chunks
+    over the span.  A hot key is split more finely as the data grows, while
+    the per-key chunk summaries (the carry windows) stay bounded.  Costs one
+    small aggregate over the time column (min, max, count); only three values
+    reach the driver."""
+    if rows_per_chunk < 1 or max_chunks < 1:
+        raise ValueError("rows_per_chunk and max_chunks must be >= 1")
     lo, hi, n = df.agg(F.min(ts), F.max(ts), F.count(F.lit(1))).first()
     if not n or lo is None:
         return time_chunk(ts, 86400)
     span = max((hi - lo).total_seconds(), 1.0)
-    return time_chunk(ts, max(1, int(span * rows_per_chunk / n)))
+    per_chunk = max(rows_per_chunk, n / max_chunks)
+    return time_chunk(ts, max(1, int(span * per_chunk / n)))
 
 
 def _with_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
