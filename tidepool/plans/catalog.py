@@ -125,8 +125,9 @@ def nth_last_modified(spark, sf):
 def running_count(spark, sf):
     ev = _t(spark, sf, "events").select("event_id", "ts", F.col("event_type").alias("word"))
     # Chunk width from the data: a hot word is split more finely as it grows;
-    # the carry levels follow the input size.
-    out = C.running_count(ev, "word", ["ts", "event_id"], time_chunk_for(ev, "ts", TIME_CHUNK_ROWS))
+    # at most MAX_TIME_CHUNKS chunks per word, so one carry level suffices.
+    out = C.running_count(ev, "word", ["ts", "event_id"], time_chunk_for(ev, "ts", TIME_CHUNK_ROWS),
+                          carry_levels=0)
     return out.select("event_id", "word", "count")
 
 
