@@ -43,3 +43,19 @@ def test_tracker_bounds(spark, n):
     df = spark.createDataFrame([("k", 0, T0)], "key string, seq long, ts timestamp_ntz")
     with pytest.raises(ValueError):
         W.nth_last_modified(df, "key", "ts", "seq", n)
+
+
+@pytest.mark.parametrize("seconds", [0, 1, 2, 3, 4, 5, 8, 10])
+def test_not_yet_marked_age_is_time_since_start(spark, seconds):
+    """Read before any mark: the ring still holds the start time."""
+    df = spark.createDataFrame([("k", 0, T0 + dt.timedelta(seconds=seconds))], "key string, seq long, ts timestamp_ntz")
+    out = W.nth_last_modified(df, "key", "ts", "seq", 3, start_ts=F.lit(T0), before_mark=True)
+    assert out.collect()[0]["seconds_since_oldest"] == seconds
+
+
+def test_before_mark_reads_previous_n_marks(spark):
+    # ticks every 3 s, n = 3, read before marking: the rolling window lengths 3, 6, 9, 9, 9
+    rows = [("k", i, T0 + dt.timedelta(seconds=3 * (i + 1))) for i in range(5)]
+    df = spark.createDataFrame(rows, "key string, seq long, ts timestamp_ntz")
+    out = W.nth_last_modified(df, "key", "ts", "seq", 3, start_ts=F.lit(T0), before_mark=True, chunk_seconds=4)
+    assert [r["seconds_since_oldest"] for r in out.orderBy("seq").collect()] == [3, 6, 9, 9, 9]

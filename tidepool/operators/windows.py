@@ -137,19 +137,23 @@ def rolling_count(df: DataFrame, obj: str, ts: str, window_seconds: int, emit_se
 # ------------------------------------------------- time since n-th last mark
 def nth_last_modified(df: DataFrame, key: str, ts: str, tiebreak: str, n: int,
                       start_ts: Column | None = None, chunk_seconds: int = 86400,
-                      out: str = "seconds_since_oldest", chunk: Column | None = None) -> DataFrame:
+                      out: str = "seconds_since_oldest", chunk: Column | None = None,
+                      before_mark: bool = False) -> DataFrame:
     """For every mark (row) of a key, the whole seconds between it and the
     oldest of the key's last ``n`` marks, the ring being pre-filled with the
     start time.  That oldest mark is ``lag(ts, n - 1)`` in ``(ts, tiebreak)``
     order, or ``start_ts`` (default: the first mark of the input) when the
-    key has fewer marks.  Hot keys are chunked by ``chunk_seconds`` (or an
-    explicit ``chunk`` column, e.g. ``ordered.time_chunk_for``).
+    key has fewer marks.  ``before_mark`` reads the age before the row's own
+    mark is made, as the rolling counter does at each tick: the oldest of the
+    previous ``n`` marks, ``lag(ts, n)``.  Hot keys are chunked by
+    ``chunk_seconds`` (or an explicit ``chunk`` column, e.g.
+    ``ordered.time_chunk_for``).
     """
     require_tracked(n)
     if start_ts is None:
         start_ts = df.agg(F.min(ts)).scalar()
     chunk = chunk if chunk is not None else time_chunk(ts, chunk_seconds)
-    lagged = running_lag(df, [key], [ts, tiebreak], chunk, ts, n - 1, "_tp_oldest")
+    lagged = running_lag(df, [key], [ts, tiebreak], chunk, ts, n if before_mark else n - 1, "_tp_oldest")
     oldest = F.coalesce(F.col("_tp_oldest"), start_ts.cast(df.schema[ts].dataType))
     return lagged.withColumn(out, elapsed_seconds(F.col(ts), oldest)).drop("_tp_oldest")
 
