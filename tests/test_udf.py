@@ -32,3 +32,12 @@ def test_batch_aggregate(spark):
     df = spark.createDataFrame([(0, 1), (0, 2), (1, 3)], "batch_id long, v long")
     got = {r["batch_id"]: r["value"] for r in U.batch_aggregate(df, "batch_id", "v", U.count_rows).collect()}
     assert got == {0: 2, 1: 1}
+
+
+def test_combine_all_uses_zero(spark):
+    empty = spark.createDataFrame([], "v long")
+    assert U.combine_all(empty, "v", U.COUNT).collect()[0]["value"] == 0
+    assert U.combine_all(empty, "v", U.ONE).collect()[0]["value"] == 1
+    df = spark.createDataFrame([(i,) for i in range(10)], "v long").repartition(3)
+    assert U.combine_all(df, "v", U.SUM).collect()[0]["value"] == 45
+    assert U.combine_all(df, "v", U.COUNT).collect()[0]["value"] == 10

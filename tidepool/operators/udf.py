@@ -19,6 +19,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 # ------------------------------------------------------------- X1: row -> rows
@@ -79,6 +81,7 @@ def combine_by_key(df: DataFrame, keys: Sequence[str], value: str, comb: Combine
     keys = list(keys)
     key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
     schema = f"{key_schema}, {out} {out_type}"
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         acc: dict[tuple, Any] = {}
@@ -89,23 +92,46 @@ def combine_by_key(df: DataFrame, keys: Sequence[str], value: str, comb: Combine
                 acc[k] = comb.combine(acc[k], v) if k in acc else v
         if acc:
             ks = list(acc.keys())
-            arrays = {keys[i]: [k[i] for k in ks] for i in range(len(keys))}
-            arrays[out] = list(acc.values())
-            yield pa.RecordBatch.from_pandas(pd.DataFrame(arrays), preserve_index=False)
+            arrays = [pa.array([k[i] for k in ks], type=arrow.field(i).type) for i in range(len(keys))]
+            arrays.append(pa.array(list(acc.values()), type=arrow.field(len(keys)).type))
+            yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     def final(table: pa.Table) -> pa.Table:
         parts = table.column(out).to_pylist()
         total = parts[0]
         for p in parts[1:]:
             total = comb.combine(total, p)
-        cols = {k: table.column(k).slice(0, 1) for k in keys}
-        cols[out] = pa.array([total])
-        return pa.table(cols)
+        cols = [table.column(k).slice(0, 1) for k in keys]
+        cols.append(pa.array([total], type=arrow.field(len(keys)).type))
+        return pa.Table.from_arrays(cols, schema=arrow)
 
     partials = df.select(*keys, value).mapInArrow(fold, schema)
     return partials.groupBy(*keys).applyInArrow(final, schema)
 
 
+def combine_all(df: DataFrame, value: str, comb: Combiner, out: str = "value",
+                out_type: str = "bigint") -> DataFrame:
+    """Global aggregate with a user combiner: one row, ``comb.zero`` over no
+    rows.  Each partition folds to one partial; the partials (at most one per
+    partition) and the zero -- the identity of ``combine`` -- are combined in
+    one task."""
+    keyed = df.select(F.lit(0).alias("_tp_g"), value)
+    partials = combine_by_key(keyed, ["_tp_g"], value, comb, out="_tp_p", out_type=out_type)
+    zero = df.sparkSession.createDataFrame([(0, comb.zero)], f"_tp_g int, _tp_p {out_type}")
+    both = partials.unionByName(zero)
+
+    out_arrow = to_arrow_schema(StructType.fromDDL(f"{out} {out_type}"))
+
+    def final(table: pa.Table) -> pa.Table:
+        parts = table.column("_tp_p").to_pylist()
+        total = parts[0]
+        for p in parts[1:]:
+            total = comb.combine(total, p)
+        return pa.Table.from_arrays([pa.array([total], type=out_arrow.field(0).type)], schema=out_arrow)
+
+    return both.groupBy("_tp_g").applyInArrow(final, f"{out} {out_type}")
+
+
 # ------------------------------------------------- X4: per-batch aggregates
 def batch_aggregate(df: DataFrame, batch_col: str, value: str, fn: Callable[[pd.Series], Any],
                     out: str = "value", out_type: str = "bigint") -> DataFrame:
