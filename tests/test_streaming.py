@@ -316,3 +316,12 @@ def test_keyed_changelog_in_state_store(spark):
         (1, "apple"): (1, 2), (1, "banana"): (None, 1), (1, "cat"): (5, 8), (1, "dog"): (2, 4),
         (2, "dog"): (4, 7),
     }
+
+
+def test_sliding_direct_stream_equals_batch(spark):
+    stream, ev = _events_with_sentinel(spark)
+    s = W.sliding_count(event_time(stream), "event_type", "ts", 4 * 3600, 3600, watermark="1 hour")
+    run_available(s, "w4_stream", checkpoint=_ckpt())
+    got = spark.sql("SELECT CAST(window_start AS timestamp_ntz) window_start, CAST(window_end AS timestamp_ntz) "
+                    "window_end, obj, count FROM w4_stream WHERE obj <> '__sentinel__'")
+    assert _as_rows(got) == _as_rows(W.sliding_count(ev, "event_type", "ts", 4 * 3600, 3600))
