@@ -4,7 +4,8 @@ Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
 *whole* tables it reads.  Conventions (see SURVEY §7.3):
 
 * events as a word stream: word := ``event_type``, actor := ``user_id``,
-  time := ``ts`` (``timestamp_ntz``; the session time zone is UTC);
+  time := ``ts`` (``timestamp_ntz``; slot arithmetic does not depend on
+  the session time zone);
 * counts are ``bigint``; ranks are ``int``; ties rank by object ascending;
 * every computed column is aliased to the name its SQL oracle uses.
 """
