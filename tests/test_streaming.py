@@ -325,3 +325,10 @@ def test_sliding_direct_stream_equals_batch(spark):
     got = spark.sql("SELECT CAST(window_start AS timestamp_ntz) window_start, CAST(window_end AS timestamp_ntz) "
                     "window_end, obj, count FROM w4_stream WHERE obj <> '__sentinel__'")
     assert _as_rows(got) == _as_rows(W.sliding_count(ev, "event_type", "ts", 4 * 3600, 3600))
+
+
+def test_console_sink_runs(spark, capfd):
+    d = _feeds([[(1, "hello")]], WORDS)
+    q = run_available(feed_stream(spark, d, "id long, word string"), "console_stream", sink="console",
+                      checkpoint=_ckpt())
+    assert q.lastProgress is not None and q.lastProgress["numInputRows"] == 1
