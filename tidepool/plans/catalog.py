@@ -28,7 +28,6 @@ from tidepool.operators import reach as RE
 from tidepool.operators import udf as U
 from tidepool.operators import windows as W
 from tidepool.operators.ordered import id_chunk, time_chunk_for
-from tidepool.operators.stage import materialize
 from tidepool.sources.batches import with_batch_id, with_partitioned_batch_id
 from tidepool.sources.choice import PARAMETERIZED_EXAMPLE, RANDOM_SENTENCES, choice_source
 from tidepool.sources.requests import requests_from
@@ -429,10 +428,10 @@ def bucket_deltas(spark, sf):
 
 
 def bucket_changelog(spark, sf):
-    # The running sum over buckets reads its input twice; the keyed changelog
-    # under it is written once to the shared folder instead of recomputing
-    # the batch ids and the changelog for each branch.
-    return CL.bucket_changelog(CL.bucket_deltas(materialize(_changelog(spark, sf), "changelog")))
+    # The branches of the chained running sums share identical exchanges,
+    # which adaptive execution reuses: events are scanned by two stages only
+    # (checked in the event log), so nothing needs materialising here.
+    return CL.bucket_changelog(CL.bucket_deltas(_changelog(spark, sf)))
 
 
 def count_histogram(spark, sf):

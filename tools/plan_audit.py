@@ -30,7 +30,8 @@ def main() -> None:
              "plan; *scans* counts parquet scans.  `SinglePartition` only ever gathers one-row aggregates or",
              "the per-chunk summary of a key-less running total (asserted in `tests/test_plans.py`).",
              "At this scale the reach keys take their co-located plan (hop 2 broadcast behind the line-item",
-             "row bound) and `bucket_changelog` reads its materialised changelog.", "",
+             "row bound).  Scans are counted in the initial plan; adaptive execution reuses identical",
+             "exchanges, so a chained key like `bucket_changelog` runs two scan stages (event log).", "",
              "| Key | Exchanges | Scans | Notable operators |", "| --- | --- | --- | --- |"]
     for key, fn in QUERIES.items():
         plan = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
