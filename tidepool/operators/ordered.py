@@ -177,7 +177,9 @@ def running_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     Rows in the first ``k`` positions of a chunk read from the last ``k``
     values of the preceding chunks; since every chunk holds at least one
     row, the ``k`` preceding chunks always suffice.  All carried lists hold
-    at most ``k`` values per chunk, ``k`` a small operator parameter.
+    at most ``k`` values per chunk, ``k`` a small operator parameter.  The
+    carry window orders a key's chunks in one task, so use a chunking with a
+    bounded number of chunks per key (``time_chunk_for`` caps it).
     """
     if k < 0:
         raise ValueError("lag offset must be >= 0")
