@@ -103,3 +103,17 @@ def test_single_join_job(spark):
                       checkpoint=_ckpt())
     got = sorted((r["age"], r["gender"]) for r in spark.sql("SELECT * FROM sj_job").collect())
     assert got == [(20 + i, "male" if i % 2 == 0 else "female") for i in range(10)]
+
+
+def test_reach_requests_stream(spark):
+    from test_reach import FOLLOWERS, TWEETERS
+    hop1 = spark.createDataFrame([(u, t) for u, ts in TWEETERS.items() for t in ts], "url string, tweeter string")
+    hop2 = spark.createDataFrame([(t, f) for t, fs in FOLLOWERS.items() for f in fs], "tweeter string, follower string")
+    urls = list(TWEETERS)
+    d = _feeds([[(0, urls[0]), (1, urls[1])], [(2, urls[2]), (3, "unknown")]],
+               pa.schema([("request_id", pa.int64()), ("url", pa.string())]))
+    out = BatchOutput(spark, tempfile.mkdtemp(prefix="tidepool-reach-"))
+    P.reach_requests_job(feed_stream(spark, d, "request_id long, url string"), hop1, hop2, out, "reach_stream",
+                         checkpoint=_ckpt())
+    got = {r["request_id"]: (r["batch_id"], r["reach"]) for r in out.read().collect()}
+    assert got == {0: (0, 16), 1: (0, 14), 2: (1, 7), 3: (1, 0)}

@@ -18,7 +18,7 @@ from tidepool.functions.text import split_rule
 from tidepool.operators import windows as W
 from tidepool.operators.counts import word_count
 from tidepool.operators.generators import tokens
-from tidepool.operators.reach import lookup_sum
+from tidepool.operators.reach import lookup_sum, reach
 from tidepool.streaming.joins import stream_single_join
 from tidepool.streaming.runner import run_available, run_foreach_batch
 from tidepool.streaming.stateful import ranking_each_batch, running_count_stream
@@ -113,6 +113,19 @@ def transactional_words_job(stream: DataFrame, counts: VersionedStore, buckets:
     return _start(stream, name, body, available_now, every, checkpoint)
 
 
+def reach_requests_job(requests: DataFrame, hop1: DataFrame, hop2: DataFrame, output: BatchOutput, name: str,
+                       available_now: bool = True, every: str = "1 second",
+                       checkpoint: str | None = None) -> StreamingQuery:
+    """Q9 / Q10 with requests arriving as a stream: every micro-batch of
+    ``(request_id, url)`` rows is answered against the static edge tables in
+    one job, one ``(request_id, reach)`` row per request, written per batch id."""
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        output.write(reach(batch, hop1, hop2), batch_id)
+
+    return _start(requests, name, body, available_now, every, checkpoint)
+
+
 def word_count_batch(sentences: DataFrame, text: str = "sentence", rule: str = "java") -> DataFrame:
     """Q12 over a bounded input: the same counts in one batch job."""
     return word_count(tokens(sentences, text, rule))
