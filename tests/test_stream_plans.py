@@ -117,3 +117,17 @@ def test_reach_requests_stream(spark):
                          checkpoint=_ckpt())
     got = {r["request_id"]: (r["batch_id"], r["reach"]) for r in out.read().collect()}
     assert got == {0: (0, 16), 1: (0, 14), 2: (1, 7), 3: (1, 0)}
+
+
+def test_suffix_and_exclaim_jobs(spark):
+    d = _feeds([[(0, "nathan")], [(1, "bob")]], pa.schema([("id", pa.int64()), ("word", pa.string())]))
+    P.suffix_job(feed_stream(spark, d, "id long, word string"), "exclaim_stream", checkpoint=_ckpt())
+    assert sorted(r["word"] for r in spark.sql("SELECT word FROM exclaim_stream").collect()) == ["bob!!!!!!", "nathan!!!!!!"]
+    r = _feeds([[(1, "hello"), (2, "goodbye")]], pa.schema([("request_id", pa.int64()), ("args", pa.string())]))
+    out = BatchOutput(spark, tempfile.mkdtemp(prefix="tidepool-ex-"))
+    P.exclaim_requests_job(feed_stream(spark, r, "request_id long, args string"), out, "req_ex", checkpoint=_ckpt())
+    assert {x["request_id"]: x["result"] for x in out.read().collect()} == {1: "hello!", 2: "goodbye!"}
+    out3 = BatchOutput(spark, tempfile.mkdtemp(prefix="tidepool-ex3-"))
+    P.exclaim_requests_job(feed_stream(spark, r, "request_id long, args string"), out3, "req_ex3", text="!!!",
+                           result_first=True, checkpoint=_ckpt())
+    assert {x["return_info"]: x["result"] for x in out3.read().collect()} == {1: "hello!!!", 2: "goodbye!!!"}

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidepool.functions.text import split_rule
+from tidepool.functions.text import split_rule, suffix
 from tidepool.operators import windows as W
 from tidepool.operators.counts import word_count
 from tidepool.operators.generators import tokens
@@ -126,6 +126,27 @@ def reach_requests_job(requests: DataFrame, hop1: DataFrame, hop2: DataFrame, ou
     return _start(requests, name, body, available_now, every, checkpoint)
 
 
+def suffix_job(words: DataFrame, name: str, col: str = "word", text: str = "!!!", times: int = 2,
+               available_now: bool = True, checkpoint: str | None = None) -> StreamingQuery:
+    """Q1 / Q2: the suffix projection applied ``times`` times to every row
+    (chained projections, collapsed by Catalyst)."""
+    out = words
+    for _ in range(times):
+        out = out.withColumn(col, suffix(col, text))
+    return _start(out, name, available_now=available_now, checkpoint=checkpoint)
+
+
+def exclaim_requests_job(requests: DataFrame, output: BatchOutput, name: str, text: str = "!",
+                         result_first: bool = False, available_now: bool = True,
+                         checkpoint: str | None = None) -> StreamingQuery:
+    """Q7 / Q8: answer every request ``(request_id, args)`` with ``args + text``;
+    ``result_first`` gives the ``(result, return_info)`` layout."""
+    res = suffix("args", text).alias("result")
+    cols = [res, F.col("request_id").alias("return_info")] if result_first else [F.col("request_id"), res]
+    return _start(requests.select(*cols), name, lambda df, i: output.write(df, i), available_now,
+                  checkpoint=checkpoint)
+
+
 def word_count_batch(sentences: DataFrame, text: str = "sentence", rule: str = "java") -> DataFrame:
     """Q12 over a bounded input: the same counts in one batch job."""
     return word_count(tokens(sentences, text, rule))
