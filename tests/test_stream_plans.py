@@ -112,11 +112,12 @@ def test_reach_requests_stream(spark):
     urls = list(TWEETERS)
     d = _feeds([[(0, urls[0]), (1, urls[1])], [(2, urls[2]), (3, "unknown")]],
                pa.schema([("request_id", pa.int64()), ("url", pa.string())]))
-    out = BatchOutput(spark, tempfile.mkdtemp(prefix="tidepool-reach-"))
-    P.reach_requests_job(feed_stream(spark, d, "request_id long, url string"), hop1, hop2, out, "reach_stream",
-                         checkpoint=_ckpt())
-    got = {r["request_id"]: (r["batch_id"], r["reach"]) for r in out.read().collect()}
-    assert got == {0: (0, 16), 1: (0, 14), 2: (1, 7), 3: (1, 0)}
+    for method in ("distinct", "group_one"):
+        out = BatchOutput(spark, tempfile.mkdtemp(prefix="tidepool-reach-"))
+        P.reach_requests_job(feed_stream(spark, d, "request_id long, url string"), hop1, hop2, out,
+                             f"reach_stream_{method}", method=method, checkpoint=_ckpt())
+        got = {r["request_id"]: (r["batch_id"], r["reach"]) for r in out.read().collect()}
+        assert got == {0: (0, 16), 1: (0, 14), 2: (1, 7), 3: (1, 0)}
 
 
 def test_suffix_and_exclaim_jobs(spark):

@@ -114,14 +114,15 @@ def transactional_words_job(stream: DataFrame, counts: VersionedStore, buckets:
 
 
 def reach_requests_job(requests: DataFrame, hop1: DataFrame, hop2: DataFrame, output: BatchOutput, name: str,
-                       available_now: bool = True, every: str = "1 second",
+                       method: str = "distinct", available_now: bool = True, every: str = "1 second",
                        checkpoint: str | None = None) -> StreamingQuery:
-    """Q9 / Q10 with requests arriving as a stream: every micro-batch of
+    """Q9 / Q10 / Q11 with requests arriving as a stream: every micro-batch of
     ``(request_id, url)`` rows is answered against the static edge tables in
-    one job, one ``(request_id, reach)`` row per request, written per batch id."""
+    one job, one ``(request_id, reach)`` row per request, written per batch id
+    (``method="group_one"`` is the declarative group -> One -> Sum form)."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        output.write(reach(batch, hop1, hop2), batch_id)
+        output.write(reach(batch, hop1, hop2, method=method), batch_id)
 
     return _start(requests, name, body, available_now, every, checkpoint)
 
