@@ -146,7 +146,17 @@ def join_expired(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts
 def map_get(requests: DataFrame, state: DataFrame, request_key: str, state_key: str,
             values: Sequence[str]) -> DataFrame:
     """Multi-get against a read-only keyed table; one row per match,
-    one row with null values on a miss (left join on the first key column)."""
+    one row with null values on a miss.
+
+    Written as an inner join (AQE can split a hot key on either side of it)
+    plus the misses from an anti join against the *distinct* state keys,
+    rather than ``requests LEFT JOIN state``: a left outer join cannot split
+    a hot key on its right side, so one task would hold all of that key's
+    state rows."""
     s = state.select(F.col(state_key).alias("_tp_sk"), *values)
-    j = requests.join(s, requests[request_key] == s["_tp_sk"], "left")
-    return j.drop("_tp_sk")
+    hits = requests.join(s, requests[request_key] == s["_tp_sk"], "inner").drop("_tp_sk")
+    keys = state.select(F.col(state_key).alias("_tp_sk")).dropDuplicates(["_tp_sk"])
+    misses = requests.join(keys, requests[request_key] == keys["_tp_sk"], "left_anti")
+    for v in values:
+        misses = misses.withColumn(v, F.lit(None).cast(state.schema[v].dataType))
+    return hits.unionByName(misses)
