@@ -85,3 +85,27 @@ def test_map_get(spark):
     state = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z")], "key int, v string")
     got = sorted(((r["k"], r["v"]) for r in J.map_get(req, state, "k", "key", ["v"]).collect()), key=str)
     assert got == [(1, "x"), (1, "y"), (2, "z"), (3, None)]
+
+
+def test_bucketed_interval_join_equals_plain_and_brute_force(spark):
+    import random
+    rnd = random.Random(7)
+    a_rows = [(("hot" if rnd.random() < 0.5 else f"k{rnd.randint(0, 5)}"), T0 + dt.timedelta(seconds=rnd.randint(0, 200)))
+              for _ in range(300)]
+    b_rows = [(("hot" if rnd.random() < 0.5 else f"k{rnd.randint(0, 5)}"), T0 + dt.timedelta(seconds=rnd.randint(0, 200)))
+              for _ in range(300)]
+    a = spark.createDataFrame(a_rows, "id string, a_ts timestamp_ntz")
+    b = spark.createDataFrame(b_rows, "id string, b_ts timestamp_ntz")
+    for timeout in (0, 5, 37):
+        got = sorted(tuple(r) for r in J.interval_join(a, b, ["id"], "a_ts", "b_ts", timeout, bucketed=True).collect())
+        plain = sorted(tuple(r) for r in J.interval_join(a, b, ["id"], "a_ts", "b_ts", timeout, bucketed=False).collect())
+        brute = sorted((ka, ta, tb) for ka, ta in a_rows for kb, tb in b_rows
+                       if ka == kb and abs((ta - tb).total_seconds()) <= timeout)
+        assert got == plain == brute
+        exp = J.join_expired(a, b, ["id"], "a_ts", "b_ts", timeout, names=("a", "b")).collect()
+        lonely_a = sorted((k, t) for k, t in a_rows
+                          if not any(k == kb and abs((t - tb).total_seconds()) <= timeout for kb, tb in b_rows))
+        lonely_b = sorted((k, t) for k, t in b_rows
+                          if not any(k == ka and abs((t - ta).total_seconds()) <= timeout for ka, ta in a_rows))
+        assert sorted((r["id"], r["ts"]) for r in exp if r["side"] == "a") == lonely_a
+        assert sorted((r["id"], r["ts"]) for r in exp if r["side"] == "b") == lonely_b

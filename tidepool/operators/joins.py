@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidepool.functions.timeops import is_ntz, micros
+
 SAME_SIDE_TWICE = "Received same side of single join twice"
 MISSING_OUTFIELDS = "Cannot find all outfields among sources"
 
@@ -99,11 +101,35 @@ def assert_unique_keys(sides: Sequence[DataFrame], keys: Sequence[str]) -> None:
         raise ValueError(SAME_SIDE_TWICE)
 
 
+_BUCKET = "_tp_tb"
+
+
+def _time_bucket(df: DataFrame, ts: str, width_seconds: int) -> Column:
+    us = width_seconds * 1_000_000
+    return F.floor(micros(ts, is_ntz(df, ts)) / F.lit(us)).cast("long")
+
+
+def _bucketed(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str,
+              timeout_seconds: int) -> tuple[DataFrame, DataFrame]:
+    """Time buckets as an extra equi-key: rows within ``timeout`` of each
+    other are at most one bucket apart, so the left row keeps its bucket and
+    the right row is copied into its bucket and both neighbours.  Each
+    matching pair meets in exactly one copy, and a hot key is spread over its
+    time buckets instead of one join task."""
+    width = max(int(timeout_seconds), 1)
+    lb = left.withColumn(_BUCKET, _time_bucket(left, left_ts, width))
+    b = _time_bucket(right, right_ts, width)
+    rb = right.withColumn(_BUCKET, F.explode(F.array(b - 1, b, b + 1)))
+    return lb, rb
+
+
 def _interval_cond(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
                    timeout_seconds: int, null_safe: bool, right_prefix: str) -> Column:
     cond = F.lit(True)
     for k in keys:
         cond = cond & _key_eq(left[k], right[f"{right_prefix}{k}"], null_safe)
+    if _BUCKET in left.columns and f"{right_prefix}{_BUCKET}" in right.columns:
+        cond = cond & (left[_BUCKET] == right[f"{right_prefix}{_BUCKET}"])
     # Plain range predicates (not abs()) so streaming can derive state eviction.
     lo = left[left_ts] - F.expr(f"INTERVAL {int(timeout_seconds)} SECONDS")
     hi = left[left_ts] + F.expr(f"INTERVAL {int(timeout_seconds)} SECONDS")
@@ -111,35 +137,49 @@ def _interval_cond(left: DataFrame, right: DataFrame, keys: Sequence[str], left_
 
 
 def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
-                  timeout_seconds: int, how: str = "inner", null_safe: bool = True) -> DataFrame:
+                  timeout_seconds: int, how: str = "inner", null_safe: bool = True,
+                  bucketed: bool | None = None) -> DataFrame:
     """The sides of a key join only when they arrive within
     ``timeout_seconds`` of each other; later arrivals have timed out.
-    Output: the keys (from the left), then the other columns of both sides."""
+    Output: the keys (from the left), then the other columns of both sides.
+
+    ``bucketed`` (default: on for batch inner joins) adds time buckets to the
+    join key so a hot key is split by time; streams keep the plain interval
+    join, whose range predicate drives state eviction."""
     if timeout_seconds < 0:
         raise ValueError("timeout must be >= 0")
-    r = right.select(*[F.col(c).alias(f"_tp_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    if bucketed is None:
+        bucketed = how == "inner" and not (left.isStreaming or right.isStreaming)
+    if bucketed:
+        left, right = _bucketed(left, right, left_ts, right_ts, timeout_seconds)
+    r = right.select(*[F.col(c).alias(f"_tp_r_{c}") if c in keys or c == _BUCKET else F.col(c)
+                       for c in right.columns])
     cond = _interval_cond(left, r, keys, left_ts, right_ts, timeout_seconds, null_safe, "_tp_r_")
     j = left.join(r, cond, how)
-    return j.drop(*[f"_tp_r_{k}" for k in keys])
+    return j.drop(*[f"_tp_r_{k}" for k in keys], _BUCKET, f"_tp_r_{_BUCKET}")
 
 
 def join_expired(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
                  timeout_seconds: int, names: tuple[str, str] = ("left", "right"),
                  null_safe: bool = True) -> DataFrame:
     """The rows of either side that found no partner within the time-out
-    (the reference fails them on expiry): ``(side, keys..., ts)``."""
-    r = right.select(*[F.col(c).alias(f"_tp_r_{c}") for c in right.columns])
-    cond_l = _interval_cond(left, r, keys, left_ts, f"_tp_r_{right_ts}", timeout_seconds, null_safe, "_tp_r_")
-    lonely_left = left.join(r, cond_l, "left_anti").select(F.lit(names[0]).alias("side"), *keys,
-                                                           F.col(left_ts).alias("ts"))
-    l2 = left.select(*[F.col(c).alias(f"_tp_l_{c}") for c in left.columns])
-    cond_r = F.lit(True)
+    (the reference fails them on expiry): ``(side, keys..., ts)``.  Both anti
+    joins carry time buckets in their equi-key (see ``interval_join``)."""
+    lb, rb = _bucketed(left, right, left_ts, right_ts, timeout_seconds)
+    r = rb.select(*[F.col(c).alias(f"_tp_r_{c}") for c in rb.columns])
+    cond_l = _interval_cond(lb, r, keys, left_ts, f"_tp_r_{right_ts}", timeout_seconds, null_safe, "_tp_r_")
+    lonely_left = lb.join(r, cond_l, "left_anti").select(F.lit(names[0]).alias("side"), *keys,
+                                                         F.col(left_ts).alias("ts"))
+    # the other direction: right rows keep their bucket, left rows are copied
+    rb2, lb2 = _bucketed(right, left, right_ts, left_ts, timeout_seconds)
+    l2 = lb2.select(*[F.col(c).alias(f"_tp_l_{c}") for c in lb2.columns])
+    cond_r = rb2[_BUCKET] == l2[f"_tp_l_{_BUCKET}"]
     for k in keys:
-        cond_r = cond_r & _key_eq(right[k], l2[f"_tp_l_{k}"], null_safe)
+        cond_r = cond_r & _key_eq(rb2[k], l2[f"_tp_l_{k}"], null_safe)
     t = F.expr(f"INTERVAL {int(timeout_seconds)} SECONDS")
-    cond_r = cond_r & (right[right_ts] >= l2[f"_tp_l_{left_ts}"] - t) & (right[right_ts] <= l2[f"_tp_l_{left_ts}"] + t)
-    lonely_right = right.join(l2, cond_r, "left_anti").select(F.lit(names[1]).alias("side"), *keys,
-                                                              F.col(right_ts).alias("ts"))
+    cond_r = cond_r & (rb2[right_ts] >= l2[f"_tp_l_{left_ts}"] - t) & (rb2[right_ts] <= l2[f"_tp_l_{left_ts}"] + t)
+    lonely_right = rb2.join(l2, cond_r, "left_anti").select(F.lit(names[1]).alias("side"), *keys,
+                                                            F.col(right_ts).alias("ts"))
     return lonely_left.unionByName(lonely_right)
 
 
