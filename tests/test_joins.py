@@ -103,6 +103,8 @@ def test_bucketed_interval_join_equals_plain_and_brute_force(spark):
                        if ka == kb and abs((ta - tb).total_seconds()) <= timeout)
         assert got == plain == brute
         exp = J.join_expired(a, b, ["id"], "a_ts", "b_ts", timeout, names=("a", "b")).collect()
+        plain_exp = J.join_expired(a, b, ["id"], "a_ts", "b_ts", timeout, names=("a", "b"), bucketed=False).collect()
+        assert sorted(map(tuple, exp)) == sorted(map(tuple, plain_exp))
         lonely_a = sorted((k, t) for k, t in a_rows
                           if not any(k == kb and abs((t - tb).total_seconds()) <= timeout for kb, tb in b_rows))
         lonely_b = sorted((k, t) for k, t in b_rows

@@ -161,10 +161,13 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t
 
 def join_expired(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
                  timeout_seconds: int, names: tuple[str, str] = ("left", "right"),
-                 null_safe: bool = True) -> DataFrame:
+                 null_safe: bool = True, bucketed: bool = True) -> DataFrame:
     """The rows of either side that found no partner within the time-out
     (the reference fails them on expiry): ``(side, keys..., ts)``.  Both anti
-    joins carry time buckets in their equi-key (see ``interval_join``)."""
+    joins carry time buckets in their equi-key (see ``interval_join``);
+    ``bucketed=False`` skips that when no key can be hot (unique sides)."""
+    if not bucketed:
+        return _join_expired_plain(left, right, keys, left_ts, right_ts, timeout_seconds, names, null_safe)
     lb, rb = _bucketed(left, right, left_ts, right_ts, timeout_seconds)
     r = rb.select(*[F.col(c).alias(f"_tp_r_{c}") for c in rb.columns])
     cond_l = _interval_cond(lb, r, keys, left_ts, f"_tp_r_{right_ts}", timeout_seconds, null_safe, "_tp_r_")
@@ -183,6 +186,23 @@ def join_expired(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts
     return lonely_left.unionByName(lonely_right)
 
 
+def _join_expired_plain(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
+                        timeout_seconds: int, names: tuple[str, str], null_safe: bool) -> DataFrame:
+    t = F.expr(f"INTERVAL {int(timeout_seconds)} SECONDS")
+    r = right.select(*[F.col(c).alias(f"_tp_r_{c}") for c in right.columns])
+    cond_l = _interval_cond(left, r, keys, left_ts, f"_tp_r_{right_ts}", timeout_seconds, null_safe, "_tp_r_")
+    lonely_left = left.join(r, cond_l, "left_anti").select(F.lit(names[0]).alias("side"), *keys,
+                                                           F.col(left_ts).alias("ts"))
+    l2 = left.select(*[F.col(c).alias(f"_tp_l_{c}") for c in left.columns])
+    cond_r = F.lit(True)
+    for k in keys:
+        cond_r = cond_r & _key_eq(right[k], l2[f"_tp_l_{k}"], null_safe)
+    cond_r = cond_r & (right[right_ts] >= l2[f"_tp_l_{left_ts}"] - t) & (right[right_ts] <= l2[f"_tp_l_{left_ts}"] + t)
+    lonely_right = right.join(l2, cond_r, "left_anti").select(F.lit(names[1]).alias("side"), *keys,
+                                                              F.col(right_ts).alias("ts"))
+    return lonely_left.unionByName(lonely_right)
+
+
 def map_get(requests: DataFrame, state: DataFrame, request_key: str, state_key: str,
             values: Sequence[str]) -> DataFrame:
     """Multi-get against a read-only keyed table; one row per match,
