@@ -17,7 +17,9 @@ def test_udtf_and_arrow_equal_builtin_split(spark):
     arrow = {r["doc_id"]: r["n_tokens"] for r in U.arrow_token_counts(docs, "doc_id", "text").collect()}
     udtf = {r["doc_id"]: r["n"] for r in U.udtf_tokens(docs, "text", keep=("doc_id",))
             .groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert builtin == arrow == udtf == {1: 6, 2: 1, 3: 3, 4: 1}
+    vec = {r["doc_id"]: r["n"] for r in U.arrow_udtf_tokens(docs, "doc_id", "text")
+           .groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert builtin == arrow == udtf == vec == {1: 6, 2: 1, 3: 3, 4: 1}
 
 
 def test_combiners(spark):

@@ -465,7 +465,7 @@ def route_streams(spark, sf):
 
 # ------------------------------------------------------------ UDF surface
 def udtf_split(spark, sf):
-    toks = U.udtf_tokens(_texts(spark, sf), "text", keep=("doc_id",))
+    toks = U.arrow_udtf_tokens(_texts(spark, sf), "doc_id", "text")
     return toks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"))
 
 
