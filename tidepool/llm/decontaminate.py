@@ -35,27 +35,45 @@ WINDOW = 10
 #: Words of a hashed gram.
 K = 5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Gaps between words in a text that may still hold capitals.
+_GAPS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _cut(text: Column) -> Column:
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), _GAPS), "")
 
 
 def words(text: Column) -> Column:
     """Array of words, empty for null."""
-    spaced = F.trim(F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), _GAPS, " "))
-    return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(spaced, " "))
+    return _cut(F.translate(text, _UPPER, _LOWER))
+
+
+def folded_words(text: Column) -> Column:
+    """Words with every letter lower-cased: equal words stay equal, so it serves
+    for fingerprints of whole tables, where ``translate`` would cost most of the time."""
+    return _cut(F.lower(text))
 
 
 def _grams(ws: str, k: int) -> str:
-    """SQL: hashes of all k-grams of the word array ``ws``."""
+    """SQL: of all k-grams of the word array ``ws``, one long each: 32 bits of
+    the hash above 32 bits of the position, so that longs order by hash, then
+    position, and arrays of them stay primitive."""
     return (f"if(size({ws}) < {k}, cast(array() as array<bigint>), "
-            f"transform(sequence(0, size({ws}) - {k}), i -> xxhash64(slice({ws}, i + 1, {k}))))")
+            f"transform(sequence(0, size({ws}) - {k}), i -> (xxhash64(slice({ws}, i + 1, {k})) & -4294967296L) | i))")
+
 
+def _winnowed(packed: str, w: int) -> str:
+    """SQL: distinct smallest longs of each run of ``w`` longs."""
+    return (f"if(size({packed}) < {w}, cast(array() as array<bigint>), "
+            f"array_distinct(transform(sequence(0, size({packed}) - {w}), i -> array_min(slice({packed}, i + 1, {w})))))")
 
-def _winnowed(hashes: str, w: int) -> str:
-    """SQL: distinct (hash, position) of the smallest hash (the first of equal
-    ones) of each run of ``w`` hashes."""
-    return (f"if(size({hashes}) < {w}, cast(array() as array<struct<h:bigint,p:int>>), "
-            f"array_distinct(transform(sequence(0, size({hashes}) - {w}), i -> "
-            f"array_min(transform(slice({hashes}, i + 1, {w}), (h, j) -> struct(h as h, i + j as p))))))")
+
+def _hash_of(packed: str) -> Column:
+    return F.shiftright(packed, 32).cast("int").alias("h")
+
+
+def _place_of(packed: str) -> Column:
+    return F.col(packed).bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("p")
 
 
 def _doc_key() -> list[Column]:
@@ -63,10 +81,6 @@ def _doc_key() -> list[Column]:
     return [F.col("doc_id"), F.xxhash64(F.col("text")).alias("text_hash"), F.length("text").alias("text_len")]
 
 
-def _windows(words_col: str, starts: str, length: str) -> str:
-    return f"transform({starts}, s -> struct(s as s, array_join(slice({words_col}, s + 1, {length}), ' ') as w))"
-
-
 def _hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int = K) -> DataFrame:
     """Occurring windows: (doc_id, text_hash, text_len, start, length, item_id)."""
     run = window - k + 1
@@ -74,28 +88,31 @@ def _hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int =
     long_items = items.where(f"size(ws) >= {window}")
     short_items = items.where(f"size(ws) < {window}").withColumn("len", F.size("ws"))
 
-    item_prints = (long_items.withColumn("g", F.expr(_grams("ws", k)))
-                   .select(F.explode(F.expr(_winnowed("g", run))).alias("f")).select("f.h", F.lit(window).alias("len")))
-    short_prints = short_items.select(F.xxhash64("ws").alias("h"), "len")
+    folded = benchmark.select(folded_words(F.col("text")).alias("ws"))
+    item_prints = (folded.where(f"size(ws) >= {window}").withColumn("g", F.expr(_grams("ws", k)))
+                   .select(F.explode(F.expr(_winnowed("g", run))).alias("f")).select(_hash_of("f"), F.lit(window).alias("len")))
+    short_prints = folded.where(f"size(ws) between 1 and {window - 1}").select(F.xxhash64("ws").alias("f"), F.size("ws").alias("len")).select(_hash_of("f"), "len")
     prints = item_prints.unionByName(short_prints).distinct()
     lengths = [r[0] for r in short_items.select("len").distinct().limit(window).collect()]  # fewer than WINDOW values
 
     keyed = docs.where("text is not null").select(*_doc_key(), "text")
-    hashed = keyed.select("doc_id", "text_hash", "text_len", words(F.col("text")).alias("ws"))
+    hashed = keyed.select("doc_id", "text_hash", "text_len", folded_words(F.col("text")).alias("ws"))
     hashed = hashed.withColumn("g", F.expr(_grams("ws", k)))
     found = hashed.select("doc_id", "text_hash", "text_len",
                           F.explode(F.expr(_winnowed("g", run))).alias("f"))
-    found = found.select("doc_id", "text_hash", "text_len", "f.h", "f.p", F.lit(window).alias("len"))
+    found = found.select("doc_id", "text_hash", "text_len", _hash_of("f"), _place_of("f"), F.lit(window).alias("len"))
     for n in sorted(lengths):
-        whole = hashed.select("doc_id", "text_hash", "text_len", F.posexplode(F.expr(_grams("ws", n))).alias("p", "h"))
-        found = found.unionByName(whole.select("doc_id", "text_hash", "text_len", "h", "p", F.lit(n).alias("len")))
+        whole = hashed.select("doc_id", "text_hash", "text_len", F.explode(F.expr(_grams("ws", n))).alias("f"))
+        found = found.unionByName(whole.select("doc_id", "text_hash", "text_len", _hash_of("f"), _place_of("f"),
+                                               F.lit(n).alias("len")))
     hits = found.join(prints, ["h", "len"], "left_semi")
 
     # candidate windows around the hits, one row per document
     spots = (hits.groupBy("doc_id", "text_hash", "text_len")
              .agg(F.collect_set(F.struct("len", "p")).alias("spots")))
-    starts = (f"array_distinct(flatten(transform(spots, x -> if(x.len < {window}, array(struct(x.len as n, x.p as s)), "
-              f"transform(sequence(greatest(x.p - {window - k}, 0), x.p), s -> struct({window} as n, s as s))))))")
+    # length and start of each window as one long, for the same reason as above
+    starts = (f"array_distinct(flatten(transform(spots, x -> if(x.len < {window}, array(shiftleft(bigint(x.len), 32) | x.p), "
+              f"transform(sequence(greatest(x.p - {window - k}, 0), x.p), s -> shiftleft(bigint({window}), 32) | s)))))")
     near = (keyed.alias("d").join(spots.alias("k"),
                                   F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
                                   & (F.col("d.text_hash") == F.col("k.text_hash"))
@@ -103,7 +120,8 @@ def _hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, k: int =
             .select("d.doc_id", "d.text_hash", "d.text_len", words(F.col("d.text")).alias("ws"),
                     F.expr(starts).alias("at"))
             .select("doc_id", "text_hash", "text_len", F.explode(F.expr(
-                "transform(filter(at, a -> a.s + a.n <= size(ws)), a -> "
+                "transform(filter(transform(at, a -> struct(int(shiftright(a, 32)) as n, int(a & 4294967295L) as s)), "
+                "a -> a.s + a.n <= size(ws)), a -> "
                 "struct(a.n as n, a.s as s, array_join(slice(ws, a.s + 1, a.n), ' ') as w))")).alias("c"))
             .select("doc_id", "text_hash", "text_len", "c.n", "c.s", "c.w").distinct())
     spans = (long_items.select("item_id", F.lit(window).alias("n"), F.explode(F.expr(
@@ -138,7 +156,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words, n_hit, n_items,
     items_sha256, contaminated."""
     per_doc = _per_document(docs, benchmark)
-    base = docs.select(*_doc_key(), F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    base = docs.select(*_doc_key(), F.size(_cut(F.col("text"))).cast("long").alias("n_words"))
     none = F.sha2(F.lit(""), 256)
     return (base.alias("b").join(per_doc.alias("h"), _same("b", "h"), "left")
             .select(F.col("b.doc_id").alias("doc_id"), F.col("b.n_words").alias("n_words"),
