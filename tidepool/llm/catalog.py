@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
+import importlib.util
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import chat_format, decontaminate, exact_dedup, oracle
+from tidepool.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, langid, oracle
+from tidepool.llm.sampling import held_out
+
+
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Place of a public tokenizer's file: TIDEPOOL_TOKENIZERS, or the installed package of vocabularies."""
+    folder = os.environ.get("TIDEPOOL_TOKENIZERS")
+    return os.path.join(folder or os.path.dirname(importlib.util.find_spec("public_tokenizers").origin), name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +26,22 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.token_digests(docs, bpe.load(vocabulary())).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.classes(_table(spark, sf_dir, "documents"))
+
+
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs)
+    out = langid.identify(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -26,6 +52,9 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_bpe": op5_bpe,
+    "op7_jaccard_join": op7_jaccard_join,
+    "op8_langid": op8_langid,
     "op9_decontaminate": op9_decontaminate,
     "op10_chat_format": op10_chat_format,
 }
