@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, langid, oracle
+from tidepool.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, langid, oracle, toxicity
 from tidepool.llm.sampling import held_out
 
 
@@ -21,6 +21,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.rate(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+    return out.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -51,6 +57,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_bpe": op5_bpe,
     "op7_jaccard_join": op7_jaccard_join,
