@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, langid, oracle, toxicity
+from tidepool.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, langid, oracle, pii, toxicity
 from tidepool.llm.sampling import held_out
 
 
@@ -21,6 +21,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.train(docs)).drop("text")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     out = toxicity.rate(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
@@ -57,6 +62,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_bpe": op5_bpe,
