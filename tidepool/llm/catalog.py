@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import bpe, chat_format, decontaminate, exact_dedup, jaccard_join, langid, oracle, pii, toxicity
+from tidepool.llm import bpe, chat_format, decontaminate, exact_dedup, html_text, jaccard_join, langid, oracle, pii, toxicity
 from tidepool.llm.sampling import held_out
 
 
@@ -37,6 +37,12 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    out = html_text.extract(pages.select("page_id", "url", "html"), html_text.train(pages))
+    return out.select("page_id", "url", "text", "n_chars")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.token_digests(docs, bpe.load(vocabulary())).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
@@ -65,6 +71,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_html_text": op4_html_text,
     "op5_bpe": op5_bpe,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_langid": op8_langid,
