@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import bpe, chat_format, decontaminate, exact_dedup, html_text, jaccard_join, langid, oracle, pii, toxicity
+from tidepool.llm import bpe, chat_format, decontaminate, exact_dedup, html_text, jaccard_join, langid, oracle, pii, suffix_dedup, toxicity
 from tidepool.llm.sampling import held_out
 
 
@@ -48,6 +48,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(docs, bpe.load(vocabulary())).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(_table(spark, sf_dir, "documents"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.classes(_table(spark, sf_dir, "documents"))
 
@@ -73,6 +77,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_html_text": op4_html_text,
     "op5_bpe": op5_bpe,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_langid": op8_langid,
     "op9_decontaminate": op9_decontaminate,
