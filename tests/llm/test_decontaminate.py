@@ -1,0 +1,67 @@
+"""Decontamination against a brute-force window search."""
+
+import hashlib
+import random
+import re
+
+from tests.llm.conftest import prose
+from tidepool.llm import decontaminate as D
+
+UPPER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+
+
+def words(t):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(UPPER))
+
+
+def brute(docs, items):
+    out = []
+    wins = [(i, tuple(ws[k:k + 10])) for i, t in items for ws in [words(t)] if ws for k in range(max(len(ws) - 9, 1))]
+    for d, t in docs:
+        ws = words(t)
+        hit, ids = set(), set()
+        for i, w in set(wins):
+            for s in range(len(ws) - len(w) + 1):
+                if tuple(ws[s:s + len(w)]) == w:
+                    hit.update(range(s, s + len(w)))
+                    ids.add(i)
+        listed = sorted(str(i) for i in ids if i is not None)
+        out.append((d, len(ws), len(hit), len(listed), hashlib.sha256(",".join(listed).encode()).hexdigest(), bool(hit)))
+    return sorted(out, key=str)
+
+
+def tables(spark, odd_rows):
+    rng = random.Random(3)
+    long, other = prose(rng, 40), prose(rng, 14)
+    docs = [(r[0], r[1]) for r in odd_rows if len(r[1] or "") < 50_000]
+    docs += [(100, prose(rng, 20) + " " + long.upper() + "; " + prose(rng, 9)), (101, " ".join(long.split()[5:15])),
+             (102, " ".join(long.split()[5:14])), (103, f"x {other} y {other}"), (103, f"x {other} y {other}"),
+             (104, "they say tiny item here and Tiny--Item there"), (105, "École école")]
+    items = [(1, long, "t"), (2, other, "t"), (2, other, "t"), (3, "Tiny item", "t"), (4, None, "t"), (5, " ... ", "t"),
+             (None, "they say", "t"), (12, "école", "t")]
+    return docs, items
+
+
+def test_against_brute_force(spark, odd_rows):
+    docs, items = tables(spark, odd_rows)
+    d = spark.createDataFrame([(*x, 7) for x in docs], "doc_id bigint, text string, item_id int").repartition(3)
+    b = spark.createDataFrame(items, "item_id bigint, text string, doc_id string")
+    expected = brute(docs, [x[:2] for x in items])
+    assert sorted(map(tuple, D.contamination(d, b).collect()), key=str) == expected
+    clean = [x[0] for x in expected if not x[5]]
+    kept = D.drop_contaminated(d, b)
+    assert kept.columns == d.columns and sorted((r[0] for r in kept.collect()), key=str) == sorted(clean, key=str)
+
+
+def test_empty_tables(spark, odd):
+    none = spark.createDataFrame([], "item_id bigint, text string")
+    assert D.contamination(odd.limit(0), none).count() == 0
+    assert D.contamination(odd, none).where("contaminated").count() == 0
+
+
+def test_winnowing_keeps_a_print_of_every_window(spark):
+    ws = prose(random.Random(1), 120).split()
+    row = spark.createDataFrame([(ws,)], "ws array<string>").selectExpr(f"{D._grams('ws', 5)} as g")
+    row = row.selectExpr("g", f"{D._winnowed('g', 6)} as f").first()
+    kept = {x & 0xFFFFFFFF for x in row["f"]}
+    assert all(kept & set(range(s, s + 6)) for s in range(len(ws) - 9)) and len(kept) < len(ws) / 2

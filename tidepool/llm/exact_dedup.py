@@ -72,5 +72,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The kept rows of ``docs`` with its own columns."""
-    cols = docs.columns
-    return exact_dedup(docs, id_col, text_col).where("kept").select(*[F.col(f"`{c}`") for c in cols])
+    own = {c: f"__xd_own_{c}" for c in ("keep_id", "group_size", "kept", "text_sha256") if c in docs.columns}
+    marked = exact_dedup(docs.withColumnsRenamed(own), id_col, text_col).where("kept")
+    return marked.select(*[F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns])
