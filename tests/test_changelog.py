@@ -26,12 +26,12 @@ def batched(spark):
 def test_partitioned_batches(spark, batched):
     got = {r["batch_id"]: r["count"] for r in C.batch_count(batched).collect()}
     assert got == {0: 9, 1: 7, 2: 3}
-    cum = {r["batch_id"]: r["global_count"] for r in C.global_count(C.batch_count(batched), chunk_width=1).collect()}
+    cum = {r["batch_id"]: r["global_count"] for r in C.global_count(C.batch_count(batched), chunks=3).collect()}
     assert cum == {0: 9, 1: 16, 2: 19}
 
 
 def test_count_changelog(spark, batched):
-    cl = CL.count_changelog(batched, "word", chunk_width=1)
+    cl = CL.count_changelog(batched, "word", chunks=3)
     got = {(r["batch_id"], r["word"]): (r["prev_count"], r["count"]) for r in cl.collect()}
     assert got == {
         (0, "apple"): (None, 1), (0, "cat"): (None, 5), (0, "chicken"): (None, 1), (0, "dog"): (None, 2),
@@ -76,7 +76,7 @@ def test_changelog_independent_of_batch_split(spark):
 
 
 def test_fixed_batches_of_three(spark):
-    from tidepool.sources.choice import FIXED_BATCH_SENTENCES
+    from sentences import FIXED_BATCH_SENTENCES
     s = spark.createDataFrame(list(enumerate(FIXED_BATCH_SENTENCES)), "i long, sentence string")
     b = with_batch_id(s, ["i"], 3, id_chunk("i", 2))
     assert {r["batch_id"]: r["count"] for r in C.batch_count(b).collect()} == {0: 3, 1: 2}

@@ -15,18 +15,21 @@ def test_spread_and_fields_keep_rows(spark):
         assert owner.setdefault(r["k"], r["p"]) == r["p"]  # one partition per key
 
 
-def test_replicate_only_under_bound(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    j_small = spark.range(100).join(D.replicate(small, 50), "id")
-    j_big = spark.range(100).join(D.replicate(big, 50), "id")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in j_small._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in j_big._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert j_small.count() == 10 and j_big.count() == 100
+def test_replicate_gives_every_consumer_every_row(spark):
+    df = D.replicate(spark.range(50), 3)
+    rows = df.select("id", "task", F.spark_partition_id().alias("p")).collect()
+    assert sorted((r["id"], r["task"]) for r in rows) == [(i, t) for i in range(50) for t in range(3)]
+    assert all(len({r["p"] for r in rows if r["task"] == t}) == 1 for t in range(3))
+
+
+def test_plans_have_the_distribution_asked_for(spark):
+    """H1 is a round-robin exchange, H2 a hash exchange on the fields."""
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    df = spark.range(100).withColumn("k", F.col("id") % 7)
+    assert "RoundRobinPartitioning(5)" in plan(D.spread(df, 5))
+    assert "hashpartitioning(k" in plan(D.by_fields(df, ["k"], 4))
+    sizes = [r["count"] for r in D.spread(df, 5).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 5 and max(sizes) - min(sizes) <= 8
 
 
 def test_route_and_consume(spark):
@@ -37,13 +40,6 @@ def test_route_and_consume(spark):
     assert D.stream(routed, "alerts").columns == ["id", "t"]
 
 
-def test_spread_narrow_is_bounded(spark):
-    one = spark.range(10).coalesce(1)
-    assert D.spread_narrow(one, 4).rdd.getNumPartitions() == 4
-    wide = spark.range(100).repartition(8)
-    assert D.spread_narrow(wide, 4).rdd.getNumPartitions() == 8
-
-
 def test_merge_streams_positional(spark):
     a = spark.createDataFrame([("x y",)], "sentence string")
     b = spark.createDataFrame([("z",)], "word string")

@@ -31,7 +31,7 @@ def test_key_inference(spark, sides):
 
 
 def test_missing_outfield(spark, sides):
-    with pytest.raises(ValueError, match="Cannot find all outfields"):
+    with pytest.raises(ValueError, match="no side of the join has"):
         J.single_join(list(sides), ["gender", "height"])
 
 
@@ -59,7 +59,7 @@ def test_same_side_twice(spark, sides):
     dup = gender.unionByName(gender.filter("id = 3"))
     v = J.duplicate_keys([dup, age], ["id"], names=["gender", "age"]).collect()
     assert [(r["side"], r["id"], r["n"]) for r in v] == [("gender", 3, 2)]
-    with pytest.raises(ValueError, match="same side"):
+    with pytest.raises(ValueError, match="more than once on one side"):
         J.single_join([dup, age], ["gender", "age"], on_duplicate="error")
 
 

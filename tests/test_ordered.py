@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidepool.operators.ordered import id_chunk, running_lag, running_total
+from tidepool.operators.ordered import id_chunk, quantile_chunk, running_lag, running_total
 
 
 def _data(spark, seed, n, keys):
@@ -58,20 +58,6 @@ def test_bad_widths():
         id_chunk("x", 0)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(seed=st.integers(0, 10_000), width=st.integers(1, 5), fanout=st.integers(2, 4), levels=st.integers(0, 3),
-       n=st.integers(0, 120))
-def test_multilevel_chunk_offsets(spark, seed, width, fanout, levels, n):
-    df = _data(spark, seed, n, ["a", None])
-    w = Window.partitionBy("k").orderBy("id")
-    exp = {r["id"]: r["s"] for r in df.select("id", F.sum("v").over(w).alias("s")).collect()}
-    got = running_total(df, ["k"], ["id"], id_chunk("id", width), "s", value="v",
-                        carry_levels=levels, fanout=fanout)
-    assert {r["id"]: r["s"] for r in got.collect()} == exp
-    glob = running_total(df, [], ["id"], id_chunk("id", width), "pos", carry_levels=levels, fanout=fanout)
-    assert sorted(r["pos"] for r in glob.collect()) == list(range(1, n + 1))
-
-
 def test_hot_key_at_scale_matches_closed_form(spark):
     """300k rows, a third of them on one key: the hot key's running count at
     id is id // 3 + 1; every other key holds a few hundred rows."""
@@ -84,27 +70,44 @@ def test_hot_key_at_scale_matches_closed_form(spark):
     assert out.count() == 300_000
 
 
-def test_time_chunk_for_adapts_and_stays_exact(spark):
-    import datetime as dt
+def _largest_chunk(df, chunk):
+    return chunk.attach(df, "c").groupBy("c").count().agg(F.max("count"), F.count("*")).first()
 
-    from tidepool.operators.ordered import time_chunk_for
-    base = dt.datetime(2024, 1, 1)
-    rows = [(i, "hot" if i % 2 else f"k{i % 5}", base + dt.timedelta(seconds=i * 37 % 86400)) for i in range(3000)]
-    df = spark.createDataFrame(rows, "id long, k string, ts timestamp_ntz")
-    w = Window.partitionBy("k").orderBy("ts", "id")
-    exp = {r["id"]: r["c"] for r in df.select("id", F.row_number().over(w).alias("c")).collect()}
-    for target in (50, 3000):
-        chunk = time_chunk_for(df, "ts", target)
-        n_chunks = df.select(chunk.alias("c")).distinct().count()
-        assert (n_chunks > 20) if target == 50 else (n_chunks <= 2)
-        got = {r["id"]: r["c"] for r in running_total(df, ["k"], ["ts", "id"], chunk, "c").collect()}
-        assert got == exp
-
-
-def test_time_chunk_for_caps_the_chunk_count(spark):
-    import datetime as dt
 
-    from tidepool.operators.ordered import time_chunk_for
+@pytest.mark.parametrize("kind", ["hashed ids", "outlier", "burst"])
+def test_quantile_chunks_hold_equal_shares(spark, kind):
+    """Sparse ids, one row far away, and nine tenths of the rows in a thousandth of the time."""
+    n = 20_000
+    col = {"hashed ids": "abs(xxhash64(id))", "outlier": "if(id = 0, -50000000000, id)",
+           "burst": "if(id % 10 = 0, id * 1000, 5000000 + id)"}[kind]
+    df = spark.range(n).selectExpr("id", f"{col} as o", "if(id % 5 < 3, 'hot', concat('k', id % 7)) as k")
+    chunk = quantile_chunk(df, "o", 16)
+    most, chunks = _largest_chunk(df, chunk)
+    assert chunks >= 15 and most <= 2 * n / 16
+    w = Window.partitionBy("k").orderBy("o", "id")
+    exp = df.select("id", F.row_number().over(w).alias("c"))
+    got = running_total(df, ["k"], ["o", "id"], chunk, "c").select("id", F.col("c").cast("int").alias("c"))
+    assert exp.exceptAll(got).count() == 0 and got.count() == n
+
+
+def test_quantile_chunks_of_times_with_an_outlier_and_nulls(spark):
+    import datetime as dt
     base = dt.datetime(2024, 1, 1)
-    df = spark.createDataFrame([(i, base + dt.timedelta(seconds=i)) for i in range(5000)], "id long, ts timestamp_ntz")
-    assert df.select(time_chunk_for(df, "ts", 1, max_chunks=10).alias("c")).distinct().count() <= 11
+    rows = [(i, base + dt.timedelta(seconds=i)) for i in range(4000)] + [(4000, dt.datetime(1970, 1, 1)), (4001, None)]
+    df = spark.createDataFrame(rows, "id long, ts timestamp_ntz")
+    most, chunks = _largest_chunk(df, quantile_chunk(df, "ts", 32))
+    assert chunks >= 30 and most < 400
+    got = running_lag(df.where("ts is not null"), [], ["ts", "id"], quantile_chunk(df, "ts", 32), "id", 2, "l")
+    assert {r["id"]: r["l"] for r in got.collect()}[4000] is None
+    assert {r["id"]: r["l"] for r in got.collect()}[3999] == 3997
+    assert quantile_chunk(df.limit(0), "ts", 4) is not None
+    assert running_total(df.limit(0), [], ["id"], quantile_chunk(df.limit(0), "id", 4), "n").count() == 0
+
+
+def test_building_runs_no_job(spark):
+    """The quantiles are a subquery of the plan, not a job while it is built."""
+    df = spark.range(100).selectExpr("id", "raise_error('ran') as o")
+    out = running_total(df, [], ["id"], quantile_chunk(df, "o"), "n")
+    assert "o" in out.columns
+    with pytest.raises(Exception, match="ran"):
+        out.collect()

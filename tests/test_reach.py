@@ -1,11 +1,12 @@
 """Reach and the word-count read path on the reference's example data."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidepool.operators import counts as C
 from tidepool.operators import generators as G
 from tidepool.operators import reach as RE
-from tidepool.sources.choice import FIXED_BATCH_SENTENCES
+from sentences import FIXED_BATCH_SENTENCES
 
 # The reference's example lookup tables (the three requested
 # pages are keyed by their path only; reach depends on the graph alone).
@@ -34,21 +35,21 @@ def graph(spark):
     return req, hop1, hop2
 
 
-@pytest.mark.parametrize("bound", [None, 100])
 @pytest.mark.parametrize("method", ["distinct", "uniquer", "group_one"])
-def test_reach_example(spark, graph, method, bound):
-    out = {r["request_id"]: r["reach"] for r in RE.reach(*graph, method=method, rows_bound=bound).collect()}
+def test_reach_example(spark, graph, method):
+    out = {r["request_id"]: r["reach"] for r in RE.reach(*graph, method=method).collect()}
     assert out == {0: 16, 1: 14, 2: 7, 3: 0, 4: 0}
 
 
-def test_reach_plans_agree_on_driver_tables(spark):
-    from tidepool.plans import catalog as Q
-    req, h1, h2, bound = Q._reach_inputs(spark, "/root/testdata/sf0.001")
-    a = RE.reach(req, h1, h2)
-    b = RE.reach(req, h1, h2, rows_bound=bound)
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    plan = b._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastExchange" in plan
+def test_hot_follower_list(spark):
+    """One account that every request reaches and a third of all followers hang on."""
+    req = spark.range(60).select(F.col("id").alias("request_id"), F.col("id").cast("string").alias("url"))
+    hop1 = req.select("url", F.lit("hot").alias("tweeter")).unionByName(req.select("url", F.concat(F.lit("t"), "url").alias("tweeter")))
+    hop2 = (spark.range(500).select(F.lit("hot").alias("tweeter"), F.col("id").alias("follower"))
+            .unionByName(spark.range(1000).select(F.concat(F.lit("t"), (F.col("id") % 60).cast("string")).alias("tweeter"),
+                                                  (F.col("id") + 400).alias("follower"))))
+    own = {t: len({*range(500), *[i + 400 for i in range(1000) if i % 60 == t]}) for t in range(60)}
+    assert {r["request_id"]: r["reach"] for r in RE.reach(req, hop1, hop2).collect()} == own
 
 
 def test_reach_approx_close(spark, graph):

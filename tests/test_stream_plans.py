@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from tidepool.operators import counts as C
 from tidepool.operators.ordered import id_chunk
 from tidepool.plans import streams as P
-from tidepool.sources.choice import FIXED_BATCH_SENTENCES
+from sentences import FIXED_BATCH_SENTENCES
 from tidepool.streaming.sources import feed_stream
-from tidepool.streaming.versioned import BatchOutput, VersionedStore
+from tidepool.streaming.versioned import BatchOutput, VersionedStore, bucket_counter
 
 from test_streaming import _ckpt, _feeds
 
@@ -39,8 +39,9 @@ def test_persistent_word_count_and_query(spark):
 
 def test_running_word_count_stream_equals_batch(spark):
     s = feed_stream(spark, _sentence_feeds(), "seq long, sentence string")
-    P.running_word_count_job(s, "rwc", checkpoint=_ckpt())
-    got = sorted((r["seq"], r["pos"], r["word"], r["count"]) for r in spark.sql("SELECT * FROM rwc").collect())
+    out = BatchOutput(spark, tempfile.mkdtemp(prefix="tidepool-rwc-"))
+    P.running_word_count_job(s, out, "rwc", checkpoint=_ckpt())
+    got = sorted((r["seq"], r["pos"], r["word"], r["count"]) for r in out.read().collect())
     flat = spark.createDataFrame(list(enumerate(FIXED_BATCH_SENTENCES)), "seq long, sentence string")
     toks = flat.select("seq", F.posexplode(F.split("sentence", " ", -1)).alias("pos", "word"))
     exp = C.running_count(toks, "word", ["seq", "pos"], id_chunk("seq", 2))
@@ -99,9 +100,10 @@ def test_single_join_job(spark):
     from tidepool.streaming.sources import event_time
     gs = event_time(feed_stream(spark, g, "id long, gender string, g_ts timestamp_ntz"), "g_ts")
     as_ = event_time(feed_stream(spark, a, "id long, age long, a_ts timestamp_ntz"), "a_ts")
-    P.single_join_job(gs, as_, "sj_job", ["id"], "g_ts", "a_ts", 60, "1 minute", ["gender", "age"],
+    out = BatchOutput(spark, tempfile.mkdtemp(prefix="tidepool-sj-"))
+    P.single_join_job(gs, as_, out, "sj_job", ["id"], "g_ts", "a_ts", 60, "1 minute", ["gender", "age"],
                       checkpoint=_ckpt())
-    got = sorted((r["age"], r["gender"]) for r in spark.sql("SELECT * FROM sj_job").collect())
+    got = sorted((r["age"], r["gender"]) for r in out.read().collect())
     assert got == [(20 + i, "male" if i % 2 == 0 else "female") for i in range(10)]
 
 
@@ -122,8 +124,9 @@ def test_reach_requests_stream(spark):
 
 def test_suffix_and_exclaim_jobs(spark):
     d = _feeds([[(0, "nathan")], [(1, "bob")]], pa.schema([("id", pa.int64()), ("word", pa.string())]))
-    P.suffix_job(feed_stream(spark, d, "id long, word string"), "exclaim_stream", checkpoint=_ckpt())
-    assert sorted(r["word"] for r in spark.sql("SELECT word FROM exclaim_stream").collect()) == ["bob!!!!!!", "nathan!!!!!!"]
+    words = BatchOutput(spark, tempfile.mkdtemp(prefix="tidepool-suffix-"))
+    P.suffix_job(feed_stream(spark, d, "id long, word string"), words, "exclaim_stream", checkpoint=_ckpt())
+    assert sorted(r["word"] for r in words.read().collect()) == ["bob!!!!!!", "nathan!!!!!!"]
     r = _feeds([[(1, "hello"), (2, "goodbye")]], pa.schema([("request_id", pa.int64()), ("args", pa.string())]))
     out = BatchOutput(spark, tempfile.mkdtemp(prefix="tidepool-ex-"))
     P.exclaim_requests_job(feed_stream(spark, r, "request_id long, args string"), out, "req_ex", checkpoint=_ckpt())
@@ -132,3 +135,62 @@ def test_suffix_and_exclaim_jobs(spark):
     P.exclaim_requests_job(feed_stream(spark, r, "request_id long, args string"), out3, "req_ex3", text="!!!",
                            result_first=True, checkpoint=_ckpt())
     assert {x["return_info"]: x["result"] for x in out3.read().collect()} == {1: "hello!!!", 2: "goodbye!!!"}
+
+
+def test_two_merged_sources_are_counted_together(spark):
+    one = _feeds([[(0, "a b")], [(2, "b c")]], SENT)
+    two = _feeds([[(1, "b b")], [(3, "a")]], SENT)
+    streams = [feed_stream(spark, d, "seq long, sentence string") for d in (one, two)]
+    out = BatchOutput(spark, tempfile.mkdtemp(prefix="tidepool-merge-"))
+    P.running_word_count_job(streams, out, "rwc2", checkpoint=_ckpt())
+    rows = out.read().collect()
+    assert {w: max(r["count"] for r in rows if r["word"] == w) for w in "abc"} == {"a": 2, "b": 4, "c": 1}
+    assert sorted((r["word"], r["count"]) for r in rows) == [("a", 1), ("a", 2), *[("b", i) for i in (1, 2, 3, 4)], ("c", 1)]
+
+
+def test_requests_for_word_sums_arrive_as_a_stream(spark):
+    root = tempfile.mkdtemp(prefix="tidepool-wq-")
+    store = VersionedStore(spark, f"{root}/state", "key string, count long")
+    P.persistent_word_count_job(feed_stream(spark, _sentence_feeds(), "seq long, sentence string"), store, "pwc2",
+                                checkpoint=_ckpt())
+    d = _feeds([[(1, "cat the dog jumped")], [(2, ""), (3, "to the")]],
+               pa.schema([("request_id", pa.int64()), ("args", pa.string())]))
+    out = BatchOutput(spark, f"{root}/out")
+    P.words_query_job(feed_stream(spark, d, "request_id long, args string"), store, out, "wq", checkpoint=_ckpt())
+    assert {r["request_id"]: r["sum"] for r in out.read().collect()} == {1: 6, 2: 0, 3: 8}
+
+
+def test_jobs_keep_running_on_their_period(spark):
+    import time
+    r = _feeds([[(1, "hello")]], pa.schema([("request_id", pa.int64()), ("args", pa.string())]))
+    out = BatchOutput(spark, tempfile.mkdtemp(prefix="tidepool-run-"))
+    q = P.exclaim_requests_job(feed_stream(spark, r, "request_id long, args string"), out, "req_run",
+                               available_now=False, every="200 milliseconds", checkpoint=_ckpt())
+    try:
+        end = time.time() + 60
+        while time.time() < end and not q.recentProgress:
+            time.sleep(0.2)
+        q.processAllAvailable()
+        assert q.isActive
+        assert [x["result"] for x in out.read().collect()] == ["hello!"]
+    finally:
+        q.stop()
+
+
+def test_null_keys_and_missing_markers(spark):
+    """Counts of a null key go on from batch to batch, and no marker file is needed."""
+    root = tempfile.mkdtemp(prefix="tidepool-null-")
+    spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        counts = VersionedStore(spark, f"{root}/c", "key string, count long")
+        buckets = VersionedStore(spark, f"{root}/b", "bucket long, count long")
+        body = bucket_counter(counts, buckets, "word")
+        for v in range(3):
+            body(spark.createDataFrame([("a",), (None,)], "word string"), v)
+        assert sorted(map(str, map(tuple, counts.read(2).collect()))) == ["('a', 3)", "(None, 3)"]
+        assert [tuple(r) for r in buckets.read(2).collect()] == [(0, 2)]
+    finally:
+        hadoop.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+        spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")

@@ -9,15 +9,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool.functions.timeops import BUCKET_SIZE, bucket
-from tidepool.operators.ordered import id_chunk, running_total
+from tidepool.operators.ordered import CHUNKS, QuantileChunk, quantile_chunk, running_total
 
 
-def running_count(df: DataFrame, word: str, order: Sequence[str], chunk: Column,
-                  out: str = "count", carry_levels: int | None = None) -> DataFrame:
+def running_count(df: DataFrame, word: str, order: Sequence[str], chunk: Column | QuantileChunk,
+                  out: str = "count") -> DataFrame:
     """A1: for every row, how many rows of its word came up to and including
     it in ``order``.  ``chunk`` (a column that never decreases along
     ``order``) spreads a hot word over many tasks; see ``ordered``."""
-    return running_total(df, [word], order, chunk, out, carry_levels=carry_levels)
+    return running_total(df, [word], order, chunk, out)
 
 
 def word_count(df: DataFrame, word: str = "word", out: str = "count") -> DataFrame:
@@ -36,11 +36,11 @@ def keyed_batch_count(df: DataFrame, key: str, batch_col: str = "batch_id") -> D
 
 
 def global_count(batch_counts: DataFrame, batch_col: str = "batch_id",
-                 chunk_width: int = 4096) -> DataFrame:
+                 chunks: int = CHUNKS) -> DataFrame:
     """A4: cumulative count over batches in id order, computed on the already
     aggregated per-batch rows; batches are chunked so that even the
     one-row-per-batch table is never ordered inside one task."""
-    return running_total(batch_counts, [], [batch_col], id_chunk(batch_col, chunk_width),
+    return running_total(batch_counts, [], [batch_col], quantile_chunk(batch_counts, batch_col, chunks),
                          "global_count", value="count")
 
 

@@ -19,31 +19,18 @@ def spread(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(n)
 
 
-def spread_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread rows over the cluster before CPU-heavy per-row work (tokenising
-    whole texts) when the input arrives in fewer partitions than there are
-    cores.  Each input partition holds at most ``maxPartitionBytes``, so this
-    extra round-robin shuffle moves at most ``cores x maxPartitionBytes``; a
-    large input already has enough partitions and is left untouched."""
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- e.g. a Connect session: no partition count, leave as is
-        return df
-    return df.repartition(want) if have < want else df
-
-
 def by_fields(df: DataFrame, cols: Sequence[str], n: int | None = None) -> DataFrame:
     """H2 fields grouping: equal keys land in the same partition."""
     return df.repartition(n, *cols) if n else df.repartition(*cols)
 
 
-def replicate(df: DataFrame, max_rows: int) -> DataFrame:
-    """H4 all grouping: mark a side for broadcast, but only once its size
-    is proven to be at most ``max_rows`` (one small counting job); beyond
-    that the side is returned unmarked and the planner shuffles instead."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def replicate(df: DataFrame, n: int, out: str = "task") -> DataFrame:
+    """H4 all grouping: every one of ``n`` consumers gets every row.  Each row
+    is copied ``n`` times, tagged with its consumer and dealt by the tag."""
+    if n < 1:
+        raise ValueError("all grouping needs one consumer or more")
+    copies = df.withColumn(out, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    return copies.repartition(n, out)
 
 
 def route(df: DataFrame, rules: Mapping[str, Column], default: str = "default",

@@ -5,24 +5,24 @@ from __future__ import annotations
 
 def require_top_n(n: int) -> None:
     if not isinstance(n, int) or n < 1:
-        raise ValueError(f"topN must be >= 1 (you requested {n})")
+        raise ValueError(f"a ranking needs a positive size, got {n!r}")
 
 
 def require_emit_seconds(seconds: int) -> None:
     if not isinstance(seconds, int) or seconds < 1:
-        raise ValueError(f"the emit frequency must be >= 1 second (you requested {seconds})")
+        raise ValueError(f"emit every whole second or more, got {seconds!r}")
 
 
 def require_slots(n: int) -> None:
     if not isinstance(n, int) or n < 1:
-        raise ValueError(f"number of slots must be >= 1 (you requested {n})")
+        raise ValueError(f"a counter needs one slot or more, got {n!r}")
 
 
 def require_window_slots(n: int) -> None:
     if not isinstance(n, int) or n < 2:
-        raise ValueError(f"window length in slots must be at least two (you requested {n})")
+        raise ValueError(f"a sliding window needs two slots or more, got {n!r}")
 
 
 def require_tracked(n: int) -> None:
     if not isinstance(n, int) or n < 1:
-        raise ValueError(f"the number of tracked modifications must be >= 1 (you requested {n})")
+        raise ValueError(f"track one mark or more, got {n!r}")

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.timeops import is_ntz, micros
 
-SAME_SIDE_TWICE = "Received same side of single join twice"
-MISSING_OUTFIELDS = "Cannot find all outfields among sources"
+SAME_SIDE_TWICE = "a key occurs more than once on one side of a single join"
+MISSING_OUTFIELDS = "no side of the join has the requested field"
 
 
 def infer_keys(sides: Sequence[DataFrame]) -> list[str]:

@@ -12,9 +12,7 @@ that never decreases along the order (a time bucket, ``id div width``,
 2. compute one summary row per ``(key, chunk)`` with a partial (map-side)
    aggregate, so only the small summary is shuffled;
 3. carry what earlier chunks contribute (a running offset for counts and
-   sums, the last ``k`` values for a lag) with a window over the summary --
-   for a summary too large for one task, the offsets are themselves
-   computed chunk-wise (``_chunk_offsets``);
+   sums, the last ``k`` values for a lag) with a window over the summary;
 4. join the small carry table back on ``(key, chunk)``; the per-row side is
    already hash-partitioned on those columns by step 1, so it is not
    shuffled again (AQE turns the join into a broadcast when the summary is
@@ -27,6 +25,7 @@ of one key a task holds and how many rows the summary has.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,25 +53,56 @@ def time_chunk(ts: str | Column, seconds: int) -> Column:
     return F.floor(us / F.lit(seconds * 1_000_000)).cast("long")
 
 
-# Most chunks one key's order is cut into by ``time_chunk_for``.
-MAX_TIME_CHUNKS = 100_000
+#: Chunks of an order by default.  A task holds at most about rows / CHUNKS rows of one key; raise it with the cluster.
+CHUNKS = 64
 
 
-def time_chunk_for(df: DataFrame, ts: str, rows_per_chunk: int, max_chunks: int = MAX_TIME_CHUNKS) -> Column:
-    """``time_chunk`` sized from the data: about ``rows_per_chunk`` rows (over
-    all keys) per chunk on average, but never more than ``max_chunks`` chunks
-    over the span.  A hot key is split more finely as the data grows, while
-    the per-key chunk summaries (the carry windows) stay bounded.  Costs one
-    small aggregate over the time column (min, max, count); only three values
-    reach the driver."""
-    if rows_per_chunk < 1 or max_chunks < 1:
-        raise ValueError("rows_per_chunk and max_chunks must be >= 1")
-    lo, hi, n = df.agg(F.min(ts), F.max(ts), F.count(F.lit(1))).first()
-    if not n or lo is None:
-        return time_chunk(ts, 86400)
-    span = max((hi - lo).total_seconds(), 1.0)
-    per_chunk = max(rows_per_chunk, n / max_chunks)
-    return time_chunk(ts, max(1, int(span * per_chunk / n)))
+@dataclass(frozen=True)
+class QuantileChunk:
+    """Chunk of an orderable number or time column: how many of ``chunks - 1``
+    approximate quantiles of it (over ``source``) lie at or below it.
+
+    The quantiles are a scalar subquery, computed when the query runs (no job
+    while it is built) by a partial aggregate.  Chunks hold about equally many
+    rows whatever the values are: an outlier, a burst or sparse ids do not
+    change that.  Their number is fixed, so the summary of a key is at most
+    ``chunks`` rows.  Rows of one very same value share a chunk.  A null is in
+    chunk 0 (nulls sort first)."""
+
+    source: DataFrame
+    col: str
+    chunks: int = CHUNKS
+
+    def attach(self, df: DataFrame, out: str) -> DataFrame:
+        """``df`` with the chunk as column ``out``."""
+        if self.chunks < 1:
+            raise ValueError("at least one chunk is needed")
+        value = F.col(self.col)
+        if self.chunks == 1:
+            return df.withColumn(out, F.lit(0).cast("long"))
+        shares = [i / self.chunks for i in range(1, self.chunks)]
+        bounds = self.source.agg(F.percentile_approx(self.col, shares, 20 * self.chunks)).scalar()
+
+        def place(b: Column, low: int, high: int) -> Column:
+            """Binary search for the number of bounds at or below the value, known to be in [low, high]."""
+            if low == high:
+                return F.lit(low).cast("long")
+            mid = (low + high) // 2
+            return F.when(value >= b[mid], place(b, mid + 1, high)).otherwise(place(b, low, mid))
+
+        # the bounds are a column of their own and a lambda variable, so the search tree holds them once
+        found = F.transform(F.array("_tp_bounds"), lambda b: place(b, 0, self.chunks - 1))[0]
+        return (df.withColumn("_tp_bounds", bounds)
+                .withColumn(out, F.when(value.isNull(), F.lit(0).cast("long")).otherwise(found)).drop("_tp_bounds"))
+
+
+def quantile_chunk(df: DataFrame, col: str, chunks: int = CHUNKS) -> QuantileChunk:
+    """Chunks of about equally many rows along ``col``; see ``QuantileChunk``."""
+    return QuantileChunk(df, col, chunks)
+
+
+def with_chunk(df: DataFrame, chunk: Column | QuantileChunk, out: str = _CHUNK) -> DataFrame:
+    return chunk.attach(df, out) if isinstance(chunk, QuantileChunk) else df.withColumn(out, chunk)
 
 
 def _with_key(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -95,82 +125,37 @@ def _attach(per_row: DataFrame, carry: DataFrame, part: Sequence[str]) -> DataFr
     return per_row.join(carry, cols, "inner")
 
 
-# Chunks per group when the chunk offsets are themselves computed chunk-wise.
-CARRY_FANOUT = 4096
-# Most summary rows one task is asked to order.
-MAX_ORDERED_ROWS = 10_000_000
-
-
-def carry_levels_for(max_chunks: int, fanout: int = CARRY_FANOUT, max_rows: int = MAX_ORDERED_ROWS) -> int:
-    """Extra levels needed so that no task orders more than ``max_rows``
-    chunk rows of one key."""
-    levels, n = 0, max(int(max_chunks), 0)
-    while n > max_rows:
-        n = -(-n // fanout)
-        levels += 1
-    return levels
-
-
-def _row_bound(df: DataFrame) -> int:
-    """A plan-time estimate of the rows of ``df`` (Catalyst's size estimate
-    over an 8-byte minimum row); no job runs."""
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        return size // 8
-    except Exception:  # noqa: BLE001 -- no estimate: assume large
-        return 1 << 62
-
-
-def _chunk_offsets(summary: DataFrame, part: Sequence[str], levels: int, fanout: int) -> DataFrame:
-    """``(part, chunk, _tp_off)``: the total of all earlier chunks of the key.
-
-    With ``levels == 0`` one window orders all chunks of a key in one task.
-    Each extra level runs the same chunked running sum over the summary
-    itself (groups of ``fanout`` consecutive chunk ids), so the rows ordered
-    in one task shrink by ``fanout`` per level: id-chunked inputs (whose
-    number of chunks grows with the data) stay bounded at any size.
-    """
-    if levels <= 0:
-        w = Window.partitionBy(*part).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-        return summary.select(*part, _CHUNK, F.coalesce(F.sum("_tp_tot").over(w), F.lit(0)).alias("_tp_off"))
-    inner_keys = [f"_tp_p{i}" for i in range(len(part))]
-    s = summary.select(*[F.col(p).alias(q) for p, q in zip(part, inner_keys)],
-                       F.col(_CHUNK).alias("_tp_c"), F.col("_tp_tot").alias("_tp_t"))
-    inc = running_total(s, inner_keys, ["_tp_c"], id_chunk("_tp_c", fanout), "_tp_inc", value="_tp_t",
-                        carry_levels=levels - 1, fanout=fanout)
-    return inc.select(*[F.col(q).alias(p) for p, q in zip(part, inner_keys)], F.col("_tp_c").alias(_CHUNK),
-                      (F.col("_tp_inc") - F.col("_tp_t")).alias("_tp_off"))
+def _chunk_offsets(summary: DataFrame, part: Sequence[str]) -> DataFrame:
+    """``(part, chunk, _tp_off)``: the total of all earlier chunks of the key,
+    from its one row per chunk."""
+    w = Window.partitionBy(*part).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    return summary.select(*part, _CHUNK, F.coalesce(F.sum("_tp_tot").over(w), F.lit(0)).alias("_tp_off"))
 
 
 def running_total(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                  chunk: Column, out: str, value: str | Column | None = None,
-                  carry_levels: int | None = None, fanout: int = CARRY_FANOUT) -> DataFrame:
+                  chunk: Column | QuantileChunk, out: str, value: str | Column | None = None) -> DataFrame:
     """Add ``out`` = inclusive running count (``value`` None) or running sum of
     ``value`` per ``keys`` along ``order``.
 
     ``order`` must be a total order within a key (add a unique id as the last
-    column) so the result is deterministic.  ``carry_levels`` (see
-    ``_chunk_offsets``) defaults to what the input's estimated size needs
-    (0 for anything up to ``MAX_ORDERED_ROWS`` rows); pass 0 when the number
-    of chunks per key is bounded regardless of data size, e.g. time buckets
-    over a known span.
+    column) so the result is deterministic.  A key's summary has one row per
+    chunk and is ordered in one task: use a chunking with a bounded number of
+    chunks (``quantile_chunk``).
     """
-    if carry_levels is None:
-        carry_levels = carry_levels_for(_row_bound(df), fanout)
     v = F.lit(1).cast("long") if value is None else (F.col(value) if isinstance(value, str) else value)
-    d, part = _with_key(df.withColumn(_CHUNK, chunk).withColumn("_tp_v", v), list(keys))
+    d, part = _with_key(with_chunk(df, chunk).withColumn("_tp_v", v), list(keys))
     w_in = (Window.partitionBy(*part, _CHUNK).orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     per_row = d.withColumn("_tp_local", F.sum("_tp_v").over(w_in))
     summary = d.groupBy(*part, _CHUNK).agg(F.sum("_tp_v").alias("_tp_tot"))
-    carry = _chunk_offsets(summary, part, carry_levels, fanout)
+    carry = _chunk_offsets(summary, part)
     res = _attach(per_row, carry, part)
     return (res.withColumn(out, (F.col("_tp_local") + F.col("_tp_off")).cast("long"))
             .drop("_tp_v", "_tp_local", "_tp_off", _CHUNK, *part))
 
 
 def running_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                chunk: Column, col: str, k: int, out: str) -> DataFrame:
+                chunk: Column | QuantileChunk, col: str, k: int, out: str) -> DataFrame:
     """Add ``out`` = value of ``col`` ``k`` rows earlier in the key's order
     (null when there is no such row), like ``lag(col, k)``.
 
@@ -179,14 +164,14 @@ def running_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column
     row, the ``k`` preceding chunks always suffice.  All carried lists hold
     at most ``k`` values per chunk, ``k`` a small operator parameter.  The
     carry window orders a key's chunks in one task, so use a chunking with a
-    bounded number of chunks per key (``time_chunk_for`` caps it).
+    bounded number of chunks per key (``quantile_chunk``).
     """
     if k < 0:
         raise ValueError("lag offset must be >= 0")
     if k == 0:
         return df.withColumn(out, F.col(col))
     order = list(order)
-    d, part = _with_key(df.withColumn(_CHUNK, chunk), list(keys))
+    d, part = _with_key(with_chunk(df, chunk), list(keys))
     w_in = Window.partitionBy(*part, _CHUNK).orderBy(*order)
     per_row = (d.withColumn("_tp_pos", F.row_number().over(w_in))
                .withColumn("_tp_lag", F.lag(col, k).over(w_in)))

@@ -21,45 +21,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# Largest proven input (rows of each hop table) for the co-located plan.
-SMALL_INPUT_ROWS = 2_000_000
-
-
-def _partitions(spark) -> int:
-    try:
-        return int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except (TypeError, ValueError):
-        return spark.sparkContext.defaultParallelism
-
-
-def reach_pairs(requests: DataFrame, hop1: DataFrame, hop2: DataFrame,
-                rows_bound: int | None = None) -> DataFrame:
+def reach_pairs(requests: DataFrame, hop1: DataFrame, hop2: DataFrame) -> DataFrame:
     """(request_id, follower) rows, one per path (not yet distinct).
 
     ``requests(request_id, url)``, ``hop1(url, tweeter)``, ``hop2(tweeter, follower)``.
 
-    Default plan (any size, skew-safe): hop 1 is deduplicated on
-    (request, tweeter), hop 2 is a shuffled join on tweeter (AQE splits a hot
-    tweeter), and the pairs are then shuffled on (request, follower) for the
-    distinct.  When ``rows_bound`` -- a *proven* upper bound on the rows of
-    both hop tables, e.g. the row count of the table they derive from, read
-    from parquet metadata -- is at most ``SMALL_INPUT_ROWS``, hop 2 is
-    broadcast (its size is bounded) and hop 1 is hash-partitioned by request
-    into a fixed number of partitions (not coalesced by AQE), so the pairs
-    come out already clustered by request and the distinct count needs no
-    shuffle of the pairs.  Both plans give the same rows.
+    One plan at any size: hop 1 is deduplicated on (request, tweeter), hop 2 is
+    joined on tweeter (AQE picks the join from measured sizes and splits a hot
+    tweeter), and the pairs are aggregated on (request, follower) by the
+    distinct count, partially before its shuffle.
     """
     hop1_rows = requests.join(hop1, "url", "inner").select("request_id", "tweeter")
-    if rows_bound is not None and rows_bound <= SMALL_INPUT_ROWS:
-        n = _partitions(requests.sparkSession)
-        tweeters = hop1_rows.repartition(n, "request_id").dropDuplicates(["request_id", "tweeter"])
-        return tweeters.join(F.broadcast(hop2), "tweeter", "inner").select("request_id", "follower")
     tweeters = hop1_rows.dropDuplicates(["request_id", "tweeter"])
     return tweeters.join(hop2, "tweeter", "inner").select("request_id", "follower")
 
 
 def reach(requests: DataFrame, hop1: DataFrame, hop2: DataFrame, out: str = "reach",
-          method: str = "distinct", rows_bound: int | None = None) -> DataFrame:
+          method: str = "distinct") -> DataFrame:
     """One row per request: ``(request_id, <out>)``.
 
     ``method``:
@@ -68,7 +46,7 @@ def reach(requests: DataFrame, hop1: DataFrame, hop2: DataFrame, out: str = "rea
       * ``group_one`` -- group by follower, each group counts as one, then sum
       * ``approx``    -- HyperLogLog estimate, for when an estimate suffices
     """
-    pairs = reach_pairs(requests, hop1, hop2, rows_bound)
+    pairs = reach_pairs(requests, hop1, hop2)
     if method == "distinct":
         counts = pairs.groupBy("request_id").agg(F.count_distinct("follower").alias("_tp_n"))
     elif method == "uniquer":

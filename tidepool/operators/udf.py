@@ -9,6 +9,7 @@ the per-row Python inside stays a small helper.
 from __future__ import annotations
 
 import operator
+from functools import reduce
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -92,10 +93,10 @@ def combine_by_key(df: DataFrame, keys: Sequence[str], value: str, comb: Combine
                    out: str = "value", out_type: str = "bigint") -> DataFrame:
     """Keyed aggregate with a user combiner.
 
-    Map side: each partition folds its rows into one partial per key
-    (``mapInArrow``), so a hot key leaves each task as a single row.
-    Reduce side: the partials of a key (at most one per map partition) are
-    combined in ``groupBy().applyInArrow``.
+    Map side: each Arrow batch is grouped by key and folded into one partial
+    per key (``mapInArrow``), so memory is bounded by a batch and a hot key
+    leaves it as a single row.  Reduce side: the partials of a key (at most
+    one per batch) are combined in ``groupBy().applyInArrow``.
     """
     keys = list(keys)
     key_schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
@@ -103,16 +104,14 @@ def combine_by_key(df: DataFrame, keys: Sequence[str], value: str, comb: Combine
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        acc: dict[tuple, Any] = {}
         for b in batches:
-            cols = [b.column(i).to_pylist() for i in range(len(keys) + 1)]
-            for row in zip(*cols):
-                k, v = row[:-1], comb.init(row[-1])
-                acc[k] = comb.combine(acc[k], v) if k in acc else v
-        if acc:
-            ks = list(acc.keys())
-            arrays = [pa.array([k[i] for k in ks], type=arrow.field(i).type) for i in range(len(keys))]
-            arrays.append(pa.array(list(acc.values()), type=arrow.field(len(keys)).type))
+            if not b.num_rows:
+                continue
+            named = pa.table([*b.columns[:-1], b.columns[-1]], names=[*keys, "_tp_v"])
+            lists = named.group_by(keys).aggregate([("_tp_v", "list")])
+            partial = [reduce(comb.combine, map(comb.init, vs)) for vs in lists.column("_tp_v_list").to_pylist()]
+            arrays = [lists.column(k).combine_chunks().cast(arrow.field(k).type) for k in keys]
+            arrays.append(pa.array(partial, type=arrow.field(len(keys)).type))
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     def final(table: pa.Table) -> pa.Table:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidepool.functions.timeops import elapsed_seconds, is_ntz, slot_start
 from tidepool.operators.guards import require_emit_seconds, require_slots, require_tracked, require_window_slots
-from tidepool.operators.ordered import running_lag, time_chunk
+from tidepool.operators.ordered import QuantileChunk, running_lag, time_chunk
 
 
 def _dur(seconds: int) -> str:
@@ -58,9 +58,10 @@ def slot_totals_excluding(counts: DataFrame, excluded_slot: Column, drop_zeros:
     return out.filter(F.col("total") > 0) if drop_zeros else out
 
 
-def oldest_slot(counts: DataFrame) -> Column:
-    """The tail slot of a counter: the oldest live slot (scalar subquery)."""
-    return counts.agg(F.min("slot_start")).scalar()
+def oldest_slot(df: DataFrame, ts: str, slot_seconds: int) -> Column:
+    """The tail slot of a counter: the oldest slot with rows, from the input
+    itself (a scalar subquery: one partial aggregate over a single column)."""
+    return df.agg(F.min(slot_start(ts, slot_seconds, is_ntz(df, ts)))).scalar()
 
 
 # ------------------------------------------------------------ sliding window
@@ -137,7 +138,7 @@ def rolling_count(df: DataFrame, obj: str, ts: str, window_seconds: int, emit_se
 # ------------------------------------------------- time since n-th last mark
 def nth_last_modified(df: DataFrame, key: str, ts: str, tiebreak: str, n: int,
                       start_ts: Column | None = None, chunk_seconds: int = 86400,
-                      out: str = "seconds_since_oldest", chunk: Column | None = None,
+                      out: str = "seconds_since_oldest", chunk: Column | QuantileChunk | None = None,
                       before_mark: bool = False) -> DataFrame:
     """For every mark (row) of a key, the whole seconds between it and the
     oldest of the key's last ``n`` marks, the ring being pre-filled with the
@@ -147,7 +148,7 @@ def nth_last_modified(df: DataFrame, key: str, ts: str, tiebreak: str, n: int,
     mark is made, as the rolling counter does at each tick: the oldest of the
     previous ``n`` marks, ``lag(ts, n)``.  Hot keys are chunked by
     ``chunk_seconds`` (or an explicit ``chunk`` column, e.g.
-    ``ordered.time_chunk_for``).
+    ``ordered.quantile_chunk``).
     """
     require_tracked(n)
     if start_ts is None:

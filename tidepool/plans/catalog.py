@@ -27,9 +27,9 @@ from tidepool.operators import ranking as R
 from tidepool.operators import reach as RE
 from tidepool.operators import udf as U
 from tidepool.operators import windows as W
-from tidepool.operators.ordered import id_chunk, time_chunk_for
-from tidepool.sources.batches import with_batch_id, with_partitioned_batch_id
-from tidepool.sources.choice import PARAMETERIZED_EXAMPLE, RANDOM_SENTENCES, choice_source
+from tidepool.operators.ordered import quantile_chunk
+from tidepool.sources.batches import cycled, with_batch_id, with_partitioned_batch_id
+from tidepool.sources.choice import CLOJURE_SENTENCES, PARAMETERIZED_EXAMPLE, RANDOM_SENTENCES, choice_source
 from tidepool.sources.requests import requests_from
 from tidepool.sources.tables import table
 
@@ -55,20 +55,13 @@ BATCH_SIZE = 100
 PARTITIONS = 3
 PARTITION_TAKE = 100
 JOIN_TIMEOUT = DAY
-ID_CHUNK = 4096                    # rows of the id order per chunk
-TIME_CHUNK_ROWS = 4096             # average rows (all keys) per time chunk
+CYCLES = 2
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return table(spark, sf, name)
 
 
-def _texts(spark: SparkSession, sf: str, name: str = "documents") -> DataFrame:
-    """A text table, spread over the cores before whole-text tokenising when
-    the scan is narrower than the cluster (bounded extra shuffle)."""
-    return D.spread_narrow(table(spark, sf, name))
-
-
 # ------------------------------------------------------------ windows (W*)
 def rolling_top_words(spark, sf):
     ev = _t(spark, sf, "events")
@@ -106,33 +99,45 @@ def slot_totals(spark, sf):
 
 
 def slot_totals_excluding(spark, sf):
-    c = _day_slots(spark, sf)
-    return W.slot_totals_excluding(c, W.oldest_slot(c))
+    return W.slot_totals_excluding(_day_slots(spark, sf), W.oldest_slot(_t(spark, sf, "events"), "ts", DAY))
 
 
 def slot_totals_nonzero(spark, sf):
-    c = _day_slots(spark, sf)
-    return W.slot_totals_excluding(c, W.oldest_slot(c), drop_zeros=True)
+    oldest = W.oldest_slot(_t(spark, sf, "events"), "ts", DAY)
+    return W.slot_totals_excluding(_day_slots(spark, sf), oldest, drop_zeros=True)
 
 
 def nth_last_modified(spark, sf):
     ev = _t(spark, sf, "events").select("event_id", "user_id", "ts")
     return W.nth_last_modified(ev, "user_id", "ts", "event_id", TRACKED_MARKS,
-                               chunk=time_chunk_for(ev, "ts", TIME_CHUNK_ROWS))
+                               chunk=quantile_chunk(ev, "ts"))
+
+
+def nth_before_mark(spark, sf):
+    """The tracker read before the row's own mark, as the rolling counter reads it."""
+    ev = _t(spark, sf, "events").select("event_id", "user_id", "ts")
+    return W.nth_last_modified(ev, "user_id", "ts", "event_id", TRACKED_MARKS, chunk=quantile_chunk(ev, "ts"),
+                               before_mark=True)
+
+
+def slot_lookup(spark, sf):
+    """Every user's count in the slot of every day that has events: 0 on a miss."""
+    counts = _day_slots(spark, sf)
+    probes = (counts.select("obj").distinct()
+              .withColumn("days", counts.agg(F.collect_set("slot_start")).scalar())
+              .select("obj", F.explode("days").alias("slot_start")))
+    return W.slot_count_lookup(counts, probes)
 
 
 # ------------------------------------------------------- counts and text
 def running_count(spark, sf):
     ev = _t(spark, sf, "events").select("event_id", "ts", F.col("event_type").alias("word"))
-    # Chunk width from the data: a hot word is split more finely as it grows;
-    # at most MAX_TIME_CHUNKS chunks per word, so one carry level suffices.
-    out = C.running_count(ev, "word", ["ts", "event_id"], time_chunk_for(ev, "ts", TIME_CHUNK_ROWS),
-                          carry_levels=0)
+    out = C.running_count(ev, "word", ["ts", "event_id"], quantile_chunk(ev, "ts"))
     return out.select("event_id", "word", "count")
 
 
 def _java_words(spark, sf, name="documents"):
-    return G.tokens(_texts(spark, sf, name), "text", "java")
+    return G.tokens(_t(spark, sf, name), "text", "java")
 
 
 def word_count(spark, sf):
@@ -142,24 +147,24 @@ def word_count(spark, sf):
 def merge_streams(spark, sf):
     docs = _t(spark, sf, "documents").select("text")
     conv = _t(spark, sf, "conversations").select("text")
-    merged = D.spread_narrow(D.merge_streams([docs, conv], ["sentence"]))
+    merged = D.merge_streams([docs, conv], ["sentence"])
     return C.word_count(G.tokens(merged, "sentence", "java"))
 
 
 def split_java(spark, sf):
-    return G.token_counts(_texts(spark, sf), "doc_id", "text", "java")
+    return G.token_counts(_t(spark, sf, "documents"), "doc_id", "text", "java")
 
 
 def split_python(spark, sf):
-    return G.token_counts(_texts(spark, sf), "doc_id", "text", "python")
+    return G.token_counts(_t(spark, sf, "documents"), "doc_id", "text", "python")
 
 
 def split_whitespace(spark, sf):
-    return G.token_counts(_texts(spark, sf), "doc_id", "text", "whitespace")
+    return G.token_counts(_t(spark, sf, "documents"), "doc_id", "text", "whitespace")
 
 
 def expand_list(spark, sf):
-    docs = _texts(spark, sf).select("doc_id", F.split("text", "\n", -1).alias("lines"))
+    docs = _t(spark, sf, "documents").select("doc_id", F.split("text", "\n", -1).alias("lines"))
     lines = G.expand_list(docs, "lines", "line")
     return lines.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_lines"),
                                        F.sum(F.length("line")).cast("long").alias("line_chars"))
@@ -286,25 +291,22 @@ def _reach_inputs(spark, sf):
             .join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
             .select(F.col("l_partkey").alias("tweeter"), F.col("o_custkey").alias("follower"))
             .dropDuplicates(["tweeter", "follower"]))
-    # Proven bound for both hops: each of their rows comes from one line item
-    # (an exact count from parquet metadata).
-    bound = li.count()
-    return requests, hop1, hop2, bound
+    return requests, hop1, hop2
 
 
 def reach(spark, sf):
-    req, h1, h2, bound = _reach_inputs(spark, sf)
-    return RE.reach(req, h1, h2, out="reach", method="distinct", rows_bound=bound)
+    req, h1, h2 = _reach_inputs(spark, sf)
+    return RE.reach(req, h1, h2, out="reach", method="distinct")
 
 
 def reach_count(spark, sf):
-    req, h1, h2, bound = _reach_inputs(spark, sf)
-    return RE.reach(req, h1, h2, out="count", method="uniquer", rows_bound=bound)
+    req, h1, h2 = _reach_inputs(spark, sf)
+    return RE.reach(req, h1, h2, out="count", method="uniquer")
 
 
 def reach_group_sum(spark, sf):
-    req, h1, h2, bound = _reach_inputs(spark, sf)
-    return RE.reach(req, h1, h2, out="reach", method="group_one", rows_bound=bound)
+    req, h1, h2 = _reach_inputs(spark, sf)
+    return RE.reach(req, h1, h2, out="reach", method="group_one")
 
 
 def group_one(spark, sf):
@@ -393,13 +395,13 @@ def join_duplicate_keys(spark, sf):
 # ---------------------------------------------- batches and changelogs
 def src_fixed_batches(spark, sf):
     ev = _t(spark, sf, "events").select("event_id")
-    return with_batch_id(ev, ["event_id"], BATCH_SIZE, id_chunk("event_id", ID_CHUNK))
+    return with_batch_id(ev, ["event_id"], BATCH_SIZE, quantile_chunk(ev, "event_id"))
 
 
 def _partitioned(spark, sf):
     ev = _t(spark, sf, "events").select("event_id", "user_id",
                                         (F.col("user_id") % PARTITIONS).alias("part"))
-    return with_partitioned_batch_id(ev, "part", ["event_id"], PARTITION_TAKE, id_chunk("event_id", ID_CHUNK))
+    return with_partitioned_batch_id(ev, "part", ["event_id"], PARTITION_TAKE, quantile_chunk(ev, "event_id"))
 
 
 def src_partitioned_batches(spark, sf):
@@ -410,6 +412,16 @@ def batch_count(spark, sf):
     return C.batch_count(_partitioned(spark, sf))
 
 
+def keyed_batch_count(spark, sf):
+    return C.keyed_batch_count(_partitioned(spark, sf), "user_id")
+
+
+def src_cycled(spark, sf):
+    """The fixed-batch source replayed twice: rows per batch and replay."""
+    b = cycled(src_fixed_batches(spark, sf), CYCLES)
+    return b.groupBy("cycle", "batch_id").agg(F.count(F.lit(1)).alias("count"))
+
+
 def global_count(spark, sf):
     return C.global_count(C.batch_count(_partitioned(spark, sf))).select("batch_id", "count", "global_count")
 
@@ -443,6 +455,11 @@ def src_random_sentence(spark, sf):
     return choice_source(_t(spark, sf, "events"), "event_id", RANDOM_SENTENCES)
 
 
+def src_clojure_sentence(spark, sf):
+    return choice_source(_t(spark, sf, "conversations").select(
+        (F.col("conv_id") * F.lit(64) + F.col("turn")).alias("row_id")), "row_id", CLOJURE_SENTENCES, seed=3)
+
+
 def src_param_choice(spark, sf):
     return choice_source(_t(spark, sf, "documents"), "doc_id", PARAMETERIZED_EXAMPLE, seed=7)
 
@@ -456,6 +473,12 @@ def dist_fields(spark, sf):
     return D.by_fields(_t(spark, sf, "events").select("event_id", "user_id"), ["user_id"], 8)
 
 
+def dist_all(spark, sf):
+    """All grouping: each of PARTITIONS consumers counts every event type."""
+    copies = D.replicate(_t(spark, sf, "events").select("event_type"), PARTITIONS)
+    return copies.groupBy("task", "event_type").agg(F.count(F.lit(1)).alias("count"))
+
+
 def route_streams(spark, sf):
     ev = _t(spark, sf, "events").select("event_id", "event_type")
     routed = D.route(ev, {"alerts": F.col("event_type") == "error",
@@ -465,12 +488,12 @@ def route_streams(spark, sf):
 
 # ------------------------------------------------------------ UDF surface
 def udtf_split(spark, sf):
-    toks = U.arrow_udtf_tokens(_texts(spark, sf), "doc_id", "text")
+    toks = U.arrow_udtf_tokens(_t(spark, sf, "documents"), "doc_id", "text")
     return toks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"))
 
 
 def map_in_arrow_split(spark, sf):
-    return U.arrow_token_counts(_texts(spark, sf), "doc_id", "text")
+    return U.arrow_token_counts(_t(spark, sf, "documents"), "doc_id", "text")
 
 
 def udaf_combiner(spark, sf):
@@ -478,6 +501,14 @@ def udaf_combiner(spark, sf):
     return U.combine_by_key(b, ["batch_id"], "event_id", U.COUNT, out="count")
 
 
+def udaf_global(spark, sf):
+    """A combiner over all rows, its zero over none."""
+    orders = _t(spark, sf, "orders").select("o_orderkey")
+    none = orders.where(F.col("o_orderkey") < 0)
+    some = U.combine_all(orders, "o_orderkey", U.COUNT, out="count").withColumn("input", F.lit("orders"))
+    return some.unionByName(U.combine_all(none, "o_orderkey", U.COUNT, out="count").withColumn("input", F.lit("none")))
+
+
 def udaf_batch(spark, sf):
     b = _partitioned(spark, sf).select("batch_id", "event_id")
     return U.batch_aggregate(b, "batch_id", "event_id", U.count_rows, out="count")
@@ -493,6 +524,13 @@ QUERIES: dict[str, Query] = {
     "slot_totals_excluding": slot_totals_excluding,
     "slot_totals_nonzero": slot_totals_nonzero,
     "nth_last_modified": nth_last_modified,
+    "nth_before_mark": nth_before_mark,
+    "slot_lookup": slot_lookup,
+    "keyed_batch_count": keyed_batch_count,
+    "src_cycled": src_cycled,
+    "src_clojure_sentence": src_clojure_sentence,
+    "dist_all": dist_all,
+    "udaf_global": udaf_global,
     "running_count": running_count,
     "word_count": word_count,
     "merge_streams": merge_streams,

@@ -8,7 +8,7 @@ cast to BIGINT (DuckDB's sum of integers is HUGEINT) and ranks to INTEGER.
 from __future__ import annotations
 
 from tidepool.plans import catalog as Q
-from tidepool.sources.choice import PARAMETERIZED_EXAMPLE, RANDOM_SENTENCES
+from tidepool.sources.choice import CLOJURE_SENTENCES, PARAMETERIZED_EXAMPLE, RANDOM_SENTENCES
 
 _US = 1_000_000
 
@@ -238,6 +238,24 @@ SELECT batch_id, bucket, CAST(sum(s) OVER (PARTITION BY bucket ORDER BY batch_id
     "count_histogram": """SELECT n // 10 AS bucket, count(*) AS count FROM (
   SELECT user_id, count(*) AS n FROM events GROUP BY 1) GROUP BY 1""",
     "src_random_sentence": _choice_sql("event_id", "events", RANDOM_SENTENCES, 0),
+    "src_clojure_sentence": _choice_sql(
+        "row_id", "(SELECT conv_id * 64 + turn AS row_id FROM conversations)", CLOJURE_SENTENCES, 3),
+    "keyed_batch_count": f"WITH {_PARTITIONED} SELECT batch_id, user_id, count(*) AS count FROM b GROUP BY 1, 2",
+    "src_cycled": f"""SELECT CAST(cycle AS BIGINT) AS cycle, batch_id, count(*) AS count FROM (
+  SELECT CAST((row_number() OVER (ORDER BY event_id) - 1) // {Q.BATCH_SIZE} AS BIGINT) AS batch_id FROM events), range({Q.CYCLES}) AS r(cycle)
+GROUP BY 1, 2""",
+    "dist_all": f"""SELECT CAST(task AS INTEGER) AS task, event_type, count(*) AS count FROM events, range({Q.PARTITIONS}) AS r(task)
+GROUP BY 1, 2""",
+    "udaf_global": """SELECT count(*) AS count, 'orders' AS input FROM orders
+UNION ALL SELECT count(*), 'none' FROM orders WHERE o_orderkey < 0""",
+    "slot_lookup": f"""WITH c AS ({_DAY_SLOTS})
+SELECT o.obj, d.slot_start, coalesce(c.count, 0) AS count
+FROM (SELECT DISTINCT obj FROM c) o CROSS JOIN (SELECT DISTINCT slot_start FROM c) d
+LEFT JOIN c ON c.obj IS NOT DISTINCT FROM o.obj AND c.slot_start = d.slot_start""",
+    "nth_before_mark": f"""SELECT event_id, user_id, ts,
+  CAST((epoch_us(ts) - epoch_us(coalesce(lag(ts, {Q.TRACKED_MARKS}) OVER (PARTITION BY user_id ORDER BY ts, event_id),
+                                          (SELECT min(ts) FROM events)))) // {_US} AS INTEGER) AS seconds_since_oldest
+FROM events""",
     "src_param_choice": _choice_sql("doc_id", "documents", PARAMETERIZED_EXAMPLE, 7),
     "dist_shuffle": "SELECT event_id, event_type FROM events",
     "dist_fields": "SELECT event_id, user_id FROM events",

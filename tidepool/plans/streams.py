@@ -8,7 +8,7 @@ there and stops (tests, catch-up runs); otherwise the query keeps running on
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,26 +17,27 @@ from pyspark.sql.streaming import StreamingQuery
 from tidepool.functions.text import split_rule, suffix
 from tidepool.operators import windows as W
 from tidepool.operators.counts import word_count
+from tidepool.operators.distribution import merge_streams
 from tidepool.operators.generators import tokens
 from tidepool.operators.reach import lookup_sum, reach
 from tidepool.streaming.joins import stream_single_join
-from tidepool.streaming.runner import run_available, run_foreach_batch
+from tidepool.streaming.runner import run_foreach_batch
 from tidepool.streaming.stateful import ranking_each_batch, running_count_stream
 from tidepool.streaming.versioned import (
     BatchOutput, VersionedStore, bucket_counter, global_counter, keyed_counter,
 )
 
 
-def _start(df: DataFrame, name: str, body=None, available_now: bool = True, every: str | None = None,
-           checkpoint: str | None = None, output_mode: str = "append") -> StreamingQuery:
-    if body is not None:
-        return run_foreach_batch(df, name, body, output_mode=output_mode, checkpoint=checkpoint,
-                                 processing_time=None if available_now else every)
-    if available_now:
-        return run_available(df, name, output_mode=output_mode, checkpoint=checkpoint)
-    w = (df.writeStream.queryName(name).outputMode(output_mode).format("memory")
-         .option("checkpointLocation", checkpoint))
-    return w.trigger(processingTime=every or "1 second").start()
+def _start(df: DataFrame, name: str, body: Callable[[DataFrame, int], None], available_now: bool, every: str,
+           checkpoint: str | None = None) -> StreamingQuery:
+    """Run ``body`` per micro-batch, once over what is there or on the period ``every``."""
+    return run_foreach_batch(df, name, body, checkpoint=checkpoint, processing_time=None if available_now else every)
+
+
+def _append_to(output: BatchOutput) -> Callable[[DataFrame, int], None]:
+    """The sink of row pipelines: each micro-batch is written under its id,
+    overwritten by a replay, so rows are durable and never doubled."""
+    return lambda batch, batch_id: output.write(batch, batch_id)
 
 
 def word_tokens_stream(sentences: DataFrame, text: str, order: Sequence[str], rule: str) -> DataFrame:
@@ -53,11 +54,16 @@ def running_word_count(sentences: DataFrame, text: str = "sentence", order: Sequ
     return running_count_stream(toks, "word", [*order, "pos"])
 
 
-def running_word_count_job(sentences: DataFrame, name: str, text: str = "sentence",
-                           order: Sequence[str] = ("seq",), rule: str = "python",
-                           available_now: bool = True, checkpoint: str | None = None) -> StreamingQuery:
-    return _start(running_word_count(sentences, text, order, rule), name, available_now=available_now,
-                  checkpoint=checkpoint)
+def running_word_count_job(sentences: DataFrame | Sequence[DataFrame], output: BatchOutput, name: str,
+                           text: str = "sentence", order: Sequence[str] = ("seq",), rule: str = "python",
+                           available_now: bool = True, every: str = "1 second",
+                           checkpoint: str | None = None) -> StreamingQuery:
+    """Q3, and Q4 over several running sources: sentence streams are merged
+    (their columns by position) and counted together, rows to ``output``."""
+    if not isinstance(sentences, DataFrame):
+        sentences = merge_streams(sentences, [*order, text])
+    return _start(running_word_count(sentences, text, order, rule), name, _append_to(output), available_now, every,
+                  checkpoint)
 
 
 def rolling_top_words_job(events: DataFrame, output: BatchOutput, name: str, obj: str, ts: str,
@@ -72,12 +78,13 @@ def rolling_top_words_job(events: DataFrame, output: BatchOutput, name: str, obj
     return _start(counts, name, body, available_now, f"{emit_seconds} seconds", checkpoint)
 
 
-def single_join_job(left: DataFrame, right: DataFrame, name: str, keys: Sequence[str], left_ts: str,
+def single_join_job(left: DataFrame, right: DataFrame, output: BatchOutput, name: str, keys: Sequence[str], left_ts: str,
                     right_ts: str, timeout_seconds: int, watermark: str, out_fields: Sequence[str],
-                    available_now: bool = True, checkpoint: str | None = None) -> StreamingQuery:
-    """Q6: join the sides of each key within the time-out; emit ``out_fields``."""
+                    available_now: bool = True, every: str = "1 second",
+                    checkpoint: str | None = None) -> StreamingQuery:
+    """Q6: join the sides of each key within the time-out; write ``out_fields`` to ``output``."""
     joined = stream_single_join(left, right, keys, left_ts, right_ts, timeout_seconds, watermark)
-    return _start(joined.select(*out_fields), name, available_now=available_now, checkpoint=checkpoint)
+    return _start(joined.select(*out_fields), name, _append_to(output), available_now, every, checkpoint)
 
 
 def persistent_word_count_job(sentences: DataFrame, store: VersionedStore, name: str,
@@ -96,6 +103,18 @@ def words_query(requests: DataFrame, store: VersionedStore, rule: str = "java")
     return lookup_sum(words, counts, requests=requests)[1]
 
 
+def words_query_job(requests: DataFrame, store: VersionedStore, output: BatchOutput, name: str, rule: str = "java",
+                    available_now: bool = True, every: str = "1 second",
+                    checkpoint: str | None = None) -> StreamingQuery:
+    """Q13 with requests arriving as a stream: each micro-batch of
+    ``(request_id, args)`` is answered from the newest counts."""
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        output.write(words_query(batch, store, rule), batch_id)
+
+    return _start(requests, name, body, available_now, every, checkpoint)
+
+
 def transactional_global_count_job(stream: DataFrame, store: VersionedStore, output: BatchOutput, name: str,
                                    available_now: bool = True, every: str = "1 second",
                                    checkpoint: str | None = None) -> StreamingQuery:
@@ -127,25 +146,25 @@ def reach_requests_job(requests: DataFrame, hop1: DataFrame, hop2: DataFrame, ou
     return _start(requests, name, body, available_now, every, checkpoint)
 
 
-def suffix_job(words: DataFrame, name: str, col: str = "word", text: str = "!!!", times: int = 2,
-               available_now: bool = True, checkpoint: str | None = None) -> StreamingQuery:
+def suffix_job(words: DataFrame, output: BatchOutput, name: str, col: str = "word", text: str = "!!!", times: int = 2,
+               available_now: bool = True, every: str = "1 second",
+               checkpoint: str | None = None) -> StreamingQuery:
     """Q1 / Q2: the suffix projection applied ``times`` times to every row
     (chained projections, collapsed by Catalyst)."""
     out = words
     for _ in range(times):
         out = out.withColumn(col, suffix(col, text))
-    return _start(out, name, available_now=available_now, checkpoint=checkpoint)
+    return _start(out, name, _append_to(output), available_now, every, checkpoint)
 
 
 def exclaim_requests_job(requests: DataFrame, output: BatchOutput, name: str, text: str = "!",
-                         result_first: bool = False, available_now: bool = True,
+                         result_first: bool = False, available_now: bool = True, every: str = "1 second",
                          checkpoint: str | None = None) -> StreamingQuery:
     """Q7 / Q8: answer every request ``(request_id, args)`` with ``args + text``;
     ``result_first`` gives the ``(result, return_info)`` layout."""
     res = suffix("args", text).alias("result")
     cols = [res, F.col("request_id").alias("return_info")] if result_first else [F.col("request_id"), res]
-    return _start(requests.select(*cols), name, lambda df, i: output.write(df, i), available_now,
-                  checkpoint=checkpoint)
+    return _start(requests.select(*cols), name, _append_to(output), available_now, every, checkpoint)
 
 
 def word_count_batch(sentences: DataFrame, text: str = "sentence", rule: str = "java") -> DataFrame:

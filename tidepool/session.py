@@ -27,14 +27,20 @@ def _driver_memory() -> str:
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "tidepool") -> SparkSession:
-    master = master or os.environ.get("TIDEPOOL_MASTER", "local[8]")
-    parts = shuffle_partitions or int(os.environ.get("TIDEPOOL_SHUFFLE_PARTITIONS", "8"))
+    """A session for tests, the bench and local runs.  The master and the
+    number of shuffle partitions are set only where asked for, so a launcher's
+    settings stand."""
+    master = master or os.environ.get("TIDEPOOL_MASTER")
+    parts = shuffle_partitions or os.environ.get("TIDEPOOL_SHUFFLE_PARTITIONS")
+    builder = SparkSession.builder
+    if master:
+        builder = builder.master(master)
+    if parts:
+        builder = builder.config("spark.sql.shuffle.partitions", str(parts))
     builder = (
-        SparkSession.builder.master(master)
-        .appName(app_name)
+        builder.appName(app_name)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.shuffle.partitions", str(parts))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")

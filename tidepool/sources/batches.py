@@ -15,10 +15,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidepool.operators.ordered import running_total
+from tidepool.operators.ordered import QuantileChunk, running_total
 
 
-def with_batch_id(df: DataFrame, order: Sequence[str], size: int, chunk: Column,
+def with_batch_id(df: DataFrame, order: Sequence[str], size: int, chunk: Column | QuantileChunk,
                   out: str = "batch_id") -> DataFrame:
     """Consecutive batches of at most ``size`` rows along ``order``."""
     if size < 1:
@@ -27,7 +27,7 @@ def with_batch_id(df: DataFrame, order: Sequence[str], size: int, chunk: Column,
     return pos.withColumn(out, F.floor((F.col("_tp_pos") - 1) / F.lit(size)).cast("long")).drop("_tp_pos")
 
 
-def with_partitioned_batch_id(df: DataFrame, part: str, order: Sequence[str], take: int, chunk: Column,
+def with_partitioned_batch_id(df: DataFrame, part: str, order: Sequence[str], take: int, chunk: Column | QuantileChunk,
                               out: str = "batch_id") -> DataFrame:
     """Batch ``b`` takes rows ``b*take .. b*take+take-1`` of *every*
     partition (each partition read in ``order``)."""

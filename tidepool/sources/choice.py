@@ -32,13 +32,6 @@ PARAMETERIZED_EXAMPLE = (
     "the cat jumped over the door",
     "greetings from a faraway land",
 )
-FIXED_BATCH_SENTENCES = (
-    "the cow jumped over the moon",
-    "the man went to the store and bought some candy",
-    "four score and seven years ago",
-    "how many apples can you eat",
-    "to be or not to be the person",
-)
 
 # Mixing constants of a classic 31-bit linear congruential generator.
 _MULT = 1103515245

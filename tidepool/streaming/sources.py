@@ -7,8 +7,6 @@ Here rows land as files in a directory and a file stream picks them up;
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -32,28 +30,6 @@ def feed_stream(spark: SparkSession, path: str, schema: StructType | str,
             .parquet(path))
 
 
-SENTINEL = "__sentinel__"
-FAR_FUTURE = datetime.datetime(2100, 1, 1)
-
-
-def write_sentinel(spark: SparkSession, path: str, schema: StructType, ts: str, obj: str) -> None:
-    """Append a far-future row to a stream's input directory.
-
-    A bounded input ends without moving the watermark past its last
-    windows; this row does, so append mode flushes them.  Drop the
-    sentinel's windows from the *output*: a filter on the input side is
-    pushed below the watermark node and the row would never count."""
-    values = []
-    for f in schema.fields:
-        if f.name == ts:
-            values.append(FAR_FUTURE)
-        elif f.name == obj:
-            values.append(SENTINEL)
-        else:
-            values.append(None)
-    spark.createDataFrame([tuple(values)], schema).write.mode("append").parquet(path)
-
-
 def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Watermarks need ``timestamp`` (not ``timestamp_ntz``); with the session
     time zone at UTC the cast keeps the wall-clock value."""

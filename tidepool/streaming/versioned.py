@@ -42,7 +42,7 @@ class VersionedStore:
         out = []
         for st in fs.listStatus(p):
             name = st.getPath().getName()
-            if name.startswith("version=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
+            if name.startswith("version="):
                 out.append(int(name.split("=", 1)[1]))
         return sorted(out)
 
@@ -54,25 +54,27 @@ class VersionedStore:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(self._version_path(v))
 
-    def latest_before(self, v: int) -> int | None:
-        older = [x for x in self.versions() if x < v]
-        return older[-1] if older else None
-
     def read_before(self, v: int) -> DataFrame:
-        """The state as it was before batch ``v``.
-
-        Only the newest versions are kept (``prune``), and Spark only ever
-        re-runs its latest uncommitted batch; asking for the state before a
-        batch whose predecessor was already pruned is an error, never a
-        silent restart from zero."""
-        prior = self.latest_before(v)
-        if prior is None and any(x >= v for x in self.versions()):
-            raise RuntimeError(f"state before batch {v} was pruned from {self.path}")
-        return self.read(prior)
+        """The state as it was before batch ``v``: version ``v - 1``, nothing
+        else.  Batch ids have no gaps and a batch starts only after the one
+        before it was written whole, so no marker file is needed, and a
+        missing version is an error, never a silent restart from zero."""
+        if v == 0:
+            return self.read(None)
+        fs, _ = self._fs()
+        jvm = self.spark.sparkContext._jvm
+        if not fs.exists(jvm.org.apache.hadoop.fs.Path(self._version_path(v - 1))):
+            raise RuntimeError(f"no state of batch {v - 1} under {self.path}")
+        return self.read(v - 1)
 
     def latest(self) -> DataFrame:
+        """The newest version that is known to be whole: the newest with a
+        marker file, or where no markers are written the one before the newest."""
         vs = self.versions()
-        return self.read(vs[-1] if vs else None)
+        fs, _ = self._fs()
+        jvm = self.spark.sparkContext._jvm
+        whole = [v for v in vs if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self._version_path(v)}/_SUCCESS"))]
+        return self.read(whole[-1] if whole else vs[max(len(vs) - 2, 0)] if vs else None)
 
     def write(self, df: DataFrame, v: int) -> None:
         df.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields]) \
@@ -100,6 +102,14 @@ class BatchOutput:
         return self.spark.read.parquet(self.path)
 
 
+def _with_state(per: DataFrame, prev: DataFrame, key: str, how: str) -> DataFrame:
+    """Join on the key as a never-null struct, so that a null key finds its
+    state, as it finds its group in the batch form."""
+    a = per.withColumn("_tp_k", F.struct(F.col(key).cast("string").alias("k"))).drop(key)
+    b = prev.withColumn("_tp_k", F.struct(F.col(key).cast("string").alias("k"))).drop(key)
+    return a.join(b, "_tp_k", how).withColumn(key, F.col("_tp_k.k")).drop("_tp_k")
+
+
 def global_counter(store: VersionedStore, output: BatchOutput | None = None, keep: int = 2):
     """T1 (+A3, A4, K3): ``foreachBatch`` body keeping ``count`` (one row).
     Emits ``(count, global_count)`` per batch into ``output``."""
@@ -129,7 +139,7 @@ def keyed_counter(store: VersionedStore, key: str, changelog: BatchOutput | None
     def body(batch: DataFrame, batch_id: int) -> None:
         prev = store.read_before(batch_id).select(F.col("key").alias(key), F.col("count").alias("_tp_prev"))
         per = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_tp_n"))
-        merged = per.join(prev, key, "full_outer")
+        merged = _with_state(per, prev, key, "full_outer")
         new_count = F.coalesce("_tp_prev", F.lit(0)) + F.coalesce("_tp_n", F.lit(0))
         state = merged.select(F.col(key).cast("string").alias("key"), new_count.alias("count"))
         store.write(state, batch_id)
@@ -153,7 +163,7 @@ def bucket_counter(count_store: VersionedStore, bucket_store: VersionedStore, ke
     def body(batch: DataFrame, batch_id: int) -> None:
         prev = count_store.read_before(batch_id).select(F.col("key").alias(key), F.col("count").alias("_tp_prev"))
         per = batch.groupBy(key).agg(F.count(F.lit(1)).alias("_tp_n"))
-        touched = per.join(prev, key, "left").select(
+        touched = _with_state(per, prev, key, "left").select(
             F.lit(batch_id).cast("long").alias("batch_id"), F.col(key).cast("string").alias("key"),
             (F.coalesce("_tp_prev", F.lit(0)) + F.col("_tp_n")).alias("count"),
             F.col("_tp_prev").alias("prev_count"))

@@ -22,7 +22,7 @@ MARKERS = ["WindowGroupLimit", "TakeOrderedAndProject", "Expand", "Generate", "B
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = get_session()
+    spark = get_session(master="local[8]", shuffle_partitions=8)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     lines = ["# Physical plan shapes", "",
              "Generated by `tools/plan_audit.py` with size-based broadcast disabled (the plan a large input",
