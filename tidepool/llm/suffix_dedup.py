@@ -24,9 +24,11 @@ hashes.  Texts that are equal as a whole are one text here, and are repeated
 from end to end if they have ``LEAST`` words and different ids.
 
 What is found: every span given is a passage of ``LEAST`` words or more that
-another document holds.  A passage is missed only if at all its selected
-positions the ``NEAR`` nearest suffixes of other texts agree with it to the
-right but not to the left.
+another document holds.  Among equal words ahead, suffixes sort by the words
+behind, so the neighbours also agree furthest to the left.  A passage can only
+be missed, or its beginning fall short, where at its selected positions the
+``NEAR`` nearest suffixes of other texts agree further to the right but not as
+far to the left.
 
 Defined results: null and empty texts and texts under ``LEAST`` words give no
 row, nor do repetitions inside one document; a null id is a document of its
@@ -258,7 +260,7 @@ def repeats(docs: DataFrame) -> DataFrame:
                                                    F.xxhash64("text").alias("th"), "text")
              .join(holders, (F.col("th") == F.col("__sd_th")) & F.col("doc_id").eqNullSafe(F.col("least")))
              .select("th", "text", "at"))
-    order = ["ahead", "th", "pos"]
+    order = ["ahead", "behind", "th", "pos"]
     found = saved(_suffixes(texts).repartitionByRange(*order).sortWithinPartitions(*order)
                   .mapInArrow(_neighbours, _EDGE_SCHEMA))
     seams = (found.where("part is not null").select("part", "place", "ahead", "behind", "th", "pos")
