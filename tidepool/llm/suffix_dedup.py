@@ -249,7 +249,8 @@ def repeats(docs: DataFrame) -> DataFrame:
     survey = saved(_survey(docs))
     rows = survey.where("pos is null").select("doc_id", "th", "n")
     anchors = survey.where("pos is not null").select("th", "pos", "g")
-    shared = (anchors.groupBy("g").agg(F.min("th").alias("lo"), F.max("th").alias("hi")).where("lo != hi").select("g"))
+    # a table of its own, so that the join deals the suffixes anew and a hot hash can be split
+    shared = saved(anchors.groupBy("g").agg(F.min("th").alias("lo"), F.max("th").alias("hi")).where("lo != hi").select("g"))
     spots = anchors.join(shared, "g", "left_semi").groupBy("th").agg(F.collect_set("pos").alias("at"))
 
     # one document of each text; equal ids with equal texts are one document
