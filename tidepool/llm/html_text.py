@@ -349,8 +349,9 @@ def fit(pages: list[str]) -> Model:
 
 def train(pages: DataFrame) -> Model:
     """Fit on the bounded sample of pages that mark their article."""
-    marked = pages.select("page_id", "html").where(F.col("html").rlike("(?i)<(article|main)[ >]")).withColumn("__all", F.lit("all"))
-    rows = bounded_sample(marked, "__all", SAMPLE, SAMPLE_CHARS, text="html", id_col="page_id")
+    marked = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]"))
+    every = pages.select("page_id", F.lit("all").alias("__all"))
+    rows = bounded_sample(marked, every, "__all", SAMPLE, SAMPLE_CHARS, text="html", id_col="page_id")
     return fit([h for h, _ in rows])
 
 

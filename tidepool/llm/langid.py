@@ -235,7 +235,7 @@ def predict(texts: list[bytes], m: Model) -> tuple[np.ndarray, np.ndarray]:
 
 def train(docs: DataFrame, label: str = "lang") -> Model:
     """Fit on the bounded sample of labelled rows outside the held-out fold."""
-    return fit(bounded_sample(docs, label, PER_LANG, SAMPLE_CHARS))
+    return fit(bounded_sample(docs, docs, label, PER_LANG, SAMPLE_CHARS))
 
 
 def identify(docs: DataFrame, m: Model, text: str = "text") -> DataFrame:

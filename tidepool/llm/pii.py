@@ -325,8 +325,9 @@ def fit(texts: list[str]) -> Model | None:
 
 def train(docs: DataFrame) -> Model | None:
     """Fit on the bounded sample of texts that hold a digit or an @."""
-    some = docs.select("doc_id", "text").where(F.col("text").rlike("[0-9@]")).withColumn("__all", F.lit("all"))
-    return fit([t for t, _ in bounded_sample(some, "__all", SAMPLE, SAMPLE_CHARS)])
+    some = docs.where(F.col("text").rlike("[0-9@]"))
+    every = docs.select("doc_id", F.lit("all").alias("__all"))
+    return fit([t for t, _ in bounded_sample(some, every, "__all", SAMPLE, SAMPLE_CHARS, spare=20)])
 
 
 def joined(spans: list[Span]) -> str:

@@ -188,7 +188,7 @@ def score(text: bytes, m: Model) -> float:
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on the bounded sample of labelled documents outside the held-out fold."""
     marked = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("__toxic"))
-    return fit(bounded_sample(docs.select("doc_id", "text").join(marked, "doc_id"), "__toxic", PER_LABEL, SAMPLE_CHARS))
+    return fit(bounded_sample(docs, marked, "__toxic", PER_LABEL, SAMPLE_CHARS, spare=2))
 
 
 def rate(docs: DataFrame, m: Model, text: str = "text") -> DataFrame:
