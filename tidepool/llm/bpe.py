@@ -36,7 +36,7 @@ from pyspark.sql.types import LongType, StringType, StructField
 from tidepool.llm.textvec import append_columns
 
 LONG_WORD = 256
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 _NONE = 1 << 60
 
 
@@ -137,24 +137,27 @@ class Tokenizer:
             self._patterns = re.compile(marks) if marks else None, re.compile(_python_pattern(self.split))
         return self._patterns
 
-    def _entries(self, text: str):
+    def _learn(self, word: str) -> tuple[int, str, str]:
+        ids = self.word_ids(word.encode())
+        e = len(ids), " ".join(map(str, ids)), " ".join([self.tokens[i] for i in ids])
+        if len(word) <= LONG_WORD:
+            if len(self._known) >= REMEMBERED:
+                self._known.clear()
+            self._known[word] = e
+        return e
+
+    def _entries(self, text: str) -> list[tuple[int, str, str]]:
         """Per word: (number of ids, ids joined by a space, tokens joined by a space)."""
-        words, known = self.patterns()[1], self._known
+        words, known, learn = self.patterns()[1], self._known.get, self._learn
+        out: list[tuple[int, str, str]] = []
         for mark, plain in self._pieces(text):
             if mark is not None:
-                yield 1, str(mark), self.tokens[mark]
-                continue
-            # each character lower-cased by itself, so no final-sigma rule
-            for w in words.findall(unicodedata.normalize("NFC", plain).replace("Σ", "σ").lower()):
-                e = known.get(w)
-                if e is None:
-                    ids = self.word_ids(w.encode())
-                    e = len(ids), " ".join(map(str, ids)), " ".join([self.tokens[i] for i in ids])
-                    if len(w) <= LONG_WORD:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        known[w] = e
-                yield e
+                out.append((1, str(mark), self.tokens[mark]))
+            elif plain:
+                # each character lower-cased by itself, so no final-sigma rule
+                plain = unicodedata.normalize("NFC", plain).replace("Σ", "σ").lower()
+                out += [known(w) or learn(w) for w in words.findall(plain)]
+        return out
 
     def encode(self, text: str) -> list[int]:
         return [int(i) for _, ids, _ in self._entries(text) for i in ids.split(" ")]
@@ -165,7 +168,7 @@ class Tokenizer:
 
     def digests(self, text: str) -> tuple[int, str, str]:
         """Number of ids, sha256 of the ids, sha256 of the decoded text."""
-        found = list(self._entries(text))
+        found = self._entries(text)
         ids = " ".join([e[1] for e in found])
         decoded = " ".join([e[2] for e in found])
         return (sum([e[0] for e in found]), hashlib.sha256(ids.encode()).hexdigest(),
