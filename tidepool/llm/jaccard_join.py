@@ -3,10 +3,10 @@
 A document's set holds the 64-bit hashes of its distinct 5-word shingles.  Two
 documents link when the Jaccard similarity of their sets is at least 3/4.
 
-1. *Points.*  Shingles are hashed into groups (a power of two of at least n/4
-   groups, so that the vectors of unrelated texts stay far apart at any
-   length); the counts per group are the document's point.  Folding a longer
-   vector onto a shorter one keeps it valid.  For two points the sum of
+1. *Points.*  Shingles are hashed into groups (a power of two of at least n
+   groups, so that the bound is tight at any length); the counts per group are
+   the document's point.  Folding a longer vector onto a shorter one keeps it
+   valid.  For two points the sum of
    coordinate minima bounds the size of the intersection from above.
 2. *Cells.*  High-dimensional points of unrelated texts lie all at one distance
    from each other, so no box over them prunes anything and a single tree would
@@ -16,14 +16,18 @@ documents link when the Jaccard similarity of their sets is at least 3/4.
    Frequent shingles, found by lossy counting over all documents, come last in
    the order, so a passage that a third of the documents hold forms a cell only
    for documents that hold little else.
-3. *Stars.*  Sets of a cell are first compared with the cell's smallest set id.
-   Pairs that pass the size and coordinate bounds are verified on their sets,
-   and linked sets are joined into components.
-4. *Trees.*  Cells whose sets are not yet all in one component are indexed by an
-   R-tree on the points (boxes keep the largest count per group and the range
-   of sizes).  Every point is searched in it; pairs of different components
-   whose bounds allow a link are verified.  Large cells are dealt in blocks,
-   each pair of blocks a tree of its own, so no task holds a whole cell.
+3. *Stars.*  Every cell names its smallest set id its center.  Cells of one
+   center form one group, so near copies that share forty cells are dealt to a
+   few groups only.  Sets are first compared with their centers: pairs that
+   pass the size and coordinate bounds are verified on their sets, and linked
+   sets are joined into components.
+4. *Trees.*  Groups whose sets are not yet all in one component are indexed by
+   an R-tree on the points (boxes keep the largest count per group and the
+   range of sizes).  Every point is searched in it; pairs of different
+   components whose bounds allow a link are verified, the most promising one
+   of each component first, the others only if that leaves them apart.  Large
+   groups are dealt in blocks, each pair of blocks a tree of its own, so no task holds a whole
+   group.
 
 Identical sets are one node throughout, so copies never meet in pairs, and
 pairs inside a component are not compared again: the result is the components
@@ -57,8 +61,10 @@ GROUPS = 16
 COUNTED = 4_000_000
 #: A shingle in more than one of HOT_SHARE documents is frequent; at most HOT_MOST of them (800 kB) are reordered.
 HOT_SHARE, HOT_MOST = 1_000, 100_000
+#: Bits of the map of documents whose sets are read again: a fixed size, whatever the input.
+MARK_BITS = 23
 #: Children of a tree node; most rows of a block.
-FANOUT, BLOCK = 16, 1_024
+FANOUT, BLOCK = 32, 1_024
 
 _U = np.uint64
 
@@ -93,13 +99,35 @@ def _set_ids(doc: np.ndarray, h: np.ndarray, n: np.ndarray) -> np.ndarray:
     return mix(total + n.astype(_U)).view(np.int64)
 
 
+def _width(n: int) -> int:
+    """Groups of a set of n shingles: a power of two of at least n."""
+    return max(GROUPS, 1 << (max(int(n), 1) - 1).bit_length())
+
+
 def _points(doc: np.ndarray, h: np.ndarray, n: np.ndarray) -> list[bytes]:
-    """Count vectors as little-endian 16-bit numbers."""
-    width = np.maximum(GROUPS, 1 << np.ceil(np.log2(np.maximum(n, 1) / 4)).clip(0).astype(np.int64))
+    """Count vectors: half a byte a group, or one or two bytes where a count needs them."""
+    width = np.array([_width(x) for x in n], np.int64)
     offset = np.cumsum(width) - width
     at = offset[doc] + (h & (width[doc] - 1).astype(_U)).astype(np.int64)
-    flat = np.minimum(np.bincount(at, minlength=int(width.sum())), 65535).astype("<u2")
-    return [flat[o:o + w].tobytes() for o, w in zip(offset, width, strict=True)]
+    flat = np.bincount(at, minlength=int(width.sum()))
+    out = []
+    for o, w in zip(offset.tolist(), width.tolist(), strict=True):
+        x = flat[o:o + w]
+        most = x.max()
+        if most < 16:
+            x = x.astype(np.uint8)
+            out.append((x[0::2] | x[1::2] << 4).tobytes())
+        else:
+            out.append(x.astype(np.uint8 if most < 256 else "<u2").tobytes())
+    return out
+
+
+def vector(point: bytes, n: int) -> np.ndarray:
+    """The counts of ``_points``."""
+    if 2 * len(point) > _width(n):
+        return np.frombuffer(point, np.uint8 if len(point) == _width(n) else "<u2")
+    x = np.frombuffer(point, np.uint8)
+    return np.stack([x & 15, x >> 4], axis=1).ravel()
 
 
 def _survey(docs: DataFrame) -> DataFrame:
@@ -178,8 +206,8 @@ def _prefixes(docs: DataFrame, hot: np.ndarray) -> DataFrame:
 
 
 def _cell_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (h, set_id): members (h, set_id, center) of the cells
-    with two different sets at least; the center is the smallest set id.  Only
+    """From rows sorted by (h, set_id): members (center, set_id) of the cells with
+    two different sets at least; the center is the smallest set id.  Only
     one row is held over between batches, however large a cell is."""
     last_h = last_s = center = None
     single = False  # the held cell has one member so far, not yet given out
@@ -202,22 +230,20 @@ def _cell_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         mid = np.where(start >= 0, s[start.clip(0)], center if center is not None else 0)
         member = ~begins
         member[:-1] |= begins[:-1] & ~begins[1:]
-        out = [h[member], s[member], mid[member]]
+        out = [mid[member], s[member]]
         if single and not begins[0]:
-            out = [np.concatenate(([x], y)) for x, y in zip((last_h, center, center), out, strict=True)]
+            out = [np.concatenate(([x], y)) for x, y in zip((center, center), out, strict=True)]
         if len(out[0]):
-            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out], names=["h", "set_id", "center"])
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in out], names=["center", "set_id"])
         single = bool(begins[-1]) or (single and not begins.any() and not len(out[0]))
         last_h, last_s, center = last[0], last[1], mid[-1]
 
 
-def _pair(a: str, b: str):
-    return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
-
-
 def _folded(v: np.ndarray, width: int) -> np.ndarray:
     """Count vectors (rows) folded onto ``width`` groups."""
-    return v.reshape(*v.shape[:-1], -1, width).sum(axis=-2)
+    if v.shape[-1] == width:
+        return v
+    return v.reshape(*v.shape[:-1], -1, width).sum(axis=-2, dtype=np.int32)
 
 
 def may_link(na: int, a: np.ndarray, nb: int, b: np.ndarray) -> bool:
@@ -225,132 +251,192 @@ def may_link(na: int, a: np.ndarray, nb: int, b: np.ndarray) -> bool:
     if 4 * min(na, nb) < 3 * max(na, nb):
         return False
     w = min(len(a), len(b))
-    shared = int(np.minimum(_folded(a, w), _folded(b, w)).sum())
+    shared = int(np.minimum(_folded(a, w), _folded(b, w)).sum(dtype=np.int64))
     return 100 * shared >= 75 * (na + nb - shared)
 
 
-def _filter_pairs(pairs: DataFrame, points: DataFrame) -> DataFrame:
-    """Pairs (a, b) that their points allow to link."""
-    both = (pairs.join(points.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa")), "a")
-            .join(points.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb")), "b")
-            .where("4 * least(na, nb) >= 3 * greatest(na, nb)").select("a", "b", "na", "nb", "pa", "pb"))
+def _near_centers(members: DataFrame, points: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a center and a member of its group that sizes and points
+    allow to link.  A group streams past its center's point; a group of more
+    than BLOCK members is dealt in blocks, each with a copy of the center."""
+    sizes = points.select("set_id", "n")
+    sized = (members.where("set_id != center").join(sizes, "set_id")
+             .join(sizes.select(F.col("set_id").alias("center"), F.col("n").alias("cn")), "center")
+             .where("4 * least(n, cn) >= 3 * greatest(n, cn)").select("center", "set_id"))
+    blocks = sized.groupBy("center").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    rows = (sized.join(blocks, "center")
+            .select("center", F.expr("cast(pmod(xxhash64(set_id), blocks) as int)").alias("block"), F.lit(1).alias("member"), "set_id")
+            .unionByName(blocks.select("center", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"),
+                                       F.lit(0).alias("member"), F.col("center").alias("set_id"))))
+    dealt = (rows.join(points, "set_id").select("center", "block", "member", "set_id", "n", "point")
+             .repartition("center", "block").sortWithinPartitions("center", "block", "member"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        center = size = point = None
         for x in batches:
-            na, nb = (x.column(i).to_numpy() for i in (2, 3))
-            ok = [may_link(int(i), np.frombuffer(p.as_buffer(), "<u2").astype(np.int64), int(j),
-                           np.frombuffer(q.as_buffer(), "<u2").astype(np.int64))
-                  for i, p, j, q in zip(na, x.column(4), nb, x.column(5), strict=True)]
-            yield x.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            out: list[tuple[int, int]] = []
+            for c, _, member, s, n, p in zip(*[x.column(k).to_pylist() for k in range(6)], strict=True):
+                if not member:
+                    center, size, point = c, n, vector(p, n)
+                elif may_link(size, point, n, vector(p, n)):
+                    out.append((min(s, center), max(s, center)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return both.mapInArrow(run, "a bigint, b bigint")
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
 class RTree:
-    """Packed R-tree over count vectors: a node keeps the largest count per
-    group, folded to its narrowest member, and the range of set sizes."""
+    """Packed R-tree over count vectors: a box keeps the largest count per
+    group, folded to its narrowest member, and the range of set sizes.  A node
+    holds its children's boxes as one matrix, so a visit is a few array steps."""
 
     def __init__(self, n: np.ndarray, vectors: list[np.ndarray]):
-        self.n, self.vectors = n, vectors
-        # sort-tile: by size, then within stretches of FANOUT**2 by the first count
-        by_n = np.argsort(n, kind="stable")
-        tile = np.arange(len(n)) // (FANOUT * FANOUT)
-        lead = np.array([int(v[0]) for v in vectors])[by_n]
-        order = by_n[np.lexsort((lead, tile))]
-        nodes = [(int(n[i]), int(n[i]), vectors[i], int(i), ()) for i in order]
-        while len(nodes) > 1:
-            nodes = [self._parent(nodes[k:k + FANOUT]) for k in range(0, len(nodes), FANOUT)]
-        self.root = nodes[0] if nodes else None
+        # sort-tile: by width, so that boxes fold little, then by the first count, then by size
+        order = np.lexsort((n, [int(v[0]) for v in vectors], [len(v) for v in vectors]))
+        boxes = [(int(n[i]), int(n[i]), vectors[i], int(i)) for i in order]
+        leaf = True
+        while leaf or len(boxes) > 1:
+            boxes = [self._node(boxes[k:k + FANOUT], leaf) for k in range(0, len(boxes), FANOUT)]
+            leaf = False
+        self.root = boxes[0][3]
 
     @staticmethod
-    def _parent(children: list[tuple]) -> tuple:
-        w = min(len(c[2]) for c in children)
-        high = np.max([_folded(c[2], w) for c in children], axis=0)
-        return min(c[0] for c in children), max(c[1] for c in children), high, -1, tuple(children)
-
-    def search(self, n: int, v: np.ndarray) -> Iterator[int]:
-        """Points whose bounds allow a link with (n, v)."""
-        stack = [self.root] if self.root else []
+    def _node(boxes: list[tuple], leaf: bool) -> tuple:
+        """Box around ``boxes`` and the node below it: (least sizes, most sizes, matrix, children, leaf)."""
+        w = min(len(x[2]) for x in boxes)
+        low, most = np.array([x[0] for x in boxes]), np.array([x[1] for x in boxes])
+        high = np.stack([_folded(x[2], w) for x in boxes])
+        return int(low.min()), int(most.max()), high.max(axis=0), (low, most, high, [x[3] for x in boxes], leaf)
+
+    def search(self, n: int, v: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Points whose bounds allow a link with (n, v), and the bound on the shared shingles."""
+        stack = [self.root]
+        least = -(-3 * n // 4)
         while stack:
-            low, most, high, point, children = stack.pop()
-            if 4 * most < 3 * n or 3 * low > 4 * n:
-                continue
-            w = min(len(v), len(high))
-            shared = int(np.minimum(_folded(v, w), _folded(high, w)).sum())
-            # the smallest union a member can have is n + low - shared
-            if 100 * shared < 75 * (n + max(low, -(-3 * n // 4)) - shared):
-                continue
-            if point >= 0:
-                yield point
+            low, most, high, children, leaf = stack.pop()
+            w = min(len(v), high.shape[1])
+            shared = np.minimum(_folded(high, w), _folded(v, w)).sum(axis=1, dtype=np.int64)
+            # the smallest union a member can make is n + its least size - shared
+            ok = (4 * most >= 3 * n) & (3 * low <= 4 * n) & (175 * shared >= 75 * (n + np.maximum(low, least)))
+            hit = np.flatnonzero(ok)
+            if leaf:
+                yield from [(children[k], int(shared[k])) for k in hit]
             else:
-                stack.extend(children)
+                stack += [children[k] for k in hit]
 
 
 def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows (h, i, j, own, set_id, comp, n, point) sorted by (h, i, j): pairs
-    of different components that the tree of each group finds.  A group has
-    2 * BLOCK rows at most or so, and is all that is held."""
+    """From rows (center, i, j, own, set_id, comp, n, point) sorted by (center,
+    i, j): pairs (a, b) of different components that the tree of each group
+    finds; ``lead`` marks, for the set that asked, the most promising set of
+    each component.  A group has about 2 * BLOCK rows at most, and is all that
+    is held."""
     done: set[tuple[int, int]] = set()
 
-    def pairs_of(rows: list[tuple]) -> list[tuple[int, int]]:
-        own = [r[1] for r in rows]
-        inside = rows[0][0][1] == rows[0][0][2]
-        comps = {r[3] for r in rows}
-        if len(comps) < 2:
+    def pairs_of(rows: list[tuple]) -> list[tuple[int, int, bool]]:
+        _, i, j = rows[0][0]
+        if len({r[3] for r in rows}) < 2:
+            return []
+        indexed, asking = ([r for r in rows if r[1] == k] for k in (i, j))
+        if not indexed or not asking:
             return []
-        indexed = [r for r, o in zip(rows, own, strict=True) if inside or o == r[0][1]]
-        asking = rows if inside else [r for r, o in zip(rows, own, strict=True) if o == r[0][2]]
         tree = RTree(np.array([r[4] for r in indexed], np.int64), [r[5] for r in indexed])
         found = []
         for r in asking:
-            for k in tree.search(r[4], r[5]):
+            best: dict[int, tuple[float, int]] = {}
+            mine = []
+            for k, shared in tree.search(r[4], r[5]):
                 other = indexed[k]
-                if other[3] != r[3]:
-                    pair = (min(r[2], other[2]), max(r[2], other[2]))
-                    if pair not in done:
-                        done.add(pair)
-                        found.append(pair)
+                # a leaf may fold wide points onto a narrow one: compare at full width
+                if other[3] == r[3] or not may_link(r[4], r[5], other[4], other[5]):
+                    continue
+                near = shared / (r[4] + other[4] - shared)
+                best[other[3]] = max(best.get(other[3], (0.0, 0)), (near, other[2]))
+                mine.append(other)
+            for other in mine:
+                pair = (min(r[2], other[2]), max(r[2], other[2]))
+                lead = best[other[3]][1] == other[2]
+                if pair not in done:
+                    done.add(pair)
+                    found.append((*pair, lead))
         return found
 
-    def batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
-        a, b = zip(*found, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+    def batch(found: list[tuple[int, int, bool]]) -> pa.RecordBatch:
+        a, b, lead = zip(*found, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(lead, pa.bool_())],
+                                          names=["a", "b", "lead"])
 
     rows: list[tuple] = []
     for x in batches:
-        h, i, j, own, s, comp, n = (x.column(c).to_pylist() for c in range(7))
-        for k, p in enumerate(x.column(7)):
-            key = h[k], i[k], j[k]
+        c, i, j, own, s, comp, n, p = (x.column(k).to_pylist() for k in range(8))
+        for k in range(x.num_rows):
+            key = c[k], i[k], j[k]
             if rows and rows[0][0] != key:
                 if found := pairs_of(rows):
                     yield batch(found)
                 rows = []
                 if len(done) > 1_000_000:
                     done.clear()
-            rows.append((key, own[k], s[k], comp[k], n[k], np.frombuffer(p.as_buffer(), "<u2").astype(np.int64)))
+            rows.append((key, own[k], s[k], comp[k], n[k], vector(p[k], n[k])))
     if rows and (found := pairs_of(rows)):
         yield batch(found)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, holders: DataFrame) -> DataFrame:
-    """Pairs (a, b) of set ids whose sets link.  ``holders``: (set_id, doc_id) of one document per set."""
-    nodes = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
-    wanted = holders.join(nodes, "set_id").select(F.col("doc_id").alias("__jj_id")).distinct()
-    texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-             .join(wanted, F.col("doc_id").eqNullSafe(F.col("__jj_id")), "left_semi").select("text"))
+def _open_groups(members: DataFrame, component: DataFrame, points: DataFrame) -> DataFrame:
+    """Rows for ``_tree_pairs``: the groups of a center that hold more than one
+    component, those of more than BLOCK members in pairs of blocks."""
+    labelled = saved(members.join(component.withColumnRenamed("node", "set_id"), "set_id", "left")
+                     .select("center", "set_id", F.coalesce("component", "set_id").alias("comp")))
+    mixed = (labelled.groupBy("center").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
+             .where("lo != hi").select("center", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int").alias("blocks")))
+    dealt = (labelled.join(mixed, "center").withColumn("own", F.expr("cast(pmod(xxhash64(set_id), blocks) as int)"))
+             .select("center", "set_id", "comp", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
+             .select("center", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set_id", "comp"))
+    return (dealt.join(points, "set_id").select("center", "i", "j", "own", "set_id", "comp", "n", "point")
+            .repartition("center", "i", "j").sortWithinPartitions("center", "i", "j"))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
+
+
+def _marks(ids: DataFrame) -> np.ndarray:
+    """A bit per hashed id, 2**MARK_BITS bits at any input (1 MB): which documents may be among ``ids``."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << MARK_BITS))
+    words = (ids.select(place.alias("p"))
+             .groupBy(F.expr("cast(p div 32 as int)").alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p % 32 as int))")).alias("m"))
+             .toPandas())
+    marks = np.zeros((1 << MARK_BITS) // 32, np.uint32)
+    marks[words["w"].to_numpy(np.int64)] = words["m"].to_numpy(np.int64).astype(np.uint32)
+    return marks
+
+
+def _sets(nodes: DataFrame, docs: DataFrame, holders: DataFrame) -> DataFrame:
+    """(set_id, items) of ``nodes``, read again from one document per set:
+    ``holders`` (set_id, doc_id).  Texts that the marks rule out are skipped
+    where they are read, so no text is shuffled; the join drops what the marks
+    let through in vain."""
+    marks = _marks(holders.join(nodes, "set_id").select("doc_id"))
+    keyed = docs.select(F.pmod(F.xxhash64(F.col("doc_id").cast("long").alias("doc_id")), F.lit(1 << MARK_BITS)).alias("p"), "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for _, part in pieces(text_bytes(b.column(0))):
+            p = b.column(0).to_numpy()
+            b = b.filter(pa.array((marks[p // 32] >> (p % 32).astype(np.uint32) & 1).astype(bool)))
+            for _, part in pieces(text_bytes(b.column(1))):
                 doc, h = shingle_sets(part)
                 n = np.bincount(doc, minlength=len(part))
                 values = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()),
                                                   pa.array(h.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(_set_ids(doc, h, n)), values], names=["set_id", "items"])
 
-    sets = (texts.mapInArrow(run, "set_id bigint, items array<bigint>").join(nodes, "set_id", "left_semi")
-            .dropDuplicates(["set_id"]))
-    sets = saved(sets)
+    sets = keyed.mapInArrow(run, "set_id bigint, items array<bigint>").join(nodes, "set_id", "left_semi")
+    return saved(sets.dropDuplicates(["set_id"]))
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of set ids whose sets link."""
     both = (pairs.join(sets.select(F.col("set_id").alias("a"), F.col("items").alias("x")), "a")
             .join(sets.select(F.col("set_id").alias("b"), F.col("items").alias("y")), "b")
             .withColumn("both", F.size(F.array_intersect("x", "y"))))
@@ -363,32 +449,32 @@ def classes(docs: DataFrame) -> DataFrame:
     rows = survey.where("set_id is not null")
     hot = _frequent(survey, rows.count())
 
-    cells = saved(_prefixes(docs, hot).repartition("h").sortWithinPartitions("h", "set_id")
-                  .mapInArrow(_cell_members, "h bigint, set_id bigint, center bigint"))
+    members = saved(_prefixes(docs, hot).repartition("h").sortWithinPartitions("h", "set_id")
+                    .mapInArrow(_cell_members, "center bigint, set_id bigint").distinct())
     holders = rows.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
-    alive = cells.select("set_id").distinct()
+    alive = members.select("set_id").distinct()
     points = saved(rows.join(alive, "set_id", "left_semi").select("set_id", "n", "point").dropDuplicates(["set_id"]))
 
-    stars = cells.where("set_id != center").select(*_pair("set_id", "center")).distinct()
-    stars = saved(_filter_pairs(stars, points))
-    links = saved(_verified(stars, docs, holders))
+    stars = saved(_near_centers(members, points))
+    sets = _sets(_ends(stars), docs, holders)
+    links = saved(_verified(stars, sets))
     first = components(links)
 
-    labelled = (cells.join(first.withColumnRenamed("node", "set_id"), "set_id", "left")
-                .select("h", "set_id", F.coalesce("component", "set_id").alias("comp")))
-    labelled = saved(labelled)
-    open_cells = (labelled.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
-                                            F.count(F.lit(1)).alias("size"))
-                  .where("lo != hi").select("h", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int").alias("blocks")))
-    dealt = (labelled.join(open_cells, "h").withColumn("own", F.expr("cast(pmod(xxhash64(set_id), blocks) as int)"))
-             .select("h", "set_id", "comp", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
-             .select("h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set_id", "comp"))
-    grouped = (dealt.join(points, "set_id").select("h", "i", "j", "own", "set_id", "comp", "n", "point")
-               .repartition("h", "i", "j").sortWithinPartitions("h", "i", "j"))
-    found = grouped.mapInArrow(_tree_pairs, "a bigint, b bigint").distinct().join(stars, ["a", "b"], "left_anti")
-    more = saved(_verified(saved(found), docs, holders))
-    every = components(first.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-                       .unionByName(more))
+    found = (_open_groups(members, first, points).mapInArrow(_tree_pairs, "a bigint, b bigint, lead boolean")
+             .groupBy("a", "b").agg(F.max("lead").alias("lead")))
+    found = saved(found.join(stars, ["a", "b"], "left_anti"))
+    # most of their sets were read for the stars
+    sets = sets.unionByName(_sets(_ends(found).join(sets, "set_id", "left_anti"), docs, holders))
+    # the most promising pairs first: the sets they link need no further comparison
+    tree_of = first.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    led = tree_of.unionByName(saved(_verified(found.where("lead").select("a", "b"), sets)))
+    second = components(led)
+    rest = (found.where("not lead").select("a", "b")
+            .join(second.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
+            .join(second.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
+            .where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b"))
+    every = components(second.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+                       .unionByName(saved(_verified(rest, sets))))
 
     joined = (rows.select("doc_id", "n", "set_id").join(every.withColumnRenamed("node", "set_id"), "set_id", "left")
               .select("doc_id", "n", F.coalesce("component", "set_id").alias("comp")))
