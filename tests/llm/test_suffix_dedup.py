@@ -68,3 +68,27 @@ def test_every_long_span_has_a_selected_start():
         mine = np.sort(pos[doc == i])
         for s in range(n - S.LEAST + 1):
             assert ((mine >= s) & (mine < s + S.WINDOW)).any()
+
+
+def words_found(spark, rows):
+    got = defaultdict(set)
+    for r in S.repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect():
+        got[r["doc_id"]].update(range(r["start_word"], r["end_word"]))
+    return got
+
+
+def test_equal_to_windows(spark, odd_rows):
+    rows = [(r[0], r[1]) for r in odd_rows] + passages()
+    assert words_found(spark, rows) == brute(rows)
+
+
+def test_passage_that_runs_into_a_hot_line(spark):
+    rng = random.Random(4)
+    line = prose(rng, 35)
+    rows = [(k, f"{prose(rng, 30)} {line} {prose(rng, 30)}") for k in range(600)]
+    for k in range(20):
+        before = prose(rng, 16 + k % 10)  # 51 to 60 shared words
+        rows += [(1000 + 2 * k + x, f"{prose(rng, 9)} {before} {line} {prose(rng, 30)}") for x in range(2)]
+    expected = brute(rows)
+    assert set(expected) == set(range(1000, 1040))
+    assert words_found(spark, rows) == expected

@@ -1,34 +1,38 @@
 """Repeated passages by sparse suffix arrays.
 
 Only suffixes that begin at content-selected positions are kept: of every
-``WINDOW`` consecutive ``GRAM``-word grams the one with the smallest hash.  A
-passage of ``LEAST`` words that two documents share holds the same selected
-positions in both, the first of them among its first ``WINDOW`` words, so the
-suffix there shares at least ``LEAST - WINDOW + 1`` words.
-
-1. *Select* positions; keep those whose next ``LEAST - WINDOW + 1`` words also
-   follow a selected position of a different text (a partial aggregate per hash).
-2. *Sort* the kept suffixes of all documents by their words into one order,
-   dealt over the cluster by ranges.  The range key ends in text and position,
-   so suffixes that many documents share are spread over tasks.
-3. *Compare* each suffix with its nearest neighbours of other texts on both
-   sides; at the seams of the ranges a few edge rows per range are compared in
-   a second step.
-4. *Extend* each match to the right (up to ``LEAST`` words; later positions
-   carry on from there) and to the left (up to the window).  Matches of
-   ``LEAST`` words or more are the spans, overlapping spans of a document merge.
-
-Words are runs without white space, A-Z lower-cased.  Suffixes carry 16 bits per
-word for the comparison, after equality of their beginnings was found on 64-bit
-hashes.  Texts that are equal as a whole are one text here, and are repeated
-from end to end if they have ``LEAST`` words and different ids.
-
-What is found: every span given is a passage of ``LEAST`` words or more that
-another document holds.  Among equal words ahead, suffixes sort by the words
-behind, so the neighbours also agree furthest to the left.  A passage can only
-be missed, or its beginning fall short, where at its selected positions the
-``NEAR`` nearest suffixes of other texts agree further to the right but not as
-far to the left.
+``WINDOW`` consecutive ``GRAM``-word grams the one with the smallest hash.  So
+every passage of ``LEAST`` words has one suffix that *owns* it: the one selected
+among the grams that begin in its first ``WINDOW`` words.  Which one that is
+depends on the words of the passage alone, and the suffix shares at least
+``LEAST - WINDOW + 1`` words after it with the same suffix of any other document
+that holds the passage.
+
+1. *Select* positions and the passages that each owns; keep those whose next
+   ``LEAST - WINDOW + 1`` words also follow a selected position of a different
+   text (a partial aggregate per hash).
+2. *Sort* the kept suffixes of all documents into one order, dealt over the
+   cluster by ranges: by the hash of those next words, the words that follow
+   them, and the words before in reverse, as far as owned passages reach.  The
+   range key ends in text and position, so suffixes that many documents share
+   are spread over tasks.
+3. *Compare* neighbours.  Suffixes that are equal over all their passages lie
+   side by side; where they are of different texts, all of them repeat.  What a
+   suffix shares ahead with the neighbouring different suffixes is the most it
+   shares with any, so owned passages that reach further are nowhere else.
+4. The other owned passages of *unlike* suffixes are told apart by a hash each:
+   those whose hash occurs in two texts repeat (a partial aggregate and a join).
+   Equal suffixes send theirs once.  No partner is left out for being far in
+   the order, in another range, or behind many rows of one text.
+5. Overlapping spans of a document merge.
+
+Words are runs without white space, A-Z lower-cased.  Suffixes carry a 64-bit
+hash of the words they share and 32 bits for each other word.  Texts that are
+equal as a whole are one text here, and are repeated from end to end if they
+have ``LEAST`` words and different ids.
+
+What is found: every passage of ``LEAST`` words or more that another document
+holds, and nothing else (up to equal hashes of different words).
 
 Defined results: null and empty texts and texts under ``LEAST`` words give no
 row, nor do repetitions inside one document; a null id is a document of its
@@ -38,11 +42,12 @@ are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -50,27 +55,25 @@ from tidepool.llm.scratch import saved
 from tidepool.llm.textvec import SPACED, Words, grams, pieces, text_bytes
 
 LEAST, WINDOW, GRAM = 50, 28, 8
-#: Words that the first selected suffix of a shared passage shares at least.
+#: Words that the selected suffix of a shared passage shares at least.
 SHARED = LEAST - WINDOW + 1
-#: Neighbours of other texts that a suffix is compared with on each side, and rows looked through for them.
-NEAR, REACH = 2, 4
+#: Bytes of a word's code.
+CODE = 4
 
 
-def _selected(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text index, word position) of the selected grams: sliding minima within
-    each text, the leftmost of equal ones."""
+def _owned(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text index, word position, fewest and most words before it) of the
+    selected grams: sliding minima within each text, the leftmost of equal ones.
+    The passages that a position owns begin so many words before it."""
     n = len(hashes)
     if n < LEAST:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return tuple(np.empty(0, np.int64) for _ in range(4))
     doc = np.repeat(np.arange(len(counts)), counts)
     g = grams(hashes, GRAM)
-    usable = doc[GRAM - 1:] == doc[:len(g)]
     rank = np.empty(len(g), np.int64)
     rank[np.lexsort((np.arange(len(g)), g))] = np.arange(len(g))  # distinct, so minima are unique
-    wins = len(g) - WINDOW + 1
-    if wins <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    whole = usable[WINDOW - 1:] & (doc[:wins] == doc[WINDOW - 1:WINDOW - 1 + wins])
+    wins = n - LEAST + 1
+    begin = np.flatnonzero(doc[:wins] == doc[LEAST - 1:])
     # sliding minimum by doubling
     low, width = rank.copy(), 1
     while 2 * width <= WINDOW:
@@ -79,14 +82,21 @@ def _selected(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
     low = np.minimum(low[:wins], low[WINDOW - width:WINDOW - width + wins])
     at = np.empty(len(g), np.int64)
     at[rank] = np.arange(len(g))
-    picked = np.unique(at[low[whole]])
+    # passages of one owner follow each other
+    picked, index, many = np.unique(at[low[begin]], return_index=True, return_counts=True)
+    most = picked - begin[index]
     first = np.cumsum(counts) - counts
-    return doc[picked], picked - first[doc[picked]]
+    return doc[picked], picked - first[doc[picked]], most - many + 1, most
+
+
+def _selected(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text index, word position) of the selected grams."""
+    return _owned(hashes, counts)[:2]
 
 
 def _survey(docs: DataFrame) -> DataFrame:
     """One pass: (doc_id, th, n) of each document, and (th, pos, g) of each
-    selected suffix with at least SHARED words."""
+    selected suffix; ``pos`` also holds which passages it owns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "th", "n", "pos", "g"]
@@ -99,128 +109,129 @@ def _survey(docs: DataFrame) -> DataFrame:
                 none = pa.nulls(len(texts), pa.int64())
                 yield pa.RecordBatch.from_arrays([ids.slice(start, len(texts)), pa.array(th), pa.array(counts), none, none],
                                                  names=names)
-                doc, pos = _selected(hashes, counts)
-                keep = pos + SHARED <= counts[doc]
-                doc, pos = doc[keep], pos[keep]
+                doc, pos, fewest, most = _owned(hashes, counts)
                 if len(doc):
                     first = np.cumsum(counts) - counts
                     g = grams(hashes, SHARED)[first[doc] + pos].view(np.int64)
                     none = pa.nulls(len(doc), pa.int64())
-                    yield pa.RecordBatch.from_arrays([none, pa.array(th[doc]), none, pa.array(pos), pa.array(g)], names=names)
+                    yield pa.RecordBatch.from_arrays([none, pa.array(th[doc]), none, pa.array((pos * WINDOW + fewest) * WINDOW + most),
+                                                      pa.array(g)], names=names)
 
     return (docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("th"), "text").where("text is not null")
             .mapInArrow(run, "doc_id bigint, th bigint, n bigint, pos bigint, g bigint"))
 
 
 def _suffixes(texts: DataFrame) -> DataFrame:
-    """From (th, text, at): one row per kept suffix: the next LEAST words and the
-    WINDOW - 1 words before it in reverse, 16 bits each."""
+    """From (th, text, at): one row per kept suffix: the hash of the next SHARED
+    words, the codes of the words after them, and of the words before in
+    reverse, as far as its passages reach."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             th, at = b.column(0).to_numpy(), b.column(2)
             for first, part in pieces(text_bytes(b.column(1))):
-                out: list[list] = [[], [], [], []]
+                out: list[list] = [[], [], [], [], []]
                 for i, t in enumerate(part, first):
-                    code = (Words([t], SPACED).hashes() >> np.uint64(48)).astype(">u2")
+                    hashes = Words([t], SPACED).hashes()
+                    g = grams(hashes, SHARED).view(np.int64)
+                    code = (hashes >> np.uint64(64 - 8 * CODE)).astype(f">u{CODE}")
                     turned = code[::-1].copy()
-                    for p in sorted(at[i].as_py()):
-                        out[0].append(code[p:p + LEAST].tobytes())
-                        out[1].append(turned[len(code) - p:len(code) - p + WINDOW - 1].tobytes())
-                        out[2].append(int(th[i]))
-                        out[3].append(p)
-                if out[2]:
+                    for mark in sorted(at[i].as_py()):
+                        rest, most = divmod(mark, WINDOW)
+                        p, fewest = divmod(rest, WINDOW)
+                        out[0].append(int(g[p]))
+                        out[1].append(code[p + SHARED:p - fewest + LEAST].tobytes())
+                        out[2].append(turned[len(code) - p:len(code) - p + most].tobytes())
+                        out[3].append(int(th[i]))
+                        out[4].append(p)
+                if out[0]:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(out[0], pa.binary()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.int64()),
-                         pa.array(out[3], pa.int64())], names=["ahead", "behind", "th", "pos"])
+                        [pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary()),
+                         pa.array(out[3], pa.int64()), pa.array(out[4], pa.int64())], names=["g", "ahead", "behind", "th", "pos"])
 
-    return texts.mapInArrow(run, "ahead binary, behind binary, th bigint, pos bigint")
+    return texts.mapInArrow(run, "g bigint, ahead binary, behind binary, th bigint, pos bigint")
 
 
 def _common(a: bytes, b: bytes) -> int:
     """Words that two coded sequences share from their beginning."""
     n = min(len(a), len(b))
     if a[:n] == b[:n]:
-        return n // 2
-    x = np.frombuffer(a, "<u2", n // 2) != np.frombuffer(b, "<u2", n // 2)
+        return n // CODE
+    x = np.frombuffer(a, f"<u{CODE}", n // CODE) != np.frombuffer(b, f"<u{CODE}", n // CODE)
     return int(x.argmax())
 
 
-def _matches(rows: list[tuple], done: int, until: int) -> list[tuple[int, int, int]]:
-    """(th, start, end) of both sides of each match between row i in
-    [done, until) and the next rows of other texts after it."""
-    out = []
-    for i in range(done, until):
-        ahead, behind, th, pos = rows[i][:4]
-        seen = 0
-        for j in range(i + 1, min(i + 1 + REACH, len(rows))):
-            o = rows[j]
-            if o[2] == th:
-                continue
-            right = _common(ahead, o[0])
-            if right < SHARED:
-                break  # later rows share less
-            left = _common(behind, o[1])
-            if left + right >= LEAST:
-                out.append((th, pos - left, pos + right))
-                out.append((o[2], o[3] - left, o[3] + right))
-            seen += 1
-            if seen == NEAR:
-                break
-    return out
-
-
-_EDGE_SCHEMA = "th bigint, start bigint, stop bigint, part int, place int, ahead binary, behind binary, pos bigint"
-
-
-def _batch(spans: list[tuple], edges: list[tuple]) -> pa.RecordBatch:
-    n, e = len(spans), len(edges)
-    col = lambda k, t: pa.array([s[k] for s in spans] + [None] * e, t)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([s[0] for s in spans] + [x[4] for x in edges], pa.int64()), col(1, pa.int64()), col(2, pa.int64()),
-         *[pa.array([None] * n + [x[k] for x in edges], t) for k, t in
-           ((0, pa.int32()), (1, pa.int32()), (2, pa.binary()), (3, pa.binary()), (5, pa.int64()))]],
-        names=["th", "start", "stop", "part", "place", "ahead", "behind", "pos"])
+def _passages(key: tuple[int, bytes, bytes], shared: int) -> list[tuple[int, int]]:
+    """(hash, words before the suffix) of each passage of a suffix that has at
+    most ``shared`` words from the suffix on."""
+    g, ahead, behind = key
+    most = len(behind) // CODE
+    fewest = max(WINDOW - 1 - len(ahead) // CODE, LEAST - shared)
+    return [(int.from_bytes(blake2b(struct.pack(">qB", g, k) + behind[:k * CODE] + ahead[:(WINDOW - 1 - k) * CODE], digest_size=8).digest(),
+                            "big", signed=True), k) for k in range(fewest, most + 1)]
+
+
+class _Run:
+    """Equal suffixes; those of one text only are held, at most as many as it has."""
+
+    def __init__(self, key: tuple[int, bytes, bytes], shared: int):
+        self.key, self.shared = key, shared  # words shared with the run before
+        self.lo = self.hi = None
+        self.held: list[int] = []
+
+    def add(self, th: int, pos: int) -> list[tuple[int, int, int]]:
+        """Spans known by now."""
+        if self.lo is None:
+            self.lo = self.hi = th
+        if self.lo == self.hi == th:
+            self.held.append(pos)
+            return []
+        known = [(self.lo, p) for p in self.held] + [(th, pos)]
+        self.lo, self.hi, self.held = min(self.lo, th), max(self.hi, th), []
+        left, right = len(self.key[2]) // CODE, SHARED + len(self.key[1]) // CODE
+        return [(t, p - left, p + right) for t, p in known]
+
+    def unlike(self, shared: int) -> list[tuple[int, int, int, int | None]]:
+        """(hash, least and most text, start) of the passages that unlike
+        suffixes may share; ``shared`` words with the run after."""
+        out = []
+        for h, k in _passages(self.key, max(self.shared, shared)):
+            out += [(h, self.lo, self.hi, p - k) for p in self.held] or [(h, self.lo, self.hi, None)]
+        return out
+
+
+_FOUND_SCHEMA = "h bigint, lo bigint, hi bigint, start bigint, stop bigint"
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted suffixes of one range to spans, and the range's first and last
-    REACH rows as edges (part, place).  Holds one batch and REACH rows."""
-    part = TaskContext.get().partitionId()
-    rows: list[tuple] = []
-    head: list[tuple] = []
+    """Sorted suffixes of one range to spans (lo, start, stop) of equal suffixes,
+    and passages (h, lo, hi, start) that unlike ones may share.  What lies
+    beyond the range is not known, so it may share all."""
+
+    def batch(spans: list[tuple], some: list[tuple]) -> pa.RecordBatch:
+        n, m = [None] * len(spans), [None] * len(some)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x, pa.int64()) for x in (n + [s[0] for s in some], [s[0] for s in spans] + [s[1] for s in some],
+                                               n + [s[2] for s in some], [s[1] for s in spans] + [s[3] for s in some],
+                                               [s[2] for s in spans] + m)], names=["h", "lo", "hi", "start", "stop"])
+
+    run = None
     for b in batches:
-        new = list(zip(*[b.column(c).to_pylist() for c in range(4)], strict=True))
-        if len(head) < REACH:
-            head += new[:REACH - len(head)]
-        rows += new
-        ready = len(rows) - REACH
-        if ready > 0:
-            if found := _matches(rows, 0, ready):
-                yield _batch(found, [])
-            rows = rows[ready:]
-    tail = rows
-    found = _matches(rows, 0, len(rows))
-    marked = {}
-    for k, r in enumerate(head):
-        marked[(r[2], r[3])] = (part, k, *r)
-    for k, r in enumerate(tail):
-        marked.setdefault((r[2], r[3]), (part, REACH + k, *r))
-    if found or marked:
-        yield _batch(found, sorted(marked.values(), key=lambda x: x[:2]))
-
-
-def _seams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edge rows in order to spans across ranges (pairs within a range were compared before)."""
-    rows = [r for b in batches for r in zip(*[b.column(c).to_pylist() for c in range(6)], strict=True)]
-    out = []
-    for i, r in enumerate(rows):
-        ahead = [x for x in rows[i + 1:i + 1 + REACH] if x[0] != r[0]]
-        if ahead:
-            out += _matches([r[2:], *[x[2:] for x in ahead]], 0, 1)
-    if out:
-        yield pa.RecordBatch.from_arrays([pa.array([s[k] for s in out], pa.int64()) for k in range(3)],
-                                         names=["th", "start", "stop"])
+        spans: list[tuple] = []
+        some: list[tuple] = []
+        for g, ahead, behind, th, pos in zip(*[b.column(c).to_pylist() for c in range(5)], strict=True):
+            key = (g, ahead, behind)
+            if run is None:
+                run = _Run(key, LEAST)
+            elif key != run.key:
+                shared = SHARED + _common(ahead, run.key[1]) if g == run.key[0] else 0
+                some += run.unlike(shared)
+                run = _Run(key, shared)
+            spans += run.add(th, pos)
+        if spans or some:
+            yield batch(spans, some)
+    if run is not None:
+        yield batch([], run.unlike(LEAST))
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,16 +272,18 @@ def repeats(docs: DataFrame) -> DataFrame:
                                                    F.xxhash64("text").alias("th"), "text")
              .join(holders, (F.col("th") == F.col("__sd_th")) & F.col("doc_id").eqNullSafe(F.col("least")))
              .select("th", "text", "at"))
-    order = ["ahead", "behind", "th", "pos"]
+    order = ["g", "ahead", "behind", "th", "pos"]
     found = saved(_suffixes(texts).repartitionByRange(*order).sortWithinPartitions(*order)
-                  .mapInArrow(_neighbours, _EDGE_SCHEMA))
-    seams = (found.where("part is not null").select("part", "place", "ahead", "behind", "th", "pos")
-             .repartition(1).sortWithinPartitions("part", "place").mapInArrow(_seams, "th bigint, start bigint, stop bigint"))
-    inner = found.where("part is null").select("th", "start", "stop")
+                  .mapInArrow(_neighbours, _FOUND_SCHEMA))
+    equal = found.where("h is null").select(F.col("lo").alias("th"), "start", "stop")
+    passages = found.where("h is not null")
+    again = saved(passages.groupBy("h").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo != hi").select("h"))
+    unlike = (passages.where("start is not null").join(again, "h", "left_semi")
+              .select(F.col("lo").alias("th"), "start", (F.col("start") + LEAST).alias("stop")))
     whole = (ids.where((F.col("n") >= LEAST) & ((F.col("least") != F.col("most"))
                                                | ((F.col("named") < F.col("rows")) & (F.col("rows") > 1))))
              .select("th", F.lit(0).cast("long").alias("start"), F.col("n").alias("stop")))
-    spans = (inner.unionByName(seams).unionByName(whole).distinct()
+    spans = (equal.unionByName(unlike).unionByName(whole).distinct()
              .groupBy("th").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
              .mapInArrow(_merged, "th bigint, start bigint, stop bigint"))
     return (rows.join(spans, "th")
