@@ -92,3 +92,25 @@ def test_passage_that_runs_into_a_hot_line(spark):
     expected = brute(rows)
     assert set(expected) == set(range(1000, 1040))
     assert words_found(spark, rows) == expected
+
+
+def test_passage_many_times_in_one_document(spark):
+    rng = random.Random(8)
+    p = prose(rng, 90)
+    rows = [(1, " ".join([p] * 12)), (2, f"{prose(rng, 20)} {p} {prose(rng, 20)}"),
+            (3, " ".join(f"{prose(rng, 30)} {p}" for _ in range(12))), (4, " ".join([p] * 30))]
+    assert words_found(spark, rows) == brute(rows)
+    rows = [(1, " ".join(f"{p} {prose(rng, 30)}" for _ in range(20))), (2, f"{prose(rng, 20)} {p} {prose(rng, 20)}")]
+    assert words_found(spark, rows) == brute(rows)
+
+
+def test_equal_suffixes_of_one_text_are_all_credited():
+    rows = [(5, b"a" * 108, b"", 1, 100 * k) for k in range(10)] + [(5, b"a" * 108, b"", 2, 7)]
+    columns = [S.pa.array(c) for c in zip(*rows, strict=True)]
+    for cut in ([11], [4, 7], [10, 1], [1] * 11):
+        batches, at = [], 0
+        for n in cut:
+            batches.append(S.pa.RecordBatch.from_arrays([c.slice(at, n) for c in columns], names=["g", "ahead", "behind", "th", "pos"]))
+            at += n
+        found = [r for b in S._neighbours(iter(batches)) for r in b.to_pylist() if r["h"] is None]
+        assert sorted((r["lo"], r["start"], r["stop"]) for r in found) == [*((1, 100 * k, 100 * k + 50) for k in range(10)), (2, 7, 57)]
