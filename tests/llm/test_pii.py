@@ -77,3 +77,16 @@ def test_odd_rows(odd, empty, odd_rows, model):
         assert set(text.split(",")) - {""} <= set(r["spans"].split(","))
     assert P.find(empty, model).count() == 0
     assert P.train(empty) is None and P.find(odd, None).count() == len(odd_rows)
+
+
+def test_texts_without_base_spans_are_labelled_too(model):
+    cards = "4111.1111.1111.1111 and " * 9
+    texts = [cards, cards + "word " * 50 + "or a@b.cd"]
+    base = [P.base_spans(t) for t in texts]
+    assert base[0] == [] and [k for k, _, _ in base[1]] == [0]
+    g = P.Graph()
+    g.add(0, texts[0], [])
+    p = P.beliefs(g, model)
+    expected = [(3 - 1, s, e) for s, e, x in zip(g.start, g.end, p, strict=True) if x.argmax() == 3 and x[3] >= P.SURE]
+    added = P.added_spans(texts, base, model)
+    assert len(expected) >= 3 and added == [expected, expected]

@@ -236,9 +236,7 @@ def added_spans(texts: list[str], base: list[list[Span]], m: Model | None) -> li
         return out
     g = Graph()
     for i, (t, spans) in enumerate(zip(texts, base, strict=True)):
-        # without a base span or a link there is nothing to be consistent with
-        if spans:
-            g.add(i, t, spans)
+        g.add(i, t, spans)
     if not g.text:
         return out
     p = beliefs(g, m)
