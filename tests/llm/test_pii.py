@@ -90,3 +90,29 @@ def test_texts_without_base_spans_are_labelled_too(model):
     expected = [(3 - 1, s, e) for s, e, x in zip(g.start, g.end, p, strict=True) if x.argmax() == 3 and x[3] >= P.SURE]
     added = P.added_spans(texts, base, model)
     assert len(expected) >= 3 and added == [expected, expected]
+
+
+def test_a_base_mention_reaches_hundreds_of_bare_ones(model):
+    far = " word" * 20
+    bare = f"{far} 555-7713" * 400
+    for text in (f"+1 (017) 555-7713{bare} end", f"first{bare}{far} +1 (017) 555-7713"):
+        base = P.base_spans(text)
+        assert [k for k, _, _ in base] == [3]
+        added = P.added_spans([text], [base], model)[0]
+        assert [text[s:e] for k, s, e in added if k == 3] == ["555-7713"] * 400
+    assert P.added_spans([f"first{bare}"], [[]], model) == [[]]
+
+
+def test_messages_travel_until_they_settle():
+    """Labels are passed on from token to token along a chain, exactly."""
+    rng = np.random.default_rng(1)
+    m = P.Model(np.zeros((P.N_FEATURES, P.LABELS)), 4 * np.eye(P.LABELS), rng.normal(size=(P.LABELS, P.LABELS)))
+    g = P.Graph()
+    g.add(0, " ".join(f"q{k}" for k in range(60)), [(1, 0, 2)])
+    step = np.exp(m.chain) / np.exp(m.chain).sum(axis=1, keepdims=True)
+    p = np.exp(P.EVIDENCE * np.eye(P.LABELS)[2])
+    p = p / p.sum()
+    got = P.beliefs(g, m)
+    for k in range(60):
+        assert np.allclose(got[k], p, atol=0.01)
+        p = p @ step
