@@ -64,3 +64,26 @@ def test_odd_rows(spark, model):
     assert [r["text"] for r in out if not r["html"]] == ["", "", ""]
     assert H.extract(df.limit(0), model).count() == 0
     assert H.train(df.limit(0)) is not None
+
+
+def test_deep_pages_keep_their_ancestors():
+    deep = "<div class='c'>" * 100 + "<section class='comments'><blockquote>inner</blockquote></section>" + "</div>" * 100
+    bs = H.blocks(f"<body><div><article><p>before</p>{deep}<p>after</p></article><p>outside</p></div>")
+    assert [b.text for b in bs] == ["before", "inner", "after", "outside"]
+    assert bs[2].path == bs[0].path == ("<body", "<div", "<article", "<p") and bs[3].path == ("<body", "<div", "<p")
+    assert {".comments", "<section", "<article"} <= set(bs[1].path) and bs[1].path[-1] == "<blockquote"
+    below = H.blocks("<div>" * 200 + "<article><p>low</p></article><p>next</p>")
+    assert H.teacher(below).tolist() == [1, 0]
+
+
+def test_every_word_of_a_class_counts():
+    words = " ".join(f"w{'abcdefghij'[k // 10]}{'abcdefghij'[k % 10]}" for k in range(40))
+    b = H.blocks(f"<article><div class='{words} comments'>text</div></article>")
+    assert H.teacher(b).tolist() == [0]
+    every = H.Block(("<article", "<div", *("." + w for w in words.split()), ".comments"), "text", 0)
+    assert np.array_equal(H.vectors(b), H.vectors([every]))
+
+
+def test_very_deep_page_takes_linear_time():
+    page = "".join(f"<div class='x{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}'>t{k}</em></b></ul>" for k in range(20_000))
+    assert len(H.blocks(page)) > 19_000

@@ -26,6 +26,7 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -44,6 +45,8 @@ PATH, WORDS, NUMBERS, HIDDEN = 160, 48, 6, 20
 EPOCHS, RATE, HIDE = 20, 0.01, 0.1
 #: Blocks that are labelled together.
 TOGETHER = 16_384
+#: Words of an attribute, and depth of open tags, up to which all elements are kept as they are.
+FEW, DEEP = 8, 64
 
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code del dfn em font i img ins kbd label mark q s samp small span "
                     "strike strong sub sup time tt u var wbr".split())
@@ -66,19 +69,51 @@ class Block:
 
 @lru_cache(maxsize=20_000)
 def _elements(name: str, attrs: str) -> tuple[str, ...]:
-    """Path elements of a tag: its name, and the words of its class, id and role."""
+    """Path elements of a tag: its name, and the words of its class, id and role.
+    Of many words, those that make no difference to vector or teacher are left out."""
     out = ["<" + name]
     for _, value in _ATTR.findall(attrs):
-        out += ["." + x for x in _NAMES.findall(value.lower())[:8]]
+        words = ["." + x for x in _NAMES.findall(value.lower())]
+        if len(words) > FEW:
+            told: dict[int, str] = {}
+            words = list(dict.fromkeys(_telling(x, told) for x in words))
+        out += words
     return tuple(out)
 
 
+def _telling(element: str, told: dict[int, str]) -> str:
+    """The element itself where the teacher knows it, else the first one seen of its slot in the vector."""
+    return element if element in _MAIN or element in _SIDE else told.setdefault(_slot(element, PATH), element)
+
+
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     held: list[str] = []
     state = {"link": False, "linked": 0}
+    opened: Counter[str] = Counter()  # open tags by name
+    # elements of the open tags beyond the depth DEEP, those of a slot as one, so that deep pages take linear time
+    deep: Counter[str] = Counter()
+    told: dict[int, str] = {}
+
+    def push(name: str, elements: tuple[str, ...]) -> None:
+        stack.append((name, elements))
+        opened[name] += 1
+        if len(stack) > DEEP:
+            deep.update(_telling(e, told) for e in elements)
+
+    def pop() -> str:
+        beyond = len(stack) > DEEP
+        name, elements = stack.pop()
+        opened[name] -= 1
+        if beyond:
+            for e in elements:
+                e = _telling(e, told)
+                deep[e] -= 1
+                if not deep[e]:
+                    del deep[e]
+        return name
 
     def text(piece: str) -> None:
         if piece:
@@ -91,7 +126,10 @@ def blocks(page: str) -> list[Block]:
         if held:
             s = " ".join("".join(held).split())
             if s:
-                out.append(Block(tuple(e for _, es in stack for e in es), s, state["linked"]))
+                path = tuple(e for _, es in stack[:DEEP] for e in es)
+                if len(stack) > DEEP:
+                    path += (*deep, *stack[-1][1])
+                out.append(Block(path, s, state["linked"]))
         held.clear()
         state["linked"] = 0
 
@@ -119,16 +157,15 @@ def blocks(page: str) -> list[Block]:
             continue
         flush()
         if closing:
-            depth = next((d for d in range(len(stack) - 1, -1, -1) if stack[d][0] == name), None)
-            if depth is not None:
-                del stack[depth:]
+            if opened[name]:
+                while pop() != name:
+                    pass
         elif name not in _VOID:
             if name in _CLOSES and stack and stack[-1][0] in _CLOSES[name]:
-                stack.pop()
+                pop()
             elif stack and stack[-1][0] == "p":
-                stack.pop()  # a block-level tag ends a paragraph
-            if len(stack) < 64:
-                stack.append((name, _elements(name, m.group(3))))
+                pop()  # a block-level tag ends a paragraph
+            push(name, _elements(name, m.group(3)))
     flush()
     return out
 
