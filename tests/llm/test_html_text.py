@@ -87,3 +87,12 @@ def test_every_word_of_a_class_counts():
 def test_very_deep_page_takes_linear_time():
     page = "".join(f"<div class='x{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}'>t{k}</em></b></ul>" for k in range(20_000))
     assert len(H.blocks(page)) > 19_000
+
+
+def test_training_reads_pieces_of_long_pages(spark, monkeypatch):
+    head = "<html><head><style>" + "p { } " * 8000 + "</style></head><body><article>"
+    rows = [(k, f"{head}<p>the main words of {k}</p>" + "<p>more of it</p>" * 3000 + "</article>") for k in range(20)]
+    seen = []
+    monkeypatch.setattr(H, "fit", seen.extend)
+    H.train(spark.createDataFrame(rows, "page_id bigint, html string"))
+    assert seen and all(len(p) <= H.SAMPLE_CHARS and H.teacher(H.blocks(p)).any() for p in seen)

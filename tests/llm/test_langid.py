@@ -58,3 +58,15 @@ def test_odd_rows(odd, empty, odd_rows, trained):
 
 def test_without_labels(odd, empty):
     assert {r["lang_pred"] for r in L.identify(odd, L.train(empty)).collect()} == {"und"}
+
+
+def test_every_language_is_learned(spark):
+    # seventy languages of three words each, and one of long texts only
+    words = [[f"{a}{b}{c}" for c in ("ki", "lo", "mu")] for a in "bcdfghjkmn" for b in ("aba", "ebe", "ibi", "obo", "ubu", "aza", "ozo")]
+    rows = [(100 * k + j, " ".join(ws * (3 + j)), f"x{k:02d}") for k, ws in enumerate(words) for j in range(8 if k else 5)]
+    rows += [(100_000 + j, "wyrd wolf weald " * 400, "zz") for j in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    m = L.train(docs)
+    assert sorted(m.langs) == [f"x{k:02d}" for k in range(70)] + ["zz"]
+    tests = spark.createDataFrame([(1, "wyrd weald wolf"), (2, " ".join(words[0] * 2)), (3, " ".join(words[69] * 2))], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in L.identify(tests, m).collect()} == {1: "zz", 2: "x00", 3: "x69"}

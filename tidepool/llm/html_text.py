@@ -7,8 +7,9 @@ LSTM in numpy reads the page's whole sequence of blocks and classifies each one
 with the context of the entire page.  Blocks of the main text are joined.
 
 The labeller is trained on at most ``SAMPLE`` pages (of at most
-``SAMPLE_CHARS`` code points) that mark their article themselves
-(``<article>``, ``<main>``), and on variations of them: the container under
+``SAMPLE_CHARS`` code points, or pieces around the mark of longer ones where
+there are too few) that mark their article themselves (``<article>``,
+``<main>``), and on variations of them: the container under
 other names, and added menus, notices, adverts, forms, side bars and comments.
 Path elements are hidden at random while training, so no single mark decides.
 Where no page marks its article, variations built from plain words alone serve.
@@ -386,9 +387,11 @@ def fit(pages: list[str]) -> Model:
 
 def train(pages: DataFrame) -> Model:
     """Fit on the bounded sample of pages that mark their article."""
-    marked = pages.where(F.col("html").rlike("(?i)<(article|main)[ >]"))
+    mark = "(?i)<(article|main)[ >]"
+    marked = pages.where(F.col("html").rlike(mark))
     every = pages.select("page_id", F.lit("all").alias("__all"))
-    rows = bounded_sample(marked, every, "__all", SAMPLE, SAMPLE_CHARS, text="html", id_col="page_id")
+    around = F.greatest(F.lit(1), F.regexp_instr("html", F.lit(mark)) - SAMPLE_CHARS // 4)
+    rows = bounded_sample(marked, every, "__all", SAMPLE, SAMPLE_CHARS, text="html", id_col="page_id", piece_from=around)
     return fit([h for h, _ in rows])
 
 

@@ -11,8 +11,9 @@ backward then gives each word's language marginals, in runs of ``RUN`` words
 memory).  A document's language has the largest sum of marginals; the score is
 its share.
 
-Training reads at most ``PER_LANG`` documents of each language, of at most
-``SAMPLE_CHARS`` code points.  Prediction reads every whole text.
+Training reads at most ``PER_LANG`` documents of every language, of at most
+``SAMPLE_CHARS`` code points, or the beginnings of longer ones where a language
+has too few of them.  Prediction reads every whole text.
 
 Defined results: null text or text without a letter gives ``und`` with score 0;
 ties go to the language first in alphabetical order; without any labelled row
@@ -29,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
 from tidepool.llm.sampling import bounded_sample
@@ -235,7 +237,7 @@ def predict(texts: list[bytes], m: Model) -> tuple[np.ndarray, np.ndarray]:
 
 def train(docs: DataFrame, label: str = "lang") -> Model:
     """Fit on the bounded sample of labelled rows outside the held-out fold."""
-    return fit(bounded_sample(docs, docs, label, PER_LANG, SAMPLE_CHARS))
+    return fit(bounded_sample(docs, docs, label, PER_LANG, SAMPLE_CHARS, piece_from=F.lit(1)))
 
 
 def identify(docs: DataFrame, m: Model, text: str = "text") -> DataFrame:
