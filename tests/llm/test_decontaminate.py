@@ -65,3 +65,14 @@ def test_winnowing_keeps_a_print_of_every_window(spark):
     row = row.selectExpr("g", f"{D._winnowed('g', 6)} as f").first()
     kept = {x & 0xFFFFFFFF for x in row["f"]}
     assert all(kept & set(range(s, s + 6)) for s in range(len(ws) - 9)) and len(kept) < len(ws) / 2
+
+
+def test_capital_sigma_next_to_other_punctuation(spark):
+    greek = "ΛΟΓΟΣ ΑΛΛΟΣ ΤΟΠΟΣ ΝΟΜΟΣ ΦΙΛΟΣ ΔΡΟΜΟΣ ΚΑΙΡΟΣ ΗΛΙΟΣ ΧΡΟΝΟΣ ΑΝΕΜΟΣ ΠΟΝΟΣ ΘΥΜΟΣ".split()
+    docs = [(1, "x " + " ".join(greek) + " y"), (2, ".".join(greek)), (3, "'".join(greek[:10]).lower()), (4, "ΣΑΣ aΣ"), (5, "σας aς")]
+    items = [(1, ".".join(greek)), (2, " ".join(greek[1:11])), (3, "ΣΑΣ.AΣ"), (4, "ΣΑΣ AΣ")]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    b = spark.createDataFrame(items, "item_id bigint, text string")
+    expected = brute(docs, items)
+    assert [x[5] for x in expected] == [True, True, False, True, False]
+    assert sorted(map(tuple, D.contamination(d, b).collect()), key=str) == expected

@@ -50,8 +50,9 @@ def words(text: Column) -> Column:
 
 def folded_words(text: Column) -> Column:
     """Words with every letter lower-cased: equal words stay equal, so it serves
-    for fingerprints of whole tables, where ``translate`` would cost most of the time."""
-    return _cut(F.lower(text))
+    for fingerprints of whole tables, where ``translate`` would cost most of the time.
+    The capital sigma, the one letter that is lower-cased by what surrounds it, is replaced first."""
+    return _cut(F.lower(F.replace(text, F.lit("\u03a3"), F.lit("\u03c3"))))
 
 
 def _grams(ws: str, k: int) -> str:
