@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import bpe, chat_format, decontaminate, exact_dedup, html_text, jaccard_join, langid, oracle, pii, suffix_dedup, toxicity
+from tidepool.llm import bpe, chat_format, decontaminate, exact_dedup, fill_middle, html_text, jaccard_join, langid, oracle, pii, suffix_dedup, toxicity
 from tidepool.llm.sampling import held_out
 
 
@@ -71,6 +71,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.rotate(_table(spark, sf_dir, "conversations"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(_table(spark, sf_dir, "documents").select("doc_id", "text"), seed=7, rate=100, spm=50)
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
@@ -82,10 +86,12 @@ QUERIES = {
     "op8_langid": op8_langid,
     "op9_decontaminate": op9_decontaminate,
     "op10_chat_format": op10_chat_format,
+    "op11_fill_middle": op11_fill_middle,
 }
 
 ORACLE = {
     "op3_exact_dedup": oracle.EXACT_DEDUP,
     "op9_decontaminate": oracle.DECONTAMINATE,
     "op10_chat_format": oracle.CHAT_FORMAT,
+    "op11_fill_middle": oracle.FILL_MIDDLE,
 }

@@ -56,3 +56,23 @@ SELECT conv_id, part, perspective, count(*) AS n_turns, CAST(max(upto) AS BIGINT
                   ORDER BY upto) FILTER (own) AS mask
 FROM o GROUP BY conv_id, part, perspective
 """
+
+FILL_MIDDLE = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS ls,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (
+  SELECT doc_id, t, ls, CAST(len(ls) AS BIGINT) AS n, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4,
+         CAST('0x' || h[1:8] AS BIGINT) % (len(ls) + 1) AS x, CAST('0x' || h[9:16] AS BIGINT) % (len(ls) + 1) AS y FROM d),
+c AS (
+  SELECT *, array_to_string(ls[1:least(x, y)], '') AS p, array_to_string(ls[least(x, y) + 1:greatest(x, y)], '') AS m,
+         array_to_string(ls[greatest(x, y) + 1:], '') AS s,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+              WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM u)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN t ELSE p || m || s END) AS restored_sha256
+FROM c
+"""
