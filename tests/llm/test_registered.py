@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_operator_is_registered_once():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 12))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 13))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(QUERIES)
 
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import importlib.util
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import bpe, chat_format, decontaminate, exact_dedup, fill_middle, html_text, jaccard_join, langid, oracle, pii, suffix_dedup, toxicity
+from tidepool.llm import bpe, chat_format, decontaminate, exact_dedup, fill_middle, html_text, jaccard_join, langid, oracle, pii, suffix_dedup, token_store, toxicity
 from tidepool.llm.sampling import held_out
+from tidepool.llm.scratch import shared_folder
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -75,6 +77,13 @@ def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(_table(spark, sf_dir, "documents").select("doc_id", "text"), seed=7, rate=100, spm=50)
 
 
+def op12_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/tokens/{uuid.uuid4().hex}"
+    tokenizer = token_store.ByteBpe(vocabulary("byte_bpe_50k.json"))
+    token_store.write(_table(spark, sf_dir, "documents").select("doc_id", "text"), path, tokenizer, end=2)
+    return token_store.document_digests(spark, path)
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
@@ -87,6 +96,7 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_chat_format": op10_chat_format,
     "op11_fill_middle": op11_fill_middle,
+    "op12_token_store": op12_token_store,
 }
 
 ORACLE = {
