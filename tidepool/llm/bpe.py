@@ -40,7 +40,7 @@ REMEMBERED = 400_000
 _NONE = 1 << 60
 
 
-def _byte_chars() -> list[str]:
+def byte_chars() -> list[str]:
     """The printable character that stands for each byte in the vocabulary:
     printable Latin-1 characters stand for themselves, the others, in order,
     for code points from 256 on."""
@@ -184,7 +184,7 @@ def load(path: str) -> Tokenizer:
     if model["type"] != "BPE" or steps != ["NFC", "Replace", "Lowercase"] or spec["decoder"] is not None:
         raise ValueError(f"{path} is not a lower-casing word BPE file")
     vocab, suffix = model["vocab"], model["end_of_word_suffix"]
-    chars = _byte_chars()
+    chars = byte_chars()
     merges = {}
     for rank, pair in enumerate(model["merges"]):
         a, b = pair if isinstance(pair, list) else pair.split(" ")

@@ -13,14 +13,13 @@ from functools import cache
 _SINGLE = 0x80
 
 
-def _class_text(ranges: list[tuple[int, int]]) -> str:
-    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
+def _class_text(ranges: list[tuple[int, int]], top: int) -> str:
+    return "".join(f"\\U{a:08x}-\\U{min(b, top):08x}" for a, b in ranges if a <= top)
 
 
 @cache
-def classes() -> dict[str, str]:
-    """Ranges, for a character class of Python's ``re``, of the library's
-    ``L`` (letters), ``N`` (numbers) and ``s`` (white space)."""
+def classes() -> dict[str, list[tuple[int, int]]]:
+    """Ranges of the library's ``L`` (letters), ``N`` (numbers) and ``s`` (white space)."""
     from tokenizers import pre_tokenizers
 
     cut = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
@@ -36,12 +35,13 @@ def classes() -> dict[str, str]:
             found["N"].append((a, b))
         elif not joined[2]:
             found["s"].append((a, b))
-    return {k: _class_text(v) for k, v in found.items()}
+    return found
 
 
-def python_pattern(pattern: str) -> str:
-    r"""``pattern`` for Python's ``re``, with ``\p{L}``, ``\p{N}``, ``\s`` and ``\S`` spelt out by that table."""
-    of = classes()
+def python_pattern(pattern: str, top: int = 0x10FFFF) -> str:
+    r"""``pattern`` for Python's ``re``, with ``\p{L}``, ``\p{N}``, ``\s`` and ``\S`` spelt out by that table,
+    for texts of code points up to ``top`` (ranges left out make it faster)."""
+    of = {k: _class_text(v, top) for k, v in classes().items()}
     out, inside, i = [], False, 0
     while i < len(pattern):
         for mark, ranges, negative in ((r"\p{L}", of["L"], False), (r"\p{N}", of["N"], False), (r"\s", of["s"], False),

@@ -14,8 +14,8 @@ and ``locate`` the occurrences of given ids; the last three use rank and select
 and unpack no plane.
 
 Encoding is the tokenizers library's (byte-level BPE, its special tokens found
-in a text become their ids).  The library encodes each distinct piece that its
-pattern cuts once a task; a task remembers pieces up to ``REMEMBERED``
+in a text become their ids).  The library's model encodes each distinct piece
+that its pattern cuts once; a Python worker remembers pieces up to ``REMEMBERED``
 characters and then starts afresh.
 
 Defined results: null text is the empty text, which has the end id alone; a null
@@ -27,10 +27,12 @@ columns are ignored; an empty table has no shards and no documents.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -39,12 +41,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidepool.llm.bpe import byte_chars
 from tidepool.llm.charclass import python_pattern
 from tidepool.llm.wavelet import WaveletMatrix
 
 #: Ids of a shard, and characters of remembered pieces.
 SHARD = 1 << 20
-REMEMBERED = 1 << 24
+REMEMBERED = 1 << 23
 #: Global places that share a key when places are matched with shards.
 STRIDE = 1 << 20
 
@@ -52,11 +55,15 @@ SHARD_SCHEMA = ("part int, seq int, n bigint, width int, doc_ids array<bigint>,
                 "planes binary, ranks binary")
 
 
+#: Encoders of this Python worker, by vocabulary.
+_encoders: dict[str, Callable[[str], bytes]] = {}
+
+
 class ByteBpe:
-    """A byte-level BPE file: its pieces by ``re``, their ids by the library."""
+    """A byte-level BPE file: its pieces by ``re``, their ids by the library's model."""
 
-    #: The pattern of the library's byte-level pre-tokenizer (fixed value).
-    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    #: The pattern of the library's byte-level pre-tokenizer (fixed value), with the most frequent alternative first.
+    PATTERN = r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -67,35 +74,51 @@ class ByteBpe:
             raise ValueError(f"{path} is not a byte-level BPE file without normalizer")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.width = max(1, max([*spec["model"]["vocab"].values(), *self.special.values()]).bit_length())
-        self.words = python_pattern(self.PATTERN)
-
-    def encoder(self):
-        """text -> its ids as little-endian 32-bit integers, for one task."""
+        #: Patterns for texts of ASCII, of code points below 0x10000, and of any.
+        self.words = [python_pattern(self.PATTERN, top) for top in (0x7F, 0xFFFF, 0x10FFFF)]
+
+    def pieces(self, text: str) -> list[str]:
+        """The pieces of a text without special tokens."""
+        kind = 0 if text.isascii() else 1 if 2 * len(text) == len(text.encode("utf-16-le", "surrogatepass")) else 2
+        return re.findall(self.words[kind], text)
+
+    def encoder(self) -> Callable[[str], bytes]:
+        """text -> its ids as little-endian 32-bit integers; one for each Python worker."""
+        key = hashlib.sha256(self.spec.encode()).hexdigest()
+        if key not in _encoders:
+            _encoders[key] = self._encoder()
+        return _encoders[key]
+
+    def _encoder(self) -> Callable[[str], bytes]:
         from tokenizers import Tokenizer
 
-        library = Tokenizer.from_str(self.spec)
-        words = re.compile(self.words).findall
-        marks = re.compile("|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
+        model, pieces = Tokenizer.from_str(self.spec).model, self.pieces
+        marks = re.compile("|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
+        special, letters = tuple(self.special), dict(enumerate(byte_chars()))
         known: dict[str, bytes] = {}
         held = 0
 
+        def ids_of(piece: str) -> bytes:
+            tokens = model.tokenize(piece.encode().decode("latin-1").translate(letters))
+            return array("I", [t.id for t in tokens]).tobytes()
+
         def plain(text: str) -> bytes:
             nonlocal held
-            found = words(text)
+            found = pieces(text)
             try:
                 return b"".join(map(known.__getitem__, found))
             except KeyError:
                 if held > REMEMBERED:
                     known.clear()
                     held = 0
-                new = [w for w in dict.fromkeys(found) if w not in known]
-                for w, e in zip(new, library.encode_batch(new, add_special_tokens=False), strict=True):
-                    known[w] = np.array(e.ids, dtype="<u4").tobytes()
-                held += sum(map(len, new))
+                for w in found:
+                    if w not in known:
+                        known[w] = ids_of(w)
+                        held += len(w)
                 return b"".join(map(known.__getitem__, found))
 
         def encode(text: str) -> bytes:
-            if marks is None or not marks.search(text):
+            if not any(s in text for s in special):
                 return plain(text)
             out, at = [], 0
             for m in marks.finditer(text):

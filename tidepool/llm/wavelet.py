@@ -93,7 +93,7 @@ class WaveletMatrix:
         for shift in range(width - 1, -1, -1):
             bit = (a >> shift) & 1 != 0
             planes.append(Plane.of(bit))
-            a = np.concatenate((a[~bit], a[bit]))
+            a = np.concatenate((a.compress(~bit), a.compress(bit)))
         return cls(planes, len(ids))
 
     def ids(self) -> np.ndarray:
@@ -101,8 +101,8 @@ class WaveletMatrix:
         a = np.zeros(self.n, dtype=np.uint16 if len(self.planes) <= 16 else np.uint32)
         for shift, plane in enumerate(reversed(self.planes)):
             bit, up = plane.bits(), np.empty_like(a)
-            up[~bit] = a[:plane.zeros]
-            up[bit] = a[plane.zeros:] | a.dtype.type(1 << shift)
+            up[np.flatnonzero(~bit)] = a[:plane.zeros]
+            up[np.flatnonzero(bit)] = a[plane.zeros:] | a.dtype.type(1 << shift)
             a = up
         return a
 
