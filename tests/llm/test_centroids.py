@@ -1,0 +1,91 @@
+"""Shallot search against Lloyd's rounds with every distance taken, in plain integers."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+
+from tidepool.llm import centroids
+
+
+def brute(rows, k, rounds, dim, scale, seed):
+    kept = [(i, [math.floor(scale * float(x)) for x in v]) for i, v in rows
+            if v is not None and len(v) == dim and all(x is not None and math.isfinite(x) for x in v)]
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    centers = [v for _, v in sorted(kept, key=lambda r: (sha(f"{seed}:{'' if r[0] is None else r[0]}"), r[1]))[:k]]
+    for r in range(rounds + 1):
+        found = [min((sum((a - b) ** 2 for a, b in zip(v, c)), j) for j, c in enumerate(centers)) for _, v in kept]
+        if r < rounds:
+            for j in range(len(centers)):
+                own = [v for (_, v), (_, c) in zip(kept, found) if c == j]
+                if own:
+                    centers[j] = [sum(x) // len(own) for x in zip(*own)]
+    per = {j: sum(d for d, c in found if c == j) for j in range(len(centers))}
+    return [(i, c, d, per[c], sum(per.values()), sha(",".join(map(str, centers[c])))) for (i, _), (d, c) in zip(kept, found)]
+
+
+def vectors(kind, rng, n, dim):
+    if kind == "ties":  # few values: equal distances, equal vectors, empty clusters
+        return [[rng.choice([0.0, 1 / 256, -1 / 256, 0.5]) for _ in range(dim)] for _ in range(n)]
+    if kind == "hot":  # a third of the rows are one vector
+        return [[0.25] * dim if rng.random() < 0.34 else [rng.gauss(0, 0.2) for _ in range(dim)] for _ in range(n)]
+    if kind == "large":  # beyond exact float products
+        return [[rng.choice([-1, 1]) * rng.random() * 1e5 for _ in range(dim)] for _ in range(n)]
+    middles = [[rng.gauss(0, 1) for _ in range(dim)] for _ in range(7)]
+    return [[rng.gauss(m, 0.15) for m in rng.choice(middles)] for _ in range(n)]
+
+
+@pytest.mark.parametrize("kind", ["ties", "hot", "large", "groups"])
+@pytest.mark.parametrize(("k", "rounds", "dim"), [(9, 5, 4), (30, 3, 16), (1, 2, 3)])
+def test_against_all_distances(spark, kind, k, rounds, dim):
+    rng = random.Random(f"{kind}{k}")
+    rows = [(i, v) for i, v in enumerate(vectors(kind, rng, 300, dim))]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(4)
+    got = centroids.cluster(df, k=k, rounds=rounds, dim=dim, seed=5)
+    assert sorted(map(tuple, got.collect())) == sorted(brute(rows, k, rounds, dim, 256, 5))
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [0.1, 0.2]), (1, [0.1, 0.2]), (2, None), (3, [1.0]), (4, [1.0, None]), (5, [nan, 0.0]), (6, [inf, 0.0]), (None, [3.0, -3.0]),
+            (7, []), (8, [-0.001, 0.001]), (9, [1.0, 2.0, 3.0]), (1, [5.0, 5.0])]
+    df = spark.createDataFrame([(i, v, "c", 1) for i, v in rows], "vec_id bigint, embedding array<float>, cluster string, v int")
+    as_float = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in rows]
+    for k in (2, 40):
+        got = centroids.cluster(df, k=k, rounds=3, dim=2)
+        assert got.columns == ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, brute(as_float, k, 3, 2, 256, 2)))
+    assert centroids.cluster(df.where("vec_id > 1 AND vec_id < 7"), dim=2).collect() == []
+    with pytest.raises(ValueError):
+        centroids.cluster(df, k=0)
+
+
+def test_too_large_stops(spark):
+    df = spark.createDataFrame([(1, [1e30]), (2, [0.0])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="too large"):
+        centroids.cluster(df, k=2, dim=1)
+
+
+def test_bounds_leave_out_distances(monkeypatch):
+    """Well-parted vectors: after the first round hardly any distance beyond the own centroid's is taken."""
+    rng = random.Random(3)
+    x = np.array([[int(256 * c) for c in v] for v in vectors("groups", rng, 2000, 16)])
+    centers, taken = x[:12].copy(), []
+    true = centroids.squared
+    monkeypatch.setattr(centroids, "squared", lambda a, b: taken.append(len(a)) or true(a, b))
+    state = np.full(2000, -1), np.full(2000, -1), np.zeros(2000), np.zeros(2000)
+    moved, per_round = np.zeros(12), []
+    for _ in range(6):
+        search = centroids.Search(centers, moved)
+        taken.clear()
+        state = search.assign(x, *state)
+        per_round.append(sum(taken))
+        d = np.array([true(x, c) for c in centers])
+        assert state[0].tolist() == np.argmin(d, axis=0).tolist()
+        nearest = np.sort(d, axis=0)
+        assert (state[2] >= np.sqrt(nearest[0])).all() and (state[3] <= np.sqrt(nearest[1])).all()
+        after = np.array([x[state[0] == j].sum(axis=0) // max((state[0] == j).sum(), 1) for j in range(12)])
+        centers, moved = after, np.sqrt(true(after, centers).astype(float)) * (1 + 1e-9)
+    assert per_round[-1] < 12 * 2000 / 4

@@ -19,14 +19,14 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_operator_is_registered_once():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 13))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "conversations"):
+    for t in ("documents", "benchmark", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df, rel = QUERIES[name](spark, SF), con.sql(ORACLE[name])
     cols = sorted(df.columns)

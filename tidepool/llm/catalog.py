@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidepool.llm import bpe, chat_format, decontaminate, exact_dedup, fill_middle, html_text, jaccard_join, langid, oracle, pii, suffix_dedup, token_store, toxicity
+from tidepool.llm import bpe, centroids, chat_format, decontaminate, exact_dedup, fill_middle, html_text, jaccard_join, langid, oracle, pii, suffix_dedup, token_store, toxicity
 from tidepool.llm.sampling import held_out
 from tidepool.llm.scratch import shared_folder
 
@@ -84,6 +84,10 @@ def op12_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.document_digests(spark, path)
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf_dir, "embeddings"), k=40, rounds=5, dim=64, scale=256, seed=2)
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
@@ -97,6 +101,7 @@ QUERIES = {
     "op10_chat_format": op10_chat_format,
     "op11_fill_middle": op11_fill_middle,
     "op12_token_store": op12_token_store,
+    "op13_centroids": op13_centroids,
 }
 
 ORACLE = {
@@ -104,4 +109,5 @@ ORACLE = {
     "op9_decontaminate": oracle.DECONTAMINATE,
     "op10_chat_format": oracle.CHAT_FORMAT,
     "op11_fill_middle": oracle.FILL_MIDDLE,
+    "op13_centroids": oracle.CENTROIDS,
 }

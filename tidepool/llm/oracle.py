@@ -76,3 +76,33 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
        sha256(CASE form WHEN 'plain' THEN t ELSE p || m || s END) AS restored_sha256
 FROM c
 """
+
+
+def _centroids(k: int = 40, rounds: int = 5, dim: int = 64, scale: int = 256, seed: int = 2) -> str:
+    """Lloyd's rounds one after the other, all distances taken."""
+    # ids repeat, so vectors are numbered
+    steps = [f"""v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: isfinite(CAST(x AS DOUBLE)))) = {dim}),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x FROM (
+    SELECT x, sha256('{seed}:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM v ORDER BY h, x LIMIT {k}))"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT r, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT r, c, list_sum(list_transform(range(1, {dim + 1}), lambda i: (v.x[i] - m.x[i]) * (v.x[i] - m.x[i]))) AS d
+    FROM v, c{r} m) GROUP BY r)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c, coalesce(y, c{r}.x) AS x FROM c{r} LEFT JOIN (
+    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS y FROM (
+      SELECT c, i, sum(v.x[i]) AS s, count(*) AS n FROM v JOIN a{r} USING (r), range(1, {dim + 1}) AS t(i) GROUP BY c, i)
+    GROUP BY c) USING (c))""")
+    return "WITH " + ",\n".join(steps) + f"""
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m.x, ',')) AS centroid_sha256
+FROM a{rounds} JOIN v USING (r) JOIN c{rounds} m USING (c)
+"""
+
+
+CENTROIDS = _centroids()

@@ -24,3 +24,9 @@ def saved(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete a table of this package that no plan reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
