@@ -56,8 +56,10 @@ def odd_texts():
 
 def test_encoding(library, ours):
     encode = ours.encoder()
-    for t in odd_texts():
-        assert np.frombuffer(encode(t), dtype="<u4").tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+    texts = odd_texts()
+    for t, ids in zip(texts, encode(texts), strict=True):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+    assert encode([]) == [] and encode([""]) == [b""]
 
 
 def test_every_code_point(library, ours):
@@ -69,7 +71,7 @@ def test_every_code_point(library, ours):
             t = "".join(lead + chr(c) + "\n" for c in points[k:k + (1 << 16)])
             cut = [t[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(t)]
             assert ours.pieces(t) == cut
-    assert encode("aᲉ") == np.array(library.encode("aᲉ").ids, dtype="<u4").tobytes()
+    assert encode(["aᲉ"])[0] == np.array(library.encode("aᲉ").ids, dtype="<u4").tobytes()
 
 
 def test_remembered_pieces_are_bounded(library, ours, monkeypatch):
@@ -77,7 +79,14 @@ def test_remembered_pieces_are_bounded(library, ours, monkeypatch):
     encode, rng = ours._encoder(), random.Random(1)
     for _ in range(50):
         t = prose(rng, 20)
-        assert np.frombuffer(encode(t), dtype="<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(encode([t])[0], dtype="<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+
+
+def test_equal_hashes(library, ours, monkeypatch):
+    """Pieces of one hash are told apart."""
+    monkeypatch.setattr(token_store, "power_table", lambda base, n: np.ones(n, np.uint64))
+    encode, texts = ours._encoder(), ["ab ba abc cab", "x", "", "ba ab"]
+    assert [np.frombuffer(x, dtype="<u4").tolist() for x in encode(texts)] == [library.encode(t).ids for t in texts]
 
 
 def expected(library, rows):

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from functools import cache
 
+import numpy as np
+
 #: Code points below this are classed one by one: the space there joins the piece after it.
 _SINGLE = 0x80
 
@@ -62,3 +64,45 @@ def python_pattern(pattern: str, top: int = 0x10FFFF) -> str:
             out.append(c)
             i += 1
     return "".join(out)
+
+
+OTHER, LETTER, NUMBER, SPACE, END = range(5)
+
+
+@cache
+def class_table() -> np.ndarray:
+    """The class of every code point."""
+    table = np.full(0x110000, OTHER, dtype=np.uint8)
+    for name, kind in (("L", LETTER), ("N", NUMBER), ("s", SPACE)):
+        for a, b in classes()[name]:
+            table[a:b + 1] = kind
+    return table
+
+
+def cut(points: np.ndarray, kinds: np.ndarray) -> np.ndarray:
+    r"""Where the pieces of the byte-level pattern begin in code points of the
+    given classes (``END`` between texts is a piece of its own):
+    ``'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+``."""
+    n = len(kinds)
+    begins = np.ones(n + 1, dtype=bool)
+    np.not_equal(kinds[1:], kinds[:-1], out=begins[1:n])
+    begins[1:n] |= kinds[1:] == END
+    run = np.flatnonzero(begins)
+    first, after = run[:-1], run[1:]
+    # of white space before a word the last character stands apart, and a plain space joins the word
+    kind = kinds[first]
+    joined = after[:-1][(kind[:-1] == SPACE) & (kind[1:] < SPACE)]
+    begins[joined - 1] = True
+    begins[joined[points[joined - 1] == 0x20]] = False
+    # an apostrophe that begins a piece takes the letters of a short form
+    at = first[:-1][(kind[:-1] == OTHER) & (kind[1:] == LETTER) & (after[:-1] - first[:-1] == 1)]
+    at = at[(points[at] == 0x27) & begins[at]]
+    c1 = points[at + 1]
+    c2 = np.where((at + 2 < n) & (kinds[np.minimum(at + 2, n - 1)] == LETTER), points[np.minimum(at + 2, n - 1)], 0)
+    s, t, m, d, r, v, e, l = map(ord, "stmdrvel")
+    one = (c1 == s) | (c1 == t) | (c1 == m) | (c1 == d)
+    two = ~one & (((c1 == r) | (c1 == v)) & (c2 == e) | (c1 == l) & (c2 == l))
+    begins[at[one | two] + 1] = False
+    begins[at[one] + 2] = True
+    begins[at[two] + 3] = True
+    return np.flatnonzero(begins[:n])

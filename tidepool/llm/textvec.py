@@ -19,12 +19,12 @@ from pyspark.sql.types import StructField, StructType
 PIECE = 1 << 20
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-_BASE_INV = pow(_BASE, -1, 1 << 64)
+BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+BASE_INVERSE = pow(BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
 
 
-def _power_table(base: int, n: int) -> np.ndarray:
+def power_table(base: int, n: int) -> np.ndarray:
     have = _powers.get(base)
     if have is None or len(have) < n:
         have = np.empty(max(n, 1 << 16), dtype=_U)
@@ -90,14 +90,14 @@ class Words:
     def prefix(self) -> np.ndarray:
         if self._prefix is None:
             terms = BYTE_VALUES[self.buf]
-            terms *= _power_table(_BASE, len(terms))
+            terms *= power_table(BASE, len(terms))
             self._prefix = np.concatenate((np.zeros(1, _U), np.cumsum(terms, dtype=_U)))
         return self._prefix
 
     def span_hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hash of the bytes of each span (equal bytes, equal hash)."""
         p = self.prefix()
-        h = (p[end] - p[start]) * _power_table(_BASE_INV, len(p))[start]
+        h = (p[end] - p[start]) * power_table(BASE_INVERSE, len(p))[start]
         return mix(h + (end - start).astype(_U))
 
     def hashes(self) -> np.ndarray:
@@ -115,15 +115,15 @@ def grams(word_hash: np.ndarray, k: int) -> np.ndarray:
         return np.empty(0, _U)
     h = np.zeros(n, _U)
     for j in range(k):
-        h = (h + word_hash[j:j + n]) * _U(_BASE) + _U(j + 1)
+        h = (h + word_hash[j:j + n]) * _U(BASE) + _U(j + 1)
     return mix(h)
 
 
-def pieces(texts: list[bytes | None], size: int = PIECE) -> Iterator[tuple[int, list[bytes]]]:
+def pieces(texts: list[bytes | None] | list[str], size: int = PIECE) -> Iterator[tuple[int, list]]:
     """(index of the first text, texts) with about ``size`` bytes each; null is empty."""
     first, held, total = 0, [], 0
     for i, t in enumerate(texts):
-        t = t or b""
+        t = b"" if t is None else t
         if held and total + len(t) > size:
             yield first, held
             first, held, total = i, [], 0

@@ -14,9 +14,10 @@ and ``locate`` the occurrences of given ids; the last three use rank and select
 and unpack no plane.
 
 Encoding is the tokenizers library's (byte-level BPE, its special tokens found
-in a text become their ids).  The library's model encodes each distinct piece
-that its pattern cuts once; a Python worker remembers pieces up to ``REMEMBERED``
-characters and then starts afresh.
+in a text become their ids).  Texts are cut into the pieces of its pattern in
+numpy, by character classes that the library itself gave (``charclass.py``); its
+model encodes each distinct piece once, and a Python worker remembers pieces up
+to ``REMEMBERED`` characters and then starts afresh.
 
 Defined results: null text is the empty text, which has the end id alone; a null
 id comes first; rows of one id are ordered by a hash of their text, repeated
@@ -42,12 +43,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepool.llm.bpe import byte_chars
-from tidepool.llm.charclass import python_pattern
+from tidepool.llm.charclass import END, class_table, cut
+from tidepool.llm.textvec import BASE, BASE_INVERSE, power_table
+from tidepool.llm.textvec import pieces as pieces_of
 from tidepool.llm.wavelet import WaveletMatrix
 
 #: Ids of a shard, and characters of remembered pieces.
 SHARD = 1 << 20
 REMEMBERED = 1 << 23
+#: Characters that are cut and looked up at once (a longer text is a group of its own).
+AT_ONCE = 1 << 20
 #: Global places that share a key when places are matched with shards.
 STRIDE = 1 << 20
 
@@ -56,14 +61,11 @@ SHARD_SCHEMA = ("part int, seq int, n bigint, width int, doc_ids array<bigint>,
 
 
 #: Encoders of this Python worker, by vocabulary.
-_encoders: dict[str, Callable[[str], bytes]] = {}
+_encoders: dict[str, Callable[[list[str]], list[bytes]]] = {}
 
 
 class ByteBpe:
-    """A byte-level BPE file: its pieces by ``re``, their ids by the library's model."""
-
-    #: The pattern of the library's byte-level pre-tokenizer (fixed value), with the most frequent alternative first.
-    PATTERN = r" ?\p{L}+|'s|'t|'re|'ve|'m|'ll|'d| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+    """A byte-level BPE file: its pieces by the library's classes, their ids by its model."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -74,25 +76,25 @@ class ByteBpe:
             raise ValueError(f"{path} is not a byte-level BPE file without normalizer")
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.width = max(1, max([*spec["model"]["vocab"].values(), *self.special.values()]).bit_length())
-        #: Patterns for texts of ASCII, of code points below 0x10000, and of any.
-        self.words = [python_pattern(self.PATTERN, top) for top in (0x7F, 0xFFFF, 0x10FFFF)]
+        self.table = class_table()
 
     def pieces(self, text: str) -> list[str]:
         """The pieces of a text without special tokens."""
-        kind = 0 if text.isascii() else 1 if 2 * len(text) == len(text.encode("utf-16-le", "surrogatepass")) else 2
-        return re.findall(self.words[kind], text)
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        at = cut(points, self.table[points]).tolist() if text else []
+        return [text[a:b] for a, b in zip(at, [*at[1:], len(text)])]
 
-    def encoder(self) -> Callable[[str], bytes]:
-        """text -> its ids as little-endian 32-bit integers; one for each Python worker."""
+    def encoder(self) -> Callable[[list[str]], list[bytes]]:
+        """texts -> their ids as little-endian 32-bit integers; one for each Python worker."""
         key = hashlib.sha256(self.spec.encode()).hexdigest()
         if key not in _encoders:
             _encoders[key] = self._encoder()
         return _encoders[key]
 
-    def _encoder(self) -> Callable[[str], bytes]:
+    def _encoder(self) -> Callable[[list[str]], list[bytes]]:
         from tokenizers import Tokenizer
 
-        model, pieces = Tokenizer.from_str(self.spec).model, self.pieces
+        model, pieces, table = Tokenizer.from_str(self.spec).model, self.pieces, self.table
         marks = re.compile("|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
         special, letters = tuple(self.special), dict(enumerate(byte_chars()))
         known: dict[str, bytes] = {}
@@ -117,15 +119,61 @@ class ByteBpe:
                         held += len(w)
                 return b"".join(map(known.__getitem__, found))
 
-        def encode(text: str) -> bytes:
-            if not any(s in text for s in special):
-                return plain(text)
+        def one(text: str) -> bytes:
             out, at = [], 0
             for m in marks.finditer(text):
                 out += [plain(text[at:m.start()]), self.special[m.group()].to_bytes(4, "little")]
                 at = m.end()
             return b"".join([*out, plain(text[at:])])
 
+        def together(texts: list[str]) -> list[bytes]:
+            """Texts without special tokens: equal pieces are found by a hash and compared, each is looked up once."""
+            nonlocal held
+            joined = "".join([t + "\n" for t in texts])
+            points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+            ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1
+            kinds = table[points]
+            kinds[ends] = END
+            start = cut(points, kinds)
+            piece_end = np.append(start[1:], len(points))
+            size = piece_end - start
+            terms = points.astype(np.uint64) + np.uint64(1)
+            terms *= power_table(BASE, len(points))
+            upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)))
+            h = (upto[piece_end] - upto[start]) * power_table(BASE_INVERSE, len(points))[start]
+            _, example, which = np.unique(h, return_index=True, return_inverse=True)
+            shift = (start[example] - start[:1].repeat(len(example)))[which] - (start - start[0])
+            if (size != size[example][which]).any() or (points != points[np.arange(len(points)) + np.repeat(shift, size)]).any():
+                return list(map(one, texts))  # two pieces of one hash
+            if held > REMEMBERED:
+                known.clear()
+                held = 0
+            ids = []
+            for w in [joined[x:y] for x, y in zip(start[example].tolist(), piece_end[example].tolist())]:
+                found = known.get(w)
+                if found is None:
+                    found = known[w] = ids_of(w)
+                    held += len(w)
+                ids.append(found)
+            flat = np.frombuffer(b"".join(ids), dtype="<u4")
+            count = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            first = np.cumsum(count) - count
+            mine = count[which]
+            last = np.searchsorted(start, ends)  # the piece that ends each text
+            mine[last] = 0
+            place = np.cumsum(mine)
+            out = flat[np.arange(place[-1]) + np.repeat(first[which] - (place - mine), mine)].tobytes()
+            bounds = [0, *(4 * place[last]).tolist()]
+            return [out[x:y] for x, y in zip(bounds, bounds[1:])]
+
+        def encode(texts: list[str]) -> list[bytes]:
+            out: list[bytes | None] = [one(t) if any(s in t for s in special) else None for t in texts]
+            rest = [k for k, x in enumerate(out) if x is None]
+            for first, group in pieces_of([texts[k] for k in rest], AT_ONCE):
+                for k, x in enumerate(together(group), first):
+                    out[rest[k]] = x
+            return out
+
         return encode
 
 
@@ -149,9 +197,9 @@ def _shards(docs: DataFrame, tokenizer: ByteBpe, end: int, width: int, size: int
                                               names=[f.split()[0] for f in SHARD_SCHEMA.split(", ")])
 
         for b in batches:
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            for doc_id, found in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist()), strict=True):
                 ids.append(doc_id)
-                texts.append(encode(text) + tail)
+                texts.append(found + tail)
                 held += len(texts[-1]) // 4
                 if held >= size:
                     yield shard()
