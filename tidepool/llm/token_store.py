@@ -52,7 +52,7 @@ from tidepool.llm.wavelet import WaveletMatrix
 SHARD = 1 << 20
 REMEMBERED = 1 << 23
 #: Characters that are cut and looked up at once (a longer text is a group of its own).
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 21
 #: Global places that share a key when places are matched with shards.
 STRIDE = 1 << 20
 
@@ -148,13 +148,12 @@ class ByteBpe:
             if held > REMEMBERED:
                 known.clear()
                 held = 0
-            ids = []
-            for w in [joined[x:y] for x, y in zip(start[example].tolist(), piece_end[example].tolist())]:
-                found = known.get(w)
+            words = [joined[x:y] for x, y in zip(start[example].tolist(), piece_end[example].tolist())]
+            ids = list(map(known.get, words))
+            for k, found in enumerate(ids):
                 if found is None:
-                    found = known[w] = ids_of(w)
-                    held += len(w)
-                ids.append(found)
+                    ids[k] = known[words[k]] = ids_of(words[k])
+                    held += len(words[k])
             flat = np.frombuffer(b"".join(ids), dtype="<u4")
             count = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             first = np.cumsum(count) - count
