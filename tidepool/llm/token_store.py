@@ -60,6 +60,12 @@ SHARD_SCHEMA = ("part int, seq int, n bigint, width int, doc_ids array<bigint>,
                 "planes binary, ranks binary")
 
 
+def _places(n: int, shift: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """0 to n - 1, runs of the given sizes each moved by its shift."""
+    kind = np.int32 if n < 1 << 30 else np.int64
+    return np.arange(n, dtype=kind) + np.repeat(shift.astype(kind), size)
+
+
 #: Encoders of this Python worker, by vocabulary.
 _encoders: dict[str, Callable[[list[str]], list[bytes]]] = {}
 
@@ -96,13 +102,14 @@ class ByteBpe:
 
         model, pieces, table = Tokenizer.from_str(self.spec).model, self.pieces, self.table
         marks = re.compile("|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
-        special, letters = tuple(self.special), dict(enumerate(byte_chars()))
+        special, letters = tuple(self.special), byte_chars()
         known: dict[str, bytes] = {}
         held = 0
 
         def ids_of(piece: str) -> bytes:
-            tokens = model.tokenize(piece.encode().decode("latin-1").translate(letters))
-            return array("I", [t.id for t in tokens]).tobytes()
+            plain_ascii = piece.isascii() and piece.isprintable()
+            shown = piece.replace(" ", letters[0x20]) if plain_ascii else "".join(map(letters.__getitem__, piece.encode()))
+            return array("I", [t.id for t in model.tokenize(shown)]).tobytes()
 
         def plain(text: str) -> bytes:
             nonlocal held
@@ -142,8 +149,9 @@ class ByteBpe:
             upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)))
             h = (upto[piece_end] - upto[start]) * power_table(BASE_INVERSE, len(points))[start]
             _, example, which = np.unique(h, return_index=True, return_inverse=True)
-            shift = (start[example] - start[:1].repeat(len(example)))[which] - (start - start[0])
-            if (size != size[example][which]).any() or (points != points[np.arange(len(points)) + np.repeat(shift, size)]).any():
+            which = which.astype(np.int32)
+            shift = start[example][which] - start
+            if (size != size[example][which]).any() or (points != points[_places(len(points), shift, size)]).any():
                 return list(map(one, texts))  # two pieces of one hash
             if held > REMEMBERED:
                 known.clear()
@@ -161,7 +169,7 @@ class ByteBpe:
             last = np.searchsorted(start, ends)  # the piece that ends each text
             mine[last] = 0
             place = np.cumsum(mine)
-            out = flat[np.arange(place[-1]) + np.repeat(first[which] - (place - mine), mine)].tobytes()
+            out = flat[_places(int(place[-1]), first[which] - (place - mine), mine)].tobytes()
             bounds = [0, *(4 * place[last]).tolist()]
             return [out[x:y] for x, y in zip(bounds, bounds[1:])]
 

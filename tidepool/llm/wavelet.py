@@ -91,7 +91,7 @@ class WaveletMatrix:
             raise ValueError(f"ids need more than {width} bits")
         a, planes = ids.astype(np.uint16 if width <= 16 else np.uint32), []
         for shift in range(width - 1, -1, -1):
-            bit = (a >> shift) & 1 != 0
+            bit = (a & a.dtype.type(1 << shift)) != 0
             planes.append(Plane.of(bit))
             a = np.concatenate((a.compress(~bit), a.compress(bit)))
         return cls(planes, len(ids))
