@@ -11,11 +11,12 @@ from tidepool.llm import langid as L
 SF = "/root/testdata/sf0.01"
 
 
-def test_forward_backward_is_exact():
+@pytest.mark.parametrize("size", [1, 2, 3, 64])
+def test_forward_backward_is_exact(monkeypatch, size):
+    monkeypatch.setattr(L, "RUN", size)
     rng = np.random.default_rng(0)
     em, t, s = rng.normal(size=(6, 3)), rng.normal(size=(3, 3)), rng.normal(size=3)
-    run, place, lens = L._runs(np.array([0, 0, 0, 0, 1, 1]), np.array([4, 2]))
-    g, pairs, begun = L.forward_backward(em, run, place, lens, t, s, learn=True)
+    g, pairs, begun = L.forward_backward(em, L._runs(np.array([0, 0, 0, 0, 1, 1]), np.array([4, 2])), t, s, learn=True)
     expected, joint = np.zeros((6, 3)), np.zeros((3, 3))
     for words in ([0, 1, 2, 3], [4, 5]):
         paths = list(itertools.product(range(3), repeat=len(words)))
@@ -29,6 +30,26 @@ def test_forward_backward_is_exact():
     assert np.allclose(g, expected) and np.allclose(pairs, joint) and np.allclose(begun, expected[0] + expected[4])
 
 
+def test_a_long_chain_is_one(monkeypatch):
+    """10,000 words, evidence only at the ends: runs of 64 as one word after the other."""
+    rng = np.random.default_rng(1)
+    em, t, s = rng.normal(size=(10_000, 3)) * 0.01, np.diag([9.0, 9.0, 9.0]), rng.normal(size=3)
+    em[5], em[9_000] = [4, 0, 0], [0, 0, 4]
+    doc, counts = np.zeros(10_000, np.int64), np.array([10_000])
+    a = np.zeros((10_000, 3))
+    b = np.ones((10_000, 3))
+    for i in range(10_000):
+        a[i] = (np.exp(s) if i == 0 else a[i - 1] @ np.exp(t)) * np.exp(em[i])
+        a[i] /= a[i].sum()
+    for i in range(9_998, -1, -1):
+        b[i] = np.exp(t) @ (np.exp(em[i + 1]) * b[i + 1])
+        b[i] /= b[i].sum()
+    expected = a * b / (a * b).sum(axis=1, keepdims=True)
+    got = L.forward_backward(em, L._runs(doc, counts), t, s)[0]
+    assert np.allclose(got, expected)
+    assert got[100, 0] > got[3_000, 0] > got[8_990, 0] + 0.1  # evidence crosses many runs
+
+
 @pytest.fixture(scope="module")
 def trained(spark):
     return L.train(spark.read.parquet(f"{SF}/documents.parquet"))

@@ -1,7 +1,7 @@
 """Connected components of a link table by alternating large and small stars.
 
 Each round rewrites the links so that every node points to the smallest
-neighbour it knows; the rounds end when the links no longer change.  A round is
+neighbour it knows; the rounds end when every link leads to a node without one.  A round is
 one partial aggregate and one join per star, written under
 ``spark.checkpoint.dir``, so lineage stays short and a lost executor costs at
 most one round.  Links are never collected.
@@ -33,17 +33,21 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
     return out.where("a != b").distinct()
 
 
+def _settled(links: DataFrame) -> bool:
+    """Every node has one link, to a node that has none itself: the links are the components."""
+    twice = links.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
+    further = links.select("b").join(links.select(F.col("a").alias("b")), "b", "left_semi").select(F.col("b").alias("a"))
+    return twice.unionAll(further).isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node that ``links`` (a, b) lead to, for
     every node that has a link."""
-    links = links.select("a", "b").where("a != b").distinct()
-    before = None
+    links = saved(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
     for _ in range(_ROUNDS):
-        links = saved(_star(_star(links, True), False))
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if tuple(now) == before:
+        if _settled(links):
             break
-        before = tuple(now)
+        links = saved(_star(_star(links, True), False))
     else:
         raise RuntimeError("components did not converge")
     found = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
