@@ -58,7 +58,7 @@ SHINGLE = 5
 #: Fewest groups of a count vector.
 GROUPS = 16
 #: Shingles counted together by a task before those seen once are forgotten.
-COUNTED = 4_000_000
+COUNTED = 2_000_000
 #: A shingle in more than one of HOT_SHARE documents is frequent; at most HOT_MOST of them (800 kB) are reordered.
 HOT_SHARE, HOT_MOST = 1_000, 100_000
 #: Bits of the map of documents whose sets are read again: a fixed size, whatever the input.
@@ -376,7 +376,7 @@ def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if found := pairs_of(rows):
                     yield batch(found)
                 rows = []
-                if len(done) > 1_000_000:
+                if len(done) > 200_000:
                     done.clear()
             rows.append((key, own[k], s[k], comp[k], n[k], vector(p[k], n[k])))
     if rows and (found := pairs_of(rows)):
