@@ -203,6 +203,35 @@ def _join_expired_plain(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return lonely_left.unionByName(lonely_right)
 
 
+def single_join_outcome(sides: dict[str, DataFrame], keys: Sequence[str], ts: str, timeout_seconds: int) -> DataFrame:
+    """J6 + J7 over any number of sides that hold a key at most once each:
+    ``(status, side, keys..., ts)``.  A key whose sides all came within
+    ``timeout_seconds`` of each other gives one ``joined`` row (side null, ts of
+    the last one); otherwise each row it has gives an ``expired`` row.  One
+    partial aggregate over all sides: a shuffle of one row per key and task
+    however many sides there are."""
+    if timeout_seconds < 0:
+        raise ValueError("timeout must be >= 0")
+    tagged = None
+    for name, s in sides.items():
+        part = s.where(F.col(ts).isNotNull()).select(*keys, F.lit(name).alias("side"), F.col(ts).alias("ts"))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    per_side = [F.max(F.when(F.col("side") == name, F.col("ts"))).alias(f"_tp_{i}") for i, name in enumerate(sides)]
+    per_key = tagged.groupBy(*keys).agg(*per_side)
+    times = [F.col(f"_tp_{i}") for i in range(len(sides))]
+    late = F.greatest(*times) if len(times) > 1 else times[0]
+    early = F.least(*times) if len(times) > 1 else times[0]
+    complete = late - early <= F.expr(f"INTERVAL {int(timeout_seconds)} SECONDS")
+    for t in times:
+        complete = complete & t.isNotNull()
+    kind = tagged.schema["ts"].dataType
+    rows = F.when(complete, F.array(F.struct(F.lit("joined").alias("status"), F.lit(None).cast("string").alias("side"), late.cast(kind).alias("ts"))))
+    lonely = F.array(*[F.struct(F.lit("expired").alias("status"), F.lit(n).cast("string").alias("side"), t.alias("ts"))
+                       for n, t in zip(sides, times)])
+    rows = rows.otherwise(F.filter(lonely, lambda x: x["ts"].isNotNull()))
+    return per_key.select(*keys, F.explode(rows).alias("_tp")).select("_tp.status", "_tp.side", *keys, "_tp.ts")
+
+
 def map_get(requests: DataFrame, state: DataFrame, request_key: str, state_key: str,
             values: Sequence[str]) -> DataFrame:
     """Multi-get against a read-only keyed table; one row per match,

@@ -385,6 +385,12 @@ def join_expired(spark, sf):
                           names=("signup", "click"))
 
 
+def single_join_three_sides(spark, sf):
+    """A user's first signup, click and purchase as three sides with the time-out."""
+    sides = {n: _first_per_user(spark, sf, n, "ts") for n in ("signup", "click", "purchase")}
+    return J.single_join_outcome(sides, ["user_id"], "ts", JOIN_TIMEOUT)
+
+
 def join_duplicate_keys(spark, sf):
     ev = _t(spark, sf, "events")
     signup = ev.filter(F.col("event_type") == F.lit("signup")).select("user_id", "ts")
@@ -565,6 +571,7 @@ QUERIES: dict[str, Query] = {
     "single_join_nullsafe": single_join_nullsafe,
     "single_join_timeout": single_join_timeout,
     "join_expired": join_expired,
+    "single_join_three_sides": single_join_three_sides,
     "join_duplicate_keys": join_duplicate_keys,
     "src_fixed_batches": src_fixed_batches,
     "src_partitioned_batches": src_partitioned_batches,

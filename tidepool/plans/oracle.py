@@ -219,6 +219,12 @@ SELECT 'signup' AS side, s.user_id, s.signup_ts AS ts FROM s WHERE NOT EXISTS (
 UNION ALL
 SELECT 'click' AS side, c.user_id, c.click_ts AS ts FROM c WHERE NOT EXISTS (
   SELECT 1 FROM s WHERE c.user_id = s.user_id AND c.click_ts >= s.signup_ts - {_T} AND c.click_ts <= s.signup_ts + {_T})""",
+    "single_join_three_sides": f"""WITH f AS (
+  SELECT user_id, event_type AS side, min(ts) AS ts FROM events WHERE event_type IN ('signup', 'click', 'purchase') GROUP BY 1, 2),
+k AS (SELECT user_id, count(*) = 3 AND max(ts) - min(ts) <= {_T} AS complete, max(ts) AS last FROM f GROUP BY 1)
+SELECT 'joined' AS status, CAST(NULL AS VARCHAR) AS side, user_id, last AS ts FROM k WHERE complete
+UNION ALL
+SELECT 'expired', side, user_id, ts FROM f JOIN k USING (user_id) WHERE NOT complete""",
     "join_duplicate_keys": """SELECT 'signup' AS side, user_id, count(*) AS n FROM events WHERE event_type = 'signup'
   GROUP BY user_id HAVING count(*) > 1
 UNION ALL

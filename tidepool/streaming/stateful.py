@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructField, StructType
 
@@ -22,6 +22,12 @@ from tidepool.streaming.versioned import BatchOutput
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def use_rocksdb(spark: SparkSession) -> None:
+    """Processors keep their state in RocksDB, larger than memory."""
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
 class RunningCount(StatefulProcessor):
     """One ``ValueState`` (the word's count so far) per key.  ``ttl_ms``
     expires a word's count after that much processing time without updates
@@ -53,9 +59,7 @@ class RunningCount(StatefulProcessor):
 def running_count_stream(df: DataFrame, word: str, order: Sequence[str], out: str = "count",
                          ttl_ms: int | None = None) -> DataFrame:
     """Streaming form of ``counts.running_count``: one output row per input row."""
-    spark = df.sparkSession
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    use_rocksdb(df.sparkSession)
     cols = df.columns
     schema = StructType([*df.schema.fields, StructField(out, LongType())])
     # State TTL is measured in processing time and needs that time mode; such a
@@ -93,9 +97,7 @@ def keyed_changelog_stream(df: DataFrame, key: str) -> DataFrame:
     """Streaming T2 on the state store (scales with the number of keys, no
     full-state rewrite per micro-batch).  Attach the batch id in the sink,
     e.g. ``BatchOutput.write`` inside ``foreachBatch``."""
-    spark = df.sparkSession
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    use_rocksdb(df.sparkSession)
     schema = StructType([df.schema[key], StructField("count", LongType()), StructField("prev_count", LongType())])
     return df.select(key).groupBy(key).transformWithStateInPandas(KeyedChangelog(key), schema, "Append", "None")
 
