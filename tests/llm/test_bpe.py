@@ -34,6 +34,14 @@ def test_ids_and_text(pair):
         assert ours.decode(ids) == theirs.decode(ids, skip_special_tokens=False)
 
 
+def test_every_code_point(pair):
+    theirs, ours = pair
+    points = [c for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF]
+    for k in range(0, len(points), 4096):
+        text = "\n".join(f"a{chr(c)}b 1{chr(c)}1 {chr(c)}" for c in points[k:k + 4096])
+        assert ours.encode(text) == theirs.encode(text, add_special_tokens=False).ids, hex(points[k])
+
+
 def test_scan_equals_heap(pair):
     ours, rng = pair[1], random.Random(4)
     for _ in range(300):

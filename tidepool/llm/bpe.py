@@ -24,15 +24,14 @@ import hashlib
 import heapq
 import json
 import re
-import sys
 import unicodedata
 from dataclasses import dataclass, field
-from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructField
 
+from tidepool.llm.charclass import lower_differences, python_pattern
 from tidepool.llm.textvec import append_columns
 
 LONG_WORD = 256
@@ -49,24 +48,6 @@ def byte_chars() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
-@cache
-def _class(kind: str) -> str:
-    """Ranges, for a character class, of the code points whose general category begins with ``kind``."""
-    inside = [unicodedata.category(chr(c))[0] == kind for c in range(sys.maxunicode + 1)]
-    edges = [c for c in range(sys.maxunicode + 1) if inside[c] != (c > 0 and inside[c - 1])]
-    if len(edges) % 2:
-        edges.append(sys.maxunicode + 1)
-    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2]))
-
-
-def _python_pattern(split: str) -> str:
-    """The file's pattern with its properties spelt out by Python's character
-    table, and white space as Unicode's White_Space."""
-    space = "".join(f"\\u{c:04x}" for c in (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028,
-                                            0x2029, 0x202F, 0x205F, 0x3000))
-    return split.replace(r"\p{L}", _class("L")).replace(r"\p{N}", _class("N")).replace(r"\s", space)
-
-
 @dataclass
 class Tokenizer:
     tokens: dict[int, str]  # id -> token
@@ -74,7 +55,8 @@ class Tokenizer:
     last: list[int]  # byte -> id of the part that ends a word
     merges: dict[tuple[int, int], tuple[int, int]]  # pair of ids -> (rank, id)
     special: dict[str, int]
-    split: str
+    splits: list[str]  # patterns for texts of ASCII, of code points below 0x10000, and of any
+    lower: dict[int, str]  # lower case where the library's table has another than Python's
     _known: dict = field(default_factory=dict, repr=False)
     _patterns: tuple | None = field(default=None, repr=False)
 
@@ -123,7 +105,7 @@ class Tokenizer:
 
     def _pieces(self, text: str):
         """(special id or None, plain text) in order."""
-        marks, _ = self.patterns()
+        marks = self.patterns()[0]
         at = 0
         for m in marks.finditer(text) if marks else ():
             yield None, text[at:m.start()]
@@ -134,7 +116,8 @@ class Tokenizer:
     def patterns(self) -> tuple:
         if self._patterns is None:
             marks = "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True))
-            self._patterns = re.compile(marks) if marks else None, re.compile(_python_pattern(self.split))
+            odd = re.compile(f"[{''.join(map(chr, self.lower))}]" if self.lower else "(?!)")
+            self._patterns = re.compile(marks) if marks else None, [re.compile(p).findall for p in self.splits], odd.search
         return self._patterns
 
     def _learn(self, word: str) -> tuple[int, str, str]:
@@ -148,15 +131,23 @@ class Tokenizer:
 
     def _entries(self, text: str) -> list[tuple[int, str, str]]:
         """Per word: (number of ids, ids joined by a space, tokens joined by a space)."""
-        words, known, learn = self.patterns()[1], self._known.get, self._learn
+        (_, splits, odd), known, learn = self.patterns(), self._known.get, self._learn
         out: list[tuple[int, str, str]] = []
         for mark, plain in self._pieces(text):
             if mark is not None:
                 out.append((1, str(mark), self.tokens[mark]))
             elif plain:
-                # each character lower-cased by itself, so no final-sigma rule
-                plain = unicodedata.normalize("NFC", plain).replace("Σ", "σ").lower()
-                out += [known(w) or learn(w) for w in words.findall(plain)]
+                kind = 0
+                if plain.isascii():
+                    plain = plain.lower()
+                else:
+                    plain = unicodedata.normalize("NFC", plain)
+                    if odd(plain):
+                        plain = plain.translate(self.lower)
+                    # each character lower-cased by itself, so no final-sigma rule
+                    plain = plain.replace("Σ", "σ").lower()
+                    kind = 1 if 2 * len(plain) == len(plain.encode("utf-16-le", "surrogatepass")) else 2
+                out += [known(w) or learn(w) for w in splits[kind](plain)]
         return out
 
     def encode(self, text: str) -> list[int]:
@@ -192,7 +183,8 @@ def load(path: str) -> Tokenizer:
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}
     split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
     return Tokenizer({**{i: t for t, i in vocab.items()}, **{i: t for t, i in special.items()}},
-                     [vocab[c] for c in chars], [vocab[c + suffix] for c in chars], merges, special, split)
+                     [vocab[c] for c in chars], [vocab[c + suffix] for c in chars], merges, special,
+                     [python_pattern(split, top) for top in (0x7F, 0xFFFF, 0x10FFFF)], lower_differences())
 
 
 def token_digests(docs: DataFrame, tokenizer: Tokenizer, text: str = "text") -> DataFrame:

@@ -66,6 +66,16 @@ def python_pattern(pattern: str, top: int = 0x10FFFF) -> str:
     return "".join(out)
 
 
+@cache
+def lower_differences() -> dict[int, str]:
+    """Code points that the library lower-cases otherwise than ``str.lower`` does, with what it makes of them."""
+    from tokenizers import normalizers
+
+    chars = [chr(c) for c in range(0x110000) if not 0xD800 <= c <= 0xDFFF and c != 10]
+    theirs = normalizers.Lowercase().normalize_str("\n".join(chars)).split("\n")
+    return {ord(c): x for c, x in zip(chars, theirs, strict=True) if c.lower() != x}
+
+
 OTHER, LETTER, NUMBER, SPACE, END = range(5)
 
 
