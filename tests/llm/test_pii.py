@@ -40,7 +40,7 @@ def model(spark):
 
 def test_belief_propagation_is_exact_on_a_chain(model):
     g = P.Graph()
-    g.add(0, "+1 (017) 555-7713 99", [])
+    g.add(0, "+1 (017)x 555-7713 n99", [])
     assert not g.skip and len(g.chain) == 3
     x = g.arrays()[0] @ model.unary
     paths = list(itertools.product(range(P.LABELS), repeat=4))
@@ -116,3 +116,50 @@ def test_messages_travel_until_they_settle():
     for k in range(60):
         assert np.allclose(got[k], p, atol=0.01)
         p = p @ step
+
+
+def test_other_digits_and_long_parts():
+    """Superscripts are no digits; leading zeros do not count."""
+    text = "a 1.2.3.\u00b2 b " + "0" * 401 + "1.2.3.4 c 00000.1.2.256 \u0661.2.3.4"
+    assert [text[s:e] for k, s, e in P.base_spans(text)] == ["0" * 401 + "1.2.3.4"]
+    g = P.Graph()
+    g.add(0, text, [])
+    assert len(g.text) == 4
+
+
+@pytest.mark.parametrize(("text", "added"), [
+    ("call +44 20 7946 0958 now or later on 20 7946 0958 please", ["20 7946 0958"]),
+    ("card 4111 1111 1111 1111 and again 4111.1111.1111.1111 ok", ["4111.1111.1111.1111"]),
+    ("host 10.0.0.1 and 10-0-0-1 too", ["10-0-0-1"]),
+    ("call +1 (017) 555-7713 or 555-7713 555-7713 ok", ["555-7713", "555-7713"]),
+    ("order 20 7946 0958 came on 12 03 2024", []),
+])
+def test_rewritten_mentions(model, text, added):
+    found = P.added_spans([text], [P.base_spans(text)], model)[0]
+    assert [text[s:e] for _, s, e in found] == added
+
+
+def test_numbers_with_spaces_are_linked():
+    """Every kind: the last token of the base span to the bare number, which is one node."""
+    for text in ("+44 20 7946 0958 then 20 7946 0958", "4111 1111 1111 1111 then 4111.1111.1111.1111", "+1 (017) 555-7713 then 017 555 7713"):
+        g = P.Graph()
+        g.add(0, text, P.base_spans(text))
+        a, b = g.skip[-1]
+        assert len(g.skip) == 1 and b == len(g.text) - 1 and text[g.start[b]:g.end[b]] == text.split("then ")[1] and g.label[a] >= 0
+
+
+def test_belief_propagation_on_a_loopy_graph():
+    """Two chains tied by skip links, against enumeration: weak potentials, where loopy messages come close."""
+    rng = np.random.default_rng(2)
+    m = P.Model(0.4 * rng.normal(size=(P.N_FEATURES, P.LABELS)), 0.3 * rng.normal(size=(P.LABELS, P.LABELS)), 0.5 * np.eye(P.LABELS))
+    g = P.Graph()
+    g.add(0, "x55512347 q2 word 555-12347 q3 word x55512347", [])
+    assert len(g.text) == 5 and len(g.skip) == 2 and len(g.chain) == 2
+    x = g.arrays()[0] @ m.unary
+    expected = np.zeros((5, P.LABELS))
+    for p in itertools.product(range(P.LABELS), repeat=5):
+        v = np.exp(sum(x[i, y] for i, y in enumerate(p)) + sum(m.chain[p[a], p[b]] for a, b in g.chain) + sum(m.skip[p[a], p[b]] for a, b in g.skip))
+        for i, y in enumerate(p):
+            expected[i, y] += v
+    expected /= expected.sum(axis=1, keepdims=True)
+    assert np.allclose(P.beliefs(g, m), expected, atol=0.03)

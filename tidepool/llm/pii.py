@@ -51,6 +51,8 @@ LABELS = len(KINDS) + 1  # 0 is outside
 SAMPLE, SAMPLE_CHARS = 1_500, 6_000
 #: Least belief of an added span, and texts of a batch that share a graph (code points).
 SURE, TOGETHER = 0.5, 1 << 22
+#: Digits from which a token is a number of its own.
+WHOLE = 7
 #: A message that changes less is settled.  Messages that circle for ever end after the nodes of their text (no way
 #: through it is longer) and so many rounds.
 SETTLED, CIRCLES = 1e-4, 1000
@@ -67,6 +69,9 @@ _NOT_DIGIT = re.compile(r"[^0-9]+")
 _NOT_ALNUM = re.compile(r"[\W_]+")
 #: Tokens with a digit or an @, from their start, in linear time.
 _TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
+#: Tokens of digits and the signs inside numbers, a space apart; and each of them.
+_SPACED = re.compile(r"(?<![^\s(+])[+(]?[0-9][0-9().-]*+(?: [0-9(][0-9().-]*+)+")
+_DIGITS = re.compile(r"[0-9(][0-9().-]*[0-9)]|[0-9]")
 _EDGES = "\"'.,;:!?*#$%&|<>[]{}=`~_"
 
 Span = tuple[int, int, int]  # kind, start, end
@@ -94,7 +99,7 @@ def base_spans(text: str) -> list[Span]:
             end = m.end()
         at = text.find("@", max(at + 1, end))
     for m in _IP.finditer(text):
-        if all(len(p) <= 400 and int(p) <= 255 for p in m.group().split(".")):
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in (part.lstrip("0") for part in m.group().split("."))):
             out.append((1, m.start(), m.end()))
     for m in _CARD.finditer(text):
         digits = _NOT_DIGIT.sub("", m.group())
@@ -124,7 +129,7 @@ def _features(core: str, digits: str, before: str) -> list[int]:
     marks = (
         "@" in core,
         "@" in core and "." in core.split("@")[-1],
-        len(parts) == 4 and all(p.isdigit() and len(p) < 4 and int(p) <= 255 for p in parts),
+        len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) < 4 and int(p) <= 255 for p in parts),
         core.startswith("+"),
         "(" in core,
         "-" in core,
@@ -150,6 +155,32 @@ def _keys(core: str, digits: str) -> list[str]:
     return keys
 
 
+def _spaced_numbers(text: str, spans: list[Span]) -> tuple[dict[int, str], dict[int, int]]:
+    """Numbers that are written with spaces.  Under base spans: the end of each
+    of their tokens -> all digits of the span for the last one, none for the
+    others.  Elsewhere tokens of less than seven digits a space apart are one
+    number, with one of more before them: the start of the first -> the end of the last."""
+    digits_of: dict[int, str] = {}
+    one: dict[int, int] = {}
+    for m in _SPACED.finditer(text):
+        covered = [(s, e) for k, s, e in spans if k >= 2 and s < m.end() and m.start() < e]
+        groups: list[tuple[tuple | None, list[tuple[int, int]]]] = []
+        for x in _DIGITS.finditer(m.group()):
+            s, e = m.start() + x.start(), m.start() + x.end()
+            own = next((c for c in covered if c[0] <= s < c[1]), None)
+            alone = own is None and len(_NOT_DIGIT.sub("", text[s:e])) >= WHOLE  # long enough for a number of its own
+            if not groups or groups[-1][0] != own or alone:
+                groups.append((own, []))
+            groups[-1][1].append((s, e))
+        for own, pieces in groups:
+            if len(pieces) > 1 and own is not None:
+                digits_of.update((e, "") for _, e in pieces[:-1])
+                digits_of[pieces[-1][1]] = _NOT_DIGIT.sub("", text[pieces[0][0]:pieces[-1][1]])
+            elif len(pieces) > 1:
+                one[pieces[0][0]] = pieces[-1][1]
+    return digits_of, one
+
+
 class Graph:
     """Tokens of several texts, their features, and their links."""
 
@@ -168,6 +199,8 @@ class Graph:
         sure: dict[str, int] = {}  # last occurrence under a base span
         waiting: dict[str, list[int]] = {}  # occurrences before the first of these
         first = len(self.text)
+        digits_of, one = _spaced_numbers(text, spans)
+        upto = 0  # end of a number of several tokens
         by_start = sorted(spans, key=lambda s: s[1])
         k, reach, before_end = 0, [], -1
         for m in _TOKEN.finditer(text):
@@ -175,9 +208,11 @@ class Graph:
             core = raw.lstrip(_EDGES)
             start = m.start() + len(raw) - len(core)
             core = core.rstrip(_EDGES)
-            if not core:
+            if not core or start < upto:
+                before_end = max(before_end, m.end()) if core else before_end
                 continue
-            end = start + len(core)
+            end = upto = max(start + len(core), one.get(start, 0))
+            core = text[start:end]
             node = len(self.text)
             digits = _NOT_DIGIT.sub("", core)
             while k < len(by_start) and by_start[k][1] < end:
@@ -195,7 +230,8 @@ class Graph:
                 self.chain.append((node - 1, node))
             before_end = m.end()
             linked = set()
-            for key in _keys(core, digits):
+            # the last token of a base span stands for the whole
+            for key in _keys(core, digits_of.get(end, digits)):
                 for other in (last.get(key), None if reach else sure.get(key)):
                     if other is not None and other not in linked:
                         self.skip.append((other, node))
@@ -268,28 +304,29 @@ def added_spans(texts: list[str], base: list[list[Span]], m: Model | None) -> li
     p = beliefs(g, m)
     best = p.argmax(axis=1)
     sure = (best > 0) & (p.max(axis=1) >= SURE) & (np.array(g.label) < 0)
-    chained = {b for a, b in g.chain if best[a] == best[b] and sure[a] and sure[b]}
+    # two whole numbers side by side are two mentions
+    long = [len(_NOT_DIGIT.sub("", texts[i][s:e])) >= WHOLE for i, s, e in zip(g.text, g.start, g.end)]
+    chained = {b for a, b in g.chain if best[a] == best[b] and sure[a] and sure[b] and not (long[a] and long[b])}
     run: list[int] = []
     for node in [*np.flatnonzero(sure).tolist(), -1]:
         if run and node not in chained:
-            kind, i = int(best[run[0]]) - 1, g.text[run[0]]
-            start, end = g.start[run[0]], g.end[run[-1]]
-            if kind == 0 or sum(c.isdigit() for c in texts[i][start:end]) >= 7:
-                out[i].append((kind, start, end))
+            out[g.text[run[0]]].append((int(best[run[0]]) - 1, g.start[run[0]], g.end[run[-1]]))
             run = []
         run.append(node)
     return out
 
 
-def _rewritten(kind: int, s: str, other: str) -> str:
-    """Another way to write an entity, as people do."""
+def _rewritten(kind: int, s: str, other: str, spaced: bool = False) -> str:
+    """Another way to write an entity, as people do; numbers also in groups a space apart."""
     if kind == 0:
         return s.rsplit(".", 1)[0] if "." in s.split("@")[-1] else s
     if kind == 1:
         return s.replace(".", "-")
     if kind == 2:
-        return ".".join(s[i:i + 4] for i in range(0, len(s), 4))
-    return re.sub(r"^\+[0-9]+[ .-]?", "", s) or other
+        digits = _NOT_DIGIT.sub("", s)
+        return (" " if spaced else ".").join(digits[i:i + 4] for i in range(0, len(digits), 4))
+    bare = re.sub(r"^\+[0-9]+[ .-]?", "", s) or other
+    return _NOT_DIGIT.sub(" ", bare).strip() or other if spaced else bare
 
 
 def _training_graph(texts: list[str]) -> tuple[Graph, np.ndarray]:
@@ -299,9 +336,9 @@ def _training_graph(texts: list[str]) -> tuple[Graph, np.ndarray]:
         spans = base_spans(t)
         truth = {(s, e): k for k, s, e in spans}
         if spans:
-            # a rewritten mention of each entity, and the same shape with other digits
-            for k, s, e in spans[:4]:
-                mention = _rewritten(k, t[s:e], t[s:e])
+            # a rewritten mention of each of a few entities, and the same shape with other digits
+            for n, (k, s, e) in enumerate(spans[:4]):
+                mention = _rewritten(k, t[s:e], t[s:e], (i + n) % 2 == 1)
                 strange = "".join(str(rng.integers(10)) if c.isdigit() else "q" if c.isalpha() else c for c in mention)
                 for text, kind in ((mention, k), (strange, None)):
                     t += " and "
