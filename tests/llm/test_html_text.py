@@ -96,3 +96,24 @@ def test_training_reads_pieces_of_long_pages(spark, monkeypatch):
     monkeypatch.setattr(H, "fit", seen.extend)
     H.train(spark.createDataFrame(rows, "page_id bigint, html string"))
     assert seen and all(len(p) <= H.SAMPLE_CHARS and H.teacher(H.blocks(p)).any() for p in seen)
+
+
+def test_self_closed_svg_and_marks_in_quotes():
+    texts = lambda page: [b.text for b in H.blocks(page)]
+    assert texts("<p>a</p><svg/><p>b</p><svg width='1' /><p>c<svg><path d='x'/>no</svg>d") == ["a", "b", "cd"]
+    assert texts('<p data-x="a < b > c">one<p title=\'<b>\'>two<img alt="1 < 2" src=a>three') == ["one", "twothree"]
+    assert texts('<p title="stray>one</p><p>two</p>' + "x" * 5000 + "<b>") != []
+    assert texts('<a "' * 20_000 + "end")[-1].endswith("end")
+
+
+def test_long_pages_are_read_in_steps(model, monkeypatch):
+    """States are carried on: any number of steps gives the probabilities of the whole page at once."""
+    rng = np.random.default_rng(0)
+    page = lambda n: [H.Block(("<html", "<body", *([("<article", "<p")][0] if rng.random() < 0.5 else ("<div", ".menu"))),
+                              " ".join(rng.choice(["the", "of", "more.", "x"], 6)), 0) for _ in range(n)]
+    pages = [page(50), page(3), page(17)]
+    whole = H.probabilities(pages, model)
+    for steps in (1, 7, 49):
+        monkeypatch.setattr(H, "STEPS", steps)
+        for a, b in zip(H.probabilities(pages, model), whole, strict=True):
+            assert np.allclose(a, b, atol=1e-4)

@@ -46,6 +46,8 @@ PATH, WORDS, NUMBERS, HIDDEN = 160, 48, 6, 20
 EPOCHS, RATE, HIDE = 20, 0.01, 0.1
 #: Blocks that are labelled together.
 TOGETHER = 16_384
+#: Blocks of a page that are worked on at once.
+STEPS = 4_096
 #: Words of an attribute, and depth of open tags, up to which all elements are kept as they are.
 FEW, DEEP = 8, 64
 
@@ -56,7 +58,8 @@ _RAW = frozenset(("script", "style", "noscript", "template", "textarea", "iframe
 #: Tags that a following tag of the same group closes.
 _CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
            "th": ("td", "th"), "option": ("option",)}
-_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^'\"<>]++|\"[^\"<]*+\"|'[^'<]*+'|['\"])*+)>", re.S)
+#: A tag's attributes may hold < and > in quotes; a quote that is not closed within 4,096 characters of which one is < is a stray one.
+_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^'\"<>]++|\"[^\"<]*+\"|'[^'<]*+'|\"[^\"]{0,4096}+\"|'[^']{0,4096}+'|['\"])*+)>", re.S)
 _ATTR = re.compile(r"(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _NAMES = re.compile(r"[a-z]+")
 
@@ -146,6 +149,8 @@ def blocks(page: str) -> list[Block]:
         if not name:
             continue
         closing = bool(m.group(1))
+        if name == "svg" and m.group(3).endswith("/"):
+            continue  # closes itself
         if name in _RAW and not closing:
             close = re.compile(f"</{re.escape(name)}\\s*>", re.I).search(page, at)
             at = close.end() if close else end
@@ -176,10 +181,11 @@ def _slot(s: str, n: int) -> int:
     return zlib.crc32(s.encode()) % n
 
 
-def vectors(page: list[Block]) -> np.ndarray:
-    """One row per block: hashed path, hashed words, lengths."""
-    x = np.zeros((len(page), PATH + WORDS + NUMBERS), np.float32)
-    for i, b in enumerate(page):
+def vectors(page: list[Block], first: int = 0, last: int | None = None) -> np.ndarray:
+    """One row per block (of those from ``first`` to before ``last``): hashed path, hashed words, lengths."""
+    part = page[first:last]
+    x = np.zeros((len(part), PATH + WORDS + NUMBERS), np.float32)
+    for i, b in enumerate(part):
         for e in b.path:
             x[i, _slot(e, PATH)] = 1
         if b.path:
@@ -189,7 +195,7 @@ def vectors(page: list[Block]) -> np.ndarray:
         slots = np.bincount([zlib.crc32(w.encode()) % WORDS for w in ws], minlength=WORDS)
         x[i, PATH:PATH + WORDS] = slots / np.sqrt(len(ws))
         x[i, PATH + WORDS:] = (np.log1p(len(b.text)) / 5, min(b.linked / len(b.text), 1.0), b.text[-1] in ".!?",
-                               min(i, 8) / 8, min(len(page) - i, 8) / 8, 1.0)
+                               min(first + i, 8) / 8, min(len(page) - first - i, 8) / 8, 1.0)
     return x
 
 
@@ -205,10 +211,11 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _lstm(x: np.ndarray, mask: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, list]:
-    """Hidden states over time of x (time, batch, input); what the backward pass needs."""
+def _lstm(x: np.ndarray, mask: np.ndarray, w: np.ndarray, state: tuple | None = None, learn: bool = True) -> tuple[np.ndarray, list | tuple]:
+    """Hidden states over time of x (time, batch, input) from ``state`` on, and
+    what the backward pass needs or, where nothing is learned, the last state."""
     steps, batch, _ = x.shape
-    h, c = np.zeros((batch, HIDDEN), x.dtype), np.zeros((batch, HIDDEN), x.dtype)
+    h, c = state or (np.zeros((batch, HIDDEN), x.dtype), np.zeros((batch, HIDDEN), x.dtype))
     inner = x.reshape(steps * batch, -1) @ w[:x.shape[2]] + w[-1]
     inner = inner.reshape(steps, batch, -1)
     wh = w[x.shape[2]:-1]
@@ -222,10 +229,11 @@ def _lstm(x: np.ndarray, mask: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, l
         c_new = (f * c + i * g) * m
         tc = np.tanh(c_new)
         h_new = o * tc * m
-        kept.append((i, f, o, g, c, tc, h, m))
+        if learn:
+            kept.append((i, f, o, g, c, tc, h, m))
         h, c = h_new, c_new
         hs[t] = h
-    return hs, kept
+    return hs, kept if learn else (h, c)
 
 
 def _lstm_back(x: np.ndarray, kept: list, dhs: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -262,12 +270,31 @@ def _turned(a: np.ndarray, lens: list[int]) -> np.ndarray:
     return out
 
 
-def probabilities(seqs: list[np.ndarray], m: Model) -> list[np.ndarray]:
+def _states(pages: list[list[Block]], w: np.ndarray, reverse: bool) -> np.ndarray:
+    """Hidden states of a direction over time, STEPS blocks at a time with the
+    state carried on, so that what is held of a page of any length is its states."""
+    lens = [len(p) for p in pages]
+    out, state = np.zeros((max(lens), len(pages), HIDDEN), np.float32), None
+    for t in range(0, max(lens), STEPS):
+        n = min(STEPS, max(lens) - t)
+        x, mask = np.zeros((n, len(pages), PATH + WORDS + NUMBERS), np.float32), np.zeros((n, len(pages)), np.float32)
+        for b, (page, size) in enumerate(zip(pages, lens)):
+            here = min(n, size - t)
+            if here > 0:
+                x[:here, b] = vectors(page, size - t - here, size - t)[::-1] if reverse else vectors(page, t, t + here)
+                mask[:here, b] = 1
+        out[t:t + n], state = _lstm(x, mask, w, state, learn=False)
+    return out
+
+
+def probabilities(pages: list[list[Block]], m: Model) -> list[np.ndarray]:
     """Probability of main text of each block of each page."""
-    x, r, mask = _padded(seqs)
-    lens = [len(s) for s in seqs]
-    fwd, _ = _lstm(x, mask, m.w[0])
-    bwd, _ = _lstm(r, mask, m.w[1])
+    lens = [len(p) for p in pages]
+    if max(lens) <= STEPS:  # the vectors serve both directions
+        x, r, mask = _padded([vectors(p) for p in pages])
+        fwd, bwd = (_lstm(a, mask, w, learn=False)[0] for a, w in ((x, m.w[0]), (r, m.w[1])))
+    else:
+        fwd, bwd = (_states(pages, w, reverse) for w, reverse in zip(m.w, (False, True)))
     both = np.concatenate([fwd, _turned(bwd, lens)], axis=2)
     p = _sigmoid(both @ m.out[:-1] + m.out[-1])
     return [p[:n, b] for b, n in enumerate(lens)]
@@ -413,7 +440,7 @@ def main_texts(pages: list[str], m: Model) -> list[str]:
     cut = [blocks(p) for p in pages]
     out = [""] * len(pages)
     for ids in _batches([len(c) for c in cut]):
-        for i, p in zip(ids, probabilities([vectors(cut[i]) for i in ids], m), strict=True):
+        for i, p in zip(ids, probabilities([cut[i] for i in ids], m), strict=True):
             out[i] = " ".join([b.text for b, k in zip(cut[i], p >= 0.5, strict=True) if k])
     return out
 
