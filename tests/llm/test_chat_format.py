@@ -11,20 +11,34 @@ ROWS = [(1, 0, "system", "be kind", "x"), (1, 1, "ann", "hi", "x"), (1, 2, "bob"
 SCHEMA = "conv_id bigint, turn bigint, role string, text string, part string"
 
 
-def brute(rows):
-    parts = defaultdict(set)
+# longer than a part: one turn number for most rows, a speaker who comes last, numbers far apart
+ROWS += [(6, 1, "bob", f"say {k}", "x") for k in range(150)] + [(6, None, "system", "rules", "x"), (6, 2, "cy", "late", "x")]
+ROWS += [(7, 1000 * k, "ann" if k % 2 else "bob", "w" * (k % 5), "x") for k in range(70)] * 2
+
+
+def dialogues(rows):
+    """Per conversation and participant: the messages as rendered, with their spans."""
+    convs = defaultdict(set)
     for conv, turn, role, text, _ in rows:
-        parts[conv, (turn or 0) // 64].add((turn is not None, turn or 0, role or "unknown", text or ""))
-    out = []
-    for (conv, part), ms in parts.items():
+        convs[conv].add((turn is not None, turn or 0, role or "unknown", text or ""))
+    for conv, ms in convs.items():
         for who in {m[2] for m in ms} - {"system"}:
-            s, mask = "", []
+            at, out = 0, []
             for _, _, role, text in sorted(ms):
-                s += "<|assistant|>\n" if role == who else "<|system|>\n" if role == "system" else f"<|user name={role}|>\n"
-                if role == who:
-                    mask.append(f"{len(s)}:{len(s) + len(text) + 8}")
-                s += text + "<|end|>\n"
-            out.append((conv, part, who, len(ms), len(s), s, ",".join(mask)))
+                head = "<|assistant|>\n" if role == who else "<|system|>\n" if role == "system" else f"<|user name={role}|>\n"
+                end = at + len(head) + len(text) + 8
+                out.append((at, head + text + "<|end|>\n", f"{at + len(head)}:{end}" if role == who else None))
+                at = end
+            yield conv, who, out
+
+
+def brute(rows):
+    out = []
+    for conv, who, ms in dialogues(rows):
+        for part in range(0, len(ms), 64):
+            some = ms[part:part + 64]
+            text = "".join(m[1] for m in some)
+            out.append((conv, part // 64, who, len(some), some[0][0], len(text), text, ",".join(m[2] for m in some if m[2])))
     return sorted(out, key=str)
 
 
@@ -33,6 +47,14 @@ def test_rotation(spark):
     assert sorted(map(tuple, C.rotate(df).collect()), key=str) == brute(ROWS)
 
 
+def test_parts_join_to_the_whole_dialogue(spark):
+    got = C.rotate(spark.createDataFrame(ROWS, SCHEMA)).where("conv_id in (6, 7)").orderBy("part").collect()
+    for conv, who, ms in dialogues(r for r in ROWS if r[0] in (6, 7)):
+        mine = [r for r in got if (r["conv_id"], r["perspective"]) == (conv, who)]
+        assert "".join(r["text"] for r in mine) == "".join(m[1] for m in ms)
+        assert ",".join(r["mask"] for r in mine if r["mask"]) == ",".join(m[2] for m in ms if m[2])
+
+
 def test_masks_hold_the_speakers_words(spark):
     for r in C.rotate(spark.createDataFrame(ROWS, SCHEMA)).where("conv_id = 1 and perspective = 'ann'").collect():
         spans = [tuple(map(int, x.split(":"))) for x in r["mask"].split(",")]

@@ -37,24 +37,25 @@ FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN its USING (doc_id)
 
 CHAT_FORMAT = """
 WITH m AS (
-  SELECT DISTINCT conv_id, CAST(floor(coalesce(turn, 0) / 64.0) AS BIGINT) AS part, turn,
-         coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+  SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+k AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS k FROM m),
 r AS (
-  SELECT m.*, p.perspective, m.role = p.perspective AS own,
-         CASE WHEN m.role = p.perspective THEN '<|assistant|>' WHEN m.role = 'system' THEN '<|system|>'
-              ELSE '<|user name=' || m.role || '|>' END || chr(10) AS head,
-         m.text || '<|end|>' || chr(10) AS body
-  FROM m JOIN (SELECT DISTINCT conv_id, part, role AS perspective FROM m WHERE role <> 'system') p
-    ON m.conv_id IS NOT DISTINCT FROM p.conv_id AND m.part = p.part),
+  SELECT k.*, p.perspective, k.role = p.perspective AS own,
+         CASE WHEN k.role = p.perspective THEN '<|assistant|>' WHEN k.role = 'system' THEN '<|system|>'
+              ELSE '<|user name=' || k.role || '|>' END || chr(10) AS head,
+         k.text || '<|end|>' || chr(10) AS body
+  FROM k JOIN (SELECT DISTINCT conv_id, role AS perspective FROM m WHERE role <> 'system') p
+    ON k.conv_id IS NOT DISTINCT FROM p.conv_id),
 o AS (
   SELECT *, sum(length(head) + length(body)) OVER (
-    PARTITION BY conv_id, part, perspective ORDER BY turn NULLS FIRST, role, text
-    ROWS UNBOUNDED PRECEDING) AS upto FROM r)
-SELECT conv_id, part, perspective, count(*) AS n_turns, CAST(max(upto) AS BIGINT) AS n_chars,
-       string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, text) AS text,
-       string_agg(CAST(upto - length(body) AS BIGINT)::VARCHAR || ':' || CAST(upto AS BIGINT)::VARCHAR, ','
-                  ORDER BY upto) FILTER (own) AS mask
-FROM o GROUP BY conv_id, part, perspective
+    PARTITION BY conv_id, perspective ORDER BY k ROWS UNBOUNDED PRECEDING) AS upto FROM r)
+SELECT conv_id, CAST(k // 64 AS BIGINT) AS part, perspective, count(*) AS n_turns,
+       CAST(min(upto - length(head) - length(body)) AS BIGINT) AS start, CAST(sum(length(head) + length(body)) AS BIGINT) AS n_chars,
+       string_agg(head || body, '' ORDER BY k) AS text,
+       coalesce(string_agg(CAST(upto - length(body) AS BIGINT)::VARCHAR || ':' || CAST(upto AS BIGINT)::VARCHAR, ','
+                           ORDER BY k) FILTER (own), '') AS mask
+FROM o GROUP BY conv_id, k // 64, perspective
 """
 
 FILL_MIDDLE = r"""
