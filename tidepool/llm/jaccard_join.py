@@ -23,11 +23,13 @@ documents link when the Jaccard similarity of their sets is at least 3/4.
    sets are joined into components.
 4. *Trees.*  Groups whose sets are not yet all in one component are indexed by
    an R-tree on the points (boxes keep the largest count per group and the
-   range of sizes).  Every point is searched in it; pairs of different
-   components whose bounds allow a link are verified, the most promising one
-   of each component first, the others only if that leaves them apart.  Large
-   groups are dealt in blocks, each pair of blocks a tree of its own, so no task holds a whole
-   group.
+   range of sizes), one tree for a block of at most about BLOCK sets.  First
+   every set outside its block's commonest component is searched in its own
+   block, and verified against its most promising partners only; the links
+   found join most of what the stars left apart.  Then the sets that are
+   still outside the largest component of their group are searched in all
+   blocks, and every pair of different components whose bounds allow a link
+   is verified.  No task holds a whole group.
 
 Identical sets are one node throughout, so copies never meet in pairs, and
 pairs inside a component are not compared again: the result is the components
@@ -43,6 +45,7 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -326,73 +329,98 @@ class RTree:
                 stack += [children[k] for k in hit]
 
 
-def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows (center, i, j, own, set_id, comp, n, point) sorted by (center,
-    i, j): pairs (a, b) of different components that the tree of each group
-    finds; ``lead`` marks, for the set that asked, the most promising set of
-    each component.  A group has about 2 * BLOCK rows at most, and is all that
-    is held."""
-    done: set[tuple[int, int]] = set()
-
-    def pairs_of(rows: list[tuple]) -> list[tuple[int, int, bool]]:
-        _, i, j = rows[0][0]
-        if len({r[3] for r in rows}) < 2:
-            return []
-        indexed, asking = ([r for r in rows if r[1] == k] for k in (i, j))
-        if not indexed or not asking:
-            return []
-        tree = RTree(np.array([r[4] for r in indexed], np.int64), [r[5] for r in indexed])
-        found = []
-        for r in asking:
-            best: dict[int, tuple[float, int]] = {}
-            mine = []
-            for k, shared in tree.search(r[4], r[5]):
-                other = indexed[k]
-                # a leaf may fold wide points onto a narrow one: compare at full width
-                if other[3] == r[3] or not may_link(r[4], r[5], other[4], other[5]):
-                    continue
-                near = shared / (r[4] + other[4] - shared)
-                best[other[3]] = max(best.get(other[3], (0.0, 0)), (near, other[2]))
-                mine.append(other)
-            for other in mine:
-                pair = (min(r[2], other[2]), max(r[2], other[2]))
-                lead = best[other[3]][1] == other[2]
-                if pair not in done:
-                    done.add(pair)
-                    found.append((*pair, lead))
-        return found
-
-    def batch(found: list[tuple[int, int, bool]]) -> pa.RecordBatch:
-        a, b, lead = zip(*found, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(lead, pa.bool_())],
-                                          names=["a", "b", "lead"])
-
-    rows: list[tuple] = []
+_Row = tuple[int, int, int, int, np.ndarray]  # own block, set id, component, size, point
+
+
+def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[_Row]]]:
+    """(i, j, rows) of each tree, from rows (center, i, j, own, set_id, comp, n,
+    point) sorted by (center, i, j).  A tree has about 2 * BLOCK rows at most,
+    and is all that is held."""
+    held, rows = None, []
     for x in batches:
         c, i, j, own, s, comp, n, p = (x.column(k).to_pylist() for k in range(8))
         for k in range(x.num_rows):
             key = c[k], i[k], j[k]
-            if rows and rows[0][0] != key:
-                if found := pairs_of(rows):
-                    yield batch(found)
-                rows = []
-                if len(done) > 200_000:
-                    done.clear()
-            rows.append((key, own[k], s[k], comp[k], n[k], vector(p[k], n[k])))
-    if rows and (found := pairs_of(rows)):
-        yield batch(found)
-
-
-def _open_groups(members: DataFrame, component: DataFrame, points: DataFrame) -> DataFrame:
-    """Rows for ``_tree_pairs``: the groups of a center that hold more than one
-    component, those of more than BLOCK members in pairs of blocks."""
+            if key != held:
+                if rows:
+                    yield *held[1:], rows
+                held, rows = key, []
+            rows.append((own[k], s[k], comp[k], n[k], vector(p[k], n[k])))
+    if rows:
+        yield *held[1:], rows
+
+
+def _candidates(indexed: list[_Row], asking: list[_Row]) -> Iterator[tuple[_Row, list[tuple[float, _Row]]]]:
+    """For each row that asks, the rows of other components that sizes and points allow it to link, with the bound on the similarity."""
+    tree = RTree(np.array([r[3] for r in indexed], np.int64), [r[4] for r in indexed])
+    for r in asking:
+        # a leaf may fold wide points onto a narrow one: compare at full width
+        yield r, [(shared / (r[3] + other[3] - shared), other) for k, shared in tree.search(r[3], r[4])
+                  if (other := indexed[k])[2] != r[2] and may_link(r[3], r[4], other[3], other[4])]
+
+
+def _pair_batch(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def _nearest_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b): every set outside its tree's commonest component with the
+    most promising set of that component and of all others."""
+    for _, _, rows in _trees(batches):
+        main = Counter(r[2] for r in rows).most_common(1)[0][0]
+        found = set()
+        for r, others in _candidates(rows, [r for r in rows if r[2] != main]):
+            for side in ([x for x in others if x[1][2] == main], [x for x in others if x[1][2] != main]):
+                if side:
+                    best = max(side, key=lambda x: (x[0], -x[1][1]))[1]
+                    found.add((min(r[1], best[1]), max(r[1], best[1])))
+        if found:
+            yield _pair_batch(found)
+
+
+def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All pairs (a, b) of different components that the bounds allow, between
+    block i of a group and its block j."""
+    for i, j, rows in _trees(batches):
+        indexed, asking = ([r for r in rows if r[0] == k] for k in (i, j))
+        if not indexed or not asking:
+            continue
+        found: set[tuple[int, int]] = set()
+        for r, others in _candidates(indexed, asking):
+            found.update((min(r[1], o[1]), max(r[1], o[1])) for _, o in others)
+            if len(found) > 100_000:
+                yield _pair_batch(found)
+                found = set()
+        if found:
+            yield _pair_batch(found)
+
+
+def _open_groups(members: DataFrame, component: DataFrame, points: DataFrame, whole: bool) -> DataFrame:
+    """Rows of the trees of the groups that hold more than one component.
+
+    Not ``whole``: each block of a group is one tree, so a group is read once.
+    ``whole``: the sets outside the group's largest component are dealt in
+    blocks, and each of these meets itself, the others and the blocks of the
+    largest component, whose own blocks never meet.  A group of near copies
+    of which few are left apart is so read once per block of these few."""
     labelled = saved(members.join(component.withColumnRenamed("node", "set_id"), "set_id", "left")
                      .select("center", "set_id", F.coalesce("component", "set_id").alias("comp")))
-    mixed = (labelled.groupBy("center").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
-             .where("lo != hi").select("center", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int").alias("blocks")))
-    dealt = (labelled.join(mixed, "center").withColumn("own", F.expr("cast(pmod(xxhash64(set_id), blocks) as int)"))
-             .select("center", "set_id", "comp", "own", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other"))
-             .select("center", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set_id", "comp"))
+    mixed = (labelled.groupBy("center", "comp").agg(F.count(F.lit(1)).alias("k"))
+             .groupBy("center").agg(F.sum("k").alias("size"), F.count(F.lit(1)).alias("comps"), F.max(F.struct("k", "comp")).alias("top"))
+             .where("comps > 1")
+             .select("center", F.col("top.comp").alias("main"),
+                     *[F.ceil(n / F.lit(BLOCK)).cast("int").alias(b) for b, n in
+                       (("blocks", F.col("size")), ("of_main", F.col("top.k")), ("of_rest", F.col("size") - F.col("top.k")))]))
+    rows = labelled.join(mixed, "center")
+    if whole:  # blocks of the largest component come first, those of the rest after them ask
+        last = "of_main + of_rest - 1"
+        dealt = (rows.withColumn("own", F.expr("cast(if(comp = main, pmod(xxhash64(set_id), of_main), of_main + pmod(xxhash64(set_id), of_rest)) as int)"))
+                 .select("center", "set_id", "comp", "own",
+                         F.explode(F.expr(f"if(comp = main, sequence(of_main, {last}), sequence(0, {last}))")).alias("other"))
+                 .select("center", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "set_id", "comp"))
+    else:
+        own = F.expr("cast(pmod(xxhash64(set_id), blocks) as int)")
+        dealt = rows.select("center", own.alias("i"), own.alias("j"), own.alias("own"), "set_id", "comp")
     return (dealt.join(points, "set_id").select("center", "i", "j", "own", "set_id", "comp", "n", "point")
             .repartition("center", "i", "j").sortWithinPartitions("center", "i", "j"))
 
@@ -412,6 +440,11 @@ def _marks(ids: DataFrame) -> np.ndarray:
     return marks
 
 
+def _tree_links(component: DataFrame) -> DataFrame:
+    """Links (a, b) that hold ``component`` together."""
+    return component.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
 def _sets(nodes: DataFrame, docs: DataFrame, holders: DataFrame) -> DataFrame:
     """(set_id, items) of ``nodes``, read again from one document per set:
     ``holders`` (set_id, doc_id).  Texts that the marks rule out are skipped
@@ -460,21 +493,16 @@ def classes(docs: DataFrame) -> DataFrame:
     links = saved(_verified(stars, sets))
     first = components(links)
 
-    found = (_open_groups(members, first, points).mapInArrow(_tree_pairs, "a bigint, b bigint, lead boolean")
-             .groupBy("a", "b").agg(F.max("lead").alias("lead")))
-    found = saved(found.join(stars, ["a", "b"], "left_anti"))
+    near = saved(_open_groups(members, first, points, whole=False).mapInArrow(_nearest_pairs, "a bigint, b bigint")
+                 .distinct().join(stars, ["a", "b"], "left_anti"))
     # most of their sets were read for the stars
+    sets = sets.unionByName(_sets(_ends(near).join(sets, "set_id", "left_anti"), docs, holders))
+    second = components(_tree_links(first).unionByName(saved(_verified(near, sets))))
+
+    found = (_open_groups(members, second, points, whole=True).mapInArrow(_tree_pairs, "a bigint, b bigint").distinct())
+    found = saved(found.join(stars.unionByName(near), ["a", "b"], "left_anti"))
     sets = sets.unionByName(_sets(_ends(found).join(sets, "set_id", "left_anti"), docs, holders))
-    # the most promising pairs first: the sets they link need no further comparison
-    tree_of = first.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-    led = tree_of.unionByName(saved(_verified(found.where("lead").select("a", "b"), sets)))
-    second = components(led)
-    rest = (found.where("not lead").select("a", "b")
-            .join(second.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left")
-            .join(second.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-            .where("coalesce(ca, a) != coalesce(cb, b)").select("a", "b"))
-    every = components(second.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-                       .unionByName(saved(_verified(rest, sets))))
+    every = components(_tree_links(second).unionByName(saved(_verified(found, sets))))
 
     joined = (rows.select("doc_id", "n", "set_id").join(every.withColumnRenamed("node", "set_id"), "set_id", "left")
               .select("doc_id", "n", F.coalesce("component", "set_id").alias("comp")))
