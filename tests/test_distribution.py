@@ -22,6 +22,12 @@ def test_replicate_gives_every_consumer_every_row(spark):
     assert all(len({r["p"] for r in rows if r["task"] == t}) == 1 for t in range(3))
 
 
+def test_copies_are_tagged_where_they_lie(spark):
+    df = D.copies_for(spark.range(50), 3)
+    assert sorted(map(tuple, df.collect())) == [(i, t) for i in range(50) for t in range(3)]
+    assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_plans_have_the_distribution_asked_for(spark):
     """H1 is a round-robin exchange, H2 a hash exchange on the fields."""
     plan = lambda d: d._jdf.queryExecution().executedPlan().toString()

@@ -36,11 +36,12 @@ def keyed_batch_count(df: DataFrame, key: str, batch_col: str = "batch_id") -> D
 
 
 def global_count(batch_counts: DataFrame, batch_col: str = "batch_id",
-                 chunks: int = CHUNKS) -> DataFrame:
+                 chunks: int = CHUNKS, batches: DataFrame | None = None) -> DataFrame:
     """A4: cumulative count over batches in id order, computed on the already
     aggregated per-batch rows; batches are chunked so that even the
-    one-row-per-batch table is never ordered inside one task."""
-    return running_total(batch_counts, [], [batch_col], quantile_chunk(batch_counts, batch_col, chunks),
+    one-row-per-batch table is never ordered inside one task.  ``batches`` is a
+    cheaper table of the same batch ids to take the chunks' bounds from."""
+    return running_total(batch_counts, [], [batch_col], quantile_chunk(batch_counts if batches is None else batches, batch_col, chunks),
                          "global_count", value="count")
 
 

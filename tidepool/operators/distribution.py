@@ -24,13 +24,19 @@ def by_fields(df: DataFrame, cols: Sequence[str], n: int | None = None) -> DataF
     return df.repartition(n, *cols) if n else df.repartition(*cols)
 
 
-def replicate(df: DataFrame, n: int, out: str = "task") -> DataFrame:
-    """H4 all grouping: every one of ``n`` consumers gets every row.  Each row
-    is copied ``n`` times, tagged with its consumer and dealt by the tag."""
+def copies_for(df: DataFrame, n: int, out: str = "task") -> DataFrame:
+    """H4 all grouping for consumers that aggregate or join: every row once per
+    consumer, tagged where it lies.  What a consumer does with its copies decides
+    what is shuffled, so no task has to take a whole copy of the table."""
     if n < 1:
         raise ValueError("all grouping needs one consumer or more")
-    copies = df.withColumn(out, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    return copies.repartition(n, out)
+    return df.withColumn(out, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+
+
+def replicate(df: DataFrame, n: int, out: str = "task") -> DataFrame:
+    """H4 all grouping with each consumer in one task: ``copies_for`` dealt by
+    the tag.  A task takes a whole copy, so this is for small tables."""
+    return copies_for(df, n, out).repartition(n, out)
 
 
 def route(df: DataFrame, rules: Mapping[str, Column], default: str = "default",

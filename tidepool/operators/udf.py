@@ -84,6 +84,9 @@ class Combiner:
     zero: Any
 
 
+#: Tasks whose partials are combined in one step.
+COMBINED = 64
+
 COUNT = Combiner(init=lambda v: 1, combine=operator.add, zero=0)
 SUM = Combiner(init=lambda v: v, combine=operator.add, zero=0)
 ONE = Combiner(init=lambda v: 1, combine=lambda a, b: 1, zero=1)
@@ -130,24 +133,35 @@ def combine_by_key(df: DataFrame, keys: Sequence[str], value: str, comb: Combine
 def combine_all(df: DataFrame, value: str, comb: Combiner, out: str = "value",
                 out_type: str = "bigint") -> DataFrame:
     """Global aggregate with a user combiner: one row, ``comb.zero`` over no
-    rows.  Each partition folds to one partial; the partials (at most one per
-    partition) and the zero -- the identity of ``combine`` -- are combined in
-    one task."""
-    keyed = df.select(F.lit(0).alias("_tp_g"), value)
-    partials = combine_by_key(keyed, ["_tp_g"], value, comb, out="_tp_p", out_type=out_type)
-    zero = df.sparkSession.createDataFrame([(0, comb.zero)], f"_tp_g int, _tp_p {out_type}")
-    both = partials.unionByName(zero)
+    rows.  Each task folds its batches into one partial; the partials of
+    ``COMBINED`` neighbouring tasks are combined together, then the few that
+    remain and the zero -- the identity of ``combine``."""
+    schema = f"_tp_g int, _tp_p {out_type}"
+    arrow, out_arrow = (to_arrow_schema(StructType.fromDDL(s)) for s in (schema, f"{out} {out_type}"))
 
-    out_arrow = to_arrow_schema(StructType.fromDDL(f"{out} {out_type}"))
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, total = None, None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            partial = reduce(comb.combine, map(comb.init, b.column(1).to_pylist()))
+            total = partial if group is None else comb.combine(total, partial)
+            group = b.column(0)[0].as_py()
+        if group is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([x], type=f.type) for x, f in zip((group, total), arrow, strict=True)], schema=arrow)
+
+    def step(table: pa.Table) -> pa.Table:
+        total = reduce(comb.combine, table.column("_tp_p").to_pylist())
+        return pa.Table.from_arrays([pa.array([x], type=f.type) for x, f in zip((0, total), arrow, strict=True)], schema=arrow)
 
     def final(table: pa.Table) -> pa.Table:
-        parts = table.column("_tp_p").to_pylist()
-        total = parts[0]
-        for p in parts[1:]:
-            total = comb.combine(total, p)
+        total = reduce(comb.combine, table.column("_tp_p").to_pylist())
         return pa.Table.from_arrays([pa.array([total], type=out_arrow.field(0).type)], schema=out_arrow)
 
-    return both.groupBy("_tp_g").applyInArrow(final, f"{out} {out_type}")
+    tagged = df.select(F.expr(f"cast(spark_partition_id() div {COMBINED} as int)").alias("_tp_g"), value)
+    zero = df.sparkSession.createDataFrame([(0, comb.zero)], schema)
+    partials = tagged.mapInArrow(fold, schema).groupBy("_tp_g").applyInArrow(step, schema)
+    return partials.unionByName(zero).groupBy("_tp_g").applyInArrow(final, f"{out} {out_type}")
 
 
 # ------------------------------------------------- X4: per-batch aggregates

@@ -123,9 +123,11 @@ def nth_before_mark(spark, sf):
 def slot_lookup(spark, sf):
     """Every user's count in the slot of every day that has events: 0 on a miss."""
     counts = _day_slots(spark, sf)
-    probes = (counts.select("obj").distinct()
-              .withColumn("days", counts.agg(F.collect_set("slot_start")).scalar())
-              .select("obj", F.explode("days").alias("slot_start")))
+    first, last = (counts.agg(f("slot_start")).scalar() for f in (F.min, F.max))
+    # every day between the two ends, a day a step; the join keeps those that have events
+    days = F.sequence(first, last, F.expr(f"make_dt_interval(0, 0, 0, {DAY})"))
+    probes = (counts.select("obj").distinct().select("obj", F.explode(days).alias("slot_start"))
+              .join(counts.select("slot_start").distinct(), "slot_start", "left_semi"))
     return W.slot_count_lookup(counts, probes)
 
 
@@ -429,7 +431,8 @@ def src_cycled(spark, sf):
 
 
 def global_count(spark, sf):
-    return C.global_count(C.batch_count(_partitioned(spark, sf))).select("batch_id", "count", "global_count")
+    b = _partitioned(spark, sf)
+    return C.global_count(C.batch_count(b), batches=b).select("batch_id", "count", "global_count")
 
 
 def _changelog(spark, sf):
@@ -449,7 +452,7 @@ def bucket_changelog(spark, sf):
     # The branches of the chained running sums share identical exchanges,
     # which adaptive execution reuses: events are scanned by two stages only
     # (checked in the event log), so nothing needs materialising here.
-    return CL.bucket_changelog(CL.bucket_deltas(_changelog(spark, sf)))
+    return CL.bucket_changelog(CL.bucket_deltas(_changelog(spark, sf)), batches=_partitioned(spark, sf))
 
 
 def count_histogram(spark, sf):
@@ -481,7 +484,7 @@ def dist_fields(spark, sf):
 
 def dist_all(spark, sf):
     """All grouping: each of PARTITIONS consumers counts every event type."""
-    copies = D.replicate(_t(spark, sf, "events").select("event_type"), PARTITIONS)
+    copies = D.copies_for(_t(spark, sf, "events").select("event_type"), PARTITIONS)
     return copies.groupBy("task", "event_type").agg(F.count(F.lit(1)).alias("count"))
 
 
