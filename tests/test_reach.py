@@ -35,7 +35,7 @@ def graph(spark):
     return req, hop1, hop2
 
 
-@pytest.mark.parametrize("method", ["distinct", "uniquer", "group_one"])
+@pytest.mark.parametrize("method", ["distinct", "uniquer", "group_one", "lists"])
 def test_reach_example(spark, graph, method):
     out = {r["request_id"]: r["reach"] for r in RE.reach(*graph, method=method).collect()}
     assert out == {0: 16, 1: 14, 2: 7, 3: 0, 4: 0}
@@ -50,6 +50,18 @@ def test_hot_follower_list(spark):
                                                   (F.col("id") + 400).alias("follower"))))
     own = {t: len({*range(500), *[i + 400 for i in range(1000) if i % 60 == t]}) for t in range(60)}
     assert {r["request_id"]: r["reach"] for r in RE.reach(req, hop1, hop2).collect()} == own
+    # every request by lists, every request by pairs, and some of each (1000 rows over 60 accounts: 516 or 517 paths)
+    for most in (4_096, 0, 516):
+        assert {r["request_id"]: r["reach"] for r in RE.reach(req, hop1, hop2, method="lists", most=most).collect()} == own
+
+
+@pytest.mark.parametrize("most", [0, 3, 100])
+def test_reach_by_lists_with_nulls_and_repeats(spark, most):
+    req = spark.createDataFrame([(0, "a"), (1, "a"), (2, "b"), (3, None), (None, "a"), (0, "b")], "request_id long, url string")
+    hop1 = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", "y"), ("b", "z"), ("b", None), (None, "x")], "url string, tweeter string")
+    hop2 = spark.createDataFrame([("x", 1), ("x", 1), ("x", 2), ("y", 2), ("y", None), ("z", None), (None, 7)], "tweeter string, follower long")
+    rows = [sorted((tuple(r) for r in RE.reach(req, hop1, hop2, method=m, most=most).collect()), key=repr) for m in ("distinct", "lists")]
+    assert rows[0] == rows[1] and dict(rows[0])[0] == 2
 
 
 def test_reach_approx_close(spark, graph):

@@ -20,6 +20,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Paths of a request up to which its followers meet as lists in one row (``method="lists"``).
+LIST_PATHS = 4_096
+
 
 def reach_pairs(requests: DataFrame, hop1: DataFrame, hop2: DataFrame) -> DataFrame:
     """(request_id, follower) rows, one per path (not yet distinct).
@@ -36,14 +39,36 @@ def reach_pairs(requests: DataFrame, hop1: DataFrame, hop2: DataFrame) -> DataFr
     return tweeters.join(hop2, "tweeter", "inner").select("request_id", "follower")
 
 
+def _reach_by_lists(requests: DataFrame, hop1: DataFrame, hop2: DataFrame, most: int) -> DataFrame:
+    """``(request_id, _tp_n)`` with one shuffled row per (request, tweeter) instead of one per path.
+
+    The followers of a tweeter are one list, and the lists of a request are
+    united in its row.  Lists are made only for requests of at most ``most``
+    paths, counted before; none of their tweeters has more followers.  Larger
+    requests count distinct pairs, so no list grows with the data and the
+    result is the same at any ``most``."""
+    tweeters = requests.join(hop1, "url", "inner").select("request_id", "tweeter").dropDuplicates(["request_id", "tweeter"])
+    sizes = hop2.groupBy("tweeter").agg(F.count(F.lit(1)).alias("_tp_size"))
+    paths = (tweeters.join(sizes, "tweeter", "inner").groupBy("request_id").agg(F.sum("_tp_size").alias("_tp_paths")))
+    marked = tweeters.join(paths, "request_id", "inner")
+    few, many = marked.where(F.col("_tp_paths") <= most), marked.where(F.col("_tp_paths") > most)
+    short = sizes.where(F.col("_tp_size") <= most).select("tweeter")
+    lists = hop2.join(short, "tweeter", "left_semi").groupBy("tweeter").agg(F.collect_list("follower").alias("_tp_list"))
+    united = few.join(lists, "tweeter", "inner").groupBy("request_id").agg(F.flatten(F.collect_list("_tp_list")).alias("_tp_all"))
+    counted = united.select("request_id", F.size(F.array_distinct("_tp_all")).cast("long").alias("_tp_n"))
+    pairs = many.join(hop2, "tweeter", "inner")
+    return counted.unionByName(pairs.groupBy("request_id").agg(F.count_distinct("follower").alias("_tp_n")))
+
+
 def reach(requests: DataFrame, hop1: DataFrame, hop2: DataFrame, out: str = "reach",
-          method: str = "distinct") -> DataFrame:
+          method: str = "distinct", most: int = LIST_PATHS) -> DataFrame:
     """One row per request: ``(request_id, <out>)``.
 
     ``method``:
       * ``distinct``  -- ``count(DISTINCT follower)`` (Catalyst's two-phase plan)
       * ``uniquer``   -- explicit ``dropDuplicates`` then ``count`` (same shape)
       * ``group_one`` -- group by follower, each group counts as one, then sum
+      * ``lists``     -- lists of followers united per request, up to ``most`` paths; pairs beyond
       * ``approx``    -- HyperLogLog estimate, for when an estimate suffices
     """
     pairs = reach_pairs(requests, hop1, hop2)
@@ -55,10 +80,12 @@ def reach(requests: DataFrame, hop1: DataFrame, hop2: DataFrame, out: str = "rea
     elif method == "group_one":
         ones = pairs.groupBy("request_id", "follower").agg(F.lit(1).alias("_tp_one"))
         counts = ones.groupBy("request_id").agg(F.sum("_tp_one").alias("_tp_n"))
+    elif method == "lists":
+        counts = _reach_by_lists(requests, hop1, hop2, most)
     elif method == "approx":
         counts = pairs.groupBy("request_id").agg(F.approx_count_distinct("follower").alias("_tp_n"))
     else:
-        raise ValueError("method must be distinct, uniquer, group_one or approx")
+        raise ValueError("method must be distinct, uniquer, group_one, lists or approx")
     ids = requests.select("request_id").dropDuplicates(["request_id"])
     return (ids.join(counts, "request_id", "left")
             .select("request_id", F.coalesce(F.col("_tp_n"), F.lit(0)).cast("long").alias(out)))

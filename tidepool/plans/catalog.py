@@ -298,7 +298,7 @@ def _reach_inputs(spark, sf):
 
 def reach(spark, sf):
     req, h1, h2 = _reach_inputs(spark, sf)
-    return RE.reach(req, h1, h2, out="reach", method="distinct")
+    return RE.reach(req, h1, h2, out="reach", method="lists")
 
 
 def reach_count(spark, sf):
