@@ -6,13 +6,14 @@ Every pending request is answered in one job:
     requests ⋈ hop1 (url -> tweeter) ⋈ hop2 (tweeter -> follower)
       -> distinct (request, follower) -> count per request
 
-The lookups are edge tables joined on their key -- never a driver-side map,
-never a collected list.  Duplicates after hop 1 are dropped to bound the
-fan-out of hop 2.  The distinct count is two-phase, like the reference's
-partial uniquer + aggregator: a partial aggregate on (request, follower)
-before the shuffle, the count after it.  A hot tweeter makes hop 2 skewed;
-AQE's skew-join handling splits that partition.  Requests with no match
-get 0 (decision D4).
+The lookups are edge tables joined on their key -- never a driver-side map.
+Duplicates after hop 1 are dropped to bound the fan-out of hop 2.  The
+followers of a tweeter travel as sorted lists (``packed``) and are made
+distinct per request where these lists meet, so what is shuffled grows with
+the edges, not with the paths; that is the reference's partial uniquer.  A
+request of more followers than a task holds leaves as (request, follower)
+rows, which the last step makes distinct.  Requests with no match get 0
+(decision D4).
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Paths of a request up to which its followers meet as lists in one row (``method="lists"``).
+from tidepool.operators.packed import lists_of, union_per_key
+
+#: Followers of a request that the task uniting its lists holds from one piece to the next.
 LIST_PATHS = 4_096
 
 
@@ -39,25 +42,18 @@ def reach_pairs(requests: DataFrame, hop1: DataFrame, hop2: DataFrame) -> DataFr
     return tweeters.join(hop2, "tweeter", "inner").select("request_id", "follower")
 
 
-def _reach_by_lists(requests: DataFrame, hop1: DataFrame, hop2: DataFrame, most: int) -> DataFrame:
-    """``(request_id, _tp_n)`` with one shuffled row per (request, tweeter) instead of one per path.
+def reach_united(requests: DataFrame, hop1: DataFrame, hop2: DataFrame, most: int, nulls: bool) -> DataFrame:
+    """``(request_id, pair, n, follower)``: each request's followers, one shuffled row per
+    (request, tweeter) and ``PART`` followers instead of one per path.
 
-    The followers of a tweeter are one list, and the lists of a request are
-    united in its row.  Lists are made only for requests of at most ``most``
-    paths, counted before; none of their tweeters has more followers.  Larger
-    requests count distinct pairs, so no list grows with the data and the
-    result is the same at any ``most``."""
+    Hop 1 is deduplicated on (request, tweeter), the followers of a tweeter
+    travel as sorted lists, and the lists of a request are united in one task:
+    a row with the number ``n`` of its followers, or -- where these are more
+    than ``most`` and not at hand at once -- rows (``pair``) that are still to
+    be made distinct.  ``nulls``: a null follower counts as one."""
     tweeters = requests.join(hop1, "url", "inner").select("request_id", "tweeter").dropDuplicates(["request_id", "tweeter"])
-    sizes = hop2.groupBy("tweeter").agg(F.count(F.lit(1)).alias("_tp_size"))
-    paths = (tweeters.join(sizes, "tweeter", "inner").groupBy("request_id").agg(F.sum("_tp_size").alias("_tp_paths")))
-    marked = tweeters.join(paths, "request_id", "inner")
-    few, many = marked.where(F.col("_tp_paths") <= most), marked.where(F.col("_tp_paths") > most)
-    short = sizes.where(F.col("_tp_size") <= most).select("tweeter")
-    lists = hop2.join(short, "tweeter", "left_semi").groupBy("tweeter").agg(F.collect_list("follower").alias("_tp_list"))
-    united = few.join(lists, "tweeter", "inner").groupBy("request_id").agg(F.flatten(F.collect_list("_tp_list")).alias("_tp_all"))
-    counted = united.select("request_id", F.size(F.array_distinct("_tp_all")).cast("long").alias("_tp_n"))
-    pairs = many.join(hop2, "tweeter", "inner")
-    return counted.unionByName(pairs.groupBy("request_id").agg(F.count_distinct("follower").alias("_tp_n")))
+    lists = tweeters.where("request_id is not null").join(lists_of(hop2, "tweeter", "follower"), "tweeter", "inner")
+    return union_per_key(lists, "request_id", "follower", hop2.schema["follower"].dataType, most, nulls)
 
 
 def reach(requests: DataFrame, hop1: DataFrame, hop2: DataFrame, out: str = "reach",
@@ -65,27 +61,30 @@ def reach(requests: DataFrame, hop1: DataFrame, hop2: DataFrame, out: str = "rea
     """One row per request: ``(request_id, <out>)``.
 
     ``method``:
-      * ``distinct``  -- ``count(DISTINCT follower)`` (Catalyst's two-phase plan)
-      * ``uniquer``   -- explicit ``dropDuplicates`` then ``count`` (same shape)
+      * ``distinct``, ``lists`` -- ``count(DISTINCT follower)``
+      * ``uniquer``   -- explicit ``dropDuplicates`` then ``count``
       * ``group_one`` -- group by follower, each group counts as one, then sum
-      * ``lists``     -- lists of followers united per request, up to ``most`` paths; pairs beyond
       * ``approx``    -- HyperLogLog estimate, for when an estimate suffices
+
+    The exact methods unite lists per request first (``reach_united``): a request
+    of at most ``most`` followers comes to their last step as one row.
     """
-    pairs = reach_pairs(requests, hop1, hop2)
-    if method == "distinct":
-        counts = pairs.groupBy("request_id").agg(F.count_distinct("follower").alias("_tp_n"))
+    if method not in ("distinct", "uniquer", "group_one", "lists", "approx"):
+        raise ValueError("method must be distinct, uniquer, group_one, lists or approx")
+    if method == "approx":
+        counts = (reach_pairs(requests, hop1, hop2).groupBy("request_id")
+                  .agg(F.approx_count_distinct("follower").alias("_tp_n")))
     elif method == "uniquer":
-        counts = (pairs.dropDuplicates(["request_id", "follower"])
-                  .groupBy("request_id").agg(F.count(F.lit(1)).alias("_tp_n")))
+        counts = (reach_united(requests, hop1, hop2, most, nulls=True).dropDuplicates(["request_id", "pair", "follower"])
+                  .groupBy("request_id").agg(F.sum("n").alias("_tp_n")))
     elif method == "group_one":
-        ones = pairs.groupBy("request_id", "follower").agg(F.lit(1).alias("_tp_one"))
+        ones = (reach_united(requests, hop1, hop2, most, nulls=True)
+                .groupBy("request_id", "pair", "follower").agg(F.max("n").alias("_tp_one")))
         counts = ones.groupBy("request_id").agg(F.sum("_tp_one").alias("_tp_n"))
-    elif method == "lists":
-        counts = _reach_by_lists(requests, hop1, hop2, most)
-    elif method == "approx":
-        counts = pairs.groupBy("request_id").agg(F.approx_count_distinct("follower").alias("_tp_n"))
     else:
-        raise ValueError("method must be distinct, uniquer, group_one, lists or approx")
+        counts = (reach_united(requests, hop1, hop2, most, nulls=False).groupBy("request_id")
+                  .agg((F.coalesce(F.sum(F.when(~F.col("pair"), F.col("n"))), F.lit(0))
+                        + F.count_distinct("follower")).alias("_tp_n")))
     ids = requests.select("request_id").dropDuplicates(["request_id"])
     return (ids.join(counts, "request_id", "left")
             .select("request_id", F.coalesce(F.col("_tp_n"), F.lit(0)).cast("long").alias(out)))
