@@ -1,5 +1,6 @@
 """The user-function surface agrees with the built-in forms."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidepool.operators import generators as G
@@ -43,3 +44,14 @@ def test_combine_all_uses_zero(spark):
     df = spark.createDataFrame([(i,) for i in range(10)], "v long").repartition(3)
     assert U.combine_all(df, "v", U.SUM).collect()[0]["value"] == 45
     assert U.combine_all(df, "v", U.COUNT).collect()[0]["value"] == 10
+
+
+def test_arrow_split_works_on_pieces_of_a_batch():
+    texts = ["a b " * 100] * 50 + [None, "", "x" * 5000, "c d"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    pieces = list(U.text_pieces(batch, 1, size=2_000))
+    assert pa.Table.from_batches(pieces).to_pylist() == batch.to_pylist()
+    assert len(pieces) > 10 and max(p.num_rows for p in pieces) <= 6
+    big = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(["a b " * 50_000] * 40)], names=["id", "text"])
+    tables = list(U.SplitWordsArrow.func().eval(big))
+    assert max(t.num_rows for t in tables) < 1_000_000 and sum(t.num_rows for t in tables) == 40 * 100_001

@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -41,16 +42,31 @@ def udtf_tokens(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame
     return df.lateralJoin(SplitWords(F.col(text).outer())).select(*keep, "word")
 
 
+#: Bytes of text that a task splits at a time.
+SPLIT_BYTES = 1 << 20
+
+
+def text_pieces(batch: pa.RecordBatch, text: int, size: int = SPLIT_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of ``batch`` of about ``size`` bytes in column ``text``, one row at least."""
+    if not batch.num_rows:
+        return
+    before = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // size
+    edges = [0, *(np.flatnonzero(before[1:] != before[:-1]) + 1).tolist(), batch.num_rows]
+    for i, j in zip(edges[:-1], edges[1:], strict=True):
+        yield batch.slice(i, j - i)
+
+
 @F.arrow_udtf(returnType="id bigint, word string")
 class SplitWordsArrow:
     """The same table function, vectorised: each call gets a whole Arrow
-    batch of ``(id, text)`` rows and returns all their tokens at once."""
+    batch of ``(id, text)`` rows and returns the tokens of a piece at once."""
 
     def eval(self, batch: pa.RecordBatch):
-        words = pc.split_pattern(batch.column(1), " ")
-        parents = pc.list_parent_indices(words)
-        yield pa.table({"id": pc.take(batch.column(0), parents).cast(pa.int64()),
-                        "word": pc.list_flatten(words)})
+        for piece in text_pieces(batch, 1):
+            words = pc.split_pattern(piece.column(1), " ")
+            parents = pc.list_parent_indices(words)
+            yield pa.table({"id": pc.take(piece.column(0), parents).cast(pa.int64()),
+                            "word": pc.list_flatten(words)})
 
 
 def arrow_udtf_tokens(df: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -67,8 +83,9 @@ def arrow_token_counts(df: DataFrame, id_col: str, text: str, out: str = "n_toke
 
     def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lengths = pc.list_value_length(pc.split_pattern(b.column(1), " ")).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), lengths], names=[id_col, out])
+            for piece in text_pieces(b, 1):
+                lengths = pc.list_value_length(pc.split_pattern(piece.column(1), " ")).cast(pa.int64())
+                yield pa.RecordBatch.from_arrays([piece.column(0), lengths], names=[id_col, out])
 
     schema = f"{id_col} {df.schema[id_col].dataType.simpleString()}, {out} bigint"
     return df.select(id_col, text).mapInArrow(count_batches, schema)
