@@ -99,3 +99,15 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in CC.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 70, 5000: 70, 70: 70}
     assert CC.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+def test_points_travel_coded(spark):
+    rng = random.Random(5)
+    texts = [prose(rng, k) for k in (40, 300, 900)] + ["", "a b c d e " * 400]
+    doc, h = J.shingle_sets([t.encode() for t in texts])
+    n = np.bincount(doc, minlength=len(texts))
+    plain = J._points(doc, h, n)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"]: bytes(r["point"]) for r in J._survey(docs).where("set_id is not null").collect()}
+    assert [J.decoded(kept[i]) for i in range(len(texts))] == plain
+    assert sum(map(len, kept.values())) < 0.7 * sum(map(len, plain))

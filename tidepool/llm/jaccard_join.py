@@ -45,6 +45,7 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -133,6 +134,16 @@ def vector(point: bytes, n: int) -> np.ndarray:
     return np.stack([x & 15, x >> 4], axis=1).ravel()
 
 
+def coded(point: bytes) -> bytes:
+    """A point as it is kept and shuffled: small counts are common, so the bytes alone are coded, not their repeats."""
+    c = zlib.compressobj(1, zlib.DEFLATED, -9, 5, zlib.Z_HUFFMAN_ONLY)
+    return c.compress(point) + c.flush()
+
+
+def decoded(point: bytes) -> bytes:
+    return zlib.decompress(point, -15)
+
+
 def _survey(docs: DataFrame) -> DataFrame:
     """One pass over the texts.  Rows with set_id: (doc_id, n, set_id, point) of
     a document.  Rows with h: (h, c), a shingle that c documents of one task's
@@ -157,7 +168,7 @@ def _survey(docs: DataFrame) -> DataFrame:
                 none = pa.nulls(len(texts), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(first, len(texts)), pa.array(n), pa.array(_set_ids(doc, h, n)),
-                     pa.array(_points(doc, h, n), pa.binary()), none, none], names=names)
+                     pa.array([coded(p) for p in _points(doc, h, n)], pa.binary()), none, none], names=names)
                 held.append(h)
                 total += len(h)
                 if total >= COUNTED:
@@ -280,8 +291,8 @@ def _near_centers(members: DataFrame, points: DataFrame) -> DataFrame:
             out: list[tuple[int, int]] = []
             for c, _, member, s, n, p in zip(*[x.column(k).to_pylist() for k in range(6)], strict=True):
                 if not member:
-                    center, size, point = c, n, vector(p, n)
-                elif may_link(size, point, n, vector(p, n)):
+                    center, size, point = c, n, vector(decoded(p), n)
+                elif may_link(size, point, n, vector(decoded(p), n)):
                     out.append((min(s, center), max(s, center)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
@@ -345,7 +356,7 @@ def _trees(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, list[_
                 if rows:
                     yield *held[1:], rows
                 held, rows = key, []
-            rows.append((own[k], s[k], comp[k], n[k], vector(p[k], n[k])))
+            rows.append((own[k], s[k], comp[k], n[k], vector(decoded(p[k]), n[k])))
     if rows:
         yield *held[1:], rows
 
