@@ -21,6 +21,18 @@ def test_pack_and_unpack():
     assert len(packed[3].as_py()) == 10 + 902  # one byte a small difference
 
 
+@pytest.mark.parametrize("low, high", [(0, 1), (-5, 40), (2**62, 2**62 + 9), (-2**63, -2**63 + 9), (-2**62, 2**62), (-2**63, 2**63 - 1)])
+def test_pairs_are_sorted_as_one_number(monkeypatch, low, high):
+    rng = np.random.default_rng(2)
+    of, codes = rng.integers(0, 3, 200), rng.choice(rng.integers(low, high, 20, endpoint=True), 200)
+    own = sorted(set(zip(of.tolist(), codes.tolist(), strict=True)))
+    if high - low < 2**61:
+        monkeypatch.setattr(np, "lexsort", None)
+    got = P._sorted_once(of, codes, 3)
+    assert list(zip(*[x.tolist() for x in got], strict=True)) == own
+    assert [len(x) for x in P._sorted_once(of[:0], codes[:0], 3)] == [0, 0]
+
+
 @pytest.mark.parametrize("kind", ["long", "string"])
 @pytest.mark.parametrize("most", [0, 10, 4_096])
 def test_union_per_key(spark, monkeypatch, kind, most):

@@ -49,10 +49,8 @@ def unpack(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(number of values of each list, all values) of ``pack``."""
     offsets = np.frombuffer(lists.buffers()[1], np.int32, len(lists) + 1, 4 * lists.offset).astype(np.int64)
     flat = np.frombuffer(lists.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
-    ends = flat < 128
-    before = np.concatenate(([0], np.cumsum(ends)))  # values that end before each byte
-    counts = np.diff(before[offsets - offsets[0]])
-    last = np.flatnonzero(ends)
+    last = np.flatnonzero(flat < 128)
+    counts = np.diff(np.searchsorted(last, offsets - offsets[0]))  # of the values that end before each list
     if not len(last):
         return counts, np.zeros(0, np.int64)
     first = np.concatenate(([0], last[:-1] + 1))
@@ -67,6 +65,28 @@ def unpack(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return counts, (sums - np.repeat(base, counts[counts > 0])).view(np.int64)
 
 
+def _sorted_once(of: np.ndarray, codes: np.ndarray, names: int) -> tuple[np.ndarray, np.ndarray]:
+    """(of, codes) sorted by both, every pair once; ``of`` is below ``names``.
+    Where both fit 64 bits they are sorted as one number."""
+    if not len(codes):
+        return of, codes
+    low = int(codes.min())
+    bits = (int(codes.max()) - low).bit_length()
+    if bits + names.bit_length() > 64:
+        order = np.lexsort((codes, of))
+        of, codes = of[order], codes[order]
+        once = np.ones(len(of), bool)
+        once[1:] = (codes[1:] != codes[:-1]) | (of[1:] != of[:-1])
+        return of[once], codes[once]
+    base = _U(low % (1 << 64))
+    both = of.astype(_U) << _U(bits) | codes.view(_U) - base
+    both.sort()
+    once = np.ones(len(both), bool)
+    once[1:] = both[1:] != both[:-1]
+    both = both[once]
+    return (both >> _U(bits)).astype(np.int64), ((both & _U((1 << bits) - 1)) + base).view(np.int64)
+
+
 def _changes(column: pa.Array) -> np.ndarray:
     """Whether each row differs from the one before (the first: yes)."""
     new = np.ones(len(column), bool)
@@ -155,12 +175,12 @@ def union_per_key(lists: DataFrame, key: str, value: str, kind: DataType, most:
                     gaps[0] |= held_gap
                 values = pa.concat_arrays([kept, values])
                 of = np.concatenate((np.zeros(len(kept), np.int64), np.repeat(of, counts)))
-                codes = values.to_numpy() if integer else values.dictionary_encode().indices.to_numpy()
-                order = np.lexsort((codes, of))
-                codes, of = codes[order], of[order]
-                once = np.ones(len(of), bool)
-                once[1:] = (codes[1:] != codes[:-1]) | (of[1:] != of[:-1])
-                order, of = order[once], of[once]
+                if integer:
+                    of, codes = _sorted_once(of, values.to_numpy(), len(names))
+                else:
+                    coded = values.dictionary_encode()
+                    of, codes = _sorted_once(of, coded.indices.to_numpy().astype(np.int64), len(names))
+                value_of = pa.array if integer else coded.dictionary.take
                 n = np.bincount(of, minlength=len(names))
                 last = len(names) - 1
                 leaves = np.zeros(len(names), bool)
@@ -172,11 +192,11 @@ def union_per_key(lists: DataFrame, key: str, value: str, kind: DataType, most:
                 yield rows_of(names.filter(pa.array(counted)), False, (n + (gaps & nulls))[counted], pa.nulls(int(counted.sum()), arrow))
                 out = leaves[of]
                 if leaves.any():
-                    yield rows_of(names.take(pa.array(of[out])), True, np.ones(int(out.sum())), values.take(pa.array(order[out])).cast(arrow))
+                    yield rows_of(names.take(pa.array(of[out])), True, np.ones(int(out.sum())), value_of(codes[out]).cast(arrow))
                     lost = leaves & gaps & nulls
                     yield rows_of(names.filter(pa.array(lost)), True, np.ones(int(lost.sum())), pa.nulls(int(lost.sum()), arrow))
                 held = names[last]
-                kept, held_gap = (none, False) if spread else (values.take(pa.array(order[of == last])), bool(gaps[last]))
+                kept, held_gap = (none, False) if spread else (value_of(codes[of == last]), bool(gaps[last]))
         if held is not None and not spread:
             yield rows_of(pa.array([held.as_py()], held.type), False, np.array([len(kept) + (held_gap and nulls)]), pa.nulls(1, arrow))
 
