@@ -2,13 +2,17 @@
 
 import itertools
 import random
+import tracemalloc
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import prose
 from tidepool.llm import components as CC
 from tidepool.llm import jaccard_join as J
+from tidepool.llm.textvec import pieces, text_bytes, text_pieces
 
 
 def shingles(t):
@@ -111,3 +115,44 @@ def test_points_travel_coded(spark):
     kept = {r["doc_id"]: bytes(r["point"]) for r in J._survey(docs).where("set_id is not null").collect()}
     assert [J.decoded(kept[i]) for i in range(len(texts))] == plain
     assert sum(map(len, kept.values())) < 0.7 * sum(map(len, plain))
+
+
+def test_survey_counts_repeated_shingles(spark):
+    texts = [(0, "a b c d e f g"), (1, "a b c d e f"), (2, "x y z"), (3, None), (4, "X y Z"), (5, "b c d e f")]
+    found = [r["c"] for r in J._survey(spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)).where("h is not null").collect()]
+    own = Counter(s for _, t in texts for s in shingles(t))
+    assert sorted(found) == sorted(c for c in own.values() if c > 1) == [2, 2, 3]
+
+
+def test_survey_holds_one_piece_of_texts():
+    """A task's memory beside its batch is that of a piece of texts, not of the batch."""
+    run = []
+
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, f, schema):
+            run.append(f)
+
+    J._survey(Docs())
+    text = "w" * 4_000  # one word: all that grows is the texts
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6_000)), pa.array([text] * 6_000)], names=["doc_id", "text"])
+    list(run[0](iter([batch.slice(0, 300)])))
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    rows, most = 0, 0
+    for out in run[0](iter([batch])):
+        rows += out.num_rows
+        most = max(most, tracemalloc.get_traced_memory()[0] - before)
+        del out
+    tracemalloc.stop()
+    assert rows >= 6_000 and most < 12_000_000  # the batch holds 24 MB of text
+
+
+@pytest.mark.parametrize("size", [1, 7, 20, 1 << 20])
+def test_text_pieces(size):
+    column = pa.array([None, "", "abc", "é" * 9, None, "x", "yy", "z" * 30, ""])
+    for part in (column, column.slice(3, 4), column.slice(0, 0), column.cast(pa.large_string())):
+        own = [(k, [t or b"" for t in texts]) for k, texts in pieces(text_bytes(part), size)]
+        assert list(text_pieces(part, size)) == own

@@ -192,7 +192,7 @@ def token_digests(docs: DataFrame, tokenizer: Tokenizer, text: str = "text") ->
 
     def compute():
         def batch(b: pa.RecordBatch) -> list[pa.Array]:
-            rows = [tokenizer.digests(t or "") for t in b.column(b.schema.get_field_index(text)).to_pylist()]
+            rows = [tokenizer.digests(t.as_py() or "") for t in b.column(b.schema.get_field_index(text))]  # one text at a time
             n, ids, decoded = zip(*rows, strict=True)
             return [pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
 

@@ -56,7 +56,7 @@ from pyspark.sql import functions as F
 
 from tidepool.llm.components import components
 from tidepool.llm.scratch import saved
-from tidepool.llm.textvec import SPACED, Words, grams, mix, pieces, text_bytes
+from tidepool.llm.textvec import SPACED, Words, grams, lean, mix, text_pieces
 
 SHINGLE = 5
 #: Fewest groups of a count vector.
@@ -153,8 +153,11 @@ def _survey(docs: DataFrame) -> DataFrame:
         held, total = [], 0
 
         def counted() -> pa.RecordBatch:
-            u, c = np.unique(np.concatenate(held), return_counts=True)
-            u, c = u[c > 1], c[c > 1]
+            every = np.concatenate(held)
+            held.clear()
+            every.sort()
+            u, c = np.unique(every[1:][every[1:] == every[:-1]], return_counts=True)  # each one but for its first
+            c += 1
             none = pa.nulls(len(u), pa.int64())
             return pa.RecordBatch.from_arrays(
                 [none, none, none, pa.nulls(len(u), pa.binary()), pa.array(u.view(np.int64)), pa.array(c)], names=names)
@@ -162,7 +165,7 @@ def _survey(docs: DataFrame) -> DataFrame:
         names = ["doc_id", "n", "set_id", "point", "h", "c"]
         for b in batches:
             ids = b.column(0)
-            for first, texts in pieces(text_bytes(b.column(1))):
+            for first, texts in text_pieces(b.column(1)):
                 doc, h = shingle_sets(texts)
                 n = np.bincount(doc, minlength=len(texts))
                 none = pa.nulls(len(texts), pa.int64())
@@ -173,12 +176,12 @@ def _survey(docs: DataFrame) -> DataFrame:
                 total += len(h)
                 if total >= COUNTED:
                     yield counted()
-                    held, total = [], 0
+                    total = 0
         if total:
             yield counted()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id bigint, n bigint, set_id bigint, point binary, h bigint, c bigint")
+        lean(run), "doc_id bigint, n bigint, set_id bigint, point binary, h bigint, c bigint")
 
 
 def _frequent(survey: DataFrame, n_docs: int) -> np.ndarray:
@@ -196,7 +199,7 @@ def _prefixes(docs: DataFrame, hot: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
-            for _, texts in pieces(text_bytes(b.column(0))):
+            for _, texts in text_pieces(b.column(0)):
                 doc, h = shingle_sets(texts)
                 n = np.bincount(doc, minlength=len(texts))
                 ids = _set_ids(doc, h, n)
@@ -216,7 +219,7 @@ def _prefixes(docs: DataFrame, hot: np.ndarray) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(h[take].view(np.int64)), pa.array(ids[doc[take]])],
                                                  names=["h", "set_id"])
 
-    return docs.select("text").mapInArrow(run, "h bigint, set_id bigint")
+    return docs.select("text").mapInArrow(lean(run), "h bigint, set_id bigint")
 
 
 def _cell_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,7 +300,7 @@ def _near_centers(members: DataFrame, points: DataFrame) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return dealt.mapInArrow(run, "a bigint, b bigint")
+    return dealt.mapInArrow(lean(run), "a bigint, b bigint")
 
 
 class RTree:
@@ -468,14 +471,14 @@ def _sets(nodes: DataFrame, docs: DataFrame, holders: DataFrame) -> DataFrame:
         for b in batches:
             p = b.column(0).to_numpy()
             b = b.filter(pa.array((marks[p // 32] >> (p % 32).astype(np.uint32) & 1).astype(bool)))
-            for _, part in pieces(text_bytes(b.column(1))):
+            for _, part in text_pieces(b.column(1)):
                 doc, h = shingle_sets(part)
                 n = np.bincount(doc, minlength=len(part))
                 values = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32()),
                                                   pa.array(h.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(_set_ids(doc, h, n)), values], names=["set_id", "items"])
 
-    sets = keyed.mapInArrow(run, "set_id bigint, items array<bigint>").join(nodes, "set_id", "left_semi")
+    sets = keyed.mapInArrow(lean(run), "set_id bigint, items array<bigint>").join(nodes, "set_id", "left_semi")
     return saved(sets.dropDuplicates(["set_id"]))
 
 
@@ -494,7 +497,7 @@ def classes(docs: DataFrame) -> DataFrame:
     hot = _frequent(survey, rows.count())
 
     members = saved(_prefixes(docs, hot).repartition("h").sortWithinPartitions("h", "set_id")
-                    .mapInArrow(_cell_members, "center bigint, set_id bigint").distinct())
+                    .mapInArrow(lean(_cell_members), "center bigint, set_id bigint").distinct())
     holders = rows.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     alive = members.select("set_id").distinct()
     points = saved(rows.join(alive, "set_id", "left_semi").select("set_id", "n", "point").dropDuplicates(["set_id"]))
@@ -504,13 +507,13 @@ def classes(docs: DataFrame) -> DataFrame:
     links = saved(_verified(stars, sets))
     first = components(links)
 
-    near = saved(_open_groups(members, first, points, whole=False).mapInArrow(_nearest_pairs, "a bigint, b bigint")
+    near = saved(_open_groups(members, first, points, whole=False).mapInArrow(lean(_nearest_pairs), "a bigint, b bigint")
                  .distinct().join(stars, ["a", "b"], "left_anti"))
     # most of their sets were read for the stars
     sets = sets.unionByName(_sets(_ends(near).join(sets, "set_id", "left_anti"), docs, holders))
     second = components(_tree_links(first).unionByName(saved(_verified(near, sets))))
 
-    found = (_open_groups(members, second, points, whole=True).mapInArrow(_tree_pairs, "a bigint, b bigint").distinct())
+    found = (_open_groups(members, second, points, whole=True).mapInArrow(lean(_tree_pairs), "a bigint, b bigint").distinct())
     found = saved(found.join(stars.unionByName(near), ["a", "b"], "left_anti"))
     sets = sets.unionByName(_sets(_ends(found).join(sets, "set_id", "left_anti"), docs, holders))
     every = components(_tree_links(second).unionByName(saved(_verified(found, sets))))

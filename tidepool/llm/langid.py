@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
 from tidepool.llm.sampling import bounded_sample
-from tidepool.llm.textvec import LETTERS, PIECE, Words, append_columns, mix, pieces, text_bytes
+from tidepool.llm.textvec import LETTERS, PIECE, Words, append_columns, mix, pieces, text_bytes, text_pieces
 
 PER_LANG = 250
 SAMPLE_CHARS = 4_000
@@ -334,7 +334,7 @@ def identify(docs: DataFrame, m: Model, text: str = "text") -> DataFrame:
             # a run's product has a number for each pair of languages
             size = max(1 << 14, PIECE * 64 // (64 + len(m.langs) ** 2))
             if m.langs:
-                for first, texts in pieces(text_bytes(column), size):
+                for first, texts in text_pieces(column, size):
                     best, share = predict(texts, m)
                     here = slice(first, first + len(texts))
                     names[here] = np.array(m.langs, dtype=object)[best]

@@ -8,10 +8,12 @@ hash costs two lookups; a finalising mix spreads them.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructField, StructType
 
@@ -137,6 +139,35 @@ def text_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def text_pieces(column: pa.Array, size: int = PIECE) -> Iterator[tuple[int, list[bytes]]]:
+    """``pieces(text_bytes(column), size)``, but only the texts of one piece are
+    held beside the column, however large its batch is."""
+    lens = pc.fill_null(pc.binary_length(column), 0).to_numpy().tolist()
+    first = total = 0
+    for i, n in enumerate(lens):
+        if i > first and total + n > size:
+            yield first, [b"" if t is None else t for t in text_bytes(column.slice(first, i - first))]
+            first, total = i, 0
+        total += n
+    if lens:
+        yield first, [b"" if t is None else t for t in text_bytes(column.slice(first))]
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for mapInArrow.  Python workers live on from stage to stage: what
+    ``run`` has freed goes back to the system when its task ends."""
+
+    def ending(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc only
+                trim(0)
+
+    return ending
+
+
 def append_columns(df: DataFrame, fields: list[StructField],
                    compute: Callable[[], Callable[[pa.RecordBatch], list[pa.Array]]]) -> DataFrame:
     """``df`` with computed columns; columns of the same names are replaced.
@@ -153,4 +184,4 @@ def append_columns(df: DataFrame, fields: list[StructField],
                 yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(n)) for n in kept] + new,
                                                  names=kept + [f.name for f in fields])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
