@@ -3,6 +3,8 @@
 import random
 import uuid
 import zlib
+from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -82,6 +84,36 @@ def test_remembered_pieces_are_bounded(library, ours, monkeypatch):
         assert np.frombuffer(encode([t])[0], dtype="<u4").tolist() == library.encode(t, add_special_tokens=False).ids
 
 
+def test_common_pieces_stay_remembered(library, ours, monkeypatch):
+    """What every text holds is encoded once, however many other pieces come and go; what was last met long ago is forgotten."""
+    calls, real = Counter(), tokenizers.Tokenizer
+
+    class Model:
+        def __init__(self, model):
+            self.model = model
+
+        def __getattr__(self, name):
+            return getattr(self.model, name)
+
+        def tokenize(self, piece):
+            calls[piece] += 1
+            return self.model.tokenize(piece)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", SimpleNamespace(from_str=lambda spec: SimpleNamespace(model=Model(real.from_str(spec).model))))
+    monkeypatch.setattr(token_store, "REMEMBERED", 200)
+    encode, rng = ours._encoder(), random.Random(2)
+    for k in range(60):
+        t = f"common{' rare' if k in (0, 59) else ''} words{k:03d}<|endoftext|>  \u3000ñandú " + prose(rng, 5)
+        assert np.frombuffer(encode([t])[0], dtype="<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+    assert (calls["common"], calls["Ġwords"], calls["Ġrare"]) == (1, 1, 2)
+
+
+def test_distinct_pieces():
+    raw = "añb\u3000a ñ".encode()
+    words, which = token_store._distinct(raw, np.array([0, 1, 3, 4, 7, 8, 9]))
+    assert [words[k].decode() for k in which] == ["a", "ñ", "b", "\u3000", "a", " ", "ñ"] and len(words) == 5
+
+
 def test_equal_hashes(library, ours, monkeypatch):
     """Pieces of one hash are told apart."""
     monkeypatch.setattr(token_store, "power_table", lambda base, n: np.ones(n, np.uint64))

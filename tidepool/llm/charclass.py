@@ -89,8 +89,24 @@ def class_table() -> np.ndarray:
     return table
 
 
+def byte_kinds(points: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """The class of the character that each byte of UTF-8 belongs to."""
+    kinds = table[:256][points]
+    lead = np.flatnonzero(points >= 0xC0)
+    size = 2 + (points[lead] >= 0xE0) + (points[lead] >= 0xF0)
+    code = points[lead].astype(np.int32) & 0x7F >> size
+    after = [size > k for k in (1, 2, 3)]
+    for k, more in enumerate(after, 1):
+        code[more] = code[more] << 6 | points[lead[more] + k] & 0x3F
+    kind = table[code]
+    kinds[lead] = kind
+    for k, more in enumerate(after, 1):
+        kinds[lead[more] + k] = kind[more]
+    return kinds
+
+
 def cut(points: np.ndarray, kinds: np.ndarray) -> np.ndarray:
-    r"""Where the pieces of the byte-level pattern begin in code points of the
+    r"""Where the pieces of the byte-level pattern begin in UTF-8 bytes of the
     given classes (``END`` between texts is a piece of its own):
     ``'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+``."""
     n = len(kinds)
@@ -102,7 +118,10 @@ def cut(points: np.ndarray, kinds: np.ndarray) -> np.ndarray:
     # of white space before a word the last character stands apart, and a plain space joins the word
     kind = kinds[first]
     joined = after[:-1][(kind[:-1] == SPACE) & (kind[1:] < SPACE)]
-    begins[joined - 1] = True
+    last = joined - 1
+    while (inside := points[last] & 0xC0 == 0x80).any():
+        last = last - inside
+    begins[last] = True
     begins[joined[points[joined - 1] == 0x20]] = False
     # an apostrophe that begins a piece takes the letters of a short form
     at = first[:-1][(kind[:-1] == OTHER) & (kind[1:] == LETTER) & (after[:-1] - first[:-1] == 1)]

@@ -34,7 +34,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,16 +43,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepool.llm.bpe import byte_chars
-from tidepool.llm.charclass import END, class_table, cut
-from tidepool.llm.textvec import BASE, BASE_INVERSE, power_table
+from tidepool.llm.charclass import END, byte_kinds, class_table, cut
 from tidepool.llm.textvec import pieces as pieces_of
+from tidepool.llm.textvec import power_table  # noqa: F401  a test sets it here
 from tidepool.llm.wavelet import WaveletMatrix
 
-#: Ids of a shard, and characters of remembered pieces.
+#: Ids of a shard, and bytes of remembered pieces.
 SHARD = 1 << 20
 REMEMBERED = 1 << 23
 #: Characters that are cut and looked up at once (a longer text is a group of its own).
-AT_ONCE = 1 << 21
+AT_ONCE = 1 << 22
 #: Global places that share a key when places are matched with shards.
 STRIDE = 1 << 20
 
@@ -66,6 +66,16 @@ def _places(n: int, shift: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(n, dtype=kind) + np.repeat(shift.astype(kind), size)
 
 
+def _distinct(raw: bytes, start: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """(distinct pieces of ``raw``, which of them each piece is); a piece ends where the next one starts."""
+    kind, offset = (pa.binary(), np.int32) if len(raw) < 1 << 31 else (pa.large_binary(), np.int64)
+    bounds = pa.py_buffer(np.append(start, len(raw)).astype(offset))
+    found = pa.Array.from_buffers(kind, len(start), [None, bounds, pa.py_buffer(raw)]).dictionary_encode()
+    _, bounds, data = found.dictionary.buffers()
+    at, data = np.frombuffer(bounds, offset)[:len(found.dictionary) + 1].tolist(), data.to_pybytes()
+    return [data[a:b] for a, b in zip(at, at[1:])], found.indices.to_numpy()
+
+
 #: Encoders of this Python worker, by vocabulary.
 _encoders: dict[str, Callable[[list[str]], list[bytes]]] = {}
 
@@ -86,9 +96,10 @@ class ByteBpe:
 
     def pieces(self, text: str) -> list[str]:
         """The pieces of a text without special tokens."""
-        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        at = cut(points, self.table[points]).tolist() if text else []
-        return [text[a:b] for a, b in zip(at, [*at[1:], len(text)])]
+        raw = text.encode()
+        points = np.frombuffer(raw, dtype=np.uint8)
+        at = cut(points, byte_kinds(points, self.table)).tolist() if text else []
+        return [raw[a:b].decode() for a, b in zip(at, [*at[1:], len(raw)])]
 
     def encoder(self) -> Callable[[list[str]], list[bytes]]:
         """texts -> their ids as little-endian 32-bit integers; one for each Python worker."""
@@ -100,67 +111,38 @@ class ByteBpe:
     def _encoder(self) -> Callable[[list[str]], list[bytes]]:
         from tokenizers import Tokenizer
 
-        model, pieces, table = Tokenizer.from_str(self.spec).model, self.pieces, self.table
+        model, table = Tokenizer.from_str(self.spec).model, self.table
+        model._resize_cache(0)  # every piece is new to it
         marks = re.compile("|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
         special, letters = tuple(self.special), byte_chars()
-        known: dict[str, bytes] = {}
+        known: dict[bytes, bytes] = {}
+        older: dict[bytes, bytes] = {}
         held = 0
 
-        def ids_of(piece: str) -> bytes:
-            plain_ascii = piece.isascii() and piece.isprintable()
-            shown = piece.replace(" ", letters[0x20]) if plain_ascii else "".join(map(letters.__getitem__, piece.encode()))
+        def ids_of(piece: bytes) -> bytes:
+            if piece.isascii() and (text := piece.decode()).isprintable():
+                shown = text.replace(" ", letters[0x20])
+            else:
+                shown = "".join(map(letters.__getitem__, piece))
             return array("I", [t.id for t in model.tokenize(shown)]).tobytes()
 
-        def plain(text: str) -> bytes:
-            nonlocal held
-            found = pieces(text)
-            try:
-                return b"".join(map(known.__getitem__, found))
-            except KeyError:
-                if held > REMEMBERED:
-                    known.clear()
-                    held = 0
-                for w in found:
-                    if w not in known:
-                        known[w] = ids_of(w)
-                        held += len(w)
-                return b"".join(map(known.__getitem__, found))
-
-        def one(text: str) -> bytes:
-            out, at = [], 0
-            for m in marks.finditer(text):
-                out += [plain(text[at:m.start()]), self.special[m.group()].to_bytes(4, "little")]
-                at = m.end()
-            return b"".join([*out, plain(text[at:])])
-
         def together(texts: list[str]) -> list[bytes]:
-            """Texts without special tokens: equal pieces are found by a hash and compared, each is looked up once."""
-            nonlocal held
-            joined = "".join([t + "\n" for t in texts])
-            points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-            ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1) - 1
-            kinds = table[points]
+            """Texts without special tokens: equal pieces are found by Arrow, each is looked up once."""
+            nonlocal known, older, held
+            raw = [t.encode() for t in texts]
+            ends = np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)) + 1) - 1
+            raw = b"\n".join([*raw, b""])
+            points = np.frombuffer(raw, dtype=np.uint8)
+            kinds = byte_kinds(points, table)
             kinds[ends] = END
             start = cut(points, kinds)
-            piece_end = np.append(start[1:], len(points))
-            size = piece_end - start
-            terms = points.astype(np.uint64) + np.uint64(1)
-            terms *= power_table(BASE, len(points))
-            upto = np.concatenate((np.zeros(1, np.uint64), np.cumsum(terms, dtype=np.uint64)))
-            h = (upto[piece_end] - upto[start]) * power_table(BASE_INVERSE, len(points))[start]
-            _, example, which = np.unique(h, return_index=True, return_inverse=True)
-            which = which.astype(np.int32)
-            shift = start[example][which] - start
-            if (size != size[example][which]).any() or (points != points[_places(len(points), shift, size)]).any():
-                return list(map(one, texts))  # two pieces of one hash
-            if held > REMEMBERED:
-                known.clear()
-                held = 0
-            words = [joined[x:y] for x, y in zip(start[example].tolist(), piece_end[example].tolist())]
+            words, which = _distinct(raw, start)
+            if held > REMEMBERED // 2:
+                known, older, held = {}, known, 0
             ids = list(map(known.get, words))
             for k, found in enumerate(ids):
                 if found is None:
-                    ids[k] = known[words[k]] = ids_of(words[k])
+                    ids[k] = known[words[k]] = older.get(words[k]) or ids_of(words[k])
                     held += len(words[k])
             flat = np.frombuffer(b"".join(ids), dtype="<u4")
             count = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
@@ -170,15 +152,19 @@ class ByteBpe:
             mine[last] = 0
             place = np.cumsum(mine)
             out = flat[_places(int(place[-1]), first[which] - (place - mine), mine)].tobytes()
-            bounds = [0, *(4 * place[last]).tolist()]
-            return [out[x:y] for x, y in zip(bounds, bounds[1:])]
+            at = [0, *(4 * place[last]).tolist()]
+            return [out[x:y] for x, y in zip(at, at[1:])]
 
         def encode(texts: list[str]) -> list[bytes]:
-            out: list[bytes | None] = [one(t) if any(s in t for s in special) else None for t in texts]
-            rest = [k for k, x in enumerate(out) if x is None]
-            for first, group in pieces_of([texts[k] for k in rest], AT_ONCE):
-                for k, x in enumerate(together(group), first):
-                    out[rest[k]] = x
+            # a text with special tokens is the texts between them
+            parts = [(marks.split(t), marks.findall(t)) if any(s in t for s in special) else ([t], ()) for t in texts]
+            found = chain.from_iterable(together(group) for _, group in pieces_of([x for plain, _ in parts for x in plain], AT_ONCE))
+            out = []
+            for plain, between in parts:
+                ids = next(found)
+                if between:
+                    ids += b"".join([self.special[m].to_bytes(4, "little") + next(found) for m in between])
+                out.append(ids)
             return out
 
         return encode
