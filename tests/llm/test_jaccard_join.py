@@ -156,3 +156,98 @@ def test_text_pieces(size):
     for part in (column, column.slice(3, 4), column.slice(0, 0), column.cast(pa.large_string())):
         own = [(k, [t or b"" for t in texts]) for k, texts in pieces(text_bytes(part), size)]
         assert list(text_pieces(part, size)) == own
+
+
+def _sets_of(rng, n):
+    """Sets of shared and own shingles in one order, near copies among them."""
+    out = []
+    for k in range(n):
+        own = rng.sample(range(1_000 * k + 100, 1_000 * k + 400), rng.randrange(6, 120))
+        out.append({*own, *rng.sample(range(30), rng.randrange(12))})
+        if k % 3 == 0:
+            out.append({x for x in out[-1] if rng.random() < 0.93} | {x + 500 for x in own[:rng.randrange(1, 4)]})
+    return [sorted(x, key=lambda v: (v * 7_919 % 10_007, v)) for x in out]
+
+
+def _cells(sets):
+    rows = sorted((x, s, int(J._sizes(np.int64(len(v)), np.int64(p)))) for s, v in enumerate(sets) for p, x in enumerate(v) if p <= len(v) // 4)
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], names=["h", "set_id", "sizes"])
+
+
+def _groups(batches):
+    out = {}
+    for b in J._cell_members(iter(batches)):
+        for c, s in zip(*[b.column(k).to_pylist() for k in (0, 1)], strict=True):
+            out.setdefault(c, set()).add(s)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_cells_keep_every_link(seed):
+    sets = _sets_of(random.Random(seed), 60)
+    cells = _cells(sets)
+    links = [(a, b) for a, b in itertools.combinations(range(len(sets)), 2)
+             if 7 * len(set(sets[a]) & set(sets[b])) >= 3 * (len(sets[a]) + len(sets[b]))]
+    assert len(links) > 5
+    for step in (1, 2, 5, 64, 10_000):
+        found = _groups(cells.slice(k, step) for k in range(0, cells.num_rows, step))
+        assert all(any({a, b} <= g for g in found.values()) for a, b in links), step
+    found = _groups([cells])
+    assert sum(map(len, found.values())) < 0.7 * sum(map(len, _groups(cells.slice(k, 1) for k in range(cells.num_rows)).values()))
+
+
+def test_cells_leave_out_sets_of_unlike_sizes():
+    """A shingle that sets of unlike sizes, or far down their order, have in common makes them no group."""
+    n = np.array([40, 60, 90, 140, 50, 50, 50, 48, 9, 9])
+    place = np.array([0, 0, 0, 0, 11, 12, 0, 1, 0, 0])
+    h = [1, 1, 1, 1, 2, 2, 3, 3, 4, 5]
+    b = pa.RecordBatch.from_arrays([pa.array(h), pa.array(range(10)), pa.array(J._sizes(n, place))], names=["h", "set_id", "sizes"])
+    first, last = (pa.RecordBatch.from_arrays([pa.array([x]), pa.array([x]), pa.array([0])], names=b.schema.names) for x in (0, 99))
+    assert _groups([pa.Table.from_batches([first, b, last]).combine_chunks().to_batches()[0]]) == {6: {6, 7}}
+
+
+@pytest.mark.parametrize("most", [2, 3, 64])
+def test_mates_against_all_pairs(monkeypatch, most):
+    monkeypatch.setattr(J, "CELL", most)
+    rng = np.random.default_rng(most)
+    h = np.sort(rng.integers(0, 60, 250))
+    n = rng.integers(8, 40, 250)
+    sizes = J._sizes(n, rng.integers(0, n // 4 + 1))
+    limit = sizes & 0xFFFFFFFF
+    expected = [Counter(h.tolist())[x] > most or any(h[j] == x and j != i and n[i] <= limit[j] and n[j] <= limit[i] for j in range(250))
+                for i, x in enumerate(h)]
+    assert J._mates(h, sizes).tolist() == expected
+    assert J._mates(h[:0], sizes[:0]).tolist() == [] and J._mates(h[:1], sizes[:1]).tolist() == [False]
+
+
+def test_frequent_does_not_depend_on_the_number_of_documents(spark, monkeypatch):
+    """A shingle of a few documents among very many is frequent where there are no more frequent ones."""
+    counts = {k: 3 + k // 2 for k in range(-20, 60) if k >= 0} | {-5: 1_000_000, -6: 2, -7: 1}
+    rows = [(h, c) for h, c in counts.items()] + [(None, None)] * 10_000
+    survey = spark.createDataFrame(rows, "h bigint, c bigint")
+    hot, level = J._frequent(survey)
+    assert hot.view(np.int64).tolist() == [*range(60), -5] and hot.tolist() == sorted(hot.tolist())
+    assert all(a <= b for a, b in itertools.pairwise(level.tolist())) and level[0] > 0
+    monkeypatch.setattr(J, "HOT_MOST", 4)
+    assert J._frequent(survey)[0].view(np.int64).tolist() == [56, 58, 59, -5]
+
+
+def test_a_passage_in_texts_of_unlike_sizes_makes_no_groups(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = []
+    for i in range(40):
+        passage = prose(rng, 12)
+        rows += [(2 * i, f"{passage} {prose(rng, 30)}"), (2 * i + 1, f"{prose(rng, 60)} {passage} {prose(rng, 20)}")]
+    groups = []
+
+    def saved(df):
+        out = plain(df)
+        if out.columns == ["center", "set_id"]:
+            groups.append(out.count())
+        return out
+
+    plain = J.saved
+    monkeypatch.setattr(J, "saved", saved)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(map(tuple, J.classes(docs).collect())) == sorted(brute(rows))
+    assert len(groups) == 1 and groups[0] < 20  # the last cell of a task is kept as it is; 72 rows without the sizes

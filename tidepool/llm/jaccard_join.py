@@ -12,10 +12,15 @@ documents link when the Jaccard similarity of their sets is at least 3/4.
    from each other, so no box over them prunes anything and a single tree would
    compare everything.  Points are therefore dealt to cells: one for each of
    the first floor(n/4) + 1 shingles of a set in a fixed order.  Two sets that
-   link share at least one of them (prefix filter), so cells lose no link.
+   link share at least one of them (prefix filter), so cells lose no link.  A set
+   leaves a cell where the sizes and places of all others rule out that the
+   cell's shingle is the first one that they share.
    Frequent shingles, found by lossy counting over all documents, come last in
-   the order, so a passage that a third of the documents hold forms a cell only
-   for documents that hold little else.
+   the order, the most frequent ones at its end, so a passage that many
+   documents hold forms a cell only for documents that hold little else.  Which
+   shingles count as frequent does not depend on the number of documents: a
+   share of them would let cells grow with the table, and the pairs in them
+   with its square.
 3. *Stars.*  Every cell names its smallest set id its center.  Cells of one
    center form one group, so near copies that share forty cells are dealt to a
    few groups only.  Sets are first compared with their centers: pairs that
@@ -63,8 +68,10 @@ SHINGLE = 5
 GROUPS = 16
 #: Shingles counted together by a task before those seen once are forgotten.
 COUNTED = 2_000_000
-#: A shingle in more than one of HOT_SHARE documents is frequent; at most HOT_MOST of them (800 kB) are reordered.
-HOT_SHARE, HOT_MOST = 1_000, 100_000
+#: A shingle counted more than HOT_LEAST times is frequent; the HOT_MOST most frequent (900 kB with their levels) are reordered.
+HOT_LEAST, HOT_MOST = 2, 100_000
+#: Largest cell whose sets are compared by size.
+CELL = 64
 #: Bits of the map of documents whose sets are read again: a fixed size, whatever the input.
 MARK_BITS = 23
 #: Children of a tree node; most rows of a block.
@@ -87,8 +94,12 @@ def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             docs.append(short)
             values.append(grams(hashes, n)[first[short]] + _U(n))
     doc, h = np.concatenate(docs), np.concatenate(values)
-    order = np.lexsort((h, doc))
-    doc, h = doc[order], h[order]
+    if len(docs) > 1:
+        order = np.argsort(doc, kind="stable")
+        doc, h = doc[order], h[order]
+    ends = np.cumsum(np.bincount(doc, minlength=len(texts))).tolist()
+    for a, b in zip([0, *ends], ends):
+        h[a:b].sort()
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])
     return doc[new], h[new]
@@ -184,17 +195,26 @@ def _survey(docs: DataFrame) -> DataFrame:
         lean(run), "doc_id bigint, n bigint, set_id bigint, point binary, h bigint, c bigint")
 
 
-def _frequent(survey: DataFrame, n_docs: int) -> np.ndarray:
-    """Shingles of more than one in HOT_SHARE documents, the HOT_MOST most frequent at most."""
-    rows = (survey.where("h is not null").groupBy("h").agg(F.sum("c").alias("c"))
-            .where(F.col("c") > max(2, n_docs // HOT_SHARE))
-            .orderBy(F.desc("c"), "h").limit(HOT_MOST).select("h").toPandas())
-    return np.sort(rows["h"].to_numpy(np.int64).view(_U))
+def _frequent(survey: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent shingles, sorted, and the level (1 to 255) of each one's count: of
+    those counted more than HOT_LEAST times the HOT_MOST most frequent.  Only
+    these and the ties of the last one are brought together."""
+    counted = saved(survey.where("h is not null").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") > HOT_LEAST)
+                    .withColumn("level", F.least(F.lit(255), F.floor(8 * F.log2("c"))).cast("int")))
+    least = total = 0
+    for r in sorted(counted.groupBy("level").agg(F.count(F.lit(1)).alias("k")).collect(), reverse=True):
+        least, total = r["level"], total + r["k"]
+        if total >= HOT_MOST:
+            break
+    rows = counted.where(F.col("level") >= least).orderBy(F.desc("c"), "h").limit(HOT_MOST).select("h", "level").toPandas()
+    hot = rows["h"].to_numpy(np.int64).view(_U)
+    order = np.argsort(hot)
+    return hot[order], rows["level"].to_numpy(np.uint8)[order]
 
 
-def _prefixes(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """(h, set_id): the first floor(n/4) + 1 shingles of each set, frequent ones
-    last.  A task deals each set once."""
+def _prefixes(docs: DataFrame, hot: np.ndarray, level: np.ndarray) -> DataFrame:
+    """(h, set_id, sizes): the first floor(n/4) + 1 shingles of each set, frequent
+    ones last, by their level, and ``_sizes`` there.  A task deals each set once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -204,9 +224,9 @@ def _prefixes(docs: DataFrame, hot: np.ndarray) -> DataFrame:
                 n = np.bincount(doc, minlength=len(texts))
                 ids = _set_ids(doc, h, n)
                 if len(hot):
-                    late = hot[np.minimum(np.searchsorted(hot, h), len(hot) - 1)] == h
-                    order = np.lexsort((h, late, doc))
-                    h = h[order]
+                    at = np.minimum(np.searchsorted(hot, h), len(hot) - 1)
+                    late = np.where(hot[at] == h, level[at], 0)
+                    h = h[np.argsort(doc << 8 | late, kind="stable")]  # within a level the shingles stay sorted
                 place = np.arange(len(doc)) - (np.cumsum(n) - n)[doc]
                 if len(seen) > 1_000_000:
                     seen.clear()
@@ -216,29 +236,60 @@ def _prefixes(docs: DataFrame, hot: np.ndarray) -> DataFrame:
                         seen.add(s)
                         fresh[i] = True
                 take = (place <= n[doc] // 4) & fresh[doc]
-                yield pa.RecordBatch.from_arrays([pa.array(h[take].view(np.int64)), pa.array(ids[doc[take]])],
-                                                 names=["h", "set_id"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(h[take].view(np.int64)), pa.array(ids[doc[take]]), pa.array(_sizes(n[doc[take]], place[take]))],
+                    names=["h", "set_id", "sizes"])
+
+    return docs.select("text").mapInArrow(lean(run), "h bigint, set_id bigint, sizes bigint")
+
 
-    return docs.select("text").mapInArrow(lean(run), "h bigint, set_id bigint")
+def _sizes(n: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A set's size (upper half) and that of the largest set (lower half) it can
+    link with if their first common shingle has this place (from 0) in its order:
+    n - place shingles are left to share, and 3/7 of both sizes must be shared."""
+    return n << 32 | (4 * n - 7 * place) // 3
+
+
+def _mates(h: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Of rows sorted by h: those with another one of the same h whose ``_sizes``
+    allow a link both ways, and all rows of cells of more than CELL."""
+    n, most = sizes >> 32, sizes & 0xFFFFFFFF
+    found = np.zeros(len(h), bool)
+    i = np.arange(len(h))
+    for d in range(1, CELL):
+        i = i[:np.searchsorted(i, len(h) - d)]
+        i = i[h[i] == h[i + d]]
+        if not len(i):
+            return found
+        both = i[(n[i] <= most[i + d]) & (n[i + d] <= most[i])]
+        found[both] = found[both + d] = True
+    i = i[:np.searchsorted(i, len(h) - CELL)]
+    return found | np.isin(h, h[i[h[i] == h[i + CELL]]])
 
 
 def _cell_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by (h, set_id): members (center, set_id) of the cells with
-    two different sets at least; the center is the smallest set id.  Only
+    """From rows (h, set_id, sizes) sorted by (h, set_id): members (center, set_id)
+    of the cells with two different sets at least; the center is the smallest set
+    id.  Sets without a mate there are left out of the cells inside a batch; only
     one row is held over between batches, however large a cell is."""
     last_h = last_s = center = None
     single = False  # the held cell has one member so far, not yet given out
     for b in batches:
-        h, s = (b.column(i).to_numpy() for i in (0, 1))
+        h, s, sizes = (b.column(i).to_numpy() for i in range(3))
         if not len(h):
             continue
         keep = np.ones(len(h), bool)
         keep[1:] = (h[1:] != h[:-1]) | (s[1:] != s[:-1])
         keep[0] = last_h is None or h[0] != last_h or s[0] != last_s
         last = h[-1], s[-1]
-        h, s = h[keep], s[keep]
+        h, s, sizes = h[keep], s[keep], sizes[keep]
         if not len(h):
             continue
+        ends = h == last[0]  # this cell may go on, and the first one may have begun before
+        if last_h is not None:
+            ends |= h == last_h
+        kept = ends | _mates(h, sizes)
+        h, s = h[kept], s[kept]
         i = np.arange(len(h))
         begins = np.ones(len(h), bool)
         begins[1:] = h[1:] != h[:-1]
@@ -494,9 +545,7 @@ def classes(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``."""
     survey = saved(_survey(docs))
     rows = survey.where("set_id is not null")
-    hot = _frequent(survey, rows.count())
-
-    members = saved(_prefixes(docs, hot).repartition("h").sortWithinPartitions("h", "set_id")
+    members = saved(_prefixes(docs, *_frequent(survey)).repartition("h").sortWithinPartitions("h", "set_id")
                     .mapInArrow(lean(_cell_members), "center bigint, set_id bigint").distinct())
     holders = rows.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"))
     alive = members.select("set_id").distinct()
